@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.partitioning import spread
+
 
 def _quote(sep: str) -> str:
     """Regex-quote a literal separator (Spark's ``split`` takes a Java regex)."""
@@ -21,13 +23,17 @@ def split_words(col: Column | str, sep: str = " ", drop_trailing_empty: bool = F
     if not sep:
         raise ValueError("separator must be non-empty")
     c = F.col(col) if isinstance(col, str) else col
-    tokens = F.split(c, _quote(sep), -1)
     if not drop_trailing_empty:
-        return tokens
-    nonempty_from_end = F.array_position(F.transform(F.reverse(tokens), lambda t: t != ""), True)
-    keep = F.when(nonempty_from_end > 0, F.size(tokens) - nonempty_from_end + 1).otherwise(F.lit(0))
-    trimmed = F.when(keep > 0, F.slice(tokens, 1, keep)).otherwise(F.array().cast("array<string>"))
-    return F.when(F.instr(c, sep) == 0, F.array(c)).otherwise(trimmed)
+        return F.split(c, _quote(sep), -1)
+    # Trailing empty tokens come exactly from trailing separators, so strip
+    # those first (``\z`` is the true end; ``$`` would also match before a
+    # final newline) and split once.
+    stripped = F.regexp_replace(c, "(?:" + _quote(sep) + ")+\\z", "")
+    return (
+        F.when(F.instr(c, sep) == 0, F.array(c))
+        .when(stripped == "", F.array().cast("array<string>"))
+        .otherwise(F.split(stripped, _quote(sep), -1))
+    )
 
 
 def word_count(
@@ -44,5 +50,6 @@ def word_count(
     partial aggregate before the shuffle, so a very frequent word (or the empty
     token) is pre-summed per task rather than shipped row by row.
     """
-    words = df.select(F.explode(split_words(text_col, sep, drop_trailing_empty)).alias(word_col))
+    texts = spread(df.select(text_col))
+    words = texts.select(F.explode(split_words(text_col, sep, drop_trailing_empty)).alias(word_col))
     return words.groupBy(word_col).agg(F.count(F.lit(1)).alias(count_col))

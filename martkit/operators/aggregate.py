@@ -77,45 +77,77 @@ def aggregate(
 
 
 class SharedAggregates(Mapping):
-    """Several aggregates of one input, computed in one grouped pass.
-
-    Specs sharing group keys and WHERE share one aggregate node; specs that
-    differ are tagged per row (one ``explode`` of a small literal array) and
-    grouped together by (tag, keys), so the input is still read and shuffled
-    once. Used as a context manager, the combined, already-aggregated result is
-    persisted while the outputs are written and released afterwards; it holds
-    one row per group, never the input.
+    """Several aggregates of one input, as independent or as shared plans.
+
+    Outside a ``with`` block each output is its own plain aggregate, built on
+    first access: the best plan when only one output is needed. Inside
+    ``with`` the outputs are projections of one combined aggregate that is
+    persisted on entry and released on exit, so writing all outputs reads and
+    shuffles the input once. The persisted frame holds one row per group,
+    never the input rows.
     """
 
-    def __init__(self, combined: DataFrame, outputs: dict[str, DataFrame]):
-        self.combined = combined
-        self._outputs = outputs
+    def __init__(self, df: DataFrame, specs: Sequence[AggSpec]):
+        if not specs:
+            raise ValueError("no aggregate specs")
+        names = [s.name for s in specs]
+        if len(set(names)) != len(names):
+            raise ValueError(f"spec names must be unique: {names}")
+        self._df = df
+        self._specs = {s.name: s for s in specs}
+        self._independent: dict[str, DataFrame] = {}
+        self._combined: DataFrame | None = None
+        self._shared: dict[str, DataFrame] = {}
+        self._active = False
+
+    @property
+    def combined(self) -> DataFrame:
+        if self._combined is None:
+            self._combined, self._shared = _combine(self._df, list(self._specs.values()))
+        return self._combined
+
+    @property
+    def shared(self) -> dict[str, DataFrame]:
+        self.combined  # noqa: B018 - builds the shared outputs
+        return self._shared
 
     def __getitem__(self, name: str) -> DataFrame:
-        return self._outputs[name]
+        if self._active:
+            return self._shared[name]
+        if name not in self._independent:
+            s = self._specs[name]
+            self._independent[name] = aggregate(self._df, s.keys, s.aggs, where=s.where,
+                                                having=s.having)
+        return self._independent[name]
 
     def __iter__(self) -> Iterator[str]:
-        return iter(self._outputs)
+        return iter(self._specs)
 
     def __len__(self) -> int:
-        return len(self._outputs)
+        return len(self._specs)
 
     def __enter__(self) -> "SharedAggregates":
         self.combined.persist(StorageLevel.MEMORY_AND_DISK)
+        self._active = True
         return self
 
     def __exit__(self, *exc) -> None:
+        self._active = False
         self.combined.unpersist()
 
 
 def aggregate_many(df: DataFrame, specs: Sequence[AggSpec]) -> SharedAggregates:
-    """Compute every spec over ``df`` from one combined aggregate."""
-    if not specs:
-        raise ValueError("no aggregate specs")
-    names = [s.name for s in specs]
-    if len(set(names)) != len(names):
-        raise ValueError(f"spec names must be unique: {names}")
+    """Every spec over ``df``; see ``SharedAggregates`` for the two plan shapes."""
+    return SharedAggregates(df, specs)
+
 
+def _combine(df: DataFrame, specs: Sequence[AggSpec]) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """One aggregate computing every spec, and each spec as a projection of it.
+
+    Specs sharing group keys and WHERE share one aggregate node; specs that
+    differ are tagged per row (one ``explode`` of a small literal array, before
+    the partial aggregate) and grouped by (tag, keys) together.
+    """
     # Specs with the same keys and WHERE form one group (one tag value).
     group_of: dict[tuple[str, str], int] = {}
     spec_group: list[int] = []
@@ -184,4 +216,4 @@ def aggregate_many(df: DataFrame, specs: Sequence[AggSpec]) -> SharedAggregates:
         if post is not None:
             part = part.filter(to_column(post))
         outputs[s.name] = part
-    return SharedAggregates(combined, outputs)
+    return combined, outputs

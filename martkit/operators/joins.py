@@ -64,6 +64,31 @@ def _row_bytes(df: DataFrame):
     return total
 
 
+# Probe outcomes by (plan, input files). The decision only picks a physical
+# strategy, never the result, so a stale entry can cost speed but not rows.
+_PROBES: dict[tuple, tuple[int, int]] = {}
+
+
+def clear_probe_cache() -> None:
+    _PROBES.clear()
+
+
+def _probe(df: DataFrame, max_rows: int) -> tuple[int, int]:
+    files = tuple(sorted(df.inputFiles()))
+    key = (df.semanticHash(), files, max_rows) if files else None
+    if key is not None and key in _PROBES:
+        return _PROBES[key]
+    row = (
+        df.limit(max_rows + 1)
+        .agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b"))
+        .first()
+    )
+    result = (int(row["n"]), int(row["b"] or 0))
+    if key is not None:
+        _PROBES[key] = result
+    return result
+
+
 def broadcast_if_bounded(
     df: DataFrame,
     max_rows: int = BROADCAST_MAX_ROWS,
@@ -71,16 +96,12 @@ def broadcast_if_bounded(
 ) -> tuple[DataFrame, bool]:
     """Hint ``broadcast`` only if the side is proven within both bounds.
 
-    The probe reads at most ``max_rows + 1`` rows per partition (a ``limit``),
-    so a side that turns out large costs one bounded pass, and the join then
-    stays a shuffle join. Returns the (possibly hinted) frame and the decision.
+    The probe counts rows and payload bytes of at most ``max_rows + 1`` rows
+    (a ``limit``), so a side that turns out large costs one bounded pass and
+    the join stays a shuffle join. File-based sides are probed once per set of
+    input files. Returns the (possibly hinted) frame and the decision.
     """
-    probe = (
-        df.limit(max_rows + 1)
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b"))
-        .first()
-    )
-    n, b = int(probe["n"]), int(probe["b"] or 0)
+    n, b = _probe(df, max_rows)
     if n <= max_rows and b <= max_bytes:
         return F.broadcast(df), True
     return df, False

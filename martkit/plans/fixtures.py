@@ -44,8 +44,18 @@ ROLES = Roles(
 )
 
 
+# Input tables are read once per application and path, like views registered
+# in a catalog: a DataFrame is an immutable plan, and reusing it saves the file
+# listing and footer reads on every query. The test tables never change.
+_TABLES: dict[tuple[str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _TABLES:
+        _TABLES[key] = read_parquet(spark, path)
+    return _TABLES[key]
 
 
 def product(spark, sf_dir) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.json import parse
+from ..operators.partitioning import spread
 
 # The product document contract of the original crawler.
 # (output column, JSON path, Spark type) — required keys, in output order.
@@ -88,6 +89,7 @@ def flatten_documents(
     src = responses
     if status_col is not None:
         src = src.filter(F.col(status_col) == OK_STATUS)
+    src = spread(src.select(body_col))
     v = parse(body_col)
     top = F.try_variant_get(v, "$", _variant_struct(tops))
     stage = src.select(
@@ -159,6 +161,7 @@ def listing_ids(
     src = responses
     if status_col is not None:
         src = src.filter(F.col(status_col) == OK_STATUS)
+    src = spread(src.select(body_col))
     items = F.try_variant_get(parse(body_col), list_path, "array<variant>")
     listed = src.select(items.alias("__items"))
     if on_missing == "fail":
