@@ -18,6 +18,7 @@ from ..functions.text import split_words, word_count
 from ..operators.aggregate import aggregate
 from ..operators.filter import filter_optional, not_in, project, rename
 from ..operators.joins import Table, join_program, join_using
+from ..operators.partitioning import spread
 from ..operators.shape import dim_distinct, star_split
 from ..session import scratch_path
 from ..sinks.files import write_csv, write_parquet
@@ -207,6 +208,10 @@ QUERIES: dict[str, Query] = {
     "join_anti": _side_join("left_anti"),
     "join_cross": _side_join("cross"),
     "join_program": _three_way,
+    "join_shuffle": lambda s, d: join_using(product(s, d), brand(s, d), "partkey",
+                                            left_filter="l_discount > 0.05"),
+    "join_salted": lambda s, d: join_using(product(s, d), brand(s, d), "partkey",
+                                           left_filter="l_discount > 0.05", salt_buckets=4),
     "join_agg_to_dim": _join_agg_to_dim,
     # aggregates
     "agg_group": lambda s, d: aggregate(_three_way(s, d), ["suppkey", "s_name"],
@@ -229,6 +234,10 @@ QUERIES: dict[str, Query] = {
                                      ["p_partkey", "round(p_retailprice / 3, 2) AS third_price"]),
     "agg_shared_count": lambda s, d: pipeline_v1(product(s, d), brand(s, d), ROLES)["product_count_brand"],
     "agg_shared_sum": lambda s, d: pipeline_v1(product(s, d), brand(s, d), ROLES)["product_sum_brand"],
+    "agg_shared_count_onepass": lambda s, d: pipeline_v1(product(s, d), brand(s, d),
+                                                         ROLES).shared["product_count_brand"],
+    "agg_shared_sum_onepass": lambda s, d: pipeline_v1(product(s, d), brand(s, d),
+                                                       ROLES).shared["product_sum_brand"],
     # pipelines
     "pipeline_v2_avg": lambda s, d: pipeline_v2(product(s, d), brand(s, d), category(s, d),
                                                 ROLES)["agg_brand_average_rate"],
@@ -240,12 +249,16 @@ QUERIES: dict[str, Query] = {
                                                 ROLES)["agg_brand_average_rate"],
     "pipeline_v3_count": lambda s, d: pipeline_v3(product(s, d), brand(s, d), category(s, d),
                                                   ROLES)["agg_products_each_category"],
+    "pipeline_v3_avg_onepass": lambda s, d: pipeline_v3(
+        product(s, d), brand(s, d), category(s, d), ROLES).shared["agg_brand_average_rate"],
+    "pipeline_v3_count_onepass": lambda s, d: pipeline_v3(
+        product(s, d), brand(s, d), category(s, d), ROLES).shared["agg_products_each_category"],
     # text
     "word_count": lambda s, d: word_count(table(s, d, "documents"), "text"),
     "word_count_trailing": lambda s, d: word_count(table(s, d, "documents"), "text",
                                                    drop_trailing_empty=True),
-    "fn_split_words": lambda s, d: table(s, d, "documents").select(
-        "doc_id", F.size(split_words("text")).alias("n_tokens")),
+    "fn_split_words": lambda s, d: spread(table(s, d, "documents").select("doc_id", "text")).select(
+        "doc_id", F.size(split_words("text")).cast("bigint").alias("n_tokens")),
     # ingest
     "flatten_products": lambda s, d: flatten_products(_product_documents(s, d)).rows,
     "flatten_rejected": lambda s, d: flatten_products(_product_documents(s, d)).rejected
@@ -332,6 +345,12 @@ ORACLE_SQL: dict[str, str] = {
         SELECT n.n_nationkey AS nationkey, n_name, n_regionkey, s_suppkey, s_name, s_acctbal
         FROM {_N} n JOIN {_SN} s ON n.n_nationkey = s.s_nationkey""",
     "join_program": _THREE_WAY,
+    "join_shuffle": f"""
+        SELECT l_partkey AS partkey, l_suppkey AS suppkey, {_LI}, {_P}
+        FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_discount > 0.05""",
+    "join_salted": f"""
+        SELECT l_partkey AS partkey, l_suppkey AS suppkey, {_LI}, {_P}
+        FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_discount > 0.05""",
     "join_agg_to_dim": """
         SELECT a.p_type, a.p_brand, a.avg_size
         FROM (SELECT p_brand, p_type, round(avg(p_size), 2) AS avg_size FROM part
@@ -400,3 +419,6 @@ ORACLE_SQL: dict[str, str] = {
     "sink_csv": "SELECT p_partkey AS id FROM part",
     "src_csv_ids": "SELECT o_orderkey AS id FROM orders",
 }
+# The one-pass (shared) plans must give exactly what the per-output plans give.
+for _k in ("agg_shared_count", "agg_shared_sum", "pipeline_v3_avg", "pipeline_v3_count"):
+    ORACLE_SQL[f"{_k}_onepass"] = ORACLE_SQL[_k]

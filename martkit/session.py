@@ -12,15 +12,23 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings applied by ``build_session`` only; a cluster's own spark-defaults win
-# because ``SparkSession.builder.config`` is skipped for keys already set.
-DEFAULT_CONF = {
+# Core settings needed before the context starts (no web UI, no progress bar).
+CORE_CONF = {
+    "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
+}
+
+# SQL settings applied by ``build_session`` only where the cluster (spark-defaults,
+# ``--conf``) has not set the key already.
+SQL_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # No broadcast from compressed-file-size estimates: a side is broadcast only
+    # when a probe (operators.joins) or AQE's measured shuffle size proves it small.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.session.timeZone": "UTC",
-    "spark.ui.enabled": "false",
-    "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
@@ -31,18 +39,25 @@ def build_session(
     shuffle_partitions: int | None = None,
     conf: dict[str, str] | None = None,
 ) -> SparkSession:
-    """Create (or reuse) a session with AQE on and the UI off."""
+    """Create (or reuse) a session: UI off, AQE on, estimate-based broadcast off.
+
+    Explicit ``conf`` and ``shuffle_partitions`` always apply; ``SQL_DEFAULTS``
+    fill in only keys the cluster configuration leaves unset.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    settings = dict(DEFAULT_CONF)
+    explicit = dict(conf or {})
     if shuffle_partitions is not None:
-        settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    settings.update(conf or {})
-    for key, value in settings.items():
+        explicit["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    for key, value in {**CORE_CONF, **explicit}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("WARN")
+    configured = spark.sparkContext.getConf()
+    for key, value in SQL_DEFAULTS.items():
+        if key not in explicit and not configured.contains(key):
+            spark.conf.set(key, value)
     ensure_checkpoint_dir(spark)
     return spark
 
