@@ -6,17 +6,19 @@ from pyspark.sql import DataFrame
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin repartition only when the source gives too few partitions.
+    """Round-robin repartition a file-backed frame read from only a few files.
 
     A file written as one large row group scans as one task, and every
     per-row step fused into that stage (tokenising, JSON parsing) then runs on
-    one core. When the input already has at least ``min_partitions``
-    (default: the cluster's default parallelism) partitions — the normal case
-    for large inputs — the frame is returned unchanged and no shuffle is added.
+    one core. The decision uses only metadata (``inputFiles``, no job): when
+    the frame reads at least ``min_partitions`` files (default: the cluster's
+    default parallelism) — the normal case for large inputs — or reads no
+    files at all, it is returned unchanged and no shuffle is added.
     Round-robin repartitioning is deterministic (rows are sorted locally before
     distribution), so a retried task produces the same output.
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    files = df.inputFiles()
+    if not files or len(files) >= target:
         return df
     return df.repartition(target)

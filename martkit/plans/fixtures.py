@@ -422,3 +422,34 @@ ORACLE_SQL: dict[str, str] = {
 # The one-pass (shared) plans must give exactly what the per-output plans give.
 for _k in ("agg_shared_count", "agg_shared_sum", "pipeline_v3_avg", "pipeline_v3_count"):
     ORACLE_SQL[f"{_k}_onepass"] = ORACLE_SQL[_k]
+
+
+# ------------------------------------------------------- whole-pipeline runs
+# Each runs a full pipeline and writes every output (to any sink function),
+# the way the original DAGs run end to end. Used by bench.py.
+def run_v1(spark, sf_dir, sink) -> None:
+    with pipeline_v1(product(spark, sf_dir), brand(spark, sf_dir), ROLES) as out:
+        for name in out:
+            sink(out[name], name)
+
+
+def run_v2(spark, sf_dir, sink) -> None:
+    out = pipeline_v2(product(spark, sf_dir), brand(spark, sf_dir), category(spark, sf_dir), ROLES)
+    for name, df in out.items():
+        sink(df, name)
+
+
+def run_v3(spark, sf_dir, sink) -> None:
+    with pipeline_v3(product(spark, sf_dir), brand(spark, sf_dir), category(spark, sf_dir),
+                     ROLES) as out:
+        for name in out:
+            sink(out[name], name)
+
+
+def run_star(spark, sf_dir, sink) -> None:
+    for name, df in _star(spark, sf_dir).items():
+        sink(df, name)
+
+
+WORKLOADS = {"pipeline_v1_all": run_v1, "pipeline_v2_all": run_v2,
+             "pipeline_v3_all": run_v3, "star_split_all": run_star}

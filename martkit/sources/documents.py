@@ -60,25 +60,12 @@ def _variant_struct(names) -> str:
     return "struct<" + ",".join(f"`{n}`: variant" for n in names) + ">"
 
 
-def flatten_documents(
-    responses: DataFrame,
-    fields=PRODUCT_FIELDS,
-    objects=PRODUCT_OBJECTS,
-    body_col: str = "body",
-    status_col: str | None = "status",
-) -> Flattened:
-    """Parse each body and keep it only if every field is usable.
+# Column expressions are unresolved trees, reusable across DataFrames; they are
+# built once per (application, contract) to save thousands of JVM round trips.
+_PLANS: dict[tuple, tuple] = {}
 
-    Rules: a response whose status is not 200 is skipped. An unparseable body,
-    a missing key, a nested member that is not an object, or a value that
-    cannot be cast losslessly rejects the whole document (with a reason). A key
-    present with JSON null is kept as null; extra keys are ignored. Duplicate
-    keys make the body unparseable.
 
-    Each document is parsed once and cast once into a struct of VARIANT
-    members (one more cast per nested object); the typed columns are cast
-    from those members, which keeps the generated code small.
-    """
+def _contract_columns(fields, objects, body_col: str) -> tuple:
     paths = {name: _split_path(path) for name, path, _ in fields}
     nested = sorted({p[0] for p in paths.values() if len(p) == 2} | {_split_path(o)[0] for o in objects})
     tops = list(dict.fromkeys(p[0] for p in paths.values()))
@@ -86,22 +73,18 @@ def flatten_documents(
     members = {n: list(dict.fromkeys(p[1] for p in paths.values() if len(p) == 2 and p[0] == n))
                for n in nested}
 
-    src = responses
-    if status_col is not None:
-        src = src.filter(F.col(status_col) == OK_STATUS)
-    src = spread(src.select(body_col))
+    # Casting to a struct is NULL for anything but a JSON object, so no schema
+    # walk of the whole document is needed to tell objects from the rest.
     v = parse(body_col)
-    top = F.try_variant_get(v, "$", _variant_struct(tops))
-    stage = src.select(
+    stage1 = [
         F.col(body_col),
-        F.schema_of_variant(v).alias("__kind"),
-        top.alias("__top"),
-    )
-    stage = stage.select(
-        "*",
-        *[F.try_variant_get(F.col("__top")[n], "$", _variant_struct(members[n])).alias(f"__obj_{n}")
-          for n in nested if members[n]],
-    )
+        v.isNotNull().alias("__parsed"),
+        F.try_variant_get(v, "$", _variant_struct(tops)).alias("__top"),
+    ]
+    stage2 = [
+        F.try_variant_get(F.col("__top")[n], "$", _variant_struct(members[n])).alias(f"__obj_{n}")
+        for n in nested if members[n]
+    ]
 
     def raw(parts: tuple[str, ...]) -> Column:
         if len(parts) == 1:
@@ -109,13 +92,15 @@ def flatten_documents(
         return F.col(f"__obj_{parts[0]}")[parts[1]]
 
     checks = [
-        F.when(F.col("__kind").isNull(), F.lit("unparseable or duplicate keys")),
-        F.when(~F.col("__kind").startswith("OBJECT"), F.lit("not an object")),
+        F.when(~F.col("__parsed"), F.lit("unparseable or duplicate keys")),
+        F.when(F.col("__top").isNull(), F.lit("not an object")),
     ]
     for o in objects:
-        member = F.col("__top")[_split_path(o)[0]]
-        checks.append(F.when(member.isNotNull() & ~F.schema_of_variant(member).startswith("OBJECT"),
-                             F.lit(f"not an object {o[2:]}")))
+        n = _split_path(o)[0]
+        member = F.col("__top")[n]
+        not_object = (F.col(f"__obj_{n}").isNull() if members[n]
+                      else ~F.schema_of_variant(member).startswith("OBJECT"))
+        checks.append(F.when(member.isNotNull() & not_object, F.lit(f"not an object {o[2:]}")))
     typed = []
     for name, _, type_ in fields:
         r = raw(paths[name])
@@ -123,16 +108,52 @@ def flatten_documents(
         usable = r.isNotNull() & ~F.is_variant_null(r)
         bad = usable & value.isNull()
         if type_ in ("bigint", "int", "smallint", "tinyint"):
-            exact = F.try_variant_get(r, "$", "decimal(38,10)")
-            bad = bad | (usable & exact.isNotNull() & (exact != value.cast("decimal(38,10)")))
+            # A fractional number would be truncated by the integral cast.
+            as_double = F.try_variant_get(r, "$", "double")
+            bad = bad | (usable & as_double.isNotNull() & (as_double != value.cast("double")))
         checks.append(F.when(r.isNull(), F.lit(f"missing key {name}")))
         checks.append(F.when(bad, F.lit(f"bad type {name}")))
         typed.append(value.alias(name))
     # One-element ``inline`` is a barrier for filter pushdown: without it the
-    # ``reason`` filter below is pushed under this projection and the whole
-    # parse is inlined into it, evaluated twice per document.
-    verdict = F.struct(F.col(body_col).alias(body_col), F.coalesce(*checks).alias("reason"), *typed)
-    judged = stage.select(F.inline(F.array(verdict)))
+    # ``reason`` filter is pushed under this projection and the whole parse is
+    # inlined into it, evaluated twice per document.
+    verdict = F.inline(F.array(F.struct(F.col(body_col).alias(body_col),
+                                        F.coalesce(*checks).alias("reason"), *typed)))
+    return stage1, stage2, verdict
+
+
+def flatten_documents(
+    responses: DataFrame,
+    fields=PRODUCT_FIELDS,
+    objects=PRODUCT_OBJECTS,
+    body_col: str = "body",
+    status_col: str | None = "status",
+) -> Flattened:
+    """Parse each body and keep it only if every field is usable.
+
+    Rules: a response whose status is not 200 is skipped. An unparseable body,
+    a missing key, a nested member that is not an object, or a value that
+    cannot be cast losslessly rejects the whole document (with a reason). A key
+    present with JSON null is kept as null; extra keys are ignored. Duplicate
+    keys make the body unparseable.
+
+    Each document is parsed once and cast once into a struct of VARIANT
+    members (one more cast per nested object); the typed columns are cast
+    from those members, which keeps the generated code small.
+    """
+    key = (responses.sparkSession.sparkContext.applicationId, tuple(fields), tuple(objects), body_col)
+    if key not in _PLANS:
+        _PLANS[key] = _contract_columns(fields, objects, body_col)
+    stage1, stage2, verdict = _PLANS[key]
+
+    src = responses
+    if status_col is not None:
+        src = src.filter(F.col(status_col) == OK_STATUS)
+    src = spread(src.select(body_col))
+    stage = src.select(*stage1)
+    if stage2:
+        stage = stage.select("*", *stage2)
+    judged = stage.select(verdict)
     rows = judged.filter(F.col("reason").isNull()).select(*[name for name, _, _ in fields])
     rejected = judged.filter(F.col("reason").isNotNull()).select(body_col, "reason")
     return Flattened(rows, rejected)

@@ -59,11 +59,16 @@ def jdbc_options(conf: JdbcConf, table: str) -> dict[str, str]:
 
 
 def bounds_from(df: DataFrame, column: str) -> tuple:
-    """(min, max) of ``column``: one aggregate, pushed to the database when possible."""
+    """(min, max) of ``column`` of an already loaded frame (one aggregate)."""
     row = df.agg(F.min(column).alias("lo"), F.max(column).alias("hi")).first()
     return row["lo"], row["hi"]
 
 
+def bounds_query(table: str, column: str) -> str:
+    """A ``dbtable`` subquery that makes the database compute the bounds."""
+    return f"(SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {table}) martkit_bounds"
+
+
 def read_jdbc(
     spark: SparkSession,
     conf: JdbcConf,
@@ -92,8 +97,10 @@ def read_jdbc(
         if num_partitions is None or num_partitions < 1:
             raise ValueError("num_partitions is required with partition_column")
         if bounds is None:
-            probe = spark.read.format("jdbc").options(**opts).load()
-            bounds = bounds_from(probe, partition_column)
+            # MIN/MAX run inside the database; only one row comes back.
+            probe_opts = {**opts, "dbtable": bounds_query(table, partition_column)}
+            row = spark.read.format("jdbc").options(**probe_opts).load().first()
+            bounds = (row[0], row[1])
         lo, hi = bounds
         if lo is None:  # empty table (or only nulls): one range reads everything
             lo, hi, num_partitions = 0, 1, 1

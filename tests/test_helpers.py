@@ -61,3 +61,17 @@ def test_csv_ids_round_trip(spark):
     back = read_ids(spark, path)
     assert back.dtypes == [("id", "bigint")]
     assert sorted(r.id for r in back.collect()) == [0, 10, 20, 30, 40]
+
+
+def test_spread_is_metadata_only(spark):
+    from martkit.operators.partitioning import spread
+    one_file = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    assert "RoundRobinPartitioning" in _plan(spread(one_file, 4))
+    assert spread(one_file, 1) is one_file          # enough files
+    in_memory = spark.range(10)
+    assert spread(in_memory, 4) is in_memory         # no files: unchanged
+
+
+def _plan(df):
+    from conftest import plan_text
+    return plan_text(df)

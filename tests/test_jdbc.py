@@ -53,3 +53,9 @@ def test_bounds_from_min_max(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/part.parquet")
     lo, hi = bounds_from(df, "p_partkey")
     assert lo == 0 and hi == df.count() - 1
+
+
+def test_bounds_are_computed_by_the_database():
+    from martkit.sources.jdbc import bounds_query
+    assert bounds_query("product", "brand_id") == (
+        "(SELECT MIN(brand_id) AS lo, MAX(brand_id) AS hi FROM product) martkit_bounds")
