@@ -17,6 +17,8 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     Round-robin repartitioning is deterministic (rows are sorted locally before
     distribution), so a retried task produces the same output.
     """
+    if df.isStreaming:  # micro-batches are already split by the source
+        return df
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     files = df.inputFiles()
     if not files or len(files) >= target:

@@ -50,3 +50,24 @@ def unique_key_violations(dim: DataFrame, key: str) -> DataFrame:
     Optional check; the default pipelines keep the fan-out, as the original does.
     """
     return dim.groupBy(key).count().filter("count > 1")
+
+
+def require_unique_key(dim: DataFrame, key: str) -> DataFrame:
+    """Fail fast if ``key`` is not unique in ``dim``; return ``dim`` unchanged.
+
+    One grouped job that stops at the first duplicate found (``limit(1)``).
+    """
+    dup = unique_key_violations(dim, key).limit(1).collect()
+    if dup:
+        raise ValueError(f"dimension key {key!r} is not unique, e.g. {dup[0][key]!r} "
+                         f"occurs {dup[0]['count']} times")
+    return dim
+
+
+def drop_duplicate_facts(fact: DataFrame, key: str) -> DataFrame:
+    """Keep one row per ``key`` (opt-in; the original keeps duplicates).
+
+    Plans as a partial aggregate before the shuffle, so a key with very many
+    copies is collapsed per task first.
+    """
+    return fact.dropDuplicates([key])

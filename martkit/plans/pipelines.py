@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 
 from ..operators.aggregate import SharedAggregates, aggregate, aggregate_many
 from ..operators.joins import Table, join_program, join_using
-from ..operators.shape import star_split
+from ..operators.shape import drop_duplicate_facts, require_unique_key, star_split
 from ..spec import AggSpec, JoinStep
 
 
@@ -53,16 +53,27 @@ REFERENCE = Roles()
 FLAT_FACT_DROP = ("brand_name", "category_name")
 
 
-def warehouse(flat: DataFrame, roles: Roles = REFERENCE) -> dict[str, DataFrame]:
-    """Flat product table → ``product`` (fact), ``brand``, ``category``."""
+def warehouse(flat: DataFrame, roles: Roles = REFERENCE,
+              dedupe: bool = False, unique_dims: bool = False) -> dict[str, DataFrame]:
+    """Flat product table → ``product`` (fact), ``brand``, ``category``.
+
+    ``dedupe`` keeps one fact row per id; ``unique_dims`` fails if a dimension
+    key maps to more than one name. Both are off by default, as in the original.
+    """
+    if dedupe:
+        flat = drop_duplicate_facts(flat, roles.id)
     fact_cols = [c for c in flat.columns if c not in (roles.brand_name, roles.category_name)]
-    return star_split(
+    star = star_split(
         flat,
         fact_cols,
         {"brand": [roles.brand_key, roles.brand_name],
          "category": [roles.category_key, roles.category_name]},
         fact_name="product",
     )
+    if unique_dims:
+        require_unique_key(star["brand"], roles.brand_key)
+        require_unique_key(star["category"], roles.category_key)
+    return star
 
 
 def _dim(roles: Roles, side: str) -> str | None:

@@ -87,3 +87,11 @@ def test_v3_outputs(flat):
                     "average_rating") == expect_avg
         assert rows(out["agg_products_each_category"], "category_id", "category_name",
                     "number_of_products") == expect_cnt
+
+
+def test_optional_dedupe_and_unique_dims(flat):
+    import pytest
+    star = warehouse(flat, dedupe=True)
+    assert star["product"].count() == 8
+    with pytest.raises(ValueError, match="brand_id"):
+        warehouse(flat, unique_dims=True)
