@@ -110,11 +110,15 @@ def broadcast_if_bounded(
 def _salted(left: DataFrame, right: DataFrame, on: str, how: str, buckets: int) -> DataFrame:
     """Spread every left key over ``buckets`` tasks; replicate the right side.
 
-    For a hot key holding a large share of the left rows. The salt comes from
-    the row position, so identical copies of a row are spread too. Only valid
-    where unmatched right rows are not emitted (inner, left, semi, anti).
+    For a hot key holding a large share of the left rows. The salt is a hash
+    of the whole left row, so it is deterministic: a task recomputed after an
+    executor loss sends every row to the same place again. (Identical copies
+    of one row share a bucket; AQE's skew-join split, on in our sessions, cuts
+    any partition that is still too large.) Only valid where unmatched right
+    rows are not emitted (inner, left, semi, anti).
     """
-    salted_left = left.withColumn(_SALT, F.pmod(F.monotonically_increasing_id(), F.lit(buckets)))
+    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns])
+    salted_left = left.withColumn(_SALT, F.pmod(row_hash, F.lit(buckets)))
     salted_right = right.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
     joined = salted_left.join(salted_right, on=[on, _SALT], how=how)
     if how in ("left_semi", "left_anti"):

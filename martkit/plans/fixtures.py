@@ -146,17 +146,13 @@ def _product_documents(spark, sf_dir) -> DataFrame:
 def _listing_pages(spark, sf_dir) -> DataFrame:
     """Events packed 40 ids to a page, as listing responses ``{"data": [{"id": ..}, ..]}``.
 
-    Pages are cut by row position inside each input partition, so no page ever
-    holds more than 40 rows whatever the id distribution.
+    ``event_id`` is the key of ``events``, so page ``event_id div 40`` holds at
+    most 40 rows; the page cut is a pure function of the row, so a recomputed
+    task rebuilds the same pages. (``listing_ids`` itself has no grouping; this
+    only builds its input.)
     """
     ev = table(spark, sf_dir, "events").select("event_id")
-    pos = F.monotonically_increasing_id()
-    paged = ev.select(
-        "event_id",
-        F.spark_partition_id().alias("part"),
-        F.floor((pos % F.lit(1 << 33)) / 40).alias("page"),
-    )
-    pages = paged.groupBy("part", "page").agg(
+    pages = ev.groupBy(F.floor(F.col("event_id") / 40).alias("page")).agg(
         F.collect_list(F.struct(F.col("event_id").alias("id"))).alias("data")
     )
     return pages.select(F.lit(200).alias("status"), F.to_json(F.struct("data")).alias("body"))
