@@ -4,15 +4,29 @@ Each pipeline is one lazy lineage; nothing is staged in a database between
 steps, so Catalyst optimises across what used to be separate jobs. Dimension
 joins name the dimension as the broadcast side; it is broadcast only if the
 size probe proves it small, otherwise the join is a shuffle join under AQE.
+
+Eager aggregation (``Roles.eager``, on by default): the pipelines' aggregates
+are decomposable (count, sum, avg), so the fact is first aggregated by the
+join keys, the much smaller partial result is joined to the dimensions, and
+the partials are merged per output group (sum of counts, sum of sums, sum /
+count). Results are identical to join-then-aggregate, fan-out from duplicate
+dimension keys included, because the merge runs over the joined rows. At
+scale this replaces a shuffle of every fact row per non-broadcast join with a
+shuffle of one row per (key, key) pair.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass, replace
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..operators.aggregate import SharedAggregates, aggregate, aggregate_many
+from ..operators.aggregate import SharedAggregates, _resolves_on, aggregate, aggregate_many
+from ..operators.filter import filter_optional, to_column
 from ..operators.joins import Table, join_program, join_using
 from ..operators.shape import drop_duplicate_facts, require_unique_key, star_split
 from ..spec import AggSpec, JoinStep
@@ -36,13 +50,16 @@ class Roles:
     product_filter: str = "discount_rate > 10"
     category_filter: str = "category_id NOT IN (2, 28856)"
     rating_filter: str = "rating_average > 0"
-    count_having: str = "count(id) > 5"
-    sum_having: str = "sum(reviews_count) <> 0"
+    # HAVING over the output columns; same meaning as count(id) > 5 and
+    # sum(reviews_count) <> 0 (aggregate-expression forms are accepted too).
+    count_having: str = "number_of_products > 5"
+    sum_having: str = "number_of_reviews <> 0"
     average_filter: str = "average_rating > 4.5"
     count_alias: str = "number_of_products"
     sum_alias: str = "number_of_reviews"
     average_alias: str = "average_rating"
     broadcast_dims: bool = True
+    eager: bool = True
 
     def with_(self, **changes) -> "Roles":
         return replace(self, **changes)
@@ -50,6 +67,59 @@ class Roles:
 
 REFERENCE = Roles()
 
+
+class Outputs(Mapping):
+    """Named pipeline outputs; inside ``with`` their shared part is persisted.
+
+    ``shared`` is the small intermediate every output reads (merged partial
+    aggregates), so writing all outputs computes it once. Without ``with``
+    each output is an independent lazy plan.
+    """
+
+    def __init__(self, outputs: dict[str, DataFrame], shared: DataFrame | None = None):
+        self._outputs = outputs
+        self.shared = shared
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self._outputs[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._outputs)
+
+    def __len__(self) -> int:
+        return len(self._outputs)
+
+    def __enter__(self) -> "Outputs":
+        if self.shared is not None:
+            self.shared.persist(StorageLevel.MEMORY_AND_DISK)
+        return self
+
+    def __exit__(self, *exc) -> None:
+        if self.shared is not None:
+            self.shared.unpersist()
+
+
+def _numeric(df: DataFrame, column: str) -> bool:
+    """Eager merging reproduces avg/sum exactly for integral and floating types."""
+    dtype = df.schema[column].dataType
+    return isinstance(dtype, (T.IntegralType, T.FloatType, T.DoubleType))
+
+
+def _average_parts(roles: Roles) -> list:
+    """Partials of ``avg(rating)`` over rows passing ``rating_filter``."""
+    passed = to_column(roles.rating_filter) if roles.rating_filter else F.lit(True)
+    rating = F.when(passed, F.col(roles.rating))
+    return [
+        F.sum(rating).alias("__sum_rating"),
+        F.count(rating).alias("__cnt_rating"),
+        F.max(F.when(passed, F.lit(1))).alias("__any_rated"),  # group has a passing row
+    ]
+
+
+def _merged_average(roles: Roles):
+    return F.round(F.try_divide(F.sum("__sum_rating"), F.sum("__cnt_rating")), 2).alias(
+        roles.average_alias)
+
 FLAT_FACT_DROP = ("brand_name", "category_name")
 
 
@@ -97,16 +167,29 @@ def _category_count_spec(roles: Roles) -> AggSpec:
     )
 
 
-def pipeline_v1(product: DataFrame, brand: DataFrame, roles: Roles = REFERENCE) -> SharedAggregates:
+def pipeline_v1(product: DataFrame, brand: DataFrame, roles: Roles = REFERENCE) -> Mapping:
     """brand ⨝ filtered product → count per brand and review sum per brand.
 
     Both outputs group by the same keys, so they come from one aggregate over
     one join (the original cached the join and aggregated it twice).
     Outputs: ``product_count_brand``, ``product_sum_brand``.
     """
+    keys = [roles.brand_key, roles.brand_name]
+    if roles.eager and _numeric(product, roles.reviews):
+        fact = filter_optional(product, roles.product_filter)
+        partial = fact.groupBy(roles.brand_key).agg(
+            F.count(F.col(roles.id)).alias("__cnt_id"), F.sum(roles.reviews).alias("__sum_reviews"))
+        joined = join_using(brand, partial, roles.brand_key, "inner", broadcast=_dim(roles, "left"))
+        merged = joined.groupBy(*keys).agg(F.sum("__cnt_id").alias(roles.count_alias),
+                                           F.sum("__sum_reviews").alias(roles.sum_alias))
+        counts = merged.select(*keys, roles.count_alias)
+        sums = merged.select(*keys, roles.sum_alias)
+        if _resolves_on(counts, roles.count_having) and _resolves_on(sums, roles.sum_having):
+            return Outputs({"product_count_brand": filter_optional(counts, roles.count_having),
+                            "product_sum_brand": filter_optional(sums, roles.sum_having)},
+                           shared=merged)
     joined = join_using(brand, product, roles.brand_key, "inner",
                         right_filter=roles.product_filter, broadcast=_dim(roles, "left"))
-    keys = [roles.brand_key, roles.brand_name]
     return aggregate_many(joined, [
         AggSpec.of(keys, [f"count({roles.id}) AS {roles.count_alias}"],
                    having=roles.count_having, name="product_count_brand"),
@@ -128,10 +211,23 @@ def pipeline_v2(product: DataFrame, brand: DataFrame, category: DataFrame,
                                left_filter=roles.product_filter, broadcast=_dim(roles, "right"))
     product_category = join_using(product, category, roles.category_key, "inner",
                                   left_filter=roles.product_filter, broadcast=_dim(roles, "right"))
-    avg_spec = _average_spec(roles)
-    cnt_spec = _category_count_spec(roles)
-    average = aggregate(product_brand, avg_spec.keys, avg_spec.aggs, where=avg_spec.where)
-    counts = aggregate(product_category, cnt_spec.keys, cnt_spec.aggs)
+    if roles.eager and _numeric(product, roles.rating):
+        fact = filter_optional(product, roles.product_filter)
+        by_brand = fact.groupBy(roles.brand_key, roles.category_key).agg(*_average_parts(roles))
+        rated = join_using(by_brand, brand, roles.brand_key, "inner", broadcast=_dim(roles, "right"))
+        average = (rated.filter(F.col("__any_rated").isNotNull())
+                   .groupBy(roles.brand_key, roles.category_key, roles.brand_name)
+                   .agg(_merged_average(roles)))
+        by_category = fact.groupBy(roles.category_key).agg(F.count(F.col(roles.id)).alias("__cnt_id"))
+        counted = join_using(by_category, category, roles.category_key, "inner",
+                             broadcast=_dim(roles, "right"))
+        counts = counted.groupBy(roles.category_key, roles.category_name).agg(
+            F.sum("__cnt_id").alias(roles.count_alias))
+    else:
+        avg_spec = _average_spec(roles)
+        cnt_spec = _category_count_spec(roles)
+        average = aggregate(product_brand, avg_spec.keys, avg_spec.aggs, where=avg_spec.where)
+        counts = aggregate(product_category, cnt_spec.keys, cnt_spec.aggs)
     high = join_using(average, category, roles.category_key, "inner",
                       left_filter=roles.average_filter, broadcast=_dim(roles, "right"))
     return {
@@ -155,11 +251,31 @@ def v3_join(product: DataFrame, brand: DataFrame, category: DataFrame,
 
 
 def pipeline_v3(product: DataFrame, brand: DataFrame, category: DataFrame,
-                roles: Roles = REFERENCE) -> SharedAggregates:
-    """3-way join, then an average per brand/category and a count per category
-    from a single grouped pass over the join.
+                roles: Roles = REFERENCE) -> Mapping:
+    """3-way join, then an average per brand/category and a count per category.
 
+    Eager (default): one partial aggregate of the filtered fact per
+    (brand, category) carries both outputs' partials through the same two
+    joins; each output merges them. Otherwise both outputs come from one
+    grouped pass over the full join (``SharedAggregates``).
     Outputs: ``agg_brand_average_rate``, ``agg_products_each_category``.
     """
+    if roles.eager and _numeric(product, roles.rating):
+        fact = filter_optional(product, roles.product_filter)
+        partial = fact.groupBy(roles.brand_key, roles.category_key).agg(
+            *_average_parts(roles), F.count(F.col(roles.id)).alias("__cnt_id"))
+        hint = _dim(roles, "right")
+        joined = join_program(
+            [Table(partial), Table(brand), Table(category, roles.category_filter)],
+            [JoinStep(0, 1, roles.brand_key, "inner"), JoinStep(3, 2, roles.category_key, "inner")],
+            broadcast=[hint, hint],
+        )
+        average = (joined.filter(F.col("__any_rated").isNotNull())
+                   .groupBy(roles.brand_key, roles.category_key, roles.brand_name)
+                   .agg(_merged_average(roles)))
+        counts = joined.groupBy(roles.category_key, roles.category_name).agg(
+            F.sum("__cnt_id").alias(roles.count_alias))
+        return Outputs({"agg_brand_average_rate": average, "agg_products_each_category": counts},
+                       shared=joined)
     joined = v3_join(product, brand, category, roles)
     return aggregate_many(joined, [_average_spec(roles), _category_count_spec(roles)])

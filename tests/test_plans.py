@@ -20,10 +20,18 @@ def test_filter_and_projection_reach_the_scan(spark):
 def test_flagship_reads_only_needed_columns_and_broadcasts_dims(spark):
     plan = plan_text(QUERIES["pipeline_v3_avg"](spark, SF_SMALL))
     assert "ReadSchema: struct<l_partkey:bigint,l_suppkey:bigint,l_quantity:double,l_discount:double>" in plan
+    assert "Not(In(l_suppkey, [2,28]))" in plan  # dimension filter inferred onto the fact scan
     assert len(re.findall(r"^\(\d+\) BroadcastHashJoin", plan, re.M)) == 2
     assert "SortMergeJoin" not in plan
-    # partial aggregate before the shuffle, final after it
-    assert len(re.findall(r"^\(\d+\) HashAggregate", plan, re.M)) == 2
+    # eager aggregation: partial + final on the fact by the join keys, then the
+    # merge after the joins; a single shuffle in the whole plan
+    assert len(re.findall(r"^\(\d+\) HashAggregate", plan, re.M)) == 4
+    assert len(re.findall(r"^\(\d+\) Exchange", plan, re.M)) == 1
+
+
+def test_join_first_shape_has_one_shuffle_too(spark):
+    plan = plan_text(QUERIES["pipeline_v3_avg_onepass"](spark, SF_SMALL))
+    assert len(re.findall(r"^\(\d+\) Exchange", plan, re.M)) == 1
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
