@@ -4,7 +4,8 @@
 
 Jobs: ``join`` (2-way), ``multi-join`` (join program), ``agg`` (filter, group,
 aggregate, having), ``join-agg`` (join once, several aggregates), ``dwh``
-(flat → star), ``ingest`` (raw product responses → flat), ``wordcount``.
+(flat → star), ``ingest`` (raw product responses → flat), ``wordcount``, and
+``pipeline`` (a whole V1/V2/V3 run from the flat table in one application).
 
 Tables live in a *store*: ``--store parquet:/dir`` (table ``t`` is
 ``/dir/t`` or ``/dir/t.parquet``) or ``--store jdbc`` with ``--rdbms``,
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .functions.text import word_count
 from .operators.aggregate import aggregate, aggregate_many
 from .operators.joins import Table, join_program, join_using
-from .plans.pipelines import REFERENCE, warehouse
+from .plans.pipelines import REFERENCE, pipeline_v1, pipeline_v2, pipeline_v3, warehouse
 from .session import build_session
 from .sinks.console import preview, timed
 from .sinks.files import write_parquet
@@ -178,6 +179,13 @@ def build_parser() -> argparse.ArgumentParser:
     p.add_argument("--output", default="product_data")
     p.add_argument("--rejected", default="product_data_rejected")
 
+    p = sub.add_parser("pipeline", help="flat table → star tables → every V1/V2/V3 output")
+    _add_store_args(p)
+    p.add_argument("--version", choices=["v1", "v2", "v3"], required=True)
+    p.add_argument("--input", default="product_data")
+    p.add_argument("--join-first", action="store_true",
+                   help="aggregate after the joins instead of pre-aggregating the fact")
+
     p = sub.add_parser("wordcount", help="count space-separated tokens of a text column")
     _add_store_args(p)
     p.add_argument("--input", required=True)
@@ -231,6 +239,28 @@ def run(argv: list[str] | None = None) -> dict:
         flat = flatten_products(read(args.input))
         write(flat.rows, args.output, [args.input])
         write(flat.rejected, args.rejected, [args.input])
+    elif args.job == "pipeline":
+        roles = REFERENCE.with_(eager=not args.join_first)
+        star = warehouse(read(args.input), roles)
+        for name, df in star.items():
+            write(df, name, [args.input])
+        # Later steps read the star tables just written, as the original does
+        # between its jobs; each output is one plan over them.
+        product, brand, category = read("product"), read("brand"), read("category")
+        tables = ["product", "brand", "category"]
+        if args.version == "v1":
+            outs = pipeline_v1(product, brand, roles)
+        elif args.version == "v2":
+            outs = pipeline_v2(product, brand, category, roles)
+        else:
+            outs = pipeline_v3(product, brand, category, roles)
+        if hasattr(outs, "__enter__"):
+            with outs:
+                for name in outs:
+                    write(outs[name], name, tables)
+        else:
+            for name in outs:
+                write(outs[name], name, tables)
     elif args.job == "wordcount":
         df = word_count(read(args.input), args.column, drop_trailing_empty=args.drop_trailing_empty)
         write(df, args.output, [args.input])
