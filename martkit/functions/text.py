@@ -8,8 +8,17 @@ from pyspark.sql import functions as F
 from ..operators.partitioning import spread
 
 
+_REGEX_META = ".$|()[{^?*+\\"
+
+
 def _quote(sep: str) -> str:
-    """Regex-quote a literal separator (Spark's ``split`` takes a Java regex)."""
+    """Regex-quote a literal separator (Spark's ``split`` takes a Java regex).
+
+    A single non-metacharacter is passed as is: Java's ``String.split`` then
+    takes its fast path instead of running the regex engine.
+    """
+    if len(sep) == 1 and sep not in _REGEX_META:
+        return sep
     return "\\Q" + sep.replace("\\E", "\\E\\\\E\\Q") + "\\E"
 
 

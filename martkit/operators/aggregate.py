@@ -36,7 +36,7 @@ def _output_names(df: DataFrame, keys: Sequence[Expr], aggs: Sequence[Expr]) ->
     return cols[: len(keys)], cols[len(keys):]
 
 
-def _resolves_on(df: DataFrame, predicate: Expr) -> bool:
+def resolves_on(df: DataFrame, predicate: Expr) -> bool:
     """Whether ``predicate`` analyses against ``df``'s columns (no job runs)."""
     quiet = logging.getLogger("SQLQueryContextLogger")
     level = quiet.level
@@ -193,7 +193,7 @@ def _combine(df: DataFrame, specs: Sequence[AggSpec]) -> tuple[DataFrame, dict[s
             probe = filter_optional(df, s.where).groupBy(*_cols(s.keys)).agg(*_cols(s.aggs))
             # A projection on top stops Spark from reading the filter as HAVING,
             # so this succeeds only for predicates over the output columns.
-            if _resolves_on(probe.select(*[F.col(f"`{c}`") for c in probe.columns]), s.having):
+            if resolves_on(probe.select(*[F.col(f"`{c}`") for c in probe.columns]), s.having):
                 post = s.having
             else:
                 flag = f"__martkit_h{i}"

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.aggregate import SharedAggregates, _resolves_on, aggregate, aggregate_many
+from ..operators.aggregate import resolves_on, aggregate, aggregate_many
 from ..operators.filter import filter_optional, to_column
 from ..operators.joins import Table, join_program, join_using
 from ..operators.shape import drop_duplicate_facts, require_unique_key, star_split
@@ -184,7 +184,7 @@ def pipeline_v1(product: DataFrame, brand: DataFrame, roles: Roles = REFERENCE)
                                            F.sum("__sum_reviews").alias(roles.sum_alias))
         counts = merged.select(*keys, roles.count_alias)
         sums = merged.select(*keys, roles.sum_alias)
-        if _resolves_on(counts, roles.count_having) and _resolves_on(sums, roles.sum_having):
+        if resolves_on(counts, roles.count_having) and resolves_on(sums, roles.sum_having):
             return Outputs({"product_count_brand": filter_optional(counts, roles.count_having),
                             "product_sum_brand": filter_optional(sums, roles.sum_having)},
                            shared=merged)
@@ -257,7 +257,7 @@ def pipeline_v3(product: DataFrame, brand: DataFrame, category: DataFrame,
     Eager (default): one partial aggregate of the filtered fact per
     (brand, category) carries both outputs' partials through the same two
     joins; each output merges them. Otherwise both outputs come from one
-    grouped pass over the full join (``SharedAggregates``).
+    grouped pass over the full join (``operators.aggregate.SharedAggregates``).
     Outputs: ``agg_brand_average_rate``, ``agg_products_each_category``.
     """
     if roles.eager and _numeric(product, roles.rating):
