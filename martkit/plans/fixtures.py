@@ -83,9 +83,14 @@ def _supplier_by_nation(spark, sf_dir) -> DataFrame:
 
 
 def _side_join(how: str) -> Query:
+    # The side that may be broadcast (after the size probe) depends on the join
+    # type: the build side must be the one whose unmatched rows are not kept.
+    side = {"right": "left", "full": None}.get(how, "right")
+
     def q(spark, sf_dir):
         return join_using(_nation(spark, sf_dir), _supplier_by_nation(spark, sf_dir), "nationkey",
-                          how, left_filter="nationkey <> 3", right_filter="s_acctbal > 5000")
+                          how, left_filter="nationkey <> 3", right_filter="s_acctbal > 5000",
+                          broadcast=side)
     return q
 
 
