@@ -118,3 +118,21 @@ def test_unknown_join_type_at_runtime_is_error_free(sides):
     left, right = sides
     with pytest.raises((ValueError, PySparkException)):
         join_using(left, right, "k", "natural")
+
+
+def test_huge_side_is_declined_without_a_probe(spark, monkeypatch):
+    import martkit.operators.joins as j
+    big = spark.range(10)
+    monkeypatch.setattr(j, "estimated_bytes", lambda df: 10 * 2**40)  # pretend 10 TiB
+
+    def no_probe(*a, **k):
+        raise AssertionError("probe must not run")
+    monkeypatch.setattr(j, "_probe", no_probe)
+    _, ok = j.broadcast_if_bounded(big)
+    assert not ok
+
+
+def test_estimate_is_read_from_the_plan(spark):
+    from martkit.operators.joins import estimated_bytes
+    est = estimated_bytes(spark.read.parquet("/root/testdata/sf0.01/part.parquet"))
+    assert est is not None and est > 1000
