@@ -30,11 +30,11 @@ from .operators.aggregate import aggregate, aggregate_many
 from .operators.joins import Table, join_program, join_using
 from .plans.pipelines import REFERENCE, pipeline_v1, pipeline_v2, pipeline_v3, warehouse
 from .session import build_session
-from .sinks.console import preview, timed
+from .sinks.console import head_rows, preview, timed
 from .sinks.files import write_parquet
 from .sinks.jdbc import write_jdbc, write_sqlite
 from .sources.documents import flatten_products
-from .sources.files import read_parquet
+from .sources.files import read_parquet, text_frame
 from .sources.jdbc import read_jdbc
 from .spec import AggSpec, JdbcConf, JoinStep
 
@@ -188,10 +188,12 @@ def build_parser() -> argparse.ArgumentParser:
 
     p = sub.add_parser("wordcount", help="count space-separated tokens of a text column")
     _add_store_args(p)
-    p.add_argument("--input", required=True)
+    p.add_argument("--input", help="table with a text column")
+    p.add_argument("--text", action="append", help="literal line(s) instead of --input")
+    p.add_argument("--limit", type=int, default=1000, help="pairs printed without --output")
     p.add_argument("--column", default="text")
     p.add_argument("--drop-trailing-empty", action="store_true")
-    p.add_argument("--output", required=True)
+    p.add_argument("--output", help="table to write; printed when omitted")
     return ap
 
 
@@ -262,8 +264,18 @@ def run(argv: list[str] | None = None) -> dict:
             for name in outs:
                 write(outs[name], name, tables)
     elif args.job == "wordcount":
-        df = word_count(read(args.input), args.column, drop_trailing_empty=args.drop_trailing_empty)
-        write(df, args.output, [args.input])
+        if args.text:
+            source, inputs = text_frame(spark, args.text, args.column), []
+        elif args.input:
+            source, inputs = read(args.input), [args.input]
+        else:
+            raise SystemExit("wordcount needs --input TABLE or --text LINE")
+        df = word_count(source, args.column, drop_trailing_empty=args.drop_trailing_empty)
+        if args.output:
+            write(df, args.output, inputs)
+        else:  # print (word, count) pairs, bounded, as the original job does
+            for row in head_rows(df.orderBy("word"), args.limit):
+                print(row["word"], row["n"])
     report = {"job": args.job, "written_sec": written}
     print(json.dumps(report))
     return report

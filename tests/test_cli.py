@@ -70,3 +70,11 @@ def test_whole_v1_pipeline(spark, store, tmp_path):
     run(["pipeline", "--store", store, "--version", "v1"])
     assert spark.read.parquet(str(tmp_path / "product_count_brand")).count() == 0  # "> 5"
     assert spark.read.parquet(str(tmp_path / "product_sum_brand")).count() == 4
+
+
+def test_wordcount_literal_text(capsys, tmp_path):
+    run(["wordcount", "--store", f"parquet:{tmp_path}",
+         "--text", "Hello World", "--text", "Hello Spark", "--text", "Hello Airflow",
+         "--drop-trailing-empty"])
+    lines = [line for line in capsys.readouterr().out.splitlines() if not line.startswith("{")]
+    assert sorted(lines) == ["Airflow 1", "Hello 3", "Spark 1", "World 1"]
