@@ -17,7 +17,7 @@ shuffle of one row per (key, key) pair.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass, replace
 
 from pyspark import StorageLevel
@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.aggregate import resolves_on, aggregate, aggregate_many
+from ..operators.cache import reliable_checkpoint
 from ..operators.filter import filter_optional, to_column
 from ..operators.joins import Table, join_program, join_using
 from ..operators.shape import drop_duplicate_facts, require_unique_key, star_split
@@ -69,34 +70,51 @@ REFERENCE = Roles()
 
 
 class Outputs(Mapping):
-    """Named pipeline outputs; inside ``with`` their shared part is persisted.
-
-    ``shared`` is the small intermediate every output reads (merged partial
-    aggregates), so writing all outputs computes it once. Without ``with``
-    each output is an independent lazy plan.
+    """Named pipeline outputs derived from one small shared intermediate.
+
+    ``shared`` is what every output reads (the merged partial aggregates), and
+    ``derive`` builds the outputs from it. Without ``with`` each output is an
+    independent lazy plan. Inside ``with`` the shared part is persisted once
+    (default), or, after ``checkpointed()``, written to the reliable
+    ``spark.checkpoint.dir`` with its lineage cut, so losing an executor
+    while the outputs are written never re-runs the fact scan.
     """
 
-    def __init__(self, outputs: dict[str, DataFrame], shared: DataFrame | None = None):
-        self._outputs = outputs
+    def __init__(self, shared: DataFrame, derive: Callable[[DataFrame], dict[str, DataFrame]]):
         self.shared = shared
+        self._derive = derive
+        self._lazy = derive(shared)
+        self._active: dict[str, DataFrame] | None = None
+        self._reliable = False
+        self._held: DataFrame | None = None
+
+    def checkpointed(self) -> "Outputs":
+        """Use a reliable checkpoint instead of ``persist`` inside ``with``."""
+        self._reliable = True
+        return self
 
     def __getitem__(self, name: str) -> DataFrame:
-        return self._outputs[name]
+        return (self._active if self._active is not None else self._lazy)[name]
 
     def __iter__(self) -> Iterator[str]:
-        return iter(self._outputs)
+        return iter(self._lazy)
 
     def __len__(self) -> int:
-        return len(self._outputs)
+        return len(self._lazy)
 
     def __enter__(self) -> "Outputs":
-        if self.shared is not None:
-            self.shared.persist(StorageLevel.MEMORY_AND_DISK)
+        if self._reliable:
+            self._held = reliable_checkpoint(self.shared)
+        else:
+            self._held = self.shared.persist(StorageLevel.MEMORY_AND_DISK)
+        self._active = self._derive(self._held)
         return self
 
     def __exit__(self, *exc) -> None:
-        if self.shared is not None:
-            self.shared.unpersist()
+        self._active = None
+        if not self._reliable and self._held is not None:
+            self._held.unpersist()
+        self._held = None
 
 
 def _numeric(df: DataFrame, column: str) -> bool:
@@ -185,9 +203,12 @@ def pipeline_v1(product: DataFrame, brand: DataFrame, roles: Roles = REFERENCE)
         counts = merged.select(*keys, roles.count_alias)
         sums = merged.select(*keys, roles.sum_alias)
         if resolves_on(counts, roles.count_having) and resolves_on(sums, roles.sum_having):
-            return Outputs({"product_count_brand": filter_optional(counts, roles.count_having),
-                            "product_sum_brand": filter_optional(sums, roles.sum_having)},
-                           shared=merged)
+            return Outputs(merged, lambda m: {
+                "product_count_brand": filter_optional(m.select(*keys, roles.count_alias),
+                                                       roles.count_having),
+                "product_sum_brand": filter_optional(m.select(*keys, roles.sum_alias),
+                                                     roles.sum_having),
+            })
     joined = join_using(brand, product, roles.brand_key, "inner",
                         right_filter=roles.product_filter, broadcast=_dim(roles, "left"))
     return aggregate_many(joined, [
@@ -270,12 +291,13 @@ def pipeline_v3(product: DataFrame, brand: DataFrame, category: DataFrame,
             [JoinStep(0, 1, roles.brand_key, "inner"), JoinStep(3, 2, roles.category_key, "inner")],
             broadcast=[hint, hint],
         )
-        average = (joined.filter(F.col("__any_rated").isNotNull())
-                   .groupBy(roles.brand_key, roles.category_key, roles.brand_name)
-                   .agg(_merged_average(roles)))
-        counts = joined.groupBy(roles.category_key, roles.category_name).agg(
-            F.sum("__cnt_id").alias(roles.count_alias))
-        return Outputs({"agg_brand_average_rate": average, "agg_products_each_category": counts},
-                       shared=joined)
+        return Outputs(joined, lambda j: {
+            "agg_brand_average_rate": (
+                j.filter(F.col("__any_rated").isNotNull())
+                .groupBy(roles.brand_key, roles.category_key, roles.brand_name)
+                .agg(_merged_average(roles))),
+            "agg_products_each_category": j.groupBy(roles.category_key, roles.category_name).agg(
+                F.sum("__cnt_id").alias(roles.count_alias)),
+        })
     joined = v3_join(product, brand, category, roles)
     return aggregate_many(joined, [_average_spec(roles), _category_count_spec(roles)])

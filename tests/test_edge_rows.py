@@ -128,3 +128,16 @@ def test_eager_plan_aggregates_before_joining(flat):
     # the formatted tree lists the root first, so the partial aggregate of the
     # fact appears below (after) the joins in the text
     assert plan.count("HashAggregate") >= 4 and last_join > first_agg
+
+
+def test_checkpointed_outputs(flat):
+    from conftest import plan_text
+    star = warehouse(flat)
+    out = pipeline_v3(star["product"], star["brand"], star["category"]).checkpointed()
+    with out:
+        got = rows(out["agg_products_each_category"], "category_id", "category_name",
+                   "number_of_products")
+        # the outputs read the checkpointed partials, not the fact
+        plan = plan_text(out["agg_products_each_category"])
+        assert "Scan ExistingRDD" in plan and "checkpoint" in plan
+    assert got == [(1, "Phones", 2), (3, "Tablets", 6)]
