@@ -23,6 +23,7 @@ import os
 import sys
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from .functions.text import word_count
@@ -185,6 +186,8 @@ def build_parser() -> argparse.ArgumentParser:
     p.add_argument("--input", default="product_data")
     p.add_argument("--join-first", action="store_true",
                    help="aggregate after the joins instead of pre-aggregating the fact")
+    p.add_argument("--checkpoint", action="store_true",
+                   help="checkpoint the shared partial to spark.checkpoint.dir instead of persisting")
 
     p = sub.add_parser("wordcount", help="count space-separated tokens of a text column")
     _add_store_args(p)
@@ -213,6 +216,20 @@ def run(argv: list[str] | None = None) -> dict:
             preview(spark.read.parquet(os.path.join(dst.root, table)) if dst.kind == "parquet"
                     else df)
 
+    def write_star(flat: DataFrame, roles) -> None:
+        # A row-oriented source (JDBC) would be re-read in full by each of the
+        # three outputs: persist it once. Parquet outputs read only their own
+        # columns, so nothing is cached there.
+        cache_flat = src.kind == "jdbc"
+        if cache_flat:
+            flat = flat.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            for name, df in warehouse(flat, roles).items():
+                write(df, name, [args.input])
+        finally:
+            if cache_flat:
+                flat.unpersist()
+
     if args.job == "join":
         df = join_using(read(args.left), read(args.right), args.on, args.how,
                         left_filter=args.left_filter, right_filter=args.right_filter)
@@ -234,18 +251,14 @@ def run(argv: list[str] | None = None) -> dict:
             for t in outs:
                 write(outs[t], t, [args.left, args.right])
     elif args.job == "dwh":
-        star = warehouse(read(args.input), REFERENCE)
-        for name, df in star.items():
-            write(df, name, [args.input])
+        write_star(read(args.input), REFERENCE)
     elif args.job == "ingest":
         flat = flatten_products(read(args.input))
         write(flat.rows, args.output, [args.input])
         write(flat.rejected, args.rejected, [args.input])
     elif args.job == "pipeline":
         roles = REFERENCE.with_(eager=not args.join_first)
-        star = warehouse(read(args.input), roles)
-        for name, df in star.items():
-            write(df, name, [args.input])
+        write_star(read(args.input), roles)
         # Later steps read the star tables just written, as the original does
         # between its jobs; each output is one plan over them.
         product, brand, category = read("product"), read("brand"), read("category")
@@ -256,6 +269,8 @@ def run(argv: list[str] | None = None) -> dict:
             outs = pipeline_v2(product, brand, category, roles)
         else:
             outs = pipeline_v3(product, brand, category, roles)
+        if args.checkpoint and hasattr(outs, "checkpointed"):
+            outs = outs.checkpointed()
         if hasattr(outs, "__enter__"):
             with outs:
                 for name in outs:

@@ -67,7 +67,7 @@ def test_whole_pipeline(spark, store, tmp_path, version, table, expected):
 
 
 def test_whole_v1_pipeline(spark, store, tmp_path):
-    run(["pipeline", "--store", store, "--version", "v1"])
+    run(["pipeline", "--store", store, "--version", "v1", "--checkpoint"])
     assert spark.read.parquet(str(tmp_path / "product_count_brand")).count() == 0  # "> 5"
     assert spark.read.parquet(str(tmp_path / "product_sum_brand")).count() == 4
 
