@@ -271,11 +271,7 @@ def run(argv: list[str] | None = None) -> dict:
             outs = pipeline_v3(product, brand, category, roles)
         if args.checkpoint and hasattr(outs, "checkpointed"):
             outs = outs.checkpointed()
-        if hasattr(outs, "__enter__"):
-            with outs:
-                for name in outs:
-                    write(outs[name], name, tables)
-        else:
+        with outs:
             for name in outs:
                 write(outs[name], name, tables)
     elif args.job == "wordcount":

@@ -438,9 +438,10 @@ def run_v1(spark, sf_dir, sink) -> None:
 
 
 def run_v2(spark, sf_dir, sink) -> None:
-    out = pipeline_v2(product(spark, sf_dir), brand(spark, sf_dir), category(spark, sf_dir), ROLES)
-    for name, df in out.items():
-        sink(df, name)
+    with pipeline_v2(product(spark, sf_dir), brand(spark, sf_dir), category(spark, sf_dir),
+                     ROLES) as out:
+        for name in out:
+            sink(out[name], name)
 
 
 def run_v3(spark, sf_dir, sink) -> None:

@@ -80,7 +80,8 @@ class Outputs(Mapping):
     while the outputs are written never re-runs the fact scan.
     """
 
-    def __init__(self, shared: DataFrame, derive: Callable[[DataFrame], dict[str, DataFrame]]):
+    def __init__(self, shared: DataFrame | None,
+                 derive: Callable[[DataFrame | None], dict[str, DataFrame]]):
         self.shared = shared
         self._derive = derive
         self._lazy = derive(shared)
@@ -103,6 +104,9 @@ class Outputs(Mapping):
         return len(self._lazy)
 
     def __enter__(self) -> "Outputs":
+        if self.shared is None:  # nothing shared: the outputs stay independent
+            self._active = self._lazy
+            return self
         if self._reliable:
             self._held = reliable_checkpoint(self.shared)
         else:
@@ -220,7 +224,7 @@ def pipeline_v1(product: DataFrame, brand: DataFrame, roles: Roles = REFERENCE)
 
 
 def pipeline_v2(product: DataFrame, brand: DataFrame, category: DataFrame,
-                roles: Roles = REFERENCE) -> dict[str, DataFrame]:
+                roles: Roles = REFERENCE) -> Outputs:
     """Two 2-way joins, an average per brand/category, a count per category,
     and the high averages joined back to the category dimension.
 
@@ -251,13 +255,13 @@ def pipeline_v2(product: DataFrame, brand: DataFrame, category: DataFrame,
         counts = aggregate(product_category, cnt_spec.keys, cnt_spec.aggs)
     high = join_using(average, category, roles.category_key, "inner",
                       left_filter=roles.average_filter, broadcast=_dim(roles, "right"))
-    return {
+    return Outputs(None, lambda _: {
         "product_brand_tmp": product_brand,
         "product_category_tmp": product_category,
         "agg_brand_average_rate": average,
         "agg_products_each_category": counts,
         "category_brand_average": high,
-    }
+    })
 
 
 def v3_join(product: DataFrame, brand: DataFrame, category: DataFrame,
