@@ -5,7 +5,7 @@
 Jobs: ``join`` (2-way), ``multi-join`` (join program), ``agg`` (filter, group,
 aggregate, having), ``join-agg`` (join once, several aggregates), ``dwh``
 (flat → star), ``ingest`` (raw product responses → flat), ``wordcount``, and
-``pipeline`` (a whole V1/V2/V3 run from the flat table in one application).
+``run`` (a whole V1/V2/V3 run from the flat table in one application).
 
 Tables live in a *store*: ``--store parquet:/dir`` (table ``t`` is
 ``/dir/t`` or ``/dir/t.parquet``) or ``--store jdbc`` with ``--rdbms``,
@@ -180,7 +180,7 @@ def build_parser() -> argparse.ArgumentParser:
     p.add_argument("--output", default="product_data")
     p.add_argument("--rejected", default="product_data_rejected")
 
-    p = sub.add_parser("pipeline", help="flat table → star tables → every V1/V2/V3 output")
+    p = sub.add_parser("run", help="flat table → star tables → every V1/V2/V3 output")
     _add_store_args(p)
     p.add_argument("--version", choices=["v1", "v2", "v3"], required=True)
     p.add_argument("--input", default="product_data")
@@ -256,7 +256,7 @@ def run(argv: list[str] | None = None) -> dict:
         flat = flatten_products(read(args.input))
         write(flat.rows, args.output, [args.input])
         write(flat.rejected, args.rejected, [args.input])
-    elif args.job == "pipeline":
+    elif args.job == "run":
         roles = REFERENCE.with_(eager=not args.join_first)
         write_star(read(args.input), roles)
         # Later steps read the star tables just written, as the original does

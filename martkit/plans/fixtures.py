@@ -243,19 +243,19 @@ QUERIES: dict[str, Query] = {
     "agg_shared_sum_onepass": lambda s, d: pipeline_v1(
         product(s, d), brand(s, d), JOIN_FIRST).shared["product_sum_brand"],
     # pipelines
-    "pipeline_v2_avg": lambda s, d: pipeline_v2(product(s, d), brand(s, d), category(s, d),
+    "v2_brand_average": lambda s, d: pipeline_v2(product(s, d), brand(s, d), category(s, d),
                                                 ROLES)["agg_brand_average_rate"],
-    "pipeline_v2_count": lambda s, d: pipeline_v2(product(s, d), brand(s, d), category(s, d),
+    "v2_category_count": lambda s, d: pipeline_v2(product(s, d), brand(s, d), category(s, d),
                                                   ROLES)["agg_products_each_category"],
-    "pipeline_v2_avg_dim": lambda s, d: pipeline_v2(product(s, d), brand(s, d), category(s, d),
+    "v2_high_average_by_category": lambda s, d: pipeline_v2(product(s, d), brand(s, d), category(s, d),
                                                     ROLES)["category_brand_average"],
-    "pipeline_v3_avg": lambda s, d: pipeline_v3(product(s, d), brand(s, d), category(s, d),
+    "v3_brand_average": lambda s, d: pipeline_v3(product(s, d), brand(s, d), category(s, d),
                                                 ROLES)["agg_brand_average_rate"],
-    "pipeline_v3_count": lambda s, d: pipeline_v3(product(s, d), brand(s, d), category(s, d),
+    "v3_category_count": lambda s, d: pipeline_v3(product(s, d), brand(s, d), category(s, d),
                                                   ROLES)["agg_products_each_category"],
-    "pipeline_v3_avg_onepass": lambda s, d: pipeline_v3(
+    "v3_brand_average_onepass": lambda s, d: pipeline_v3(
         product(s, d), brand(s, d), category(s, d), JOIN_FIRST).shared["agg_brand_average_rate"],
-    "pipeline_v3_count_onepass": lambda s, d: pipeline_v3(
+    "v3_category_count_onepass": lambda s, d: pipeline_v3(
         product(s, d), brand(s, d), category(s, d), JOIN_FIRST).shared["agg_products_each_category"],
     # text
     "word_count": lambda s, d: word_count(table(s, d, "documents"), "text"),
@@ -386,18 +386,18 @@ ORACLE_SQL: dict[str, str] = {
         SELECT p_partkey AS partkey, p_name, sum(l_quantity) AS number_of_reviews
         FROM part JOIN lineitem ON p_partkey = l_partkey WHERE l_discount > 0.05
         GROUP BY p_partkey, p_name HAVING sum(l_quantity) <> 0""",
-    "pipeline_v2_avg": _V2_AVG,
-    "pipeline_v2_count": """
+    "v2_brand_average": _V2_AVG,
+    "v2_category_count": """
         SELECT l_suppkey AS suppkey, s_name, count(l_orderkey) AS number_of_products
         FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE l_discount > 0.05
         GROUP BY l_suppkey, s_name""",
-    "pipeline_v2_avg_dim": f"""
+    "v2_high_average_by_category": f"""
         SELECT a.suppkey, a.partkey, a.p_name, a.average_rating, s_name, s_nationkey, s_acctbal
         FROM ({_V2_AVG}) a JOIN supplier ON a.suppkey = s_suppkey WHERE a.average_rating > 45""",
-    "pipeline_v3_avg": f"""
+    "v3_brand_average": f"""
         SELECT partkey, suppkey, p_name, round(avg(l_quantity), 2) AS average_rating
         FROM ({_THREE_WAY}) t WHERE l_quantity > 0 GROUP BY partkey, suppkey, p_name""",
-    "pipeline_v3_count": f"""
+    "v3_category_count": f"""
         SELECT suppkey, s_name, count(l_orderkey) AS number_of_products FROM ({_THREE_WAY}) t
         GROUP BY suppkey, s_name""",
     "word_count": """
@@ -424,7 +424,7 @@ ORACLE_SQL: dict[str, str] = {
     "src_csv_ids": "SELECT o_orderkey AS id FROM orders",
 }
 # The one-pass (shared) plans must give exactly what the per-output plans give.
-for _k in ("agg_shared_count", "agg_shared_sum", "pipeline_v3_avg", "pipeline_v3_count"):
+for _k in ("agg_shared_count", "agg_shared_sum", "v3_brand_average", "v3_category_count"):
     ORACLE_SQL[f"{_k}_onepass"] = ORACLE_SQL[_k]
 
 
@@ -456,5 +456,5 @@ def run_star(spark, sf_dir, sink) -> None:
         sink(df, name)
 
 
-WORKLOADS = {"pipeline_v1_all": run_v1, "pipeline_v2_all": run_v2,
-             "pipeline_v3_all": run_v3, "star_split_all": run_star}
+WORKLOADS = {"v1_all_outputs": run_v1, "v2_all_outputs": run_v2,
+             "v3_all_outputs": run_v3, "star_split_all_outputs": run_star}

@@ -61,13 +61,13 @@ def test_overwriting_an_input_is_refused(store):
     ("v2", "agg_products_each_category", [(1, "Phones", 2), (3, "Tablets", 4)]),
 ])
 def test_whole_pipeline(spark, store, tmp_path, version, table, expected):
-    run(["pipeline", "--store", store, "--version", version, "--input", "product_data"])
+    run(["run", "--store", store, "--version", version, "--input", "product_data"])
     out = spark.read.parquet(str(tmp_path / table))
     assert rows(out, "category_id", "category_name", "number_of_products") == expected
 
 
 def test_whole_v1_pipeline(spark, store, tmp_path):
-    run(["pipeline", "--store", store, "--version", "v1", "--checkpoint"])
+    run(["run", "--store", store, "--version", "v1", "--checkpoint"])
     assert spark.read.parquet(str(tmp_path / "product_count_brand")).count() == 0  # "> 5"
     assert spark.read.parquet(str(tmp_path / "product_sum_brand")).count() == 4
 

@@ -18,7 +18,7 @@ def test_filter_and_projection_reach_the_scan(spark):
 
 
 def test_flagship_reads_only_needed_columns_and_broadcasts_dims(spark):
-    plan = plan_text(QUERIES["pipeline_v3_avg"](spark, SF_SMALL))
+    plan = plan_text(QUERIES["v3_brand_average"](spark, SF_SMALL))
     assert "ReadSchema: struct<l_partkey:bigint,l_suppkey:bigint,l_quantity:double,l_discount:double>" in plan
     assert "Not(In(l_suppkey, [2,28]))" in plan  # dimension filter inferred onto the fact scan
     assert len(re.findall(r"^\(\d+\) BroadcastHashJoin", plan, re.M)) == 2
@@ -30,7 +30,7 @@ def test_flagship_reads_only_needed_columns_and_broadcasts_dims(spark):
 
 
 def test_join_first_shape_has_one_shuffle_too(spark):
-    plan = plan_text(QUERIES["pipeline_v3_avg_onepass"](spark, SF_SMALL))
+    plan = plan_text(QUERIES["v3_brand_average_onepass"](spark, SF_SMALL))
     assert len(re.findall(r"^\(\d+\) Exchange", plan, re.M)) == 1
 
 
