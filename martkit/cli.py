@@ -35,7 +35,7 @@ from .sinks.console import head_rows, preview, timed
 from .sinks.files import write_parquet
 from .sinks.jdbc import write_jdbc, write_sqlite
 from .sources.documents import flatten_products
-from .sources.files import read_parquet, text_frame
+from .sources.files import read_parquet, read_responses, text_frame
 from .sources.jdbc import read_jdbc
 from .spec import AggSpec, JdbcConf, JoinStep
 
@@ -179,6 +179,8 @@ def build_parser() -> argparse.ArgumentParser:
     p.add_argument("--input", required=True)
     p.add_argument("--output", default="product_data")
     p.add_argument("--rejected", default="product_data_rejected")
+    p.add_argument("--format", choices=["table", "parquet", "json", "text"], default="table",
+                   help="'table': a (status, body) table in the store; otherwise a file path")
 
     p = sub.add_parser("run", help="flat table → star tables → every V1/V2/V3 output")
     _add_store_args(p)
@@ -253,7 +255,9 @@ def run(argv: list[str] | None = None) -> dict:
     elif args.job == "dwh":
         write_star(read(args.input), REFERENCE)
     elif args.job == "ingest":
-        flat = flatten_products(read(args.input))
+        responses = (read(args.input) if args.format == "table"
+                     else read_responses(spark, args.input, args.format))
+        flat = flatten_products(responses)
         write(flat.rows, args.output, [args.input])
         write(flat.rejected, args.rejected, [args.input])
     elif args.job == "run":

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 ID_SCHEMA = T.StructType([T.StructField("id", T.LongType(), True)])
@@ -30,6 +31,32 @@ def read_ids(spark: SparkSession, path: str, schema: T.StructType = ID_SCHEMA) -
     return spark.read.schema(schema).option("header", "true").csv(path)
 
 
+RESPONSE_SCHEMA = T.StructType([
+    T.StructField("status", T.IntegerType(), True),
+    T.StructField("body", T.StringType(), True),
+])
+
+
+def read_responses(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """Landed HTTP responses as ``(status INT, body STRING)``.
+
+    ``parquet`` / ``json`` (JSON lines with ``status`` and ``body``) are read
+    with the fixed schema, no inference; ``text`` takes one body per line with
+    status 200 (a dump of successful responses). Files are split across tasks
+    by Spark as usual.
+    """
+    if fmt == "parquet":
+        df = spark.read.parquet(path)
+        return df.select(*[df[f.name].cast(f.dataType).alias(f.name)
+                           for f in RESPONSE_SCHEMA.fields])
+    if fmt == "json":
+        return spark.read.schema(RESPONSE_SCHEMA).json(path)
+    if fmt == "text":
+        return spark.read.text(path).select(F.lit(200).alias("status"),
+                                            F.col("value").alias("body"))
+    raise ValueError(f"unknown response format {fmt!r}; use parquet, json or text")
+
+
 def text_frame(spark: SparkSession, lines: Iterable[str], column: str = "text") -> DataFrame:
     """A small in-memory text dataset (one row per line), e.g. for smoke runs."""
     schema = T.StructType([T.StructField(column, T.StringType(), True)])

@@ -78,3 +78,17 @@ def test_wordcount_literal_text(capsys, tmp_path):
          "--drop-trailing-empty"])
     lines = [line for line in capsys.readouterr().out.splitlines() if not line.startswith("{")]
     assert sorted(lines) == ["Airflow 1", "Hello 3", "Spark 1", "World 1"]
+
+
+def test_ingest_text_dump(spark, tmp_path):
+    import json
+    good = {"id": 1, "sku": "s", "name": "n", "short_description": "d", "price": 1,
+            "original_price": 2, "discount": 1, "discount_rate": 50, "rating_average": 4.0,
+            "review_count": 3, "inventory_status": "ok", "brand": {"id": 1, "name": "X"},
+            "categories": {"id": 2, "name": "C"}}
+    dump = tmp_path / "responses.txt"
+    dump.write_text(json.dumps(good) + "\n" + "{broken\n")
+    run(["ingest", "--store", f"parquet:{tmp_path}", "--input", str(dump), "--format", "text"])
+    assert spark.read.parquet(str(tmp_path / "product_data")).count() == 1
+    rejected = spark.read.parquet(str(tmp_path / "product_data_rejected")).collect()
+    assert [r.reason for r in rejected] == ["unparseable or duplicate keys"]

@@ -75,3 +75,16 @@ def test_spread_is_metadata_only(spark):
 def _plan(df):
     from conftest import plan_text
     return plan_text(df)
+
+
+def test_read_responses_formats(spark, tmp_path):
+    import json
+    from martkit.sources import read_responses
+    rows = [(200, '{"a": 1}'), (404, "x")]
+    spark.createDataFrame(rows, "status INT, body STRING").write.parquet(str(tmp_path / "p"))
+    (tmp_path / "j.json").write_text("\n".join(json.dumps({"status": s, "body": b}) for s, b in rows))
+    (tmp_path / "t.txt").write_text('{"a": 1}\n{"b": 2}\n')
+    for fmt, path, n in [("parquet", "p", 2), ("json", "j.json", 2), ("text", "t.txt", 2)]:
+        df = read_responses(spark, str(tmp_path / path), fmt)
+        assert df.dtypes == [("status", "int"), ("body", "string")]
+        assert df.count() == n
