@@ -140,26 +140,60 @@ def broadcast_if_bounded(
     return df, False
 
 
+def salt_column(df: DataFrame, buckets: int):
+    """A deterministic bucket in ``[0, buckets)`` for every row of ``df``.
+
+    The hash covers the whole row and the input partition the row is read in.
+    Distinct rows of a hot key spread by content; identical copies of one row
+    (a group of copies can hold a third of all rows) spread by the partition
+    they come from, and at scale such a group spans many input splits. Both
+    inputs are fixed for a given task, so a task recomputed after an executor
+    loss assigns every row the same bucket again; a row position or ``rand``
+    would not be, because row order after a shuffle is not.
+    """
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    return F.pmod(F.xxhash64(F.spark_partition_id(), *cols), F.lit(buckets))
+
+
+def _padded(df: DataFrame, schema: T.StructType, order: Sequence[str]) -> DataFrame:
+    """``df`` with the missing ``order`` columns as typed nulls, in that order."""
+    present = set(df.columns)
+    return df.select(*[
+        F.col(f"`{c}`") if c in present else F.lit(None).cast(schema[c].dataType).alias(c)
+        for c in order
+    ])
+
+
 def _salted(left: DataFrame, right: DataFrame, on: str, how: str, buckets: int) -> DataFrame:
     """Spread every left key over ``buckets`` tasks; replicate the right side.
 
-    For a hot key holding a large share of the left rows. The salt is a hash
-    of the whole left row, so it is deterministic: a task recomputed after an
-    executor loss sends every row to the same place again. (Identical copies
-    of one row share a bucket; AQE's skew-join split, on in our sessions, cuts
-    any partition that is still too large.) Only valid where unmatched right
-    rows are not emitted (inner, left, semi, anti).
+    For a hot key holding a large share of the left rows (see ``salt_column``).
+    Inner, left, semi and anti joins emit no unmatched right row, so a right
+    row replicated into every bucket still matches each left row once. A
+    right join is the salted inner join, a full join the salted left join,
+    each plus the right rows whose key has no left row: an anti join against
+    the left side's distinct keys, a partial aggregate, so a hot key collapses
+    before it moves and the left rows are shuffled only once. Null keys never
+    match, so their rows come out unmatched, as in a plain join.
     """
-    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns])
-    salted_left = left.withColumn(_SALT, F.pmod(row_hash, F.lit(buckets)))
+    key = [on]
+    rest_left = [c for c in left.columns if c != on]
+    rest_right = [c for c in right.columns if c != on]
+    order = key + rest_left + rest_right
+    if how in ("right", "full"):
+        schema = T.StructType(
+            [right.schema[on]]
+            + [left.schema[c] for c in rest_left]
+            + [right.schema[c] for c in rest_right])
+        preserved = _salted(left, right, on, "left" if how == "full" else "inner", buckets)
+        lonely_right = right.join(left.select(on).distinct(), on=on, how="left_anti")
+        return preserved.union(_padded(lonely_right, schema, order))
+    salted_left = left.withColumn(_SALT, salt_column(left, buckets))
     salted_right = right.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
     joined = salted_left.join(salted_right, on=[on, _SALT], how=how)
     if how in ("left_semi", "left_anti"):
         return joined.drop(_SALT)
-    key = [on]
-    rest_left = [c for c in left.columns if c != on]
-    rest_right = [c for c in right.columns if c != on]
-    return joined.select(*key, *rest_left, *rest_right)
+    return joined.select(*order)
 
 
 def join_using(
@@ -181,7 +215,7 @@ def join_using(
     result); a keyless Cartesian product is not offered.
     ``broadcast`` names the side ("left"/"right") that may be broadcast after
     the size probe; ``salt_buckets`` > 1 spreads hot left keys over that many
-    tasks when the right side cannot be broadcast.
+    tasks when no side was broadcast (every join type; see ``_salted``).
     """
     if not on:
         raise ValueError("a join column is required; keyless Cartesian products are refused")
@@ -200,7 +234,7 @@ def join_using(
     elif broadcast not in (None, "left", "right"):
         raise ValueError(f"broadcast must be 'left', 'right' or None, got {broadcast!r}")
 
-    if salt_buckets > 1 and not broadcasted and kind in ("inner", "left", "left_semi", "left_anti"):
+    if salt_buckets > 1 and not broadcasted:
         return _salted(left, right, on, kind, salt_buckets)
     return left.join(right, on=on, how=kind)
 

@@ -216,6 +216,10 @@ QUERIES: dict[str, Query] = {
                                             left_filter="l_discount > 0.05"),
     "join_salted": lambda s, d: join_using(product(s, d), brand(s, d), "partkey",
                                            left_filter="l_discount > 0.05", salt_buckets=4),
+    # Full outer join on the fact: salted left join + unmatched dimension rows.
+    "join_full_salted": lambda s, d: join_using(product(s, d), brand(s, d), "partkey", "full",
+                                                left_filter="l_discount > 0.08",
+                                                right_filter="p_size > 25", salt_buckets=4),
     "join_agg_to_dim": _join_agg_to_dim,
     # aggregates
     "agg_group": lambda s, d: aggregate(_three_way(s, d), ["suppkey", "s_name"],
@@ -355,6 +359,10 @@ ORACLE_SQL: dict[str, str] = {
     "join_salted": f"""
         SELECT l_partkey AS partkey, l_suppkey AS suppkey, {_LI}, {_P}
         FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_discount > 0.05""",
+    "join_full_salted": f"""
+        SELECT COALESCE(l.l_partkey, p.p_partkey) AS partkey, l.l_suppkey AS suppkey, {_LI}, {_P}
+        FROM (SELECT * FROM lineitem WHERE l_discount > 0.08) l
+        FULL OUTER JOIN (SELECT * FROM part WHERE p_size > 25) p ON l.l_partkey = p.p_partkey""",
     "join_agg_to_dim": """
         SELECT a.p_type, a.p_brand, a.avg_size
         FROM (SELECT p_brand, p_type, round(avg(p_size), 2) AS avg_size FROM part

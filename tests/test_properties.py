@@ -56,6 +56,16 @@ def test_every_join_type_matches_brute_force(spark, left, right):
         assert got == brute_join(left, right, how), how
 
 
+@SETTINGS
+@given(left=left_rows, right=right_rows)
+def test_salted_joins_match_brute_force(spark, left, right):
+    ldf = spark.createDataFrame(left, "k INT, lv INT").repartition(3)
+    rdf = spark.createDataFrame(right, "k INT, rv STRING")
+    for how in ("inner", "left", "right", "full", "left_semi", "left_anti"):
+        got = Counter(tuple(r) for r in join_using(ldf, rdf, "k", how, salt_buckets=4).collect())
+        assert got == brute_join(left, right, how), how
+
+
 @SETTINGS
 @given(rows=st.lists(st.tuples(keys, st.one_of(st.none(), st.integers(-5, 5))), max_size=15),
        threshold=st.integers(0, 3))
