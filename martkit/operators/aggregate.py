@@ -7,7 +7,6 @@ third of all rows is reduced to one row per task before it moves.
 
 from __future__ import annotations
 
-import logging
 from collections.abc import Iterable, Iterator, Mapping, Sequence
 from functools import reduce
 
@@ -17,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..spec import AggSpec, Expr
-from .filter import filter_optional, to_column
+from .filter import filter_optional, quiet_analysis, to_column
 
 _TAG = "__martkit_spec"
 
@@ -38,16 +37,12 @@ def _output_names(df: DataFrame, keys: Sequence[Expr], aggs: Sequence[Expr]) ->
 
 def resolves_on(df: DataFrame, predicate: Expr) -> bool:
     """Whether ``predicate`` analyses against ``df``'s columns (no job runs)."""
-    quiet = logging.getLogger("SQLQueryContextLogger")
-    level = quiet.level
-    quiet.setLevel(logging.CRITICAL)
     try:
-        df.filter(to_column(predicate))
+        with quiet_analysis():
+            df.filter(to_column(predicate))
         return True
     except AnalysisException:
         return False
-    finally:
-        quiet.setLevel(level)
 
 
 def aggregate(

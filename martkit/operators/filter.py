@@ -6,7 +6,9 @@ as ``PushedFilters`` and projections prune the ``ReadSchema``.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+import logging
+from collections.abc import Iterable, Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +16,24 @@ from pyspark.sql import functions as F
 from ..spec import Expr
 
 
+@contextmanager
+def quiet_analysis() -> Iterator[None]:
+    """Silence PySpark's error log while probing whether a plan analyses.
+
+    A failed probe is an expected answer, not an error worth a stack trace.
+    """
+    loggers = [logging.getLogger(n) for n in ("SQLQueryContextLogger",
+                                              "DataFrameQueryContextLogger")]
+    levels = [lg.level for lg in loggers]
+    for lg in loggers:
+        lg.setLevel(logging.CRITICAL)
+    try:
+        yield
+    finally:
+        for lg, level in zip(loggers, levels):
+            lg.setLevel(level)
+
+
 def to_column(expr: Expr) -> Column:
     """A SQL-text fragment or a Column → Column."""
     if isinstance(expr, Column):
