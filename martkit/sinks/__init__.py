@@ -2,7 +2,7 @@
 
 from .console import head_rows, preview, run_noop, timed
 from .files import write_csv, write_parquet
-from .jdbc import guard_overwrite, write_jdbc, write_sqlite
+from .jdbc import bounded_writers, guard_overwrite, write_jdbc, write_sqlite
 
 __all__ = ["head_rows", "preview", "run_noop", "timed", "write_csv", "write_parquet",
-           "guard_overwrite", "write_jdbc", "write_sqlite"]
+           "bounded_writers", "guard_overwrite", "write_jdbc", "write_sqlite"]

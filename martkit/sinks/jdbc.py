@@ -29,6 +29,22 @@ def guard_overwrite(conf: JdbcConf, table: str, sources: Iterable[tuple[JdbcConf
             raise ValueError(f"refusing to overwrite {table!r}: it is also an input of this plan")
 
 
+def bounded_writers(df: DataFrame, num_partitions: int) -> DataFrame:
+    """``df`` in exactly ``num_partitions`` partitions: one connection each.
+
+    Spark's JDBC writer limits connections with ``coalesce``, which is not a
+    shuffle: when the plan has no shuffle of its own (a scan, a filter, a
+    broadcast join), the whole upstream stage would shrink to that many
+    tasks. A round-robin repartition keeps the upstream at full width and
+    moves each row once more; the database, not the shuffle, limits a JDBC
+    write. Round-robin is deterministic (rows are sorted locally first), so
+    a retried task sends the same rows to the same writer.
+    """
+    if num_partitions < 1:
+        raise ValueError("num_partitions must be at least 1")
+    return df.repartition(num_partitions)
+
+
 def write_jdbc(
     df: DataFrame,
     conf: JdbcConf,
@@ -41,9 +57,9 @@ def write_jdbc(
 ) -> None:
     """Write ``df`` to ``table`` (``overwrite`` replaces it).
 
-    At most ``num_partitions`` concurrent connections (Spark coalesces if the
-    frame has more partitions), each inserting in ``batchsize`` batches, so a
-    large cluster does not flood the database.
+    At most ``num_partitions`` concurrent connections (``bounded_writers``),
+    each inserting in ``batchsize`` batches, so a large cluster does not flood
+    the database while the plan before the write keeps its full width.
     """
     if mode == "overwrite":
         guard_overwrite(conf, table, sources)
@@ -51,7 +67,7 @@ def write_jdbc(
     opts.update({"numPartitions": str(num_partitions), "batchsize": str(batchsize)})
     if truncate:
         opts["truncate"] = "true"
-    df.write.format("jdbc").mode(mode).options(**opts).save()
+    bounded_writers(df, num_partitions).write.format("jdbc").mode(mode).options(**opts).save()
 
 
 def write_sqlite(df: DataFrame, path: str, table: str, mode: str = "overwrite") -> None:

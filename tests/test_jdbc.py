@@ -6,7 +6,9 @@ and writes against PostgreSQL/MySQL/SQLite are not exercised here.
 
 import pytest
 
-from martkit.sinks import guard_overwrite
+from conftest import plan_text
+from martkit.operators import join_using
+from martkit.sinks import bounded_writers, guard_overwrite
 from martkit.sources import bounds_from, driver_class, jdbc_options, jdbc_url, read_jdbc
 from martkit.spec import JdbcConf
 
@@ -59,3 +61,18 @@ def test_bounds_are_computed_by_the_database():
     from martkit.sources.jdbc import bounds_query
     assert bounds_query("product", "brand_id") == (
         "(SELECT MIN(brand_id) AS lo, MAX(brand_id) AS hi FROM product) martkit_bounds")
+
+
+def test_writers_are_bounded_without_narrowing_the_plan(spark):
+    # A shuffle-free plan (scan + broadcast join): Spark's own coalesce would
+    # run the scan in 3 tasks; the repartition keeps the scan at full width.
+    fact = spark.range(0, 4000, numPartitions=16).selectExpr("id % 50 AS k", "id AS v")
+    dim = spark.range(0, 50).selectExpr("id AS k", "concat('n', id) AS name")
+    out = bounded_writers(join_using(fact, dim, "k", broadcast="right"), 3)
+    plan = plan_text(out)
+    assert "RoundRobinPartitioning(3)" in plan and "Coalesce" not in plan
+    assert out.rdd.getNumPartitions() == 3
+    assert sorted(map(tuple, out.collect())) == sorted(
+        map(tuple, join_using(fact, dim, "k").collect()))
+    with pytest.raises(ValueError):
+        bounded_writers(fact, 0)
