@@ -76,16 +76,22 @@ def clear_probe_cache() -> None:
     _PROBES.clear()
 
 
+def probe_frame(df: DataFrame) -> DataFrame:
+    """One row: the side's row count and payload bytes.
+
+    A plain aggregate: every task counts its own rows and sends one partial
+    row. (A ``limit`` before it would plan as a single-partition exchange
+    into which every task ships up to the limit in whole rows.)
+    """
+    return df.agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b"))
+
+
 def _probe(df: DataFrame, max_rows: int) -> tuple[int, int]:
     files = tuple(sorted(df.inputFiles()))
-    key = (df.semanticHash(), files, max_rows) if files else None
+    key = (df.semanticHash(), files) if files else None
     if key is not None and key in _PROBES:
         return _PROBES[key]
-    row = (
-        df.limit(max_rows + 1)
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b"))
-        .first()
-    )
+    row = probe_frame(df).first()
     result = (int(row["n"]), int(row["b"] or 0))
     if key is not None:
         _PROBES[key] = result
@@ -124,12 +130,12 @@ def broadcast_if_bounded(
 ) -> tuple[DataFrame, bool]:
     """Hint ``broadcast`` only if the side is proven within both bounds.
 
-    The probe counts rows and payload bytes of at most ``max_rows + 1`` rows
-    (a ``limit``), so a side that turns out large costs one bounded pass and
-    the join stays a shuffle join. When Catalyst's metadata estimate is already
-    far over the byte bound, no probe runs at all. File-based sides are probed
-    once per set of input files. Returns the (possibly hinted) frame and the
-    decision.
+    The probe counts the rows and payload bytes of the side in one aggregate
+    pass; a side that turns out large costs that pass and the join stays a
+    shuffle join. When Catalyst's metadata estimate is already far over the
+    byte bound, no probe runs at all, so only sides estimated within a few
+    times the bound are ever scanned. File-based sides are probed once per
+    set of input files. Returns the (possibly hinted) frame and the decision.
     """
     estimate = estimated_bytes(df)
     if estimate is not None and estimate > ESTIMATE_SKIP_FACTOR * max_bytes:

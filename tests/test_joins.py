@@ -111,6 +111,15 @@ def test_broadcast_only_within_bounds(spark):
     assert not ok
 
 
+def test_probe_sends_one_row_per_task(spark):
+    from martkit.operators.joins import probe_frame
+    side = spark.range(0, 5000, numPartitions=8).selectExpr("id AS k", "concat('n', id) AS name")
+    plan = plan_text(probe_frame(side))
+    assert "Limit" not in plan and "partial_count" in plan and "partial_sum" in plan
+    row = probe_frame(side).first()
+    assert row["n"] == 5000 and row["b"] > 5000 * 16
+
+
 def test_broadcast_hint_reaches_plan(spark, sides):
     left, right = sides
     plan = plan_text(join_using(left, right, "k", broadcast="right"))
