@@ -81,3 +81,27 @@ def test_identical_copies_spread_over_buckets(spark):
         want = join_using(fact, dim, "k", how).groupBy("name").agg(
             F.count(F.lit(1)).alias("n"), F.sum("v").alias("s"))
         assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())), how
+
+
+def test_pipeline_with_a_hot_brand_and_shuffle_joins(spark):
+    from collections import Counter
+
+    from martkit.plans import REFERENCE, pipeline_v3
+    # Brand 7 holds a third of the facts; dimensions are joined by shuffle.
+    product = spark.range(0, 30000, numPartitions=8).selectExpr(
+        "id", "CASE WHEN id % 3 = 0 THEN 7 ELSE id % 100 END AS brand_id",
+        "id % 10 AS category_id", "CAST(id % 40 AS BIGINT) AS discount_rate",
+        "CAST(id % 6 AS DOUBLE) AS rating_average", "id % 4 AS reviews_count")
+    brand = spark.range(100).selectExpr("id AS brand_id", "concat('b', id) AS brand_name")
+    category = spark.range(10).selectExpr("id AS category_id", "concat('c', id) AS category_name")
+    roles = REFERENCE.with_(broadcast_dims=False, category_filter="category_id <> 2")
+    eager = pipeline_v3(product, brand, category, roles)
+    first = pipeline_v3(product, brand, category, roles.with_(eager=False))
+    plan = plan_text(eager["agg_brand_average_rate"])
+    assert "partial_sum" in plan and "partial_count" in plan  # fact reduced before it moves
+    for name in eager:
+        got = Counter(tuple(r) for r in eager[name].collect())
+        assert got == Counter(tuple(r) for r in first[name].collect()), name
+    counts = {r.category_id: r.number_of_products for r in eager["agg_products_each_category"].collect()}
+    want = Counter(i % 10 for i in range(30000) if i % 40 > 10 and i % 10 != 2)
+    assert counts == dict(want)
