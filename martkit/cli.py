@@ -82,6 +82,8 @@ class Store:
         if self.partition_column:
             return read_jdbc(spark, self.conf, table, self.partition_column,
                              self.num_partitions or spark.sparkContext.defaultParallelism)
+        print(f"martkit: reading {table!r} in one task; give --partition-column "
+              "(an evenly spread numeric id) to read in parallel", file=sys.stderr)
         return read_jdbc(spark, self.conf, table, single_partition=True)
 
     def write(self, df: DataFrame, table: str, sources: list[tuple["Store", str]]) -> None:

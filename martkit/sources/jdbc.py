@@ -87,6 +87,10 @@ def read_jdbc(
     nulls land in the first range), or explicit ``predicates`` (one task each,
     for any key type). A one-task scan must be asked for with
     ``single_partition=True``.
+
+    Choose a unique, evenly spread column (the row id), not a join key: ranges
+    split the key space, never one key value, so a brand holding a third of
+    the rows would put a third of the table into one task.
     """
     opts = jdbc_options(conf, table)
     opts["fetchsize"] = str(fetchsize)
