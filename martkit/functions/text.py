@@ -35,9 +35,13 @@ def split_words(col: Column | str, sep: str = " ", drop_trailing_empty: bool = F
     if not drop_trailing_empty:
         return F.split(c, _quote(sep), -1)
     # Trailing empty tokens come exactly from trailing separators, so strip
-    # those first (``\z`` is the true end; ``$`` would also match before a
-    # final newline) and split once.
-    stripped = F.regexp_replace(c, "(?:" + _quote(sep) + ")+\\z", "")
+    # those first and split once. One character: ``rtrim`` of that character.
+    # Longer: a regex (``\z`` is the true end; ``$`` would also match before
+    # a final newline).
+    if len(sep) == 1:
+        stripped = F.rtrim(c, F.lit(sep))
+    else:
+        stripped = F.regexp_replace(c, "(?:" + _quote(sep) + ")+\\z", "")
     return (
         F.when(F.instr(c, sep) == 0, F.array(c))
         .when(stripped == "", F.array().cast("array<string>"))

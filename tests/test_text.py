@@ -1,5 +1,8 @@
 """FIXTURES.md §4: word counts, both empty-token policies."""
 
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
 from martkit.functions import split_words, word_count
 from martkit.sources import text_frame
 
@@ -42,3 +45,25 @@ def test_regex_characters_are_literal(spark):
     assert got == [["a", "b", "c"], ["a|b"]]
     got = [list(r["t"]) for r in df.select(split_words("text", "|").alias("t")).collect()]
     assert got == [["a.b.c"], ["a", "b"]]
+
+
+def _java_split(text, sep):
+    """Java ``String.split`` on a literal: no match → whole; trailing empties dropped."""
+    if sep not in text:
+        return [text]
+    parts = text.split(sep)
+    while parts and parts[-1] == "":
+        parts.pop()
+    return parts
+
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(texts=st.lists(st.text(alphabet="ab .\n", max_size=8), min_size=1, max_size=12))
+def test_split_policies_match_python_and_java(spark, texts):
+    df = spark.createDataFrame([(t,) for t in texts], "t STRING")
+    for sep in (" ", ". "):
+        got = df.select(split_words("t", sep).alias("p"),
+                        split_words("t", sep, drop_trailing_empty=True).alias("j")).collect()
+        assert [list(r.p) for r in got] == [t.split(sep) for t in texts], sep
+        assert [list(r.j) for r in got] == [_java_split(t, sep) for t in texts], sep
