@@ -8,9 +8,6 @@ broadcast only when the caller names it *and* a bounded probe proves it small.
 
 from __future__ import annotations
 
-import contextlib
-import io
-import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -20,6 +17,7 @@ from pyspark.sql import types as T
 
 from ..spec import Expr, JoinStep, normalize_how
 from .filter import filter_optional
+from .stats import estimated_bytes
 
 # Broadcast bounds: a side above either is joined by shuffle instead.
 BROADCAST_MAX_ROWS = 4_000_000
@@ -98,31 +96,10 @@ def _probe(df: DataFrame, max_rows: int) -> tuple[int, int]:
     return result
 
 
-_UNITS = {"B": 1, "KiB": 2**10, "MiB": 2**20, "GiB": 2**30, "TiB": 2**40, "PiB": 2**50,
-          "EiB": 2**60}
 # Skip the probe when Catalyst's own estimate is this many times over the bound.
 ESTIMATE_SKIP_FACTOR = 4
 
 
-def estimated_bytes(df: DataFrame) -> float | None:
-    """Catalyst's size estimate for ``df`` (from ``explain("cost")``, no job).
-
-    Based on file sizes and the columns read; used only to skip a probe that
-    could not succeed, never to decide in favour of a broadcast.
-    """
-    buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        df.explain("cost")
-    m = re.search(r"Statistics\(sizeInBytes=([0-9.E+]+) ([KMGTPE]?i?B)", buf.getvalue())
-    if not m:
-        return None
-    size = float(m.group(1)) * _UNITS.get(m.group(2), 1)
-    # Spark reports unknown sizes (in-memory or RDD-backed frames) as
-    # Long.MaxValue (8.0 EiB), scaled down by projections above them; such
-    # values mean "unknown", not "huge", so the probe decides.
-    return None if size >= 2**50 else size
-
-
 def broadcast_if_bounded(
     df: DataFrame,
     max_rows: int = BROADCAST_MAX_ROWS,

@@ -4,6 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from .stats import estimated_bytes
+
+# Inputs of at least (target tasks x this) are taken to be split into enough
+# scan tasks by row group already (writers' row groups are about this size).
+SPLIT_BYTES = 128 * 1024 * 1024
+
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin repartition a file-backed frame read from only a few files.
@@ -13,9 +19,13 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     one core. The decision uses only metadata (``inputFiles``, no job): when
     the frame reads at least ``min_partitions`` files (default: the cluster's
     default parallelism) — the normal case for large inputs — or reads no
-    files at all, it is returned unchanged and no shuffle is added.
-    Round-robin repartitioning is deterministic (rows are sorted locally before
-    distribution), so a retried task produces the same output.
+    files at all, it is returned unchanged and no shuffle is added. Nor is
+    one added when Catalyst estimates the input at ``target`` x 128 MiB or
+    more: Spark already splits such files by row group into many tasks, and a
+    cluster with thousands of cores must not reshuffle a large table that
+    happens to sit in fewer files than it has cores. So the shuffle this adds
+    is bounded. Round-robin repartitioning is deterministic (rows are sorted
+    locally before distribution), so a retried task produces the same output.
     """
     if df.isStreaming:  # micro-batches are already split by the source
         return df
@@ -23,4 +33,7 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     files = df.inputFiles()
     if not files or len(files) >= target:
         return df
+    estimate = estimated_bytes(df)
+    if estimate is not None and estimate >= target * SPLIT_BYTES:
+        return df
     return df.repartition(target)

@@ -72,6 +72,17 @@ def test_spread_is_metadata_only(spark):
     assert spread(in_memory, 4) is in_memory         # no files: unchanged
 
 
+def test_spread_leaves_large_inputs_alone(spark, monkeypatch):
+    # A large table in fewer files than the cluster has cores is split by row
+    # group already; reshuffling it would move the whole table.
+    import martkit.operators.partitioning as part
+    one_file = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    monkeypatch.setattr(part, "estimated_bytes", lambda df: 100 * 2**40)  # 100 TiB
+    assert part.spread(one_file, 8000) is one_file
+    monkeypatch.setattr(part, "estimated_bytes", lambda df: 15 * 2**20)
+    assert "RoundRobinPartitioning" in _plan(part.spread(one_file, 8000))
+
+
 def _plan(df):
     from conftest import plan_text
     return plan_text(df)
