@@ -138,15 +138,20 @@ def salt_column(df: DataFrame, buckets: int):
     return F.pmod(F.xxhash64(F.spark_partition_id(), *cols), F.lit(buckets))
 
 
-def _padded(df: DataFrame, schema: T.StructType, order: Sequence[str]) -> DataFrame:
+def _padded(df: DataFrame, types: Sequence[T.DataType], order: Sequence[str]) -> DataFrame:
     """``df`` with the missing ``order`` columns as typed nulls, in that order."""
-    present = set(df.columns)
+    present = {c.lower() for c in df.columns}
     return df.select(*[
-        F.col(f"`{c}`") if c in present else F.lit(None).cast(schema[c].dataType).alias(c)
-        for c in order
+        F.col(f"`{c}`").alias(c) if c.lower() in present else F.lit(None).cast(t).alias(c)
+        for c, t in zip(order, types)
     ])
 
 
+def _named(df: DataFrame, on: str) -> str:
+    """The column of ``df`` that the key ``on`` resolves to (case-insensitive)."""
+    return next(c for c in df.columns if c.lower() == on.lower())
+
+
 def _salted(left: DataFrame, right: DataFrame, on: str, how: str, buckets: int) -> DataFrame:
     """Spread every left key over ``buckets`` tasks; replicate the right side.
 
@@ -159,18 +164,17 @@ def _salted(left: DataFrame, right: DataFrame, on: str, how: str, buckets: int)
     before it moves and the left rows are shuffled only once. Null keys never
     match, so their rows come out unmatched, as in a plain join.
     """
-    key = [on]
-    rest_left = [c for c in left.columns if c != on]
-    rest_right = [c for c in right.columns if c != on]
-    order = key + rest_left + rest_right
+    lkey, rkey = _named(left, on), _named(right, on)
+    rest_left = [c for c in left.columns if c != lkey]
+    rest_right = [c for c in right.columns if c != rkey]
+    order = [lkey] + rest_left + rest_right
     if how in ("right", "full"):
-        schema = T.StructType(
-            [right.schema[on]]
-            + [left.schema[c] for c in rest_left]
-            + [right.schema[c] for c in rest_right])
+        types = ([right.schema[rkey].dataType]
+                 + [left.schema[c].dataType for c in rest_left]
+                 + [right.schema[c].dataType for c in rest_right])
         preserved = _salted(left, right, on, "left" if how == "full" else "inner", buckets)
-        lonely_right = right.join(left.select(on).distinct(), on=on, how="left_anti")
-        return preserved.union(_padded(lonely_right, schema, order))
+        lonely_right = right.join(left.select(lkey).distinct(), on=on, how="left_anti")
+        return preserved.union(_padded(lonely_right, types, order))
     salted_left = left.withColumn(_SALT, salt_column(left, buckets))
     salted_right = right.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
     joined = salted_left.join(salted_right, on=[on, _SALT], how=how)

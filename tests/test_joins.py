@@ -98,6 +98,13 @@ def test_salted_join_matches_plain(spark):
         assert salted.columns == plain.columns, how
         assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, salted.collect())), how
     assert join_using(big, dim, "k", salt_buckets=8).columns == ["k", "v", "name"]
+    # The key resolves case-insensitively, as in Spark's own USING join.
+    upper = dim.withColumnRenamed("k", "K")
+    for how in ("inner", "left", "right", "full"):
+        plain = join_using(big, upper, "K", how)
+        salted = join_using(big, upper, "K", how, salt_buckets=8)
+        assert [c.lower() for c in salted.columns] == [c.lower() for c in plain.columns], how
+        assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, salted.collect())), how
 
 
 def test_broadcast_only_within_bounds(spark):
