@@ -134,10 +134,21 @@ def salt_column(df: DataFrame, buckets: int):
     loss assigns every row the same bucket again; a row position or ``rand``
     would not be, because row order after a shuffle is not.
     """
-    cols = [F.col(f"`{c}`") for c in df.columns]
+    cols = [F.col(f"`{f.name}`") for f in df.schema.fields if _hashable(f.dataType)]
     return F.pmod(F.xxhash64(F.spark_partition_id(), *cols), F.lit(buckets))
 
 
+def _hashable(dtype: T.DataType) -> bool:
+    """Whether ``xxhash64`` accepts the type (maps and variants it refuses)."""
+    if isinstance(dtype, (T.MapType, T.VariantType)):
+        return False
+    if isinstance(dtype, T.ArrayType):
+        return _hashable(dtype.elementType)
+    if isinstance(dtype, T.StructType):
+        return all(_hashable(f.dataType) for f in dtype.fields)
+    return True
+
+
 def _padded(df: DataFrame, types: Sequence[T.DataType], order: Sequence[str]) -> DataFrame:
     """``df`` with the missing ``order`` columns as typed nulls, in that order."""
     present = {c.lower() for c in df.columns}
