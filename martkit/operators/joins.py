@@ -65,13 +65,14 @@ def _row_bytes(df: DataFrame):
     return total
 
 
-# Probe outcomes by (plan, input files). The decision only picks a physical
-# strategy, never the result, so a stale entry can cost speed but not rows.
-_PROBES: dict[tuple, tuple[int, int]] = {}
+# Broadcast decisions by (plan, input files, bounds). A decision only picks a
+# physical strategy, never the result, so a stale entry can cost speed but not
+# rows. Frames that read no files are decided afresh every time.
+_DECISIONS: dict[tuple, bool] = {}
 
 
 def clear_probe_cache() -> None:
-    _PROBES.clear()
+    _DECISIONS.clear()
 
 
 def probe_frame(df: DataFrame) -> DataFrame:
@@ -84,16 +85,9 @@ def probe_frame(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b"))
 
 
-def _probe(df: DataFrame, max_rows: int) -> tuple[int, int]:
-    files = tuple(sorted(df.inputFiles()))
-    key = (df.semanticHash(), files) if files else None
-    if key is not None and key in _PROBES:
-        return _PROBES[key]
+def _probe(df: DataFrame) -> tuple[int, int]:
     row = probe_frame(df).first()
-    result = (int(row["n"]), int(row["b"] or 0))
-    if key is not None:
-        _PROBES[key] = result
-    return result
+    return int(row["n"]), int(row["b"] or 0)
 
 
 # Skip the probe when Catalyst's own estimate is this many times over the bound.
@@ -111,16 +105,27 @@ def broadcast_if_bounded(
     pass; a side that turns out large costs that pass and the join stays a
     shuffle join. When Catalyst's metadata estimate is already far over the
     byte bound, no probe runs at all, so only sides estimated within a few
-    times the bound are ever scanned. File-based sides are probed once per
-    set of input files. Returns the (possibly hinted) frame and the decision.
+    times the bound are ever scanned. File-based sides are decided once per
+    plan and set of input files. Returns the (possibly hinted) frame and the
+    decision.
     """
+    files = tuple(sorted(df.inputFiles()))
+    key = (df.semanticHash(), files, max_rows, max_bytes) if files else None
+    if key is not None and key in _DECISIONS:
+        ok = _DECISIONS[key]
+    else:
+        ok = _within_bounds(df, max_rows, max_bytes)
+        if key is not None:
+            _DECISIONS[key] = ok
+    return (F.broadcast(df) if ok else df), ok
+
+
+def _within_bounds(df: DataFrame, max_rows: int, max_bytes: int) -> bool:
     estimate = estimated_bytes(df)
     if estimate is not None and estimate > ESTIMATE_SKIP_FACTOR * max_bytes:
-        return df, False  # far too large: no probe scan, shuffle join
-    n, b = _probe(df, max_rows)
-    if n <= max_rows and b <= max_bytes:
-        return F.broadcast(df), True
-    return df, False
+        return False  # far too large: no probe scan, shuffle join
+    n, b = _probe(df)
+    return n <= max_rows and b <= max_bytes
 
 
 def salt_column(df: DataFrame, buckets: int):
