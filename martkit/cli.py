@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .functions.text import word_count
 from .operators.aggregate import aggregate, aggregate_many
+from .operators.cache import reliable_checkpoint
 from .operators.joins import Table, join_program, join_using
 from .plans.pipelines import REFERENCE, pipeline_v1, pipeline_v2, pipeline_v3, warehouse
 from .session import build_session
@@ -175,6 +176,8 @@ def build_parser() -> argparse.ArgumentParser:
     p = sub.add_parser("dwh", help="flat table → product, brand, category")
     _add_store_args(p)
     p.add_argument("--input", required=True)
+    p.add_argument("--checkpoint", action="store_true",
+                   help="write a JDBC input once to spark.checkpoint.dir instead of persisting")
 
     p = sub.add_parser("ingest", help="raw product responses (status, body) → flat table")
     _add_store_args(p)
@@ -191,7 +194,8 @@ def build_parser() -> argparse.ArgumentParser:
     p.add_argument("--join-first", action="store_true",
                    help="aggregate after the joins instead of pre-aggregating the fact")
     p.add_argument("--checkpoint", action="store_true",
-                   help="checkpoint the shared partial to spark.checkpoint.dir instead of persisting")
+                   help="checkpoint the shared partial (and a JDBC input) to "
+                        "spark.checkpoint.dir instead of persisting")
 
     p = sub.add_parser("wordcount", help="count space-separated tokens of a text column")
     _add_store_args(p)
@@ -222,10 +226,14 @@ def run(argv: list[str] | None = None) -> dict:
 
     def write_star(flat: DataFrame, roles) -> None:
         # A row-oriented source (JDBC) would be re-read in full by each of the
-        # three outputs: persist it once. Parquet outputs read only their own
-        # columns, so nothing is cached there.
+        # three outputs: persist it once, or with --checkpoint write it once to
+        # spark.checkpoint.dir (a lost executor then never re-queries the
+        # database, and all three outputs see one snapshot of it). Parquet
+        # outputs read only their own columns, so nothing is cached there.
         cache_flat = src.kind == "jdbc"
-        if cache_flat:
+        if cache_flat and args.checkpoint:
+            flat, cache_flat = reliable_checkpoint(flat), False
+        elif cache_flat:
             flat = flat.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             for name, df in warehouse(flat, roles).items():

@@ -92,3 +92,22 @@ def test_ingest_text_dump(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "product_data")).count() == 1
     rejected = spark.read.parquet(str(tmp_path / "product_data_rejected")).collect()
     assert [r.reason for r in rejected] == ["unparseable or duplicate keys"]
+
+
+def test_jdbc_star_input_is_checkpointed_once(spark, flat, tmp_path, monkeypatch):
+    # No database here: the JDBC store's reader is replaced by the edge rows,
+    # so only the wiring is checked (checkpoint instead of persist, outputs whole).
+    import martkit.cli as cli
+    monkeypatch.setattr(cli.Store, "read", lambda self, spark, table: flat)
+    real, calls = cli.reliable_checkpoint, []
+
+    def counting(df):
+        calls.append(df)
+        return real(df)
+    monkeypatch.setattr(cli, "reliable_checkpoint", counting)
+    run(["dwh", "--store", "jdbc", "--database", "test", "--out-store", f"parquet:{tmp_path}",
+         "--input", "product_data", "--checkpoint"])
+    assert len(calls) == 1
+    assert spark.read.parquet(str(tmp_path / "product")).count() == flat.count()
+    assert rows(spark.read.parquet(str(tmp_path / "brand")), "brand_id", "brand_name") == [
+        (None, None), (10, "X"), (20, "Y"), (30, "Z"), (30, "Z-new")]
