@@ -155,13 +155,14 @@ def _listing_pages(spark, sf_dir) -> DataFrame:
     """Events packed 40 ids to a page, as listing responses ``{"data": [{"id": ..}, ..]}``.
 
     ``event_id`` is the key of ``events``, so page ``event_id div 40`` holds at
-    most 40 rows; the page cut is a pure function of the row, so a recomputed
-    task rebuilds the same pages. (``listing_ids`` itself has no grouping; this
-    only builds its input.)
+    most 40 rows. The page cut is a pure function of the row and each page's
+    list is sorted (``collect_list`` alone follows shuffle arrival order), so
+    a recomputed task rebuilds byte-identical pages. (``listing_ids`` itself
+    has no grouping; this only builds its input.)
     """
     ev = table(spark, sf_dir, "events").select("event_id")
     pages = ev.groupBy(F.floor(F.col("event_id") / 40).alias("page")).agg(
-        F.collect_list(F.struct(F.col("event_id").alias("id"))).alias("data")
+        F.array_sort(F.collect_list(F.struct(F.col("event_id").alias("id")))).alias("data")
     )
     return pages.select(F.lit(200).alias("status"), F.to_json(F.struct("data")).alias("body"))
 
