@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..spec import AggSpec, Expr
+from .cache import reliable_checkpoint
 from .filter import filter_optional, quiet_analysis, to_column
 
 _TAG = "__martkit_spec"
@@ -79,7 +80,9 @@ class SharedAggregates(Mapping):
     ``with`` the outputs are projections of one combined aggregate that is
     persisted on entry and released on exit, so writing all outputs reads and
     shuffles the input once. The persisted frame holds one row per group,
-    never the input rows.
+    never the input rows. After ``checkpointed()`` it is written to the
+    reliable ``spark.checkpoint.dir`` instead, so losing an executor while
+    the outputs are written never re-reads the input.
     """
 
     def __init__(self, df: DataFrame, specs: Sequence[AggSpec]):
@@ -92,15 +95,25 @@ class SharedAggregates(Mapping):
         self._specs = {s.name: s for s in specs}
         self._independent: dict[str, DataFrame] = {}
         self._combined: DataFrame | None = None
+        self._derive = None
         self._shared: dict[str, DataFrame] = {}
         self._active = False
+        self._reliable = False
+        self._held: DataFrame | None = None
 
     @property
     def combined(self) -> DataFrame:
         if self._combined is None:
-            self._combined, self._shared = _combine(self._df, list(self._specs.values()))
+            self._combined, self._derive = _combine(self._df, list(self._specs.values()))
+            self._shared = self._derive(self._combined)
         return self._combined
 
+    def checkpointed(self) -> "SharedAggregates":
+        """Inside ``with``, write the combined aggregate to the reliable
+        ``spark.checkpoint.dir`` (lineage cut) instead of persisting it."""
+        self._reliable = True
+        return self
+
     @property
     def shared(self) -> dict[str, DataFrame]:
         self.combined  # noqa: B018 - builds the shared outputs
@@ -122,13 +135,21 @@ class SharedAggregates(Mapping):
         return len(self._specs)
 
     def __enter__(self) -> "SharedAggregates":
-        self.combined.persist(StorageLevel.MEMORY_AND_DISK)
+        if self._reliable:
+            self._held = reliable_checkpoint(self.combined)
+            self._shared = self._derive(self._held)
+        else:
+            self._held = self.combined.persist(StorageLevel.MEMORY_AND_DISK)
         self._active = True
         return self
 
     def __exit__(self, *exc) -> None:
         self._active = False
-        self.combined.unpersist()
+        if self._reliable:
+            self._shared = self._derive(self._combined)
+        else:
+            self.combined.unpersist()
+        self._held = None
 
 
 def aggregate_many(df: DataFrame, specs: Sequence[AggSpec]) -> SharedAggregates:
@@ -136,8 +157,9 @@ def aggregate_many(df: DataFrame, specs: Sequence[AggSpec]) -> SharedAggregates:
     return SharedAggregates(df, specs)
 
 
-def _combine(df: DataFrame, specs: Sequence[AggSpec]) -> tuple[DataFrame, dict[str, DataFrame]]:
-    """One aggregate computing every spec, and each spec as a projection of it.
+def _combine(df: DataFrame, specs: Sequence[AggSpec]):
+    """One aggregate computing every spec, and a function deriving each spec
+    as a projection of that aggregate (or of a checkpointed copy of it).
 
     Specs sharing group keys and WHERE share one aggregate node; specs that
     differ are tagged per row (one ``explode`` of a small literal array, before
@@ -197,18 +219,21 @@ def _combine(df: DataFrame, specs: Sequence[AggSpec]) -> tuple[DataFrame, dict[s
 
     combined = base.groupBy(*group_cols).agg(*agg_cols)
 
-    outputs: dict[str, DataFrame] = {}
-    for s, g, key_names, agg_names, internal, flag, post in plans:
-        part = combined
-        if n_groups > 1:
-            part = part.filter(F.col(_TAG) == g)
-        if flag:
-            part = part.filter(F.col(flag))
-        part = part.select(
-            *[F.col(slot).alias(name) for (slot, _), name in zip(key_slots[g], key_names)],
-            *[F.col(n).alias(name) for n, name in zip(internal, agg_names)],
-        )
-        if post is not None:
-            part = part.filter(to_column(post))
-        outputs[s.name] = part
-    return combined, outputs
+    def derive(frame: DataFrame) -> dict[str, DataFrame]:
+        outputs: dict[str, DataFrame] = {}
+        for s, g, key_names, agg_names, internal, flag, post in plans:
+            part = frame
+            if n_groups > 1:
+                part = part.filter(F.col(_TAG) == g)
+            if flag:
+                part = part.filter(F.col(flag))
+            part = part.select(
+                *[F.col(slot).alias(name) for (slot, _), name in zip(key_slots[g], key_names)],
+                *[F.col(n).alias(name) for n, name in zip(internal, agg_names)],
+            )
+            if post is not None:
+                part = part.filter(to_column(post))
+            outputs[s.name] = part
+        return outputs
+
+    return combined, derive

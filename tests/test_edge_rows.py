@@ -141,3 +141,19 @@ def test_checkpointed_outputs(flat):
         plan = plan_text(out["agg_products_each_category"])
         assert "Scan ExistingRDD" in plan and "checkpoint" in plan
     assert got == [(1, "Phones", 2), (3, "Tablets", 6)]
+
+
+def test_checkpointed_shared_aggregates(flat):
+    # The join-first shape (SharedAggregates) checkpoints like the eager one.
+    from conftest import plan_text
+    star = warehouse(flat)
+    roles = REFERENCE.with_(eager=False)
+    plain = pipeline_v3(star["product"], star["brand"], star["category"], roles)
+    want = {n: rows(plain[n], *plain[n].columns) for n in plain}
+    out = pipeline_v3(star["product"], star["brand"], star["category"], roles).checkpointed()
+    with out:
+        got = {n: rows(out[n], *out[n].columns) for n in out}
+        plan = plan_text(out["agg_products_each_category"])
+        assert "Scan ExistingRDD" in plan and "checkpoint" in plan
+    assert got == want
+    assert got["agg_products_each_category"] == [(1, "Phones", 2), (3, "Tablets", 6)]
