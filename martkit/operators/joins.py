@@ -73,6 +73,7 @@ _DECISIONS: dict[tuple, bool] = {}
 
 def clear_probe_cache() -> None:
     _DECISIONS.clear()
+    _HOT.clear()
 
 
 def probe_frame(df: DataFrame) -> DataFrame:
@@ -168,12 +169,43 @@ def _named(df: DataFrame, on: str) -> str:
     return next(c for c in df.columns if c.lower() == on.lower())
 
 
-def _salted(left: DataFrame, right: DataFrame, on: str, how: str, buckets: int) -> DataFrame:
+# Hot-key detections by (plan, input files, key, settings); like broadcast
+# decisions they pick a strategy, never the rows.
+_HOT: dict[tuple, list] = {}
+
+
+def hot_keys(df: DataFrame, on: str, min_share: float = 0.01, k: int = 32) -> list:
+    """Values of ``on`` holding at least ``min_share`` of ``df``'s rows.
+
+    One aggregate pass: a mergeable frequent-items sketch (``approx_top_k``)
+    and a row count, so every task sends one small sketch and at most ``k``
+    values reach the driver. Nulls are left out (they never match; the salt
+    spreads them anyway).
+    """
+    files = tuple(sorted(df.inputFiles()))
+    memo = (df.semanticHash(), files, on.lower(), min_share, k) if files else None
+    if memo is not None and memo in _HOT:
+        return _HOT[memo]
+    key = _named(df, on)
+    row = df.agg(F.expr(f"approx_top_k(`{key}`, {int(k)})").alias("top"),
+                 F.count(F.lit(1)).alias("n")).first()
+    found = [r["item"] for r in (row["top"] or [])
+             if r["item"] is not None and r["count"] >= min_share * row["n"]]
+    if memo is not None:
+        _HOT[memo] = found
+    return found
+
+
+def _salted(left: DataFrame, right: DataFrame, on: str, how: str, buckets: int,
+            hot: Sequence | None = None) -> DataFrame:
     """Spread every left key over ``buckets`` tasks; replicate the right side.
 
     For a hot key holding a large share of the left rows (see ``salt_column``).
     Inner, left, semi and anti joins emit no unmatched right row, so a right
-    row replicated into every bucket still matches each left row once. A
+    row replicated into every bucket still matches each left row once. With
+    ``hot`` given, only those keys are spread (plus null keys, which never
+    match) and only their right rows are replicated; every other row keeps
+    bucket 0, so a large right side is not copied ``buckets`` times. A
     right join is the salted inner join, a full join the salted left join,
     each plus the right rows whose key has no left row: an anti join against
     the left side's distinct keys, a partial aggregate, so a hot key collapses
@@ -188,11 +220,21 @@ def _salted(left: DataFrame, right: DataFrame, on: str, how: str, buckets: int)
         types = ([right.schema[rkey].dataType]
                  + [left.schema[c].dataType for c in rest_left]
                  + [right.schema[c].dataType for c in rest_right])
-        preserved = _salted(left, right, on, "left" if how == "full" else "inner", buckets)
+        preserved = _salted(left, right, on, "left" if how == "full" else "inner", buckets, hot)
         lonely_right = right.join(left.select(lkey).distinct(), on=on, how="left_anti")
         return preserved.union(_padded(lonely_right, types, order))
-    salted_left = left.withColumn(_SALT, salt_column(left, buckets))
-    salted_right = right.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
+    zero = F.lit(0).cast("long")
+    every = F.sequence(zero, F.lit(buckets - 1).cast("long"))
+    if hot is None:
+        left_salt, right_salts = salt_column(left, buckets), every
+    else:
+        lk, rk = F.col(f"`{lkey}`"), F.col(f"`{rkey}`")
+        spread_left = lk.isNull() | (lk.isin(list(hot)) if hot else F.lit(False))
+        left_salt = F.when(spread_left, salt_column(left, buckets)).otherwise(zero)
+        right_salts = (F.when(rk.isin(list(hot)), every).otherwise(F.array(zero))
+                       if hot else F.array(zero))
+    salted_left = left.withColumn(_SALT, left_salt)
+    salted_right = right.withColumn(_SALT, F.explode(right_salts))
     joined = salted_left.join(salted_right, on=[on, _SALT], how=how)
     if how in ("left_semi", "left_anti"):
         return joined.drop(_SALT)
@@ -210,6 +252,7 @@ def join_using(
     salt_buckets: int = 0,
     max_broadcast_rows: int = BROADCAST_MAX_ROWS,
     max_broadcast_bytes: int = BROADCAST_MAX_BYTES,
+    hot: Sequence | str | None = None,
 ) -> DataFrame:
     """``left JOIN right USING (on)`` with optional per-side filters.
 
@@ -219,6 +262,9 @@ def join_using(
     ``broadcast`` names the side ("left"/"right") that may be broadcast after
     the size probe; ``salt_buckets`` > 1 spreads hot left keys over that many
     tasks when no side was broadcast (every join type; see ``_salted``).
+    ``hot`` limits salting to those left keys: a list of values, or "auto" to
+    find the keys holding at least 1% of the left rows (``hot_keys``). The
+    default salts every key and replicates the whole right side.
     """
     if not on:
         raise ValueError("a join column is required; keyless Cartesian products are refused")
@@ -238,7 +284,11 @@ def join_using(
         raise ValueError(f"broadcast must be 'left', 'right' or None, got {broadcast!r}")
 
     if salt_buckets > 1 and not broadcasted:
-        return _salted(left, right, on, kind, salt_buckets)
+        if isinstance(hot, str):
+            if hot != "auto":
+                raise ValueError(f"hot must be a list of key values or 'auto', got {hot!r}")
+            hot = hot_keys(left, on)
+        return _salted(left, right, on, kind, salt_buckets, hot)
     return left.join(right, on=on, how=kind)
 
 

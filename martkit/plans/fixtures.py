@@ -221,6 +221,10 @@ QUERIES: dict[str, Query] = {
     "join_full_salted": lambda s, d: join_using(product(s, d), brand(s, d), "partkey", "full",
                                                 left_filter="l_discount > 0.08",
                                                 right_filter="p_size > 25", salt_buckets=4),
+    # Only the keys found hot (>= 1% of the fact rows) are salted and replicated.
+    "join_salted_hot": lambda s, d: join_using(product(s, d), category(s, d), "suppkey", "inner",
+                                               left_filter="l_discount > 0.05", salt_buckets=8,
+                                               hot="auto"),
     "join_agg_to_dim": _join_agg_to_dim,
     # aggregates
     "agg_group": lambda s, d: aggregate(_three_way(s, d), ["suppkey", "s_name"],
@@ -364,6 +368,9 @@ ORACLE_SQL: dict[str, str] = {
         SELECT COALESCE(l.l_partkey, p.p_partkey) AS partkey, l.l_suppkey AS suppkey, {_LI}, {_P}
         FROM (SELECT * FROM lineitem WHERE l_discount > 0.08) l
         FULL OUTER JOIN (SELECT * FROM part WHERE p_size > 25) p ON l.l_partkey = p.p_partkey""",
+    "join_salted_hot": f"""
+        SELECT l_suppkey AS suppkey, l_partkey AS partkey, {_LI}, {_S}
+        FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE l_discount > 0.05""",
     "join_agg_to_dim": """
         SELECT a.p_type, a.p_brand, a.avg_size
         FROM (SELECT p_brand, p_type, round(avg(p_size), 2) AS avg_size FROM part

@@ -62,8 +62,9 @@ def test_salted_joins_match_brute_force(spark, left, right):
     ldf = spark.createDataFrame(left, "k INT, lv INT").repartition(3)
     rdf = spark.createDataFrame(right, "k INT, rv STRING")
     for how in ("inner", "left", "right", "full", "left_semi", "left_anti"):
-        got = Counter(tuple(r) for r in join_using(ldf, rdf, "k", how, salt_buckets=4).collect())
-        assert got == brute_join(left, right, how), how
+        for hot in (None, [1, 3]):
+            got = join_using(ldf, rdf, "k", how, salt_buckets=4, hot=hot).collect()
+            assert Counter(tuple(r) for r in got) == brute_join(left, right, how), (how, hot)
 
 
 @SETTINGS

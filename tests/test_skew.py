@@ -105,3 +105,25 @@ def test_pipeline_with_a_hot_brand_and_shuffle_joins(spark):
     counts = {r.category_id: r.number_of_products for r in eager["agg_products_each_category"].collect()}
     want = Counter(i % 10 for i in range(30000) if i % 40 > 10 and i % 10 != 2)
     assert counts == dict(want)
+
+
+def test_hot_keys_are_detected_in_one_pass(hot):
+    from martkit.operators.joins import clear_probe_cache, hot_keys
+    fact, _ = hot
+    clear_probe_cache()
+    assert hot_keys(fact, "k") == [7]          # a third of the rows
+    assert hot_keys(fact, "k", min_share=0.5) == []
+
+
+def test_selective_salting_keeps_every_row(spark, hot):
+    fact, dim = hot
+    # nulls on the left (never matched) and right keys without fact rows
+    fact = fact.union(spark.range(50).selectExpr("CAST(NULL AS BIGINT) AS k", "id AS v"))
+    dim = dim.union(spark.range(1000, 1010).selectExpr("id AS k", "concat('name-', id) AS name"))
+    for how in ("inner", "left", "right", "full", "left_semi", "left_anti"):
+        want = sorted(map(tuple, join_using(fact, dim, "k", how).collect()),
+                      key=lambda t: tuple((v is None, v) for v in t))
+        for hot_keys in ([7], "auto", []):
+            got = join_using(fact, dim, "k", how, salt_buckets=8, hot=hot_keys)
+            got = sorted(map(tuple, got.collect()), key=lambda t: tuple((v is None, v) for v in t))
+            assert got == want, (how, hot_keys)
