@@ -114,6 +114,28 @@ def _store(spec: str | None, args, prefix: str = "") -> Store:
     raise ValueError(f"unknown store {spec!r}; use parquet:/dir or jdbc")
 
 
+def _add_join_strategy_args(p: argparse.ArgumentParser) -> None:
+    p.add_argument("--broadcast", choices=["left", "right"],
+                   help="side that may be broadcast if a size probe proves it small")
+    p.add_argument("--salt-buckets", type=int, default=0,
+                   help="spread hot left keys over this many tasks (shuffle joins)")
+    p.add_argument("--hot", help="'auto' (keys with >= 1%% of the left rows) or "
+                                 "comma-separated key values to salt; default: every key")
+
+
+def _hot_arg(text: str | None):
+    """``--hot``: None, "auto", or key values (integers where they parse)."""
+    if text is None or text == "auto":
+        return text
+    values = []
+    for v in split_list(text):
+        try:
+            values.append(int(v))
+        except ValueError:
+            values.append(v.strip("'\""))
+    return values
+
+
 def _add_store_args(p: argparse.ArgumentParser) -> None:
     p.add_argument("--store", required=True, help="parquet:/dir or jdbc")
     p.add_argument("--out-store", help="parquet:/dir or jdbc (default: --store)")
@@ -145,6 +167,7 @@ def build_parser() -> argparse.ArgumentParser:
     p.add_argument("--right-filter", default="")
     p.add_argument("--on", required=True)
     p.add_argument("--how", default="inner")
+    _add_join_strategy_args(p)
     p.add_argument("--output", required=True)
 
     p = sub.add_parser("multi-join", help="n filtered tables, m join steps")
@@ -170,6 +193,7 @@ def build_parser() -> argparse.ArgumentParser:
     p.add_argument("--right-filter", default="")
     p.add_argument("--on", required=True)
     p.add_argument("--how", default="inner")
+    _add_join_strategy_args(p)
     p.add_argument("--output", nargs=4, action="append", required=True,
                    metavar=("TABLE", "AGGREGATIONS", "GROUP", "HAVING"))
 
@@ -242,9 +266,14 @@ def run(argv: list[str] | None = None) -> dict:
             if cache_flat:
                 flat.unpersist()
 
+    def strategy() -> dict:
+        return {"broadcast": args.broadcast, "salt_buckets": args.salt_buckets,
+                "hot": _hot_arg(args.hot)}
+
     if args.job == "join":
         df = join_using(read(args.left), read(args.right), args.on, args.how,
-                        left_filter=args.left_filter, right_filter=args.right_filter)
+                        left_filter=args.left_filter, right_filter=args.right_filter,
+                        **strategy())
         write(df, args.output, [args.left, args.right])
     elif args.job == "multi-join":
         tables = [Table(read(name), flt) for name, flt in args.table]
@@ -256,7 +285,8 @@ def run(argv: list[str] | None = None) -> dict:
         write(df, args.output, [args.input])
     elif args.job == "join-agg":
         joined = join_using(read(args.left), read(args.right), args.on, args.how,
-                            left_filter=args.left_filter, right_filter=args.right_filter)
+                            left_filter=args.left_filter, right_filter=args.right_filter,
+                            **strategy())
         specs = [AggSpec.of(split_list(g), split_list(a), having=h, name=t)
                  for t, a, g, h in args.output]
         with aggregate_many(joined, specs) as outs:

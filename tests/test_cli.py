@@ -111,3 +111,17 @@ def test_jdbc_star_input_is_checkpointed_once(spark, flat, tmp_path, monkeypatch
     assert spark.read.parquet(str(tmp_path / "product")).count() == flat.count()
     assert rows(spark.read.parquet(str(tmp_path / "brand")), "brand_id", "brand_name") == [
         (None, None), (10, "X"), (20, "Y"), (30, "Z"), (30, "Z-new")]
+
+
+def test_join_with_salting_and_hot_keys(spark, store, tmp_path):
+    run(["dwh", "--store", store, "--input", "product_data"])
+    base = ["join", "--store", store, "--left", "product", "--right", "brand", "--on", "brand_id"]
+    for i, (how, extra) in enumerate([("inner", ["--salt-buckets", "4"]),
+                                      ("inner", ["--salt-buckets", "4", "--hot", "auto"]),
+                                      ("full", ["--salt-buckets", "4", "--hot", "10, 30"]),
+                                      ("inner", ["--broadcast", "right"])]):
+        run([*base, "--how", how, "--output", f"want{i}"])
+        run([*base, "--how", how, "--output", f"got{i}", *extra])
+        want = spark.read.parquet(str(tmp_path / f"want{i}"))
+        got = spark.read.parquet(str(tmp_path / f"got{i}"))
+        assert rows(got, *want.columns) == rows(want, *want.columns), extra
