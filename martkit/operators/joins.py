@@ -196,6 +196,26 @@ def hot_keys(df: DataFrame, on: str, min_share: float = 0.01, k: int = 32) -> li
     return found
 
 
+def salt_sides(left: DataFrame, right: DataFrame, on: str, buckets: int,
+               hot: Sequence | None = None) -> tuple[DataFrame, DataFrame]:
+    """Both join inputs with a salt column: left rows get one bucket each,
+    right rows one copy per bucket their key can meet (all buckets for a
+    salted key, bucket 0 otherwise)."""
+    lkey, rkey = _named(left, on), _named(right, on)
+    zero = F.lit(0).cast("long")
+    every = F.sequence(zero, F.lit(buckets - 1).cast("long"))
+    if hot is None:
+        left_salt, right_salts = salt_column(left, buckets), every
+    else:
+        lk, rk = F.col(f"`{lkey}`"), F.col(f"`{rkey}`")
+        spread_left = lk.isNull() | (lk.isin(list(hot)) if hot else F.lit(False))
+        left_salt = F.when(spread_left, salt_column(left, buckets)).otherwise(zero)
+        right_salts = (F.when(rk.isin(list(hot)), every).otherwise(F.array(zero))
+                       if hot else F.array(zero))
+    return (left.withColumn(_SALT, left_salt),
+            right.withColumn(_SALT, F.explode(right_salts)))
+
+
 def _salted(left: DataFrame, right: DataFrame, on: str, how: str, buckets: int,
             hot: Sequence | None = None) -> DataFrame:
     """Spread every left key over ``buckets`` tasks; replicate the right side.
@@ -223,18 +243,7 @@ def _salted(left: DataFrame, right: DataFrame, on: str, how: str, buckets: int,
         preserved = _salted(left, right, on, "left" if how == "full" else "inner", buckets, hot)
         lonely_right = right.join(left.select(lkey).distinct(), on=on, how="left_anti")
         return preserved.union(_padded(lonely_right, types, order))
-    zero = F.lit(0).cast("long")
-    every = F.sequence(zero, F.lit(buckets - 1).cast("long"))
-    if hot is None:
-        left_salt, right_salts = salt_column(left, buckets), every
-    else:
-        lk, rk = F.col(f"`{lkey}`"), F.col(f"`{rkey}`")
-        spread_left = lk.isNull() | (lk.isin(list(hot)) if hot else F.lit(False))
-        left_salt = F.when(spread_left, salt_column(left, buckets)).otherwise(zero)
-        right_salts = (F.when(rk.isin(list(hot)), every).otherwise(F.array(zero))
-                       if hot else F.array(zero))
-    salted_left = left.withColumn(_SALT, left_salt)
-    salted_right = right.withColumn(_SALT, F.explode(right_salts))
+    salted_left, salted_right = salt_sides(left, right, on, buckets, hot)
     joined = salted_left.join(salted_right, on=[on, _SALT], how=how)
     if how in ("left_semi", "left_anti"):
         return joined.drop(_SALT)

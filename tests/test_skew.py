@@ -127,3 +127,15 @@ def test_selective_salting_keeps_every_row(spark, hot):
             got = join_using(fact, dim, "k", how, salt_buckets=8, hot=hot_keys)
             got = sorted(map(tuple, got.collect()), key=lambda t: tuple((v is None, v) for v in t))
             assert got == want, (how, hot_keys)
+
+
+def test_only_hot_keys_are_replicated(spark, hot):
+    from martkit.operators.joins import _SALT, salt_sides
+    fact, dim = hot
+    left, right = salt_sides(fact, dim, "k", 8, hot=[7])
+    assert right.count() == 1000 + 7          # key 7 in all 8 buckets, the rest once
+    hot_buckets = left.filter("k = 7").select(_SALT).distinct().count()
+    assert hot_buckets == 8                     # the hot key is spread
+    assert left.filter("k <> 7").select(_SALT).distinct().collect()[0][0] == 0
+    _, everything = salt_sides(fact, dim, "k", 8)
+    assert everything.count() == 8 * 1000       # default: the whole right side 8 times
