@@ -10,6 +10,7 @@ import os
 import tempfile
 import uuid
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 # Core settings needed before the context starts (no web UI, no progress bar).
@@ -18,6 +19,13 @@ CORE_CONF = {
     "spark.ui.showConsoleProgress": "false",
 }
 
+# Core settings applied before the context starts, only where the cluster
+# (spark-defaults, ``--conf``) has not set them: checkpoint files (shared
+# partials, JDBC snapshots) are deleted once nothing references them.
+CORE_DEFAULTS = {
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+}
+
 # SQL settings applied by ``build_session`` only where the cluster (spark-defaults,
 # ``--conf``) has not set the key already.
 SQL_DEFAULTS = {
@@ -52,6 +60,10 @@ def build_session(
         explicit["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     for key, value in {**CORE_CONF, **explicit}.items():
         builder = builder.config(key, value)
+    cluster = SparkConf()  # spark-defaults and --conf, as spark-submit passes them
+    for key, value in CORE_DEFAULTS.items():
+        if key not in explicit and not cluster.contains(key):
+            builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("WARN")
     configured = spark.sparkContext.getConf()

@@ -99,3 +99,9 @@ def test_read_responses_formats(spark, tmp_path):
         df = read_responses(spark, str(tmp_path / path), fmt)
         assert df.dtypes == [("status", "int"), ("body", "string")]
         assert df.count() == n
+
+
+def test_session_cleans_unreferenced_checkpoints(spark):
+    conf = spark.sparkContext.getConf()
+    assert conf.get("spark.cleaner.referenceTracking.cleanCheckpoints") == "true"
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
