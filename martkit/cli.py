@@ -174,6 +174,11 @@ def build_parser() -> argparse.ArgumentParser:
     _add_store_args(p)
     p.add_argument("--table", nargs=2, action="append", metavar=("NAME", "FILTER"), required=True)
     p.add_argument("--step", action="append", default=[], help='"left right column [how]"')
+    p.add_argument("--broadcast", choices=["left", "right"],
+                   help="side of every step that may be broadcast after a size probe")
+    p.add_argument("--salt-buckets", type=int, default=0,
+                   help="spread hot left keys of every shuffle step over this many tasks")
+    p.add_argument("--hot", choices=["auto"], help="salt only keys with >= 1%% of the rows")
     p.add_argument("--output", required=True)
 
     p = sub.add_parser("agg", help="filter, group, aggregate, having")
@@ -277,7 +282,9 @@ def run(argv: list[str] | None = None) -> dict:
         write(df, args.output, [args.left, args.right])
     elif args.job == "multi-join":
         tables = [Table(read(name), flt) for name, flt in args.table]
-        df = join_program(tables, [JoinStep.parse(s) for s in args.step])
+        steps = [JoinStep.parse(s) for s in args.step]
+        df = join_program(tables, steps, broadcast=[args.broadcast] * len(steps),
+                          salt_buckets=args.salt_buckets, hot=args.hot)
         write(df, args.output, [name for name, _ in args.table])
     elif args.job == "agg":
         df = aggregate(read(args.input), split_list(args.group), split_list(args.aggregations),

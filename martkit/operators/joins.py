@@ -313,6 +313,8 @@ def join_program(
     tables: Sequence[Table | DataFrame],
     steps: Sequence[JoinStep | str],
     broadcast: Sequence[str | None] | None = None,
+    salt_buckets: int = 0,
+    hot: str | None = None,
 ) -> DataFrame:
     """Fold ``steps`` over a list that starts as the filtered ``tables``.
 
@@ -320,7 +322,11 @@ def join_program(
     with n tables the k-th step's output is entry n + k. The program's output
     is the last entry (the last table when there are no steps). The whole
     program is one lazy plan; Catalyst sees every join at once.
+    ``salt_buckets`` and ``hot`` (None or "auto"; keys differ per step) apply
+    to every step that is not broadcast, as in ``join_using``.
     """
+    if hot not in (None, "auto"):
+        raise ValueError("hot must be None or 'auto' in a join program")
     frames = [
         filter_optional(t.df, t.where) if isinstance(t, Table) else t for t in tables
     ]
@@ -335,6 +341,7 @@ def join_program(
             if not -len(frames) <= idx < len(frames):
                 raise IndexError(f"step {step} refers to entry {idx}; only {len(frames)} exist")
         frames.append(
-            join_using(frames[step.left], frames[step.right], step.on, step.how, broadcast=hint)
+            join_using(frames[step.left], frames[step.right], step.on, step.how, broadcast=hint,
+                       salt_buckets=salt_buckets, hot=hot)
         )
     return frames[-1]

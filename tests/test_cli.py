@@ -125,3 +125,17 @@ def test_join_with_salting_and_hot_keys(spark, store, tmp_path):
         want = spark.read.parquet(str(tmp_path / f"want{i}"))
         got = spark.read.parquet(str(tmp_path / f"got{i}"))
         assert rows(got, *want.columns) == rows(want, *want.columns), extra
+
+
+def test_multi_join_with_salting(spark, store, tmp_path):
+    run(["dwh", "--store", store, "--input", "product_data"])
+    base = ["multi-join", "--store", store,
+            "--table", "product", "discount_rate > 10", "--table", "brand", "",
+            "--table", "category", "category_id NOT IN (2, 28856)",
+            "--step", "0 1 brand_id inner", "--step", "3 2 category_id left"]
+    run([*base, "--output", "want"])
+    run([*base, "--output", "got", "--salt-buckets", "4", "--hot", "auto"])
+    want = spark.read.parquet(str(tmp_path / "want"))
+    got = spark.read.parquet(str(tmp_path / "got"))
+    assert rows(got, *want.columns) == rows(want, *want.columns)
+    assert got.count() > 0
