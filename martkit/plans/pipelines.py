@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass, replace
+from functools import cache
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -73,19 +74,23 @@ class Outputs(Mapping):
     """Named pipeline outputs derived from one small shared intermediate.
 
     ``shared`` is what every output reads (the merged partial aggregates), and
-    ``derive`` builds the outputs from it. Without ``with`` each output is an
-    independent lazy plan. Inside ``with`` the shared part is persisted once
+    ``derive`` maps each output name to its frame, or to a function building
+    it, called on first access only (a caller reading one output does not
+    plan the others). Without ``with`` each output is an independent lazy
+    plan. Inside ``with`` the shared part is persisted once
     (default), or, after ``checkpointed()``, written to the reliable
     ``spark.checkpoint.dir`` with its lineage cut, so losing an executor
     while the outputs are written never re-runs the fact scan.
     """
 
     def __init__(self, shared: DataFrame | None,
-                 derive: Callable[[DataFrame | None], dict[str, DataFrame]]):
+                 derive: Callable[[DataFrame | None], dict[str, DataFrame | Callable]]):
         self.shared = shared
         self._derive = derive
         self._lazy = derive(shared)
-        self._active: dict[str, DataFrame] | None = None
+        self._lazy_built: dict[str, DataFrame] = {}
+        self._active: dict[str, DataFrame | Callable] | None = None
+        self._active_built: dict[str, DataFrame] = {}
         self._reliable = False
         self._held: DataFrame | None = None
 
@@ -95,7 +100,14 @@ class Outputs(Mapping):
         return self
 
     def __getitem__(self, name: str) -> DataFrame:
-        return (self._active if self._active is not None else self._lazy)[name]
+        if self._active is not None:
+            table, built = self._active, self._active_built
+        else:
+            table, built = self._lazy, self._lazy_built
+        if name not in built:
+            value = table[name]
+            built[name] = value if isinstance(value, DataFrame) else value()
+        return built[name]
 
     def __iter__(self) -> Iterator[str]:
         return iter(self._lazy)
@@ -105,17 +117,17 @@ class Outputs(Mapping):
 
     def __enter__(self) -> "Outputs":
         if self.shared is None:  # nothing shared: the outputs stay independent
-            self._active = self._lazy
+            self._active, self._active_built = self._lazy, self._lazy_built
             return self
         if self._reliable:
             self._held = reliable_checkpoint(self.shared)
         else:
             self._held = self.shared.persist(StorageLevel.MEMORY_AND_DISK)
-        self._active = self._derive(self._held)
+        self._active, self._active_built = self._derive(self._held), {}
         return self
 
     def __exit__(self, *exc) -> None:
-        self._active = None
+        self._active, self._active_built = None, {}
         if not self._reliable and self._held is not None:
             self._held.unpersist()
         self._held = None
@@ -232,29 +244,45 @@ def pipeline_v2(product: DataFrame, brand: DataFrame, category: DataFrame,
     ``agg_brand_average_rate``, ``agg_products_each_category``,
     ``category_brand_average``.
     """
-    product_brand = join_using(product, brand, roles.brand_key, "inner",
-                               left_filter=roles.product_filter, broadcast=_dim(roles, "right"))
-    product_category = join_using(product, category, roles.category_key, "inner",
-                                  left_filter=roles.product_filter, broadcast=_dim(roles, "right"))
-    if roles.eager and _numeric(product, roles.rating):
+    eager = roles.eager and _numeric(product, roles.rating)
+
+    @cache
+    def product_brand() -> DataFrame:
+        return join_using(product, brand, roles.brand_key, "inner",
+                          left_filter=roles.product_filter, broadcast=_dim(roles, "right"))
+
+    @cache
+    def product_category() -> DataFrame:
+        return join_using(product, category, roles.category_key, "inner",
+                          left_filter=roles.product_filter, broadcast=_dim(roles, "right"))
+
+    @cache
+    def average() -> DataFrame:
+        if not eager:
+            spec = _average_spec(roles)
+            return aggregate(product_brand(), spec.keys, spec.aggs, where=spec.where)
         fact = filter_optional(product, roles.product_filter)
         by_brand = fact.groupBy(roles.brand_key, roles.category_key).agg(*_average_parts(roles))
         rated = join_using(by_brand, brand, roles.brand_key, "inner", broadcast=_dim(roles, "right"))
-        average = (rated.filter(F.col("__any_rated").isNotNull())
-                   .groupBy(roles.brand_key, roles.category_key, roles.brand_name)
-                   .agg(_merged_average(roles)))
+        return (rated.filter(F.col("__any_rated").isNotNull())
+                .groupBy(roles.brand_key, roles.category_key, roles.brand_name)
+                .agg(_merged_average(roles)))
+
+    def counts() -> DataFrame:
+        if not eager:
+            spec = _category_count_spec(roles)
+            return aggregate(product_category(), spec.keys, spec.aggs)
+        fact = filter_optional(product, roles.product_filter)
         by_category = fact.groupBy(roles.category_key).agg(F.count(F.col(roles.id)).alias("__cnt_id"))
         counted = join_using(by_category, category, roles.category_key, "inner",
                              broadcast=_dim(roles, "right"))
-        counts = counted.groupBy(roles.category_key, roles.category_name).agg(
+        return counted.groupBy(roles.category_key, roles.category_name).agg(
             F.sum("__cnt_id").alias(roles.count_alias))
-    else:
-        avg_spec = _average_spec(roles)
-        cnt_spec = _category_count_spec(roles)
-        average = aggregate(product_brand, avg_spec.keys, avg_spec.aggs, where=avg_spec.where)
-        counts = aggregate(product_category, cnt_spec.keys, cnt_spec.aggs)
-    high = join_using(average, category, roles.category_key, "inner",
-                      left_filter=roles.average_filter, broadcast=_dim(roles, "right"))
+
+    def high() -> DataFrame:
+        return join_using(average(), category, roles.category_key, "inner",
+                          left_filter=roles.average_filter, broadcast=_dim(roles, "right"))
+
     return Outputs(None, lambda _: {
         "product_brand_tmp": product_brand,
         "product_category_tmp": product_category,
@@ -296,11 +324,12 @@ def pipeline_v3(product: DataFrame, brand: DataFrame, category: DataFrame,
             broadcast=[hint, hint],
         )
         return Outputs(joined, lambda j: {
-            "agg_brand_average_rate": (
+            "agg_brand_average_rate": lambda: (
                 j.filter(F.col("__any_rated").isNotNull())
                 .groupBy(roles.brand_key, roles.category_key, roles.brand_name)
                 .agg(_merged_average(roles))),
-            "agg_products_each_category": j.groupBy(roles.category_key, roles.category_name).agg(
+            "agg_products_each_category": lambda: j.groupBy(
+                roles.category_key, roles.category_name).agg(
                 F.sum("__cnt_id").alias(roles.count_alias)),
         })
     joined = v3_join(product, brand, category, roles)
