@@ -180,8 +180,8 @@ def window_hash(words: np.ndarray, width: int) -> np.ndarray:
     return mix64(acc)
 
 
-def text_slices(offsets: np.ndarray, limit: int = 1 << 22) -> Iterator[tuple[int, int]]:
-    """Row ranges of about ``limit`` bytes each, so batch work stays small in memory."""
+def text_slices(offsets: np.ndarray, limit: int = 1 << 19) -> Iterator[tuple[int, int]]:
+    """Row ranges of about ``limit`` bytes each: bounded memory, and arrays that fit the cache."""
     n, lo = len(offsets) - 1, 0
     while lo < n:
         hi = int(np.searchsorted(offsets, offsets[lo] + limit, side="right")) - 1

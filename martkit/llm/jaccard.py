@@ -8,7 +8,9 @@ the query's coordinate and the box's upper coordinate.
 
 The trees are distributed by cells. In one global order of the shingles two
 linked sets share one of their first n - ceil(0.8 n) + 1 shingles, so the sets
-that hold a shingle there form a cell, and linked sets meet in a cell. Cells
+that hold a shingle there form a cell, and linked sets meet in a cell. Any
+order is right; rare shingles come first here, by the frequencies of their
+words in a bounded sample, so that unrelated sets seldom share a cell. Cells
 with the same members are one cell. Equal sets are one point.
 
 Links are wanted as components, so a cell needs no more work once all its
@@ -22,43 +24,94 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass, replace
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.cache import reliable_checkpoint
-from .common import (add_columns, lower_bytes, prefix_hash, quoted, raw_bytes, span_hash, table,
-                     text_of, text_slices, window_hash, word_spans)
-from .repeats import (binary16, bitmap_of, components, hot_keys, in_bitmap, is_in, node_long,
-                      node_longs, repeated)
+from .common import (add_columns, lower_bytes, others, prefix_hash, quoted, raw_bytes, span_hash,
+                     table, text_key, text_of, text_slices, window_hash, word_spans)
+from .repeats import (SAMPLE_TEXTS, binary16, components, fetch, grouped, hot_keys, is_in,
+                      repeated)
 
 SHINGLE = 5
 PERCENT = 80          # linked: 100 * intersection >= PERCENT * union
-GROUPS = 64           # coordinates of a point
+GROUPS = 256          # coordinates of a point
 LEAF = 32             # points of a leaf box
 BLOCK = 512           # points of a cell that one task searches against another block
+WIDE = 4096           # points of a cell up to which companionless points are dropped first
 MAX_STARS = 6         # pivot rounds before the trees are searched
+COMMON_WORDS = 1 << 16  # words whose sampled frequency orders the shingles
 
 
-def shingle_sets(texts: pa.Array, size: int = SHINGLE) -> Iterator[np.ndarray]:
-    """The sorted distinct shingle hashes (int64) of each text."""
+@dataclass(frozen=True)
+class Order:
+    """The global order of shingles: by level, then hash; the hot ones last.
+
+    A shingle's level is the rounded sum of the log frequencies of its words (the
+    fixed quantum of the order); a word outside the table counts as rarer than
+    any inside.
+    """
+
+    words: np.ndarray   # sorted hashes (uint64) of common words
+    levels: np.ndarray  # log2 of their frequency over that of a rare word
+    hot: np.ndarray     # sorted hot shingles
+
+    def of_words(self, words: np.ndarray) -> np.ndarray:
+        if not len(self.words):
+            return np.zeros(len(words), dtype=np.float32)
+        at = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
+        return np.where(self.words[at] == words, self.levels[at], np.float32(0))
+
+    def prefix(self, shingles: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+        """The first n - ceil(percent n / 100) + 1 of a sorted set: (ordinary, hot)."""
+        n = len(shingles)
+        length = n - -(-percent * n // 100) + 1 if n else 0
+        last = is_in(self.hot, shingles)
+        ordinary = shingles[~last][:length]
+        return ordinary, shingles[last][:length - len(ordinary)]
+
+
+NO_ORDER = Order(np.zeros(0, np.uint64), np.zeros(0, np.float32), np.zeros(0, np.int64))
+
+
+def batch_words(texts: pa.Array) -> Iterator[tuple[np.ndarray, list[int]]]:
+    """Word hashes of slices of a batch, and the first word of each text (one more at the end)."""
     data, offsets = raw_bytes(texts)
     for lo, hi in text_slices(offsets):
         part = lower_bytes(data[offsets[lo]:offsets[hi]])
         local = offsets[lo:hi + 1] - offsets[lo]
         starts, ends = word_spans(part, local)
-        words = span_hash(prefix_hash(part), starts, ends)
-        grams = window_hash(words, size).astype(np.int64)
-        first = np.searchsorted(starts, local)
-        for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
+        yield (span_hash(prefix_hash(part), starts, ends),
+               np.searchsorted(starts, local).tolist())
+
+
+def shingle_sets(texts: pa.Array, size: int = SHINGLE, order: Order = NO_ORDER
+                 ) -> Iterator[np.ndarray]:
+    """The distinct shingles (int64) of each text in the global order.
+
+    A shingle is its level in the top byte and 56 bits of the hash of its
+    words, so the values sort in the global order. A text of fewer words has
+    its whole sequence as one shingle.
+    """
+    for words, first in batch_words(texts):
+        grams = (window_hash(words, size) >> np.uint64(8)).astype(np.int64)
+        if len(order.words):
+            total = np.concatenate([[0], np.cumsum(order.of_words(words), dtype=np.float64)])
+            grams |= np.rint(total[size:] - total[:-size]).astype(np.int64).clip(0, 127) << 56
+        for a, b in zip(first[:-1], first[1:]):
             if b - a >= size:
-                yield np.unique(grams[a:b - size + 1])
-            elif b > a:  # fewer words: the whole sequence is the one shingle
-                yield window_hash(words[a:b], b - a).astype(np.int64) ^ np.int64(b - a)
+                s = np.sort(grams[a:b - size + 1])
+                new = np.ones(len(s), dtype=bool)
+                np.not_equal(s[1:], s[:-1], out=new[1:])
+                yield s[new]
+            elif b > a:
+                yield ((window_hash(words[a:b], b - a) >> np.uint64(8)).astype(np.int64)
+                       ^ np.int64(b - a))
             else:
                 yield np.zeros(0, dtype=np.int64)
 
@@ -68,20 +121,32 @@ def node_of(shingles: np.ndarray) -> bytes:
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest() if len(shingles) else b""
 
 
-def prefix_of(shingles: np.ndarray, hot: np.ndarray, percent: int = PERCENT
-              ) -> tuple[np.ndarray, np.ndarray]:
-    """The first shingles in global order, (ordinary, hot): by hash, the hot ones last."""
-    n = len(shingles)
-    length = n - -(-percent * n // 100) + 1 if n else 0
-    last = is_in(hot, shingles)
-    ordinary = shingles[~last][:length]
-    return ordinary, shingles[last][:length - len(ordinary)]
+def point_of(shingles: np.ndarray, groups: int = GROUPS) -> bytes:
+    """The set's size and the counts of its shingles by group, packed; linked sets are near."""
+    h = shingles.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)
+    counts = np.bincount((h % np.uint64(groups)).astype(np.int64), minlength=groups)
+    return (np.array([len(shingles)], "<u4").tobytes()
+            + np.minimum(counts, _FULL).astype("<u2").tobytes())
 
 
-def point_of(shingles: np.ndarray, groups: int = GROUPS) -> np.ndarray:
-    """Counts of the shingles by group; linked sets have near points."""
-    h = shingles.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)
-    return np.bincount((h % np.uint64(groups)).astype(np.int64), minlength=groups).astype("<u4")
+_FULL = 65535  # a coordinate that is full may be any larger count
+
+
+def unpacked(points: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(sizes, counts) of packed points; full coordinates bound nothing."""
+    raw = points.to_pylist()
+    if not raw:
+        return np.zeros(0, np.int64), np.zeros((0, GROUPS), np.int32)
+    rows = np.frombuffer(b"".join(raw), np.uint8).reshape(len(raw), -1)
+    sizes = np.ascontiguousarray(rows[:, :4]).view("<u4")[:, 0].astype(np.int64)
+    counts = np.ascontiguousarray(rows[:, 4:]).view("<u2").astype(np.int32)
+    counts[counts == _FULL] = 1 << 30
+    return sizes, counts
+
+
+def overlap_bound(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The sum over the coordinates of the smaller count."""
+    return np.minimum(a, b).sum(1, dtype=np.int64)
 
 
 def needed(n_a, n_b, percent: int = PERCENT):
@@ -92,9 +157,7 @@ def needed(n_a, n_b, percent: int = PERCENT):
 class CountTree:
     """R-tree over count vectors, packed by size and then by the first coordinates."""
 
-    def __init__(self, points: np.ndarray, leaf: int = LEAF) -> None:
-        points = points.astype(np.int64)
-        sizes = points.sum(1)
+    def __init__(self, sizes: np.ndarray, points: np.ndarray, leaf: int = LEAF) -> None:
         self.order = np.lexsort((points[:, 1], points[:, 0], sizes))
         self.points, self.sizes = points[self.order], sizes[self.order]
         self.levels = []  # from the leaves up: (upper corner, least size, greatest size)
@@ -106,34 +169,36 @@ class CountTree:
             self.levels.append((upper, least, most))
         self.leaf = leaf
 
-    def search(self, query: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-        """Numbers of the points whose overlap bound with the query allows a link."""
-        query = query.astype(np.int64)
-        n = int(query.sum())
-        low, high = -(-percent * n // 100), 100 * n // percent
-        at = None
-        for upper, least, most in reversed(self.levels):
-            at = np.arange(len(upper)) if at is None else self._below(at, len(upper))
-            at = at[(least[at] <= high) & (most[at] >= low)]
-            bound = np.minimum(upper[at], query).sum(1)
-            at = at[bound >= needed(n, np.maximum(least[at], low), percent)]
-            if not len(at):
-                return at
-        at = np.arange(len(self.points)) if at is None else self._below(at, len(self.points))
-        at = at[(self.sizes[at] <= high) & (self.sizes[at] >= low)]
-        bound = np.minimum(self.points[at], query).sum(1)
-        return self.order[at[bound >= needed(n, self.sizes[at], percent)]]
-
-    def _below(self, at: np.ndarray, width: int) -> np.ndarray:
-        under = (at[:, None] * self.leaf + np.arange(self.leaf)).ravel()
-        return under[under < width]
-
-
-def _sets(texts: DataFrame, outputs: str, make, keep=()):
-    return add_columns(texts, "t", outputs, make, list(keep))
-
-
-def _memberships(texts: DataFrame, hot: np.ndarray, percent: int, size: int) -> DataFrame:
+    def search(self, sizes: np.ndarray, queries: np.ndarray, percent: int = PERCENT
+               ) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs (query, point) whose overlap bound allows a link, by numbers.
+
+        All queries go down the tree together, a level at a time.
+        """
+        low, high = -(-percent * sizes // 100), 100 * sizes // percent
+        q = at = None
+        top = (self.points, self.sizes, self.sizes)
+        for upper, least, most in [*reversed(self.levels), top]:
+            if q is None:
+                q = np.repeat(np.arange(len(queries)), len(upper))
+                at = np.tile(np.arange(len(upper)), len(queries))
+            else:
+                q = np.repeat(q, self.leaf)
+                at = (at[:, None] * self.leaf + np.arange(self.leaf)).ravel()
+                q, at = q[at < len(upper)], at[at < len(upper)]
+            fits = (least[at] <= high[q]) & (most[at] >= low[q])
+            q, at = q[fits], at[fits]
+            ok = np.zeros(len(q), dtype=bool)
+            for lo in range(0, len(q), 4096):  # bounded memory
+                i, j = q[lo:lo + 4096], at[lo:lo + 4096]
+                bound = overlap_bound(upper[j], queries[i])
+                ok[lo:lo + 4096] = bound >= needed(sizes[i], np.maximum(least[j], low[i]),
+                                                        percent)
+            q, at = q[ok], at[ok]
+        return q, self.order[at]
+
+
+def _memberships(texts: DataFrame, order: Order, percent: int, size: int) -> DataFrame:
     """(h, node, hot): each distinct set of a task with the shingles of its prefix."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
@@ -149,12 +214,12 @@ def _memberships(texts: DataFrame, hot: np.ndarray, percent: int, size: int) ->
                      pa.array(np.concatenate(flags))], names=["h", "node", "hot"])
 
             held = 0
-            for s in shingle_sets(batch.column(0), size):
+            for s in shingle_sets(batch.column(0), size, order):
                 node = node_of(s)
                 if not node or node in seen:
                     continue
                 seen.add(node)
-                a, b = prefix_of(s, hot, percent)
+                a, b = order.prefix(s, percent)
                 hs += [a, b]
                 flags += [np.zeros(len(a), bool), np.ones(len(b), bool)]
                 nodes.append(node)
@@ -169,54 +234,38 @@ def _memberships(texts: DataFrame, hot: np.ndarray, percent: int, size: int) ->
     return texts.select("t").mapInArrow(run, "h long, node binary, hot boolean")
 
 
-def _points(texts: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
-    """(node, n, set, point) of the sets named by ``nodes``, once each."""
-    shared = texts.sparkSession.sparkContext.broadcast(bitmap_of(nodes, node_long()))
+def _points(named: DataFrame, outputs: str, size: int, order: Order) -> DataFrame:
+    """(node, ...) with ``point`` or ``set`` of the texts of ``named`` (node, t)."""
+    kind = {"point binary": pa.binary(), "set array<long>": pa.list_(pa.int64())}[outputs]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmap, seen = shared.value, set()
-        for batch in batches:
-            rows = []
-            for s in shingle_sets(batch.column(0), size):
-                node = node_of(s)
-                if not node or node in seen:
-                    continue
-                seen.add(node)
-                if in_bitmap(bitmap, node_longs(np.frombuffer(node, np.uint8)[None, :]))[0]:
-                    rows.append((node, len(s), s, point_of(s).tobytes()))
-            if rows:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([r[0] for r in rows], pa.binary()),
-                     pa.array([r[1] for r in rows], pa.int64()),
-                     pa.array([r[2] for r in rows], pa.list_(pa.int64())),
-                     pa.array([r[3] for r in rows], pa.binary())],
-                    names=["node", "n", "set", "point"])
+    def make():
+        def work(texts: pa.Array):
+            sets = shingle_sets(texts, size, order)
+            return [pa.array([point_of(s) if kind == pa.binary() else s for s in sets],
+                             kind)]
+
+        return work
 
-    found = texts.select("t").mapInArrow(run, "node binary, n long, set array<long>, point binary")
-    return found.join(nodes, "node", "left_semi").groupBy("node").agg(
-        *[F.first(c).alias(c) for c in ("n", "set", "point")])
+    return add_columns(named, "t", outputs, make, ["node"])
 
 
 @F.arrow_udf(T.BooleanType())
 def may_link(point_a: pa.Array, point_b: pa.Array, percent: pa.Array) -> pa.Array:
     """The summed coordinate minima of two points allow a link."""
-    if not len(point_a):
-        return pa.array([], pa.bool_())
-    a = np.frombuffer(b"".join(point_a.to_pylist()), "<u4").reshape(len(point_a), -1).astype(np.int64)
-    b = np.frombuffer(b"".join(point_b.to_pylist()), "<u4").reshape(len(point_b), -1).astype(np.int64)
+    n_a, a = unpacked(point_a)
+    n_b, b = unpacked(point_b)
     p = percent.to_numpy(zero_copy_only=False).astype(np.int64)
-    return pa.array(np.minimum(a, b).sum(1) >= needed(a.sum(1), b.sum(1), p))
+    return pa.array(overlap_bound(a, b) >= needed(n_a, n_b, p), pa.bool_())
 
 
-def _verified(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, points: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The linked ones of the distinct pairs (a, b): bound by the points, then by the full sets."""
-    small = points.select("node", "point")
-    left = small.select(F.col("node").alias("a"), F.col("point").alias("pa"))
-    right = small.select(F.col("node").alias("b"), F.col("point").alias("pb"))
+    left = points.select(F.col("node").alias("a"), F.col("point").alias("pa"))
+    right = points.select(F.col("node").alias("b"), F.col("point").alias("pb"))
     near = (pairs.join(left, "a").join(right, "b")
             .filter(may_link("pa", "pb", F.lit(percent).cast("long"))).select("a", "b"))
-    left = points.select(F.col("node").alias("a"), F.col("set").alias("sa"))
-    right = points.select(F.col("node").alias("b"), F.col("set").alias("sb"))
+    left = sets.select(F.col("node").alias("a"), F.col("set").alias("sa"))
+    right = sets.select(F.col("node").alias("b"), F.col("set").alias("sb"))
     both = near.join(left, "a").join(right, "b")
     i = F.size(F.array_intersect("sa", "sb"))
     return (both.withColumn("i", i)
@@ -224,50 +273,100 @@ def _verified(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
             .select("a", "b"))
 
 
-def _searched(live: DataFrame, points: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of different components of a cell that the cell's trees let through.
+def _blocks(live: DataFrame, points: DataFrame) -> DataFrame:
+    """Rows (g, node, comp, point, own, lo, hi): the points of each pair of blocks of a cell.
 
     A cell's points are dealt into blocks of about BLOCK; every pair of blocks
-    is searched in a task of its own.
+    is a group ``g`` of its own, so no task needs a whole cell.
     """
     sizes = live.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    rows = (live.join(points.select("node", "point"), "node").join(sizes, "cell")
+    return (live.join(points.select("node", "point"), "node").join(sizes, "cell")
             .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .select("cell", "node", "comp", "point", "own",
-                    F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi")))
-
-    def search(group: pd.DataFrame) -> pd.DataFrame:
-        pts = np.frombuffer(b"".join(group["point"]), "<u4").reshape(len(group), -1)
-        nodes, comps = group["node"].tolist(), group["comp"].tolist()
-        own, lo, hi = group["own"].to_numpy(), group["lo"].iloc[0], group["hi"].iloc[0]
-        left, right = np.flatnonzero(own == lo), np.flatnonzero(own == hi)
-        out = []
+            .select("node", "comp", "point", "own", F.least("own", "other").alias("lo"),
+                    F.greatest("own", "other").alias("hi"),
+                    F.xxhash64("cell", F.least("own", "other"), F.greatest("own", "other"))
+                    .alias("g")))
+
+
+def _tree_pairs(batch: pa.RecordBatch, starts: np.ndarray, percent: int):
+    """(first, second) row numbers of the pairs that the trees of each group let through."""
+    sizes, points = unpacked(batch.column("point"))
+    own, lo, hi = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("own", "lo", "hi"))
+    ends = np.append(starts[1:], batch.num_rows)
+    for a, b in zip(starts.tolist(), ends.tolist()):
+        if b - a < 2:
+            continue
+        left, right = a + np.flatnonzero(own[a:b] == lo[a]), a + np.flatnonzero(own[a:b] == hi[a])
         if len(left) and len(right):
-            tree = CountTree(pts[left])
-            for j in right.tolist():
-                for i in left[tree.search(pts[j], percent)].tolist():
-                    if comps[i] != comps[j]:
-                        out.append((min(nodes[i], nodes[j]), max(nodes[i], nodes[j])))
-        return pd.DataFrame(out, columns=["a", "b"])
-
-    return rows.groupBy("cell", "lo", "hi").applyInPandas(search, "a binary, b binary").distinct()
-
-
-def linked_sets(texts: DataFrame, *, percent: int = PERCENT, size: int = SHINGLE,
-                total: int | None = None) -> DataFrame:
-    """(node, comp) of the sets that are linked with a different set; ``texts`` has ``t``."""
-    total = texts.count() if total is None else total
-    hot = hot_keys(texts, lambda some: _all_shingles(some, size), total)
-    rows = _memberships(texts, hot, percent, size)
+            tree = CountTree(sizes[left], points[left])
+            q, at = tree.search(sizes[right], points[right], percent)
+            i, j = left[at], right[q]
+            ok = i < j if lo[a] == hi[a] else i != j
+            if ok.any():
+                yield i[ok], j[ok]
+
+
+def _companions(cells: DataFrame, points: DataFrame, percent: int) -> DataFrame:
+    """The rows of ``cells`` whose points have a neighbour there that the trees let through.
+
+    Only cells of up to WIDE points are searched; the rows of wider ones all stay.
+    """
+    sizes = cells.groupBy("cell").agg(F.count("*").alias("k")).filter("k > 1")
+    sized = cells.join(sizes, "cell")
+    narrow = sized.filter(F.col("k") <= WIDE).select("cell", "node").withColumn(
+        "comp", F.col("cell"))  # carries the cell
+
+    def work(batch: pa.RecordBatch, starts: np.ndarray) -> list[pa.RecordBatch]:
+        seen = np.zeros(batch.num_rows, dtype=bool)
+        for i, j in _tree_pairs(batch, starts, percent):
+            seen[i] = seen[j] = True
+        kept = batch.filter(pa.array(seen)).select(["comp", "node"])
+        return [kept.rename_columns(["cell", "node"])] if kept.num_rows else []
+
+    found = grouped(_blocks(narrow, points), "g", "cell long, node binary", work).distinct()
+    return found.unionByName(sized.filter(F.col("k") > WIDE).select("cell", "node"))
+
+
+def _searched(live: DataFrame, points: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components of a cell that the cell's trees let through."""
+    def work(batch: pa.RecordBatch, starts: np.ndarray) -> list[pa.RecordBatch]:
+        nodes, comps = batch.column("node").to_pylist(), batch.column("comp").to_pylist()
+        out = {(min(nodes[i], nodes[j]), max(nodes[i], nodes[j]))
+               for left, right in _tree_pairs(batch, starts, percent)
+               for i, j in zip(left.tolist(), right.tolist()) if comps[i] != comps[j]}
+        return [pa.RecordBatch.from_arrays(
+            [pa.array([p[k] for p in out], pa.binary()) for k in (0, 1)], names=["a", "b"])]
+
+    return grouped(_blocks(live, points), "g", "a binary, b binary", work).distinct()
+
+
+def linked_sets(docs: DataFrame, texts: DataFrame, order: Order, *, percent: int = PERCENT,
+                size: int = SHINGLE) -> DataFrame:
+    """(node, comp) of the sets that are linked with a different set.
+
+    ``docs`` has key and node of every text; ``texts`` has node (the key) and t.
+    """
+    rows = _memberships(texts, order, percent, size)
     cells = repeated(rows.filter(~F.col("hot")), "h", ["node"], collapse=True)
-    if len(hot):
-        cells = cells.unionByName(_memberships(texts, hot, percent, size)
-                                  .filter("hot").select("h", "node"))
+    if len(order.hot):
+        cells = cells.unionByName(rows.filter("hot").select("h", "node"))
     cells = reliable_checkpoint(cells.select(F.col("h").alias("cell"), "node").distinct())
-    points = reliable_checkpoint(_points(texts, cells.select("node").distinct(), size))
-    spark = texts.sparkSession
-    edges = spark.createDataFrame([], "a binary, b binary")
+
+    def named(nodes: DataFrame) -> DataFrame:  # one text of each set
+        keys = (docs.join(nodes, "node").groupBy("node").agg(F.min("key").alias("key")))
+        keys = reliable_checkpoint(keys)
+        text = fetch(texts, keys.select(F.col("key").alias("node")))
+        return text.join(keys.select("key", F.col("node").alias("set_node")),
+                         F.col("node") == F.col("key")).select(F.col("set_node").alias("node"), "t")
+
+    points = reliable_checkpoint(_points(named(cells.select("node").distinct()), "point binary",
+                                         size, order))
+    cells = reliable_checkpoint(_companions(cells, points, percent))
+    inside = reliable_checkpoint(cells.select("node").distinct())
+    points = points.join(inside, "node", "left_semi")
+    sets = reliable_checkpoint(_points(named(inside), "set array<long>", size, order))
+    edges = texts.sparkSession.createDataFrame([], "a binary, b binary")
     comps = None
     live, before = cells.withColumn("comp", F.col("node")), None
     for turn in range(MAX_STARS + 1):
@@ -288,24 +387,51 @@ def linked_sets(texts: DataFrame, *, percent: int = PERCENT, size: int = SHINGLE
             if turn == MAX_STARS or work <= 64 * size_now or (before and size_now > 0.9 * before):
                 break
             before = size_now
-        order = F.xxhash64("node", F.lit(turn))
-        pivot = live.groupBy("cell").agg(
-            F.min(F.struct(order.alias("o"), "node", "comp")).alias("p"))
+        pivot = live.groupBy("cell").agg(F.min(F.struct(
+            F.xxhash64("node", F.lit(turn)).alias("o"), "node", "comp")).alias("p"))
         pairs = (live.join(pivot, "cell").filter("comp <> p.comp")
                  .select(F.least("node", "p.node").alias("a"),
                          F.greatest("node", "p.node").alias("b")).distinct())
-        edges = reliable_checkpoint(edges.union(_verified(pairs, points, percent)))
+        edges = reliable_checkpoint(edges.union(_verified(pairs, points, sets, percent)))
         comps = reliable_checkpoint(components(edges))
-    found = reliable_checkpoint(_verified(_searched(live, points, percent), points, percent))
+    found = reliable_checkpoint(_verified(_searched(live, points, percent), points, sets, percent))
     if found.isEmpty():
         return comps
     return reliable_checkpoint(components(edges.union(found)))
 
 
-def _all_shingles(texts: DataFrame, size: int) -> DataFrame:
+def corpus_order(texts: DataFrame, total: int, size: int = SHINGLE) -> Order:
+    """The global order of the shingles of ``texts`` (t), from a bounded sample."""
+    plain = shingle_order(texts, total)
+    hot = hot_keys(texts, lambda some: _all_shingles(some, size, plain), total)
+    return replace(plain, hot=hot)
+
+
+def shingle_order(texts: DataFrame, total: int, *, sample: int = SAMPLE_TEXTS,
+                  words: int = COMMON_WORDS) -> Order:
+    """The order by the ``words`` most frequent words of about ``sample`` distinct texts."""
+    part = F.pmod(F.xxhash64("t"), F.lit(1 << 40)) / float(1 << 40)
+    some = texts.filter(part < sample / max(total, 1)).select("t").distinct()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for found, _ in batch_words(batch.column(0)):
+                w, n = np.unique(found, return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(w.astype(np.int64)), pa.array(n.astype(np.int64))], names=["w", "n"])
+
+    counts = some.mapInArrow(run, "w long, n long").groupBy("w").agg(F.sum("n").alias("n"))
+    top = counts.filter("n > 1").orderBy(F.desc("n"), "w").limit(words).collect()
+    top.sort(key=lambda r: np.uint64(r["w"] & (1 << 64) - 1))
+    return Order(np.array([r["w"] for r in top], dtype=np.int64).astype(np.uint64),
+                 np.log2(1 + np.array([r["n"] for r in top], dtype=np.float64)).astype(np.float32),
+                 np.zeros(0, np.int64))
+
+
+def _all_shingles(texts: DataFrame, size: int, order: Order) -> DataFrame:
     def make():
         def work(column: pa.Array):
-            sets = list(shingle_sets(column, size))
+            sets = list(shingle_sets(column, size, order))
             return [pa.array([node_of(s) for s in sets], pa.binary()),
                     pa.array(sets, pa.list_(pa.int64()))]
 
@@ -315,6 +441,23 @@ def _all_shingles(texts: DataFrame, size: int) -> DataFrame:
         F.explode("hs").alias("h"), "node")
 
 
+def _keyed(df: DataFrame, text: str, id: str, size: int, order: Order,
+           carried: Sequence[str] = ()) -> DataFrame:
+    """(id, key, node, n) of every row, with the ``carried`` columns as ``row``."""
+    def make():
+        def work(column: pa.Array):
+            sets = list(shingle_sets(column, size, order))
+            return [pa.array([node_of(s) or None for s in sets], pa.binary()),
+                    pa.array([len(s) for s in sets], pa.int64())]
+
+        return work
+
+    rows = df.select(F.struct(*[F.col(quoted(c)) for c in carried], F.lit(0).alias("__llm_pad"))
+                     .alias("row"), F.col(quoted(id)).alias("id"), text_of(text).alias("t"))
+    return add_columns(rows.withColumn("key", text_key(F.col("t"))), "t", "node binary, n long",
+                       make, ["row", "id", "key"])
+
+
 def near_duplicates(df: DataFrame, text: str = "text", id: str = "doc_id", *,
                     percent: int = PERCENT, size: int = SHINGLE,
                     keep: Sequence[str] | None = None) -> DataFrame:
@@ -325,24 +468,13 @@ def near_duplicates(df: DataFrame, text: str = "text", id: str = "doc_id", *,
     one component. Null ids are ignored in the minimum; a component of null ids
     only has a null one. Rows with one id and different texts stay different.
     """
-    from .common import others
-
     kept = [c for c in (df.columns if keep is None else keep)
             if c in others(df, "n_shingles", "component")]
-
-    def make():
-        def work(column: pa.Array):
-            sets = list(shingle_sets(column, size))
-            return [pa.array([node_of(s) or None for s in sets], pa.binary()),
-                    pa.array([len(s) for s in sets], pa.int64())]
-
-        return work
-
-    texts = df.select(text_of(text).alias("t"))
-    rows = df.select(F.struct(*[F.col(quoted(c)) for c in kept], F.lit(0).alias("__llm_pad"))
-                     .alias("row"), F.col(quoted(id)).alias("id"), text_of(text).alias("t"))
-    docs = reliable_checkpoint(add_columns(rows, "t", "node binary, n long", make, ["row", "id"]))
-    comps = linked_sets(texts, percent=percent, size=size, total=docs.count())
+    texts = df.select(text_of(text).alias("t")).withColumn("node", text_key(F.col("t")))
+    order = corpus_order(texts, df.count(), size)
+    docs = reliable_checkpoint(_keyed(df, text, id, size, order, kept))
+    comps = linked_sets(docs.select("key", "node").filter("node is not null"), texts, order,
+                        percent=percent, size=size)
     full = docs.filter("node is not null").join(comps, "node", "left").withColumn(
         "comp", F.coalesce("comp", "node"))
     least = full.groupBy("comp").agg(F.min("id").alias("component"))
@@ -360,27 +492,22 @@ def keep_one(df: DataFrame, text: str = "text", id: str = "doc_id", *, percent:
     are linked with nothing and all stay. Texts are moved once, to drop the
     others; everything else works on keys.
     """
-    def make():
-        def work(column: pa.Array):
-            return [pa.array([node_of(s) or None for s in shingle_sets(column, size)], pa.binary())]
-
-        return work
-
-    texts = df.select(text_of(text).alias("t"))
-    keys = reliable_checkpoint(add_columns(
-        df.select(F.col(quoted(id)).alias("id"), text_of(text).alias("t")), "t", "node binary",
-        make, ["id"]).filter("node is not null"))
-    comps = linked_sets(texts, percent=percent, size=size, total=keys.count())
-    best = (keys.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-            .groupBy("comp").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "node"))
+    texts = df.select(text_of(text).alias("t")).withColumn("node", text_key(F.col("t")))
+    order = corpus_order(texts, df.count(), size)
+    docs = reliable_checkpoint(_keyed(df, text, id, size, order).filter("node is not null")
+                               .select("id", "key", "node"))
+    comps = linked_sets(docs, texts, order, percent=percent, size=size)
+    best = (docs.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+            .groupBy("comp").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key"))
                                  .alias("b"))
-            .select(F.col("b.node").alias("node"), F.col("b.id").alias("best")))
+            .select(F.col("b.key").alias("key"), F.col("b.id").alias("best")))
     rows = df.select(F.struct(*[F.col(quoted(c)) for c in df.columns]).alias("row"),
-                     F.col(quoted(id)).alias("id"), text_of(text).alias("t"))
-    rows = add_columns(rows, "t", "node binary", make, ["row", "id"])
-    winners = (rows.filter("node is not null").join(best, "node")
-               .filter(F.col("id").eqNullSafe(F.col("best"))).dropDuplicates(["node"]))
-    return winners.select("row").unionByName(rows.filter("node is null").select("row")).select(
+                     F.col(quoted(id)).alias("id"), text_key(text_of(text)).alias("key"),
+                     text_of(text).alias("t"))
+    wordless = F.length(F.translate("t", " \t\n\x0b\x0c\r", "")) == 0
+    winners = (rows.filter(~wordless).join(best, "key")
+               .filter(F.col("id").eqNullSafe(F.col("best"))).dropDuplicates(["key"]))
+    return winners.select("row").unionByName(rows.filter(wordless).select("row")).select(
         *[F.col(f"row.{quoted(c)}").alias(c) for c in df.columns])
 
 

@@ -15,6 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.cache import reliable_checkpoint
 from .common import mix64
@@ -121,7 +122,7 @@ def hot_keys(texts: DataFrame, keys: Callable[[DataFrame], DataFrame], total: in
     """
     part = F.pmod(F.xxhash64("t"), F.lit(1 << 40)) / float(1 << 40)
     some = texts.filter(part < sample / max(total, 1)).select("t")
-    rows = keys(some).distinct()
+    rows = reliable_checkpoint(keys(some).distinct())
     counts = rows.groupBy("h").agg(F.count("*").alias("n"))
     n = rows.select("node").distinct().count()
     found = counts.filter(F.col("n") >= max(share * n, 8)).select("h").collect()
@@ -168,6 +169,61 @@ def node_longs(nodes: np.ndarray) -> np.ndarray:
     return wide.reshape(-1).view(">u8").astype(np.int64)
 
 
+def filtered(rows: DataFrame, bitmap: bytes, node: str = "node") -> DataFrame:
+    """The rows whose 16-byte key may be in the bitmap; only the keys go through Python."""
+    shared = rows.sparkSession.sparkContext.broadcast(bitmap)
+
+    @F.arrow_udf(T.BooleanType())
+    def may_hold(keys: pa.Array) -> pa.Array:
+        return pa.array(in_bitmap(shared.value, node_longs(bytes16(keys))), pa.bool_())
+
+    return rows.filter(may_hold(node))
+
+
+def fetch(texts: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, t) of the texts named by ``nodes``, once each; ``texts`` has node and t."""
+    found = filtered(texts.select("node", "t"), bitmap_of(nodes, node_long()))
+    return found.join(nodes, "node", "left_semi").groupBy("node").agg(F.first("t").alias("t"))
+
+
+def grouped(rows: DataFrame, key: str, schema: str,
+            work: Callable[[pa.RecordBatch, np.ndarray], Sequence[pa.RecordBatch]], *,
+            rows_at_once: int = 4096) -> DataFrame:
+    """``work`` over batches that hold the rows of their keys (longs) whole.
+
+    ``work`` gets a batch sorted by the key and the starts of its groups. A
+    group must fit into memory: callers split the large ones by their key.
+    """
+    dealt = rows.repartition(shuffle_width(rows), key).sortWithinPartitions(key)
+    at = rows.columns.index(key)
+
+    def whole(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t = pa.Table.from_batches(parts).combine_chunks()
+        for batch in t.to_batches():
+            keys = batch.column(at).to_numpy(zero_copy_only=False)
+            starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+            yield from work(batch, starts)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []  # rows of the last key, which may go on
+        for batch in batches:
+            for lo in range(0, batch.num_rows, rows_at_once):
+                part = batch.slice(lo, rows_at_once)
+                keys = part.column(at).to_numpy(zero_copy_only=False)
+                if held and held[-1].column(at)[0].as_py() == keys[-1]:
+                    held.append(part)
+                    continue
+                cut = int(np.searchsorted(keys, keys[-1], side="left"))
+                ready = [*held, part.slice(0, cut)]
+                held = [part.slice(cut)]
+                if sum(b.num_rows for b in ready):
+                    yield from whole(ready)
+        if held:
+            yield from whole(held)
+
+    return dealt.mapInArrow(run, schema)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, comp): the smallest node reachable over ``edges`` (a, b).
 

@@ -34,13 +34,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.cache import reliable_checkpoint
-from .common import mix64, others, prefix_hash, quoted, raw_bytes, table, text_key, text_of
-from .repeats import (binary16, bitmap_of, bytes16, hot_keys, in_bitmap, is_in, node_long,
-                      node_longs, repeated)
+from .common import (POWERS, mix64, others, prefix_hash, quoted, raw_bytes, table, text_key, text_of,
+                     text_slices)
+from .repeats import binary16, bytes16, fetch, grouped, hot_keys, is_in, repeated
 
 LENGTH = 200      # bytes of a repeated string
 NAME = 64         # bytes of a sample's name
-SEGMENT = 1 << 18  # string starts handled at a time (bounds a task's memory)
+SEGMENT = 1 << 16  # string starts handled at a time (bounds a task's memory)
 CROWD = 5000      # places of a name from which its strings are sorted by their own keys
 
 
@@ -83,24 +83,55 @@ def samples(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, name: i
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
-def _spans(prefix: np.ndarray, starts: np.ndarray, width: int) -> np.ndarray:
-    from .common import POWERS
+def alike(data: np.ndarray, rows: np.ndarray, lo: np.ndarray, hi: np.ndarray, h: np.ndarray,
+          length: int) -> np.ndarray:
+    """The rank of each run among the runs of its text with the same name and bytes."""
+    prefix = prefix_hash(data)
+    _, down = POWERS.get(len(prefix))
+    whole = mix64((prefix[hi + length - 1] - prefix[lo]) * down[lo] ^ mix64(
+        h + (hi - lo).astype(np.uint64)))
+    order = np.lexsort((lo, whole, rows))
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = (whole[order[1:]] != whole[order[:-1]]) | (rows[order[1:]] != rows[order[:-1]])
+    first = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
+    rank = np.empty(len(order), dtype=np.int64)
+    rank[order] = np.arange(len(order)) - first
+    return rank
+
+
+def twins(raw: bytes, length: int, name: int) -> list[tuple[int, int]]:
+    """Starts [lo, hi) of the runs that stand at least twice in one text."""
+    data = np.frombuffer(raw, np.uint8)
+    _, lo, hi, h = samples(data, np.array([0, len(data)]), length, name)
+    if not len(lo):
+        return []
+    prefix = prefix_hash(data)
+    _, down = POWERS.get(len(prefix))
+    whole = mix64((prefix[hi + length - 1] - prefix[lo]) * down[lo] ^ mix64(
+        h + (hi - lo).astype(np.uint64)))
+    _, back, count = np.unique(whole, return_inverse=True, return_counts=True)
+    twice = count[back] > 1
+    return list(zip(lo[twice].tolist(), hi[twice].tolist()))
 
+
+def _spans(prefix: np.ndarray, starts: np.ndarray, width: int) -> np.ndarray:
     _, down = POWERS.get(len(prefix))
     return mix64((prefix[starts + width] - prefix[starts]) * down[starts])
 
 
-def _slices(batch_texts: pa.Array, limit: int = 1 << 22):
+def _slices(batch_texts: pa.Array, limit: int = 1 << 19):
     """(first row, row count, bytes, offsets) of parts of a batch of about ``limit`` bytes."""
-    from .common import text_slices
-
     data, offsets = raw_bytes(batch_texts)
     for lo, hi in text_slices(offsets, limit):
         yield lo, hi - lo, data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo]
 
 
 def _names(texts: DataFrame, length: int, name: int) -> DataFrame:
-    """(h, node, place): the samples of each text (key, t), once per task and text."""
+    """(h, node, place): the samples of each text (node, t), once per task and text.
+
+    Of runs that a text repeats byte for byte two are enough: they show that
+    the run repeats, and ``twins`` finds the others in the text itself.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
         for batch in batches:
@@ -115,10 +146,12 @@ def _names(texts: DataFrame, length: int, name: int) -> DataFrame:
             chosen = batch.filter(pa.array(fresh))
             nodes = bytes16(chosen.column(0))
             for lo, n, data, offsets in _slices(chosen.column(1)):
-                place, _, _, h = samples(data, offsets, length, name)
+                place, first, last, h = samples(data, offsets, length, name)
                 if not len(place):
                     continue
                 row = np.searchsorted(offsets, place, side="right") - 1
+                few = alike(data, row, first, last, h, length) < 2
+                place, h, row = place[few], h[few], row[few]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(h.astype(np.int64)), binary16(nodes[lo + row]),
                      pa.array((place - offsets[row]).astype(np.int32))],
@@ -127,26 +160,6 @@ def _names(texts: DataFrame, length: int, name: int) -> DataFrame:
     return texts.select("node", "t").mapInArrow(run, "h long, node binary, place int")
 
 
-def _fetch(texts: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, t) of the texts named by ``nodes``, once each."""
-    shared = texts.sparkSession.sparkContext.broadcast(bitmap_of(nodes, node_long()))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmap, seen = shared.value, set()
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            hit = in_bitmap(bitmap, node_longs(bytes16(batch.column(0))))
-            for i in np.flatnonzero(hit).tolist():
-                k = batch.column(0)[i].as_py()
-                hit[i] = k not in seen
-                seen.add(k)
-            yield batch.filter(pa.array(hit))
-
-    found = texts.select("node", "t").mapInArrow(run, "node binary, t string")
-    return found.join(nodes, "node", "left_semi").groupBy("node").agg(F.first("t").alias("t"))
-
-
 def _contexts(held: DataFrame, length: int, name: int) -> DataFrame:
     """(h, crowd, node, lo, off, bytes): the strings around each named place of a text.
 
@@ -215,40 +228,17 @@ def _runs(batch: pa.RecordBatch, row: np.ndarray, start: np.ndarray) -> pa.Recor
 
 def _sorted_in_groups(contexts: DataFrame, length: int) -> DataFrame:
     """(node, lo, hi): repeated starts, by sorting the strings of each name in place."""
-    n = int(contexts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = contexts.repartition(n, "h").sortWithinPartitions("h", "node", "lo")
-
-    def work(t: pa.RecordBatch):
-        row, start, key = _string_keys(t, length)
+    def work(batch: pa.RecordBatch, _) -> list[pa.RecordBatch]:
+        row, start, key = _string_keys(batch, length)  # the key tells names and offsets apart
         order = np.argsort(key, kind="stable")
         same = key[order[1:]] == key[order[:-1]]
         marked = np.zeros(len(key), dtype=bool)
         marked[order[1:][same]] = True
         marked[order[:-1][same]] = True
-        return _runs(t, row[marked], start[marked])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []  # the rows of the last name, which may go on
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 2000):
-                part = batch.slice(lo, 2000)
-                h = part.column("h").to_numpy(zero_copy_only=False)
-                if held and held[-1].column("h")[0].as_py() == h[-1]:
-                    held.append(part)
-                    continue
-                cut = int(np.searchsorted(h, h[-1], side="left"))
-                whole = pa.Table.from_batches([*held, part.slice(0, cut)]).combine_chunks()
-                held = [part.slice(cut)]
-                if whole.num_rows:
-                    out = work(whole.to_batches()[0])
-                    if out is not None:
-                        yield out
-        if held:
-            out = work(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
-            if out is not None:
-                yield out
+        out = _runs(batch, row[marked], start[marked])
+        return [] if out is None else [out]
 
-    return dealt.mapInArrow(run, "node binary, lo int, hi int")
+    return grouped(contexts, "h", "node binary, lo int, hi int", work, rows_at_once=2000)
 
 
 def _sorted_by_key(contexts: DataFrame, length: int) -> DataFrame:
@@ -295,7 +285,7 @@ def repeated_runs(texts: DataFrame, *, length: int = LENGTH, name: int = NAME,
               .select("node", F.struct("place", (F.col("crowd") | F.coalesce("big", F.lit(False)))
                                        .alias("crowd")).alias("p"))
               .groupBy("node").agg(F.collect_list("p").alias("places")))
-    held = _fetch(texts, named.select("node").distinct()).join(places, "node")
+    held = fetch(texts, named.select("node").distinct()).join(places, "node")
     contexts = _contexts(held, length, name)
     spans = _sorted_in_groups(contexts.filter("not crowd"), length)
     if len(hot) or big.limit(1).count():
@@ -333,14 +323,15 @@ def remove_repeats(df: DataFrame, text: str = "text", *, length: int = LENGTH, n
                      F.octet_length(text_of(text)).cast("long").alias("n_bytes"),
                      F.sha2(text_of(text), 256).alias("whole"))
     spans = reliable_checkpoint(repeated_runs(texts, length=length, name=name, crowd=crowd))
-    held = _fetch(texts, spans.select("node")).join(spans, "node")
+    held = fetch(texts, spans.select("node")).join(spans, "node")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for i in range(batch.num_rows):
                 raw = batch.column(1)[i].as_py().encode()
-                gone = covered([(s["lo"], s["hi"]) for s in batch.column(2)[i].as_py()], length)
+                starts = [(s["lo"], s["hi"]) for s in batch.column(2)[i].as_py()]
+                gone = covered(starts + twins(raw, length, name), length)
                 rest = kept_of(raw, gone)
                 out.append((batch.column(0)[i].as_py(), len(raw) - len(rest), len(gone),
                             hashlib.sha256(rest).hexdigest()))
