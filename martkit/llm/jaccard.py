@@ -14,10 +14,12 @@ words in a bounded sample, so that unrelated sets seldom share a cell. Cells
 with the same members are one cell. Equal sets are one point.
 
 Links are wanted as components, so a cell needs no more work once all its
-points are connected. First, in rounds, each cell's points are compared with
-one pivot of the cell, which is linear; copies and near copies are connected
-then. In cells that still hold several components the tree is searched for all
-pairs of different components. Surviving pairs are verified on the full sets.
+points are connected. First, in rounds, every point proposes one neighbour
+that the tree lets through (in very wide cells: one pivot of the cell); that is
+linear, and copies and near copies are connected then. In cells that still hold
+several components the tree is searched for all pairs of different components,
+each pair in the first cell it shares. Surviving pairs are verified on the full
+sets.
 """
 
 from __future__ import annotations
@@ -28,6 +30,7 @@ from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,11 +43,12 @@ from .repeats import (SAMPLE_TEXTS, binary16, components, fetch, grouped, hot_ke
 
 SHINGLE = 5
 PERCENT = 80          # linked: 100 * intersection >= PERCENT * union
-GROUPS = 256          # coordinates of a point
+FEWEST_GROUPS = 16    # coordinates of a point of a small set
 LEAF = 32             # points of a leaf box
 BLOCK = 512           # points of a cell that one task searches against another block
-WIDE = 4096           # points of a cell up to which companionless points are dropped first
-MAX_STARS = 6         # pivot rounds before the trees are searched
+WIDE = 4096           # points of a cell above which proposals go to one pivot of the cell
+PROPOSALS = 2         # rounds in which every point proposes a neighbour
+MAX_ROUNDS = 8        # rounds of pivots, while wide cells shrink, before all pairs are searched
 COMMON_WORDS = 1 << 16  # words whose sampled frequency orders the shingles
 
 
@@ -121,10 +125,19 @@ def node_of(shingles: np.ndarray) -> bytes:
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest() if len(shingles) else b""
 
 
-def point_of(shingles: np.ndarray, groups: int = GROUPS) -> bytes:
+def groups_of(n: int) -> int:
+    """Coordinates of a set of n: a power of two, between n / 8 and n / 4 for larger sets.
+
+    Two unrelated sets then differ by about 0.4 n, twice what linked sets may.
+    """
+    return max(FEWEST_GROUPS, 1 << max(0, n.bit_length() - 3))
+
+
+def point_of(shingles: np.ndarray) -> bytes:
     """The set's size and the counts of its shingles by group, packed; linked sets are near."""
-    h = shingles.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)
-    counts = np.bincount((h % np.uint64(groups)).astype(np.int64), minlength=groups)
+    groups = groups_of(len(shingles))
+    h = shingles.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)
+    counts = np.bincount((h & np.uint64(groups - 1)).astype(np.int64), minlength=groups)
     return (np.array([len(shingles)], "<u4").tobytes()
             + np.minimum(counts, _FULL).astype("<u2").tobytes())
 
@@ -132,15 +145,24 @@ def point_of(shingles: np.ndarray, groups: int = GROUPS) -> bytes:
 _FULL = 65535  # a coordinate that is full may be any larger count
 
 
-def unpacked(points: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(sizes, counts) of packed points; full coordinates bound nothing."""
-    raw = points.to_pylist()
-    if not raw:
-        return np.zeros(0, np.int64), np.zeros((0, GROUPS), np.int32)
-    rows = np.frombuffer(b"".join(raw), np.uint8).reshape(len(raw), -1)
-    sizes = np.ascontiguousarray(rows[:, :4]).view("<u4")[:, 0].astype(np.int64)
-    counts = np.ascontiguousarray(rows[:, 4:]).view("<u2").astype(np.int32)
-    counts[counts == _FULL] = 1 << 30
+def unpacked(points: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(sizes, counts) of packed points, folded to the fewest coordinates among them.
+
+    Groups are nested, so counts at half the resolution are sums of two. Full
+    coordinates bound nothing.
+    """
+    if not len(points):
+        return np.zeros(0, np.int64), np.zeros((0, FEWEST_GROUPS), np.int32)
+    widths = np.array([len(p) for p in points])
+    groups = (widths.min() - 4) // 2
+    sizes, counts = np.zeros(len(points), np.int64), np.zeros((len(points), groups), np.int32)
+    for w in np.unique(widths).tolist():
+        at = np.flatnonzero(widths == w)
+        rows = np.frombuffer(b"".join(points[i] for i in at.tolist()), np.uint8).reshape(len(at), w)
+        sizes[at] = np.ascontiguousarray(rows[:, :4]).view("<u4")[:, 0]
+        wide = np.ascontiguousarray(rows[:, 4:]).view("<u2").astype(np.int64)
+        wide[wide == _FULL] = 1 << 30
+        counts[at] = np.minimum(wide.reshape(len(at), -1, groups).sum(1), 1 << 30)
     return sizes, counts
 
 
@@ -155,7 +177,7 @@ def needed(n_a, n_b, percent: int = PERCENT):
 
 
 class CountTree:
-    """R-tree over count vectors, packed by size and then by the first coordinates."""
+    """R-tree over count vectors of one resolution, packed by size, then by the first coordinates."""
 
     def __init__(self, sizes: np.ndarray, points: np.ndarray, leaf: int = LEAF) -> None:
         self.order = np.lexsort((points[:, 1], points[:, 0], sizes))
@@ -235,110 +257,179 @@ def _memberships(texts: DataFrame, order: Order, percent: int, size: int) -> Dat
 
 
 def _points(named: DataFrame, outputs: str, size: int, order: Order) -> DataFrame:
-    """(node, ...) with ``point`` or ``set`` of the texts of ``named`` (node, t)."""
+    """(node, n, point or set) of the texts of ``named`` (node, t)."""
     kind = {"point binary": pa.binary(), "set array<long>": pa.list_(pa.int64())}[outputs]
 
     def make():
         def work(texts: pa.Array):
-            sets = shingle_sets(texts, size, order)
-            return [pa.array([point_of(s) if kind == pa.binary() else s for s in sets],
-                             kind)]
+            sets = list(shingle_sets(texts, size, order))
+            return [pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array([point_of(s) if kind == pa.binary() else s for s in sets], kind)]
 
         return work
 
-    return add_columns(named, "t", outputs, make, ["node"])
+    return add_columns(named, "t", f"n long, {outputs}", make, ["node"])
 
 
 @F.arrow_udf(T.BooleanType())
 def may_link(point_a: pa.Array, point_b: pa.Array, percent: pa.Array) -> pa.Array:
     """The summed coordinate minima of two points allow a link."""
-    n_a, a = unpacked(point_a)
-    n_b, b = unpacked(point_b)
-    p = percent.to_numpy(zero_copy_only=False).astype(np.int64)
-    return pa.array(overlap_bound(a, b) >= needed(n_a, n_b, p), pa.bool_())
-
-
-def _verified(pairs: DataFrame, points: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The linked ones of the distinct pairs (a, b): bound by the points, then by the full sets."""
+    ok = np.zeros(len(point_a), dtype=bool)
+    pairs = list(zip(point_a.to_pylist(), point_b.to_pylist()))
+    width = np.array([min(len(a), len(b)) for a, b in pairs], dtype=np.int64)
+    for w in np.unique(width).tolist():  # pairs are compared at their coarser resolution
+        at = np.flatnonzero(width == w)
+        n, c = unpacked([x for i in at.tolist() for x in pairs[i]])
+        p = percent.to_numpy(zero_copy_only=False)[at].astype(np.int64)
+        ok[at] = overlap_bound(c[::2], c[1::2]) >= needed(n[::2], n[1::2], p)
+    return pa.array(ok, pa.bool_())
+
+
+def _bounded(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
+    """The pairs (g, a, b) whose points allow a link."""
     left = points.select(F.col("node").alias("a"), F.col("point").alias("pa"))
     right = points.select(F.col("node").alias("b"), F.col("point").alias("pb"))
-    near = (pairs.join(left, "a").join(right, "b")
-            .filter(may_link("pa", "pb", F.lit(percent).cast("long"))).select("a", "b"))
-    left = sets.select(F.col("node").alias("a"), F.col("set").alias("sa"))
-    right = sets.select(F.col("node").alias("b"), F.col("set").alias("sb"))
-    both = near.join(left, "a").join(right, "b")
-    i = F.size(F.array_intersect("sa", "sb"))
-    return (both.withColumn("i", i)
-            .filter(100 * F.col("i") >= percent * (F.size("sa") + F.size("sb") - F.col("i")))
-            .select("a", "b"))
+    return (pairs.join(left, "a").join(right, "b")
+            .filter(may_link("pa", "pb", F.lit(percent).cast("long"))).select("g", "a", "b"))
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The linked ones (a, b) of the pairs (g, a, b), on the full sets.
+
+    A set goes once to each group ``g`` that needs it, however many pairs it has there.
+    """
+    once = pairs.groupBy("a", "b").agg(F.min("g").alias("g"))
+    ends = once.select("g", F.explode(F.array("a", "b")).alias("node")).distinct()
+    rows = (ends.join(sets.select("node", "set"), "node")
+            .select("g", F.col("node").alias("a"), F.lit(None).cast("binary").alias("b"), "set")
+            .unionByName(once.select("g", "a", "b",
+                                     F.lit(None).cast("array<long>").alias("set"))))
+
+    def work(batch: pa.RecordBatch, starts: np.ndarray) -> list[pa.RecordBatch]:
+        g = batch.column("g").to_numpy(zero_copy_only=False)
+        first, second = batch.column("a").to_pylist(), batch.column("b").to_pylist()
+        held = {(g[i], first[i]): batch.column("set")[i].values.to_numpy()
+                for i in range(batch.num_rows) if second[i] is None}
+        linked = []
+        for i in range(batch.num_rows):
+            if second[i] is not None:
+                x, y = held[g[i], first[i]], held[g[i], second[i]]
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                if 100 * both >= percent * (len(x) + len(y) - both):
+                    linked.append(i)
+        rows = batch.take(pa.array(linked, pa.int64())).select(["a", "b"])
+        return [rows] if linked else []
+
+    return grouped(rows, "g", "a binary, b binary", work)
 
 
 def _blocks(live: DataFrame, points: DataFrame) -> DataFrame:
     """Rows (g, node, comp, point, own, lo, hi): the points of each pair of blocks of a cell.
 
-    A cell's points are dealt into blocks of about BLOCK; every pair of blocks
-    is a group ``g`` of its own, so no task needs a whole cell.
+    A cell is split by size first: a part holds the sets of n in [2^k, 2^(k+1))
+    and those of up to a quarter more, which may be linked with them. Its
+    points are dealt into blocks of about BLOCK; every pair of blocks is a
+    group ``g`` of its own, so no task needs a whole cell.
     """
-    sizes = live.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    return (live.join(points.select("node", "point"), "node").join(sizes, "cell")
+    level = F.floor(F.log2("n")).cast("int")
+    parts = F.when(F.col("n") * 4 <= 5 * F.pow(F.lit(2), level), F.array(level, level - 1)
+                   ).otherwise(F.array(level))
+    rows = (live.join(points.select("node", "n", "point"), "node")
+            .withColumn("level", level).withColumn("part", F.explode(parts)))
+    sizes = rows.groupBy("cell", "part").agg(
+        F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"),
+        F.count("*").alias("members")).filter("members > 1")
+    return (rows.join(sizes, ["cell", "part"])
             .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .select("node", "comp", "point", "own", F.least("own", "other").alias("lo"),
-                    F.greatest("own", "other").alias("hi"),
-                    F.xxhash64("cell", F.least("own", "other"), F.greatest("own", "other"))
-                    .alias("g")))
+            .withColumn("lo", F.least("own", "other"))
+            .withColumn("hi", F.greatest("own", "other"))
+            .withColumn("g", F.xxhash64("cell", "part", "lo", "hi"))
+            .select("g", "lo", "hi", "own", "point", *live.columns))
 
 
 def _tree_pairs(batch: pa.RecordBatch, starts: np.ndarray, percent: int):
     """(first, second) row numbers of the pairs that the trees of each group let through."""
-    sizes, points = unpacked(batch.column("point"))
+    packed = batch.column("point").to_pylist()
     own, lo, hi = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("own", "lo", "hi"))
     ends = np.append(starts[1:], batch.num_rows)
     for a, b in zip(starts.tolist(), ends.tolist()):
         if b - a < 2:
             continue
-        left, right = a + np.flatnonzero(own[a:b] == lo[a]), a + np.flatnonzero(own[a:b] == hi[a])
+        left, right = np.flatnonzero(own[a:b] == lo[a]), np.flatnonzero(own[a:b] == hi[a])
         if len(left) and len(right):
+            sizes, points = unpacked(packed[a:b])
             tree = CountTree(sizes[left], points[left])
             q, at = tree.search(sizes[right], points[right], percent)
-            i, j = left[at], right[q]
+            i, j = a + left[at], a + right[q]
             ok = i < j if lo[a] == hi[a] else i != j
             if ok.any():
                 yield i[ok], j[ok]
 
 
-def _companions(cells: DataFrame, points: DataFrame, percent: int) -> DataFrame:
-    """The rows of ``cells`` whose points have a neighbour there that the trees let through.
+def _proposed(live: DataFrame, points: DataFrame, percent: int, turn: int) -> DataFrame:
+    """(g, cell, node, mate) of the points of ``live`` that the trees give a neighbour.
 
-    Only cells of up to WIDE points are searched; the rows of wider ones all stay.
+    ``mate`` is the neighbour of another component that comes first in the
+    turn's random order (null if there is none).
     """
-    sizes = cells.groupBy("cell").agg(F.count("*").alias("k")).filter("k > 1")
-    sized = cells.join(sizes, "cell")
-    narrow = sized.filter(F.col("k") <= WIDE).select("cell", "node").withColumn(
-        "comp", F.col("cell"))  # carries the cell
-
     def work(batch: pa.RecordBatch, starts: np.ndarray) -> list[pa.RecordBatch]:
+        rank = batch.column("rank").to_numpy(zero_copy_only=False)
+        comps = pc.dictionary_encode(batch.column("comp")).indices.to_numpy(zero_copy_only=False)
+        mate = np.full(batch.num_rows, -1)
         seen = np.zeros(batch.num_rows, dtype=bool)
         for i, j in _tree_pairs(batch, starts, percent):
             seen[i] = seen[j] = True
-        kept = batch.filter(pa.array(seen)).select(["comp", "node"])
-        return [kept.rename_columns(["cell", "node"])] if kept.num_rows else []
+            a, b = np.concatenate([i, j]), np.concatenate([j, i])
+            other = comps[a] != comps[b]
+            a, b = a[other], b[other]
+            order = np.lexsort((rank[b], a))
+            first = np.ones(len(a), dtype=bool)
+            first[1:] = a[order[1:]] != a[order[:-1]]
+            mate[a[order[first]]] = b[order[first]]
+        at = np.flatnonzero(seen)
+        if not len(at):
+            return []
+        mates = batch.column("node").take(pa.array(mate[at], mask=mate[at] < 0))
+        rows = batch.take(pa.array(at))
+        return [pa.RecordBatch.from_arrays(
+            [rows.column("g"), rows.column("cell"), rows.column("node"), mates],
+            names=["g", "cell", "node", "mate"])]
 
-    found = grouped(_blocks(narrow, points), "g", "cell long, node binary", work).distinct()
-    return found.unionByName(sized.filter(F.col("k") > WIDE).select("cell", "node"))
+    ranked = live.withColumn("rank", F.xxhash64("node", F.lit(turn)))
+    return grouped(_blocks(ranked, points), "g", "g long, cell long, node binary, mate binary",
+                   work)
 
 
 def _searched(live: DataFrame, points: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of different components of a cell that the cell's trees let through."""
+    """Pairs (g, a, b) of different components of a cell that the cell's trees let through.
+
+    A pair is told in the first of the cells that it shares.
+    """
+    lists = live.groupBy("node").agg(F.collect_set("cell").alias("cells"))
+
     def work(batch: pa.RecordBatch, starts: np.ndarray) -> list[pa.RecordBatch]:
         nodes, comps = batch.column("node").to_pylist(), batch.column("comp").to_pylist()
-        out = {(min(nodes[i], nodes[j]), max(nodes[i], nodes[j]))
+        cells, lists = batch.column("cell").to_pylist(), batch.column("cells")
+        sets: dict[int, set[int]] = {}
+
+        def held(i: int) -> set[int]:
+            if i not in sets:
+                sets[i] = set(lists[i].as_py())
+            return sets[i]
+
+        groups = batch.column("g").to_pylist()
+        out = {(groups[i], min(nodes[i], nodes[j]), max(nodes[i], nodes[j]))
                for left, right in _tree_pairs(batch, starts, percent)
-               for i, j in zip(left.tolist(), right.tolist()) if comps[i] != comps[j]}
+               for i, j in zip(left.tolist(), right.tolist())
+               if comps[i] != comps[j] and min(held(i) & held(j)) == cells[i]}
         return [pa.RecordBatch.from_arrays(
-            [pa.array([p[k] for p in out], pa.binary()) for k in (0, 1)], names=["a", "b"])]
+            [pa.array([p[k] for p in out], kind)
+             for k, kind in enumerate((pa.int64(), pa.binary(), pa.binary()))],
+            names=["g", "a", "b"])]
 
-    return grouped(_blocks(live, points), "g", "a binary, b binary", work).distinct()
+    return grouped(_blocks(live.join(lists, "node"), points), "g",
+                   "g long, a binary, b binary", work)
 
 
 def linked_sets(docs: DataFrame, texts: DataFrame, order: Order, *, percent: int = PERCENT,
@@ -362,39 +453,52 @@ def linked_sets(docs: DataFrame, texts: DataFrame, order: Order, *, percent: int
 
     points = reliable_checkpoint(_points(named(cells.select("node").distinct()), "point binary",
                                          size, order))
-    cells = reliable_checkpoint(_companions(cells, points, percent))
+    wide = (cells.groupBy("cell").agg(F.count("*").alias("k")).filter(F.col("k") > WIDE)
+            .select("cell"))
+    start = cells.withColumn("comp", F.col("node"))
+    mates = reliable_checkpoint(_proposed(start.join(wide, "cell", "left_anti"), points, percent, 0))
+    crowd = reliable_checkpoint(start.join(wide, "cell", "left_semi"))
+    cells = reliable_checkpoint(mates.select("cell", "node").distinct()
+                                .unionByName(crowd.select("cell", "node")))
     inside = reliable_checkpoint(cells.select("node").distinct())
     points = points.join(inside, "node", "left_semi")
     sets = reliable_checkpoint(_points(named(inside), "set array<long>", size, order))
     edges = texts.sparkSession.createDataFrame([], "a binary, b binary")
-    comps = None
-    live, before = cells.withColumn("comp", F.col("node")), None
-    for turn in range(MAX_STARS + 1):
-        if comps is not None:
-            live = (cells.join(comps, "node", "left")
-                    .select("cell", "node", F.coalesce("comp", "node").alias("comp")))
-            mixed = (live.groupBy("cell").agg(F.min("comp").alias("x"), F.max("comp").alias("y"),
-                                              F.count("*").alias("k"))
-                     .filter("x <> y and k > 2"))  # a pair is settled by its pivot
-            live = reliable_checkpoint(live.join(mixed.select("cell"), "cell", "left_semi"))
-            cells = live.select("cell", "node")
-            k = live.groupBy("cell").count()
-            size_now, work = k.agg(F.coalesce(F.sum("count"), F.lit(0)),
-                                   F.coalesce(F.sum(F.col("count") * F.col("count")), F.lit(0))
-                                   ).first()
-            if not size_now:
-                return comps
-            if turn == MAX_STARS or work <= 64 * size_now or (before and size_now > 0.9 * before):
-                break
-            before = size_now
-        pivot = live.groupBy("cell").agg(F.min(F.struct(
+    before = None
+    for turn in range(MAX_ROUNDS):
+        pivot = crowd.groupBy("cell").agg(F.min(F.struct(
             F.xxhash64("node", F.lit(turn)).alias("o"), "node", "comp")).alias("p"))
-        pairs = (live.join(pivot, "cell").filter("comp <> p.comp")
-                 .select(F.least("node", "p.node").alias("a"),
-                         F.greatest("node", "p.node").alias("b")).distinct())
-        edges = reliable_checkpoint(edges.union(_verified(pairs, points, sets, percent)))
+        pivot = pivot.join(crowd.groupBy("cell").agg(
+            F.ceil(F.count("*") / BLOCK).alias("parts")), "cell")
+        part = F.pmod(F.xxhash64("node"), F.col("parts"))  # a pivot meets a cell in parts
+        pairs = (crowd.join(pivot, "cell").filter("comp <> p.comp")
+                 .select(F.xxhash64("cell", part).alias("g"), F.least("node", "p.node").alias("a"),
+                         F.greatest("node", "p.node").alias("b")))
+        pairs = _bounded(pairs, points, percent)
+        if mates is not None:
+            pairs = pairs.unionByName(mates.filter("mate is not null").select(
+                "g", F.least("node", "mate").alias("a"), F.greatest("node", "mate").alias("b")))
+        edges = reliable_checkpoint(edges.union(_verified(pairs, sets, percent)))
         comps = reliable_checkpoint(components(edges))
-    found = reliable_checkpoint(_verified(_searched(live, points, percent), points, sets, percent))
+        live = (cells.join(comps, "node", "left")
+                .select("cell", "node", F.coalesce("comp", "node").alias("comp")))
+        mixed = (live.groupBy("cell").agg(F.min("comp").alias("x"), F.max("comp").alias("y"),
+                                          F.count("*").alias("k"))
+                 .filter("x <> y and k > 2"))  # a cell of two is settled by the first proposals
+        live = reliable_checkpoint(
+            live.join(mixed.select("cell", (F.col("k") > WIDE).alias("wide")), "cell"))
+        left, many = live.agg(F.count("*"), F.count_if("wide")).first()
+        if not left:
+            return comps
+        if turn + 1 >= PROPOSALS and (not many or (before and many > 0.9 * before)):
+            break
+        before = many
+        cells = live.select("cell", "node")
+        crowd = live.filter("wide").drop("wide")
+        mates = (reliable_checkpoint(_proposed(live.filter("not wide").drop("wide"), points, percent,
+                                               turn + 1)) if turn + 1 < PROPOSALS else None)
+    live = live.drop("wide")
+    found = reliable_checkpoint(_verified(_searched(live, points, percent), sets, percent))
     if found.isEmpty():
         return comps
     return reliable_checkpoint(components(edges.union(found)))
