@@ -98,7 +98,7 @@ def _alike(a: Column, b: Column) -> Column:
         lambda i: F.substring(s, i, F.lit(GRAM)))
     longest = F.greatest(F.length(a), F.length(b))
     gate = F.least(F.length(a), F.length(b)) < GRAM
-    return F.when(a == b, 1.0).when(
+    return F.when(longest == 0, 0.0).when(a == b, 1.0).when(
         ~gate & ~F.arrays_overlap(grams(a), grams(b)), 0.0).otherwise(
         1 - F.levenshtein(a, b) / longest)
 
