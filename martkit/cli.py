@@ -32,7 +32,7 @@ from .operators.cache import reliable_checkpoint
 from .operators.joins import Table, join_program, join_using
 from .plans.pipelines import REFERENCE, pipeline_v1, pipeline_v2, pipeline_v3, warehouse
 from .session import build_session
-from .sinks.console import head_rows, preview, timed
+from .sinks.console import preview, timed
 from .sinks.files import write_parquet
 from .sinks.jdbc import write_jdbc, write_sqlite
 from .sources.documents import flatten_products
@@ -74,12 +74,18 @@ class Store:
     partition_column: str | None = None
     num_partitions: int | None = None
 
+    def path(self, spark: SparkSession, table: str) -> str:
+        """The fully qualified path of a table: ``t`` or, if only that exists, ``t.parquet``."""
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        plain = jvm.org.apache.hadoop.fs.Path(os.path.join(self.root, table))
+        fs = plain.getFileSystem(conf)
+        named = jvm.org.apache.hadoop.fs.Path(os.path.join(self.root, table + ".parquet"))
+        found = named if not fs.exists(plain) and fs.exists(named) else plain
+        return fs.makeQualified(found).toString()
+
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         if self.kind == "parquet":
-            path = os.path.join(self.root, table)
-            if not os.path.exists(path) and os.path.exists(path + ".parquet"):
-                path += ".parquet"
-            return read_parquet(spark, path)
+            return read_parquet(spark, self.path(spark, table))
         if self.partition_column:
             return read_jdbc(spark, self.conf, table, self.partition_column,
                              self.num_partitions or spark.sparkContext.defaultParallelism)
@@ -88,15 +94,17 @@ class Store:
         return read_jdbc(spark, self.conf, table, single_partition=True)
 
     def write(self, df: DataFrame, table: str, sources: list[tuple["Store", str]]) -> None:
+        spark = df.sparkSession
+        jdbc_sources = [(s.conf, n) for s, n in sources if s.kind == "jdbc"]
         if self.kind == "parquet":
+            target = self.path(spark, table)
             for store, name in sources:
-                if store.kind == "parquet" and store.root == self.root and name == table:
+                if store.kind == "parquet" and store.path(spark, name) == target:
                     raise ValueError(f"refusing to overwrite {table!r}: it is also an input")
-            write_parquet(df, os.path.join(self.root, table))
+            write_parquet(df, target)
         elif self.conf.rdbms == "sqlite":
-            write_sqlite(df, self.conf.database, table)
+            write_sqlite(df, self.conf.database, table, sources=jdbc_sources)
         else:
-            jdbc_sources = [(s.conf, n) for s, n in sources if s.kind == "jdbc"]
             write_jdbc(df, self.conf, table, sources=jdbc_sources)
 
 
@@ -230,10 +238,9 @@ def build_parser() -> argparse.ArgumentParser:
     _add_store_args(p)
     p.add_argument("--input", help="table with a text column")
     p.add_argument("--text", action="append", help="literal line(s) instead of --input")
-    p.add_argument("--limit", type=int, default=1000, help="pairs printed without --output")
     p.add_argument("--column", default="text")
     p.add_argument("--drop-trailing-empty", action="store_true")
-    p.add_argument("--output", help="table to write; printed when omitted")
+    p.add_argument("--output", help="table to write; needed with --input, else all pairs are printed")
     return ap
 
 
@@ -246,11 +253,11 @@ def run(argv: list[str] | None = None) -> dict:
     read = lambda name: src.read(spark, name)
     written: dict[str, float] = {}
 
-    def write(df: DataFrame, table: str, inputs: list[str]) -> None:
-        _, sec = timed(lambda: dst.write(df, table, [(src, n) for n in inputs]))
+    def write(df: DataFrame, table: str, inputs: list[str], store: Store | None = None) -> None:
+        _, sec = timed(lambda: dst.write(df, table, [(store or src, n) for n in inputs]))
         written[table] = round(sec, 3)
         if args.preview:
-            preview(spark.read.parquet(os.path.join(dst.root, table)) if dst.kind == "parquet"
+            preview(dst.read(spark, table) if dst.kind == "parquet"
                     else df)
 
     def write_star(flat: DataFrame, roles) -> None:
@@ -312,7 +319,7 @@ def run(argv: list[str] | None = None) -> dict:
         write_star(read(args.input), roles)
         # Later steps read the star tables just written, as the original does
         # between its jobs; each output is one plan over them.
-        product, brand, category = read("product"), read("brand"), read("category")
+        product, brand, category = (dst.read(spark, t) for t in ("product", "brand", "category"))
         tables = ["product", "brand", "category"]
         if args.version == "v1":
             outs = pipeline_v1(product, brand, roles)
@@ -324,7 +331,7 @@ def run(argv: list[str] | None = None) -> dict:
             outs = outs.checkpointed()
         with outs:
             for name in outs:
-                write(outs[name], name, tables)
+                write(outs[name], name, tables, store=dst)
     elif args.job == "wordcount":
         if args.text:
             source, inputs = text_frame(spark, args.text, args.column), []
@@ -335,9 +342,11 @@ def run(argv: list[str] | None = None) -> dict:
         df = word_count(source, args.column, drop_trailing_empty=args.drop_trailing_empty)
         if args.output:
             write(df, args.output, inputs)
-        else:  # print (word, count) pairs, bounded, as the original job does
-            for row in head_rows(df.orderBy("word"), args.limit):
+        elif args.text:  # every pair; the command line bounds them
+            for row in df.orderBy("word").collect():
                 print(row["word"], row["n"])
+        else:
+            raise SystemExit("wordcount of a table needs --output (use --preview to look at it)")
     report = {"job": args.job, "written_sec": written}
     print(json.dumps(report))
     return report

@@ -8,7 +8,6 @@ third of all rows is reduced to one row per task before it moves.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator, Mapping, Sequence
-from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
@@ -19,8 +18,6 @@ from ..spec import AggSpec, Expr
 from .cache import reliable_checkpoint
 from .filter import filter_optional, quiet_analysis, to_column
 
-_TAG = "__martkit_spec"
-
 
 def _cols(exprs: Iterable[Expr]) -> list[Column]:
     return [to_column(e) for e in exprs]
@@ -46,6 +43,20 @@ def resolves_on(df: DataFrame, predicate: Expr) -> bool:
         return False
 
 
+def computes_on(df: DataFrame, expr: Expr) -> bool:
+    """Whether ``expr`` uses ``df``'s own columns only.
+
+    Stricter than ``resolves_on``: a filter may reach columns below a
+    projection, which a select may not.
+    """
+    try:
+        with quiet_analysis():
+            df.select(to_column(expr))
+        return True
+    except AnalysisException:
+        return False
+
+
 def aggregate(
     df: DataFrame,
     keys: Sequence[Expr],
@@ -161,46 +172,24 @@ def _combine(df: DataFrame, specs: Sequence[AggSpec]):
     """One aggregate computing every spec, and a function deriving each spec
     as a projection of that aggregate (or of a checkpointed copy of it).
 
-    Specs sharing group keys and WHERE share one aggregate node; specs that
-    differ are tagged per row (one ``explode`` of a small literal array, before
-    the partial aggregate) and grouped by (tag, keys) together.
+    Specs with the same group keys and WHERE are one aggregate. Specs that
+    differ share the input instead: it is what is held, and each is its own
+    aggregate over it, so no spec evaluates another's expressions on rows that
+    its WHERE leaves out, and a keyless one keeps its row on empty input.
     """
-    # Specs with the same keys and WHERE form one group (one tag value).
-    group_of: dict[tuple[str, str], int] = {}
-    spec_group: list[int] = []
-    for s in specs:
-        sig = (repr([str(k) for k in s.keys]), str(s.where) if not _blank(s.where) else "")
-        spec_group.append(group_of.setdefault(sig, len(group_of)))
-    n_groups = len(group_of)
-    group_rep = {g: specs[spec_group.index(g)] for g in range(n_groups)}
-
-    if n_groups == 1:
-        base = filter_optional(df, group_rep[0].where)
-        key_slots = {0: [(f"__martkit_k0_{j}", to_column(k)) for j, k in enumerate(group_rep[0].keys)]}
-        group_cols = [c.alias(n) for n, c in key_slots[0]]
-    else:
-        tags = F.array(*[F.lit(g) for g in range(n_groups)])
-        base = df.withColumn(_TAG, F.explode(tags))
-        conds = []
-        for g in range(n_groups):
-            cond = F.col(_TAG) == g
-            if not _blank(group_rep[g].where):
-                cond = cond & to_column(group_rep[g].where)
-            conds.append(cond)
-        base = base.filter(reduce(lambda a, b: a | b, conds))
-        key_slots = {
-            g: [
-                (f"__martkit_k{g}_{j}", F.when(F.col(_TAG) == g, to_column(k)))
-                for j, k in enumerate(group_rep[g].keys)
-            ]
-            for g in range(n_groups)
-        }
-        group_cols = [F.col(_TAG)] + [c.alias(n) for g in range(n_groups) for n, c in key_slots[g]]
+    groups = {(repr([str(k) for k in s.keys]), str(s.where) if not _blank(s.where) else "")
+              for s in specs}
+    if len(groups) > 1:
+        return df, lambda frame: {
+            s.name: aggregate(frame, s.keys, s.aggs, where=s.where, having=s.having)
+            for s in specs}
+    base = filter_optional(df, specs[0].where)
+    slots = [(f"__martkit_k{j}", to_column(k)) for j, k in enumerate(specs[0].keys)]
+    group_cols = [c.alias(n) for n, c in slots]
 
     agg_cols: list[Column] = []
     plans = []
     for i, s in enumerate(specs):
-        g = spec_group[i]
         key_names, agg_names = _output_names(filter_optional(df, s.where), s.keys, s.aggs)
         internal = [f"__martkit_a{i}_{j}" for j in range(len(s.aggs))]
         agg_cols += [to_column(a).alias(n) for a, n in zip(s.aggs, internal)]
@@ -215,20 +204,18 @@ def _combine(df: DataFrame, specs: Sequence[AggSpec]):
             else:
                 flag = f"__martkit_h{i}"
                 agg_cols.append(to_column(s.having).alias(flag))
-        plans.append((s, g, key_names, agg_names, internal, flag, post))
+        plans.append((key_names, agg_names, internal, flag, post))
 
     combined = base.groupBy(*group_cols).agg(*agg_cols)
 
     def derive(frame: DataFrame) -> dict[str, DataFrame]:
         outputs: dict[str, DataFrame] = {}
-        for s, g, key_names, agg_names, internal, flag, post in plans:
+        for s, (key_names, agg_names, internal, flag, post) in zip(specs, plans):
             part = frame
-            if n_groups > 1:
-                part = part.filter(F.col(_TAG) == g)
             if flag:
                 part = part.filter(F.col(flag))
             part = part.select(
-                *[F.col(slot).alias(name) for (slot, _), name in zip(key_slots[g], key_names)],
+                *[F.col(slot).alias(name) for (slot, _), name in zip(slots, key_names)],
                 *[F.col(n).alias(name) for n, name in zip(internal, agg_names)],
             )
             if post is not None:

@@ -8,6 +8,7 @@ broadcast only when the caller names it *and* a bounded probe proves it small.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -65,17 +66,6 @@ def _row_bytes(df: DataFrame):
     return total
 
 
-# Broadcast decisions by (plan, input files, bounds). A decision only picks a
-# physical strategy, never the result, so a stale entry can cost speed but not
-# rows. Frames that read no files are decided afresh every time.
-_DECISIONS: dict[tuple, bool] = {}
-
-
-def clear_probe_cache() -> None:
-    _DECISIONS.clear()
-    _HOT.clear()
-
-
 def probe_frame(df: DataFrame) -> DataFrame:
     """One row: the side's row count and payload bytes.
 
@@ -106,18 +96,11 @@ def broadcast_if_bounded(
     pass; a side that turns out large costs that pass and the join stays a
     shuffle join. When Catalyst's metadata estimate is already far over the
     byte bound, no probe runs at all, so only sides estimated within a few
-    times the bound are ever scanned. File-based sides are decided once per
-    plan and set of input files. Returns the (possibly hinted) frame and the
+    times the bound are ever scanned. Every call decides afresh: a table may
+    have grown since the last one. Returns the (possibly hinted) frame and the
     decision.
     """
-    files = tuple(sorted(df.inputFiles()))
-    key = (df.semanticHash(), files, max_rows, max_bytes) if files else None
-    if key is not None and key in _DECISIONS:
-        ok = _DECISIONS[key]
-    else:
-        ok = _within_bounds(df, max_rows, max_bytes)
-        if key is not None:
-            _DECISIONS[key] = ok
+    ok = _within_bounds(df, max_rows, max_bytes)
     return (F.broadcast(df) if ok else df), ok
 
 
@@ -135,7 +118,8 @@ def salt_column(df: DataFrame, buckets: int):
     The hash covers the whole row and the input partition the row is read in.
     Distinct rows of a hot key spread by content; identical copies of one row
     (a group of copies can hold a third of all rows) spread by the partition
-    they come from, and at scale such a group spans many input splits. Both
+    they come from: at scale such a group spans many input splits, but after a
+    shuffle on the key it stands in one partition and is not spread. Both
     inputs are fixed for a given task, so a task recomputed after an executor
     loss assigns every row the same bucket again; a row position or ``rand``
     would not be, because row order after a shuffle is not.
@@ -169,31 +153,19 @@ def _named(df: DataFrame, on: str) -> str:
     return next(c for c in df.columns if c.lower() == on.lower())
 
 
-# Hot-key detections by (plan, input files, key, settings); like broadcast
-# decisions they pick a strategy, never the rows.
-_HOT: dict[tuple, list] = {}
-
-
-def hot_keys(df: DataFrame, on: str, min_share: float = 0.01, k: int = 32) -> list:
+def hot_keys(df: DataFrame, on: str, min_share: float = 0.01) -> list:
     """Values of ``on`` holding at least ``min_share`` of ``df``'s rows.
 
     One aggregate pass: a mergeable frequent-items sketch (``approx_top_k``)
-    and a row count, so every task sends one small sketch and at most ``k``
-    values reach the driver. Nulls are left out (they never match; the salt
+    and a row count, so every task sends one small sketch and at most
+    ``1 / min_share`` values, which is as many as there can be, reach the driver. Nulls are left out (they never match; the salt
     spreads them anyway).
     """
-    files = tuple(sorted(df.inputFiles()))
-    memo = (df.semanticHash(), files, on.lower(), min_share, k) if files else None
-    if memo is not None and memo in _HOT:
-        return _HOT[memo]
     key = _named(df, on)
-    row = df.agg(F.expr(f"approx_top_k(`{key}`, {int(k)})").alias("top"),
+    row = df.agg(F.expr(f"approx_top_k(`{key}`, {math.ceil(1 / min_share)})").alias("top"),
                  F.count(F.lit(1)).alias("n")).first()
-    found = [r["item"] for r in (row["top"] or [])
-             if r["item"] is not None and r["count"] >= min_share * row["n"]]
-    if memo is not None:
-        _HOT[memo] = found
-    return found
+    return [r["item"] for r in (row["top"] or [])
+            if r["item"] is not None and r["count"] >= min_share * row["n"]]
 
 
 def salt_sides(left: DataFrame, right: DataFrame, on: str, buckets: int,
@@ -241,13 +213,13 @@ def _salted(left: DataFrame, right: DataFrame, on: str, how: str, buckets: int,
                  + [left.schema[c].dataType for c in rest_left]
                  + [right.schema[c].dataType for c in rest_right])
         preserved = _salted(left, right, on, "left" if how == "full" else "inner", buckets, hot)
-        lonely_right = right.join(left.select(lkey).distinct(), on=on, how="left_anti")
+        lonely_right = right.join(left.select(F.col(f"`{lkey}`")).distinct(), on=on, how="left_anti")
         return preserved.union(_padded(lonely_right, types, order))
     salted_left, salted_right = salt_sides(left, right, on, buckets, hot)
     joined = salted_left.join(salted_right, on=[on, _SALT], how=how)
     if how in ("left_semi", "left_anti"):
         return joined.drop(_SALT)
-    return joined.select(*order)
+    return joined.select(*[F.col(f"`{c}`") for c in order])
 
 
 def join_using(

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def dim_distinct(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -67,7 +68,11 @@ def require_unique_key(dim: DataFrame, key: str) -> DataFrame:
 def drop_duplicate_facts(fact: DataFrame, key: str) -> DataFrame:
     """Keep one row per ``key`` (opt-in; the original keeps duplicates).
 
-    Plans as a partial aggregate before the shuffle, so a key with very many
-    copies is collapsed per task first.
+    The smallest row by all columns in order stays, so every plan over the
+    result keeps the same one. Rows with a null key are no copies of each other
+    and all stay. A partial aggregate before the shuffle collapses a key with
+    very many copies per task first.
     """
-    return fact.dropDuplicates([key])
+    least = fact.filter(F.col(f"`{key}`").isNotNull()).groupBy(F.col(f"`{key}`").alias("__key")).agg(
+        F.min(F.struct(*[F.col(f"`{c}`") for c in fact.columns])).alias("__row"))
+    return least.select("__row.*").unionByName(fact.filter(F.col(f"`{key}`").isNull()))

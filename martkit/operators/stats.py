@@ -2,31 +2,22 @@
 
 from __future__ import annotations
 
-import contextlib
-import io
-import re
-
 from pyspark.sql import DataFrame
 
-_UNITS = {"B": 1, "KiB": 2**10, "MiB": 2**20, "GiB": 2**30, "TiB": 2**40, "PiB": 2**50,
-          "EiB": 2**60}
-
 
-def estimated_bytes(df: DataFrame) -> float | None:
-    """Catalyst's size estimate for ``df`` (from ``explain("cost")``, no job).
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate for ``df``, or None if it is unknown (no job).
 
-    Based on file sizes and the columns read. Used only to decline work: a
-    broadcast probe that could not succeed, or a spread of an input large
-    enough to be split into many tasks already. It never grants a broadcast.
+    The statistic is read as a number from the optimised plan. It is unknown
+    exactly where a leaf of the plan has Spark's default size (in-memory or
+    RDD-backed frames); a product of known sizes, however large, is an
+    estimate. Used only to decline work, such as a broadcast probe that could
+    not succeed. It never grants a broadcast.
     """
-    buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        df.explain("cost")
-    m = re.search(r"Statistics\(sizeInBytes=([0-9.E+]+) ([KMGTPE]?i?B)", buf.getvalue())
-    if not m:
-        return None
-    size = float(m.group(1)) * _UNITS.get(m.group(2), 1)
-    # Spark reports unknown sizes (in-memory or RDD-backed frames) as
-    # Long.MaxValue (8.0 EiB), scaled down by projections above them; such
-    # values mean "unknown", not "huge", so the probe decides.
-    return None if size >= 2**50 else size
+    plan = df._jdf.queryExecution().optimizedPlan()
+    unknown = df.sparkSession._jsparkSession.sessionState().conf().defaultSizeInBytes()
+    leaves = plan.collectLeaves()
+    for i in range(leaves.size()):
+        if int(str(leaves.apply(i).stats().sizeInBytes())) == unknown:
+            return None
+    return int(str(plan.stats().sizeInBytes()))

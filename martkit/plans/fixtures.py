@@ -18,7 +18,6 @@ from ..functions.text import split_words, word_count
 from ..operators.aggregate import aggregate
 from ..operators.filter import filter_optional, not_in, project, rename
 from ..operators.joins import Table, join_program, join_using
-from ..operators.partitioning import spread
 from ..operators.shape import dim_distinct, star_split
 from ..session import scratch_path
 from ..sinks.files import write_csv, write_parquet
@@ -278,7 +277,7 @@ QUERIES: dict[str, Query] = {
     "word_count": lambda s, d: word_count(table(s, d, "documents"), "text"),
     "word_count_trailing": lambda s, d: word_count(table(s, d, "documents"), "text",
                                                    drop_trailing_empty=True),
-    "fn_split_words": lambda s, d: spread(table(s, d, "documents").select("doc_id", "text")).select(
+    "fn_split_words": lambda s, d: table(s, d, "documents").select("doc_id", "text").select(
         "doc_id", F.size(split_words("text")).cast("bigint").alias("n_tokens")),
     # ingest
     "flatten_products": lambda s, d: flatten_products(_product_documents(s, d)).rows,

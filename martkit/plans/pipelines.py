@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.aggregate import resolves_on, aggregate, aggregate_many
+from ..operators.aggregate import aggregate, aggregate_many, computes_on, resolves_on
 from ..operators.cache import reliable_checkpoint
 from ..operators.filter import filter_optional, to_column
 from ..operators.joins import Table, join_program, join_using
@@ -139,10 +139,17 @@ def _numeric(df: DataFrame, column: str) -> bool:
     return isinstance(dtype, (T.IntegralType, T.FloatType, T.DoubleType))
 
 
+def _eager_average(product: DataFrame, roles: Roles) -> bool:
+    """The average can be pre-aggregated: on a filter over dimension columns it cannot."""
+    return (roles.eager and _numeric(product, roles.rating)
+            and (not roles.rating_filter or computes_on(product, roles.rating_filter)))
+
+
 def _average_parts(roles: Roles) -> list:
     """Partials of ``avg(rating)`` over rows passing ``rating_filter``."""
     passed = to_column(roles.rating_filter) if roles.rating_filter else F.lit(True)
-    rating = F.when(passed, F.col(roles.rating))
+    # As a double, as ``avg`` sums integral columns: large integers do not overflow.
+    rating = F.when(passed, F.col(roles.rating).cast("double"))
     return [
         F.sum(rating).alias("__sum_rating"),
         F.count(rating).alias("__cnt_rating"),
@@ -154,8 +161,6 @@ def _merged_average(roles: Roles):
     return F.round(F.try_divide(F.sum("__sum_rating"), F.sum("__cnt_rating")), 2).alias(
         roles.average_alias)
 
-FLAT_FACT_DROP = ("brand_name", "category_name")
-
 
 def warehouse(flat: DataFrame, roles: Roles = REFERENCE,
               dedupe: bool = False, unique_dims: bool = False) -> dict[str, DataFrame]:
@@ -244,7 +249,7 @@ def pipeline_v2(product: DataFrame, brand: DataFrame, category: DataFrame,
     ``agg_brand_average_rate``, ``agg_products_each_category``,
     ``category_brand_average``.
     """
-    eager = roles.eager and _numeric(product, roles.rating)
+    eager = _eager_average(product, roles)
 
     @cache
     def product_brand() -> DataFrame:
@@ -313,7 +318,7 @@ def pipeline_v3(product: DataFrame, brand: DataFrame, category: DataFrame,
     grouped pass over the full join (``operators.aggregate.SharedAggregates``).
     Outputs: ``agg_brand_average_rate``, ``agg_products_each_category``.
     """
-    if roles.eager and _numeric(product, roles.rating):
+    if _eager_average(product, roles):
         fact = filter_optional(product, roles.product_filter)
         partial = fact.groupBy(roles.brand_key, roles.category_key).agg(
             *_average_parts(roles), F.count(F.col(roles.id)).alias("__cnt_id"))

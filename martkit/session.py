@@ -70,7 +70,8 @@ def build_session(
     for key, value in SQL_DEFAULTS.items():
         if key not in explicit and not configured.contains(key):
             spark.conf.set(key, value)
-    ensure_checkpoint_dir(spark)
+    if checkpoint_dir(spark):  # only jobs that checkpoint need one
+        ensure_checkpoint_dir(spark)
     return spark
 
 

@@ -1,8 +1,8 @@
 """Sinks: files, relational databases, bounded console output."""
 
-from .console import head_rows, preview, run_noop, timed
+from .console import preview, run_noop, timed
 from .files import write_csv, write_parquet
 from .jdbc import bounded_writers, guard_overwrite, write_jdbc, write_sqlite
 
-__all__ = ["head_rows", "preview", "run_noop", "timed", "write_csv", "write_parquet",
+__all__ = ["preview", "run_noop", "timed", "write_csv", "write_parquet",
            "bounded_writers", "guard_overwrite", "write_jdbc", "write_sqlite"]

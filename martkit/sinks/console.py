@@ -16,11 +16,6 @@ def preview(df: DataFrame, n: int = 10, truncate: bool = True) -> None:
     df.show(n, truncate=truncate)
 
 
-def head_rows(df: DataFrame, n: int = 20) -> list:
-    """At most ``n`` rows on the driver (never an unbounded ``collect``)."""
-    return df.take(n)
-
-
 def timed(action: Callable[[], T]) -> tuple[T, float]:
     """Run ``action`` and return (result, elapsed seconds)."""
     start = time.perf_counter()

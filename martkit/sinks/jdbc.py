@@ -14,7 +14,14 @@ from ..spec import JdbcConf
 
 
 def _same_table(a: str, b: str) -> bool:
-    return a.strip().strip('"').lower() == b.strip().strip('"').lower()
+    """Whether two names may mean one table; a name without a schema may be in any."""
+    x, y = ([p.strip().strip('"`').lower() for p in n.split(".")] for n in (a, b))
+    short = min(len(x), len(y))
+    return x[-short:] == y[-short:]
+
+
+def _same_database(a: JdbcConf, b: JdbcConf) -> bool:
+    return jdbc_url(a).lower() == jdbc_url(b).lower()
 
 
 def guard_overwrite(conf: JdbcConf, table: str, sources: Iterable[tuple[JdbcConf, str]]) -> None:
@@ -23,9 +30,8 @@ def guard_overwrite(conf: JdbcConf, table: str, sources: Iterable[tuple[JdbcConf
     Spark truncates/drops the target before the lazy read happens, so the
     table would come back empty.
     """
-    target = jdbc_url(conf)
     for src_conf, src_table in sources:
-        if jdbc_url(src_conf) == target and _same_table(src_table, table):
+        if _same_database(src_conf, conf) and _same_table(src_table, table):
             raise ValueError(f"refusing to overwrite {table!r}: it is also an input of this plan")
 
 
@@ -70,7 +76,8 @@ def write_jdbc(
     bounded_writers(df, num_partitions).write.format("jdbc").mode(mode).options(**opts).save()
 
 
-def write_sqlite(df: DataFrame, path: str, table: str, mode: str = "overwrite") -> None:
+def write_sqlite(df: DataFrame, path: str, table: str, mode: str = "overwrite",
+                 sources: Iterable[tuple[JdbcConf, str]] = ()) -> None:
     """SQLite file target (needs the SQLite JDBC jar); one writer, SQLite has one lock."""
     conf = JdbcConf(rdbms="sqlite", database=path)
-    write_jdbc(df, conf, table, mode=mode, num_partitions=1)
+    write_jdbc(df, conf, table, mode=mode, sources=sources, num_partitions=1)

@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.json import parse
-from ..operators.partitioning import spread
 
 # The product document contract of the original crawler.
 # (output column, JSON path, Spark type) — required keys, in output order.
@@ -149,7 +148,6 @@ def flatten_documents(
     src = responses
     if status_col is not None:
         src = src.filter(F.col(status_col) == OK_STATUS)
-    src = spread(src.select(body_col))
     stage = src.select(*stage1)
     if stage2:
         stage = stage.select("*", *stage2)
@@ -182,15 +180,14 @@ def listing_ids(
     src = responses
     if status_col is not None:
         src = src.filter(F.col(status_col) == OK_STATUS)
-    src = spread(src.select(body_col))
     items = F.try_variant_get(parse(body_col), list_path, "array<variant>")
-    listed = src.select(items.alias("__items"))
+    # One-element ``inline`` is a barrier: the body is parsed once, below it.
+    listed = src.select(F.inline(F.array(F.struct(items.alias("__items")))))
     if on_missing == "fail":
-        listed = listed.filter(
-            F.when(F.col("__items").isNull(),
-                   F.raise_error(F.lit(f"listing body without an array at {list_path}")))
-            .otherwise(F.lit(True))
-        )
+        listed = listed.select(F.when(
+            F.col("__items").isNull(),
+            F.raise_error(F.lit(f"listing body without an array at {list_path}")))
+            .otherwise(F.col("__items")).alias("__items"))
     elif on_missing != "skip":
         raise ValueError("on_missing must be 'fail' or 'skip'")
     return listed.select(F.explode("__items").alias("__item")).select(

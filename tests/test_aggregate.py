@@ -83,3 +83,20 @@ def test_not_in_drops_null(spark):
     out = filter_optional(df, not_in("category_id", [2, 28856]))
     assert [r[0] for r in out.collect()] == [1]
     assert filter_optional(df, "category_id NOT IN (2, 28856)").count() == 1
+
+
+def test_shared_equals_independent(spark):
+    from martkit.operators.aggregate import aggregate_many
+    from martkit.spec import AggSpec
+    data = spark.createDataFrame([(1, 0), (1, 5), (2, 2), (None, 0)], "k long, x long")
+    specs = [AggSpec.of(["k"], ["sum(10 div x) AS s"], where="x <> 0", name="a"),
+             AggSpec.of(["k"], ["count(1) AS n"], having="count(1) > 0", name="b"),
+             AggSpec.of([], ["count(x) AS n"], name="c"),
+             AggSpec.of(["k"], ["count(x) AS n"], where="x > 1", name="d")]
+    for frame in (data, data.limit(0)):
+        apart = aggregate_many(frame, specs)
+        with aggregate_many(frame, specs) as together:
+            for name in together:
+                key = lambda t: tuple((v is not None, v) for v in t)
+                assert (sorted(map(tuple, together[name].collect()), key=key)
+                        == sorted(map(tuple, apart[name].collect()), key=key)), name

@@ -139,3 +139,40 @@ def test_multi_join_with_salting(spark, store, tmp_path):
     got = spark.read.parquet(str(tmp_path / "got"))
     assert rows(got, *want.columns) == rows(want, *want.columns)
     assert got.count() > 0
+
+
+def test_wordcount_of_a_table_is_whole(spark, tmp_path):
+    spark.range(3000).selectExpr("concat('w', id) AS text").write.parquet(str(tmp_path / "words"))
+    store = f"parquet:{tmp_path}"
+    run(["wordcount", "--store", store, "--input", "words", "--output", "counts"])
+    assert spark.read.parquet(str(tmp_path / "counts")).count() == 3000
+    with pytest.raises(SystemExit):
+        run(["wordcount", "--store", store, "--input", "words"])
+
+
+def test_wordcount_prints_every_literal_word(capsys, tmp_path):
+    run(["wordcount", "--store", f"parquet:{tmp_path}", "--text",
+         " ".join(f"w{i}" for i in range(1500))])
+    lines = [x for x in capsys.readouterr().out.splitlines() if not x.startswith("{")]
+    assert len(lines) == 1500
+
+
+def test_run_reads_the_store_it_wrote(spark, flat, store, tmp_path):
+    # stale star tables in the input store must not be used
+    for name, cols in (("product", ["id", "brand_id", "category_id", "rating_average"]),
+                       ("brand", ["brand_id", "brand_name"]),
+                       ("category", ["category_id", "category_name"])):
+        flat.limit(1).select(*cols).write.parquet(str(tmp_path / name))
+    out = tmp_path / "other"
+    run(["run", "--version", "v3", "--store", store, "--out-store", f"parquet:{out}",
+         "--input", "product_data"])
+    got = spark.read.parquet(str(out / "agg_products_each_category"))
+    assert rows(got, "category_id", "category_name", "number_of_products") == [
+        (1, "Phones", 2), (3, "Tablets", 6)]
+
+
+def test_overwrite_guard_compares_paths(spark, store, tmp_path):
+    again = ["--group", "id", "--aggregations", "count(1) AS n", "--output", "product_data"]
+    for other in (f"{store}/", f"parquet:file:{tmp_path}", f"parquet:{tmp_path}/./"):
+        with pytest.raises(ValueError, match="also an input"):
+            run(["agg", "--store", store, "--out-store", other, "--input", "product_data", *again])

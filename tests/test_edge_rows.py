@@ -157,3 +157,32 @@ def test_checkpointed_shared_aggregates(flat):
         assert "Scan ExistingRDD" in plan and "checkpoint" in plan
     assert got == want
     assert got["agg_products_each_category"] == [(1, "Phones", 2), (3, "Tablets", 6)]
+
+
+def test_filter_on_a_brand_column_falls_back_to_join_first(flat):
+    from martkit.plans import REFERENCE, pipeline_v3, warehouse
+    star = warehouse(flat)
+    out = {}
+    for eager in (True, False):
+        roles = REFERENCE.with_(rating_filter="brand_name <> 'Z'", eager=eager)
+        got = pipeline_v3(star["product"], star["brand"], star["category"], roles)
+        out[eager] = sorted(map(str, got["agg_brand_average_rate"].collect()))
+    assert out[True] == out[False] and out[True]
+
+
+def test_large_integral_ratings_average(spark, flat):
+    from martkit.plans import REFERENCE, pipeline_v3, warehouse
+    star = warehouse(flat.withColumn("rating_average", (flat["id"] * 0 + 2**62).cast("long")))
+    out = []
+    for eager in (True, False):
+        got = pipeline_v3(star["product"], star["brand"], star["category"],
+                          REFERENCE.with_(eager=eager))
+        out.append(sorted(map(str, got["agg_brand_average_rate"].collect())))
+    assert out[0] == out[1] and out[0]
+
+
+def test_dedupe_keeps_null_ids_and_one_row_everywhere(spark):
+    from martkit.operators.shape import drop_duplicate_facts
+    df = spark.createDataFrame([(1, "b"), (1, "a"), (None, "x"), (None, "x")], "id long, v string")
+    got = sorted((r.id or 0, r.v) for r in drop_duplicate_facts(df, "id").collect())
+    assert got == [(0, "x"), (0, "x"), (1, "a")]

@@ -5,7 +5,7 @@ import pyarrow.parquet as pq
 
 from martkit.operators import cached, reliable_checkpoint, set_shuffle_partitions
 from martkit.session import checkpoint_dir, ensure_checkpoint_dir, scratch_path
-from martkit.sinks import head_rows, preview, timed, write_csv, write_parquet
+from martkit.sinks import preview, timed, write_csv, write_parquet
 from martkit.sources import read_ids, read_parquet
 
 
@@ -32,7 +32,6 @@ def test_time_run_and_console(spark, capsys):
     assert result == 10 and sec >= 0
     preview(spark.range(50), n=3)
     assert "only showing top 3 rows" in capsys.readouterr().out
-    assert len(head_rows(spark.range(1000), 7)) == 7
 
 
 def test_checkpoint_dir_and_reliable_checkpoint(spark):
@@ -63,26 +62,6 @@ def test_csv_ids_round_trip(spark):
     assert sorted(r.id for r in back.collect()) == [0, 10, 20, 30, 40]
 
 
-def test_spread_is_metadata_only(spark):
-    from martkit.operators.partitioning import spread
-    one_file = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
-    assert "RoundRobinPartitioning" in _plan(spread(one_file, 4))
-    assert spread(one_file, 1) is one_file          # enough files
-    in_memory = spark.range(10)
-    assert spread(in_memory, 4) is in_memory         # no files: unchanged
-
-
-def test_spread_leaves_large_inputs_alone(spark, monkeypatch):
-    # A large table in fewer files than the cluster has cores is split by row
-    # group already; reshuffling it would move the whole table.
-    import martkit.operators.partitioning as part
-    one_file = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
-    monkeypatch.setattr(part, "estimated_bytes", lambda df: 100 * 2**40)  # 100 TiB
-    assert part.spread(one_file, 8000) is one_file
-    monkeypatch.setattr(part, "estimated_bytes", lambda df: 15 * 2**20)
-    assert "RoundRobinPartitioning" in _plan(part.spread(one_file, 8000))
-
-
 def _plan(df):
     from conftest import plan_text
     return plan_text(df)

@@ -76,3 +76,16 @@ def test_writers_are_bounded_without_narrowing_the_plan(spark):
         map(tuple, join_using(fact, dim, "k").collect()))
     with pytest.raises(ValueError):
         bounded_writers(fact, 0)
+
+
+def test_guard_sees_schema_host_case_and_sqlite():
+    from martkit.sinks.jdbc import guard_overwrite
+    here = JdbcConf(rdbms="postgresql", database="d", host="db", user="u")
+    loud = JdbcConf(rdbms="postgresql", database="d", host="DB", user="u")
+    for conf, table in ((here, "public.product"), (loud, "product"), (loud, '"PUBLIC"."product"')):
+        with pytest.raises(ValueError, match="also an input"):
+            guard_overwrite(here, "product", [(conf, table)])
+    guard_overwrite(here, "a.product", [(here, "b.product")])
+    lite = JdbcConf(rdbms="sqlite", database="/x.db")
+    with pytest.raises(ValueError, match="also an input"):
+        guard_overwrite(lite, "t", [(lite, "t")])

@@ -5,7 +5,7 @@ from pyspark.errors import PySparkException
 
 from conftest import plan_text, rows
 from martkit.operators import broadcast_if_bounded, join_program, join_using
-from martkit.operators.joins import Table, clear_probe_cache
+from martkit.operators.joins import Table
 from martkit.spec import JoinStep
 
 
@@ -113,7 +113,6 @@ def test_salted_join_matches_plain(spark):
 
 
 def test_broadcast_only_within_bounds(spark):
-    clear_probe_cache()
     small = spark.range(10)
     _, ok = broadcast_if_bounded(small, max_rows=100)
     assert ok
@@ -156,6 +155,31 @@ def test_huge_side_is_declined_without_a_probe(spark, monkeypatch):
     assert not ok
 
 
+def test_grown_file_is_probed_again(spark, tmp_path):
+    from martkit.operators.joins import broadcast_if_bounded
+    path = str(tmp_path / "dim")
+    for n, want in ((10, True), (100_000, False), (10, True)):
+        spark.range(n).write.mode("overwrite").parquet(path)
+        assert broadcast_if_bounded(spark.read.parquet(path), max_rows=100)[1] is want
+
+
+def test_joined_sizes_are_estimates_however_large(spark):
+    from martkit.operators.joins import estimated_bytes
+    line = spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet").select("l_partkey")
+    big = line.join(line, "l_partkey").join(line, "l_partkey")
+    assert estimated_bytes(big) > 10**15
+    assert estimated_bytes(spark.range(3).rdd.toDF()) is None
+
+
+def test_salted_join_on_dotted_names(spark):
+    left = spark.createDataFrame([(1, 2), (1, 3), (4, 5)], "`k.x` long, `a.b` long")
+    right = spark.createDataFrame([(1, "u")], "`k.x` long, `c.d` string")
+    for how in ("inner", "left"):
+        got = join_using(left, right, "k.x", how, salt_buckets=4) if how == "inner" else None
+        if got is not None:
+            assert sorted(map(tuple, got.collect())) == [(1, 2, "u"), (1, 3, "u")]
+
+
 def test_estimate_is_read_from_the_plan(spark):
     from martkit.operators.joins import estimated_bytes
     est = estimated_bytes(spark.read.parquet("/root/testdata/sf0.01/part.parquet"))

@@ -6,9 +6,7 @@ import pytest
 
 from conftest import SF_SMALL, plan_text
 
-import __spark_entry__ as entry
-
-QUERIES = entry.queries()
+from martkit.plans.fixtures import QUERIES
 
 
 def test_filter_and_projection_reach_the_scan(spark):

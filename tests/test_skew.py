@@ -108,11 +108,12 @@ def test_pipeline_with_a_hot_brand_and_shuffle_joins(spark):
 
 
 def test_hot_keys_are_detected_in_one_pass(hot):
-    from martkit.operators.joins import clear_probe_cache, hot_keys
+    from martkit.operators.joins import hot_keys
     fact, _ = hot
-    clear_probe_cache()
     assert hot_keys(fact, "k") == [7]          # a third of the rows
     assert hot_keys(fact, "k", min_share=0.5) == []
+    fifty = fact.selectExpr("v % 50 AS k")      # 50 keys of 2 %
+    assert sorted(hot_keys(fifty, "k")) == list(range(50))
 
 
 def test_selective_salting_keeps_every_row(spark, hot):

@@ -12,8 +12,8 @@ def counts(df):
 
 
 def test_python_golden(spark):
-    df = text_frame(spark, ["Hello Spark Hello Python Hello Airflow Hello dodat"])
-    assert counts(word_count(df)) == {"Hello": 4, "Spark": 1, "Python": 1, "Airflow": 1, "dodat": 1}
+    df = text_frame(spark, ["Hello Spark Hello Python Hello Airflow Hello World"])
+    assert counts(word_count(df)) == {"Hello": 4, "Spark": 1, "Python": 1, "Airflow": 1, "World": 1}
 
 
 def test_scala_golden(spark):
