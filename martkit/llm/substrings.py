@@ -242,7 +242,12 @@ def _sorted_in_groups(contexts: DataFrame, length: int) -> DataFrame:
 
 
 def _sorted_by_key(contexts: DataFrame, length: int) -> DataFrame:
-    """(node, lo, hi): repeated starts of crowded names, counted by the strings' keys."""
+    """(node, lo, hi): repeated starts of crowded names, counted by the strings' keys.
+
+    Equal contexts are counted first, before the exchange: all of their strings
+    repeat. The strings of each distinct context are then counted by their own
+    keys, so no task gathers a name.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 2000):
@@ -252,9 +257,18 @@ def _sorted_by_key(contexts: DataFrame, length: int) -> DataFrame:
                     [pa.array(key.astype(np.int64)), part.column("node").take(pa.array(row)),
                      pa.array(start.astype(np.int32))], names=["k", "node", "lo"])
 
-    keys = contexts.mapInArrow(run, "k long, node binary, lo int")
+    same = ["h", "off", "ck"]
+    named = contexts.withColumn("ck", F.md5("bytes"))
+    distinct = named.groupBy(*same).agg(F.count("*").alias("n"),
+                                        F.min(F.struct("node", "lo", "bytes")).alias("one"))
+    end = F.col("lo") + F.octet_length("bytes") - (length - 1)
+    whole = named.join(distinct.filter("n > 1").select(*same), same).select(
+        "node", "lo", end.cast("int").alias("hi"))
+    keys = distinct.select("h", "off", "one.node", "one.lo", "one.bytes").mapInArrow(
+        run, "k long, node binary, lo int")
     often = keys.groupBy("k").agg(F.count("*").alias("n")).filter("n > 1").select("k")
-    return keys.join(often, "k").select("node", "lo", (F.col("lo") + 1).alias("hi"))
+    return whole.unionByName(
+        keys.join(often, "k").select("node", "lo", (F.col("lo") + 1).alias("hi")))
 
 
 def repeated_runs(texts: DataFrame, *, length: int = LENGTH, name: int = NAME,
