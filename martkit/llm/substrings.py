@@ -300,10 +300,14 @@ def repeated_runs(texts: DataFrame, *, length: int = LENGTH, name: int = NAME,
                                        .alias("crowd")).alias("p"))
               .groupBy("node").agg(F.collect_list("p").alias("places")))
     held = fetch(texts, named.select("node").distinct()).join(places, "node")
-    contexts = _contexts(held, length, name)
-    spans = _sorted_in_groups(contexts.filter("not crowd"), length)
+    def contexts(wanted: str) -> DataFrame:  # of the places for which ``wanted`` holds only
+        part = held.withColumn("places", F.expr(f"filter(places, p -> {wanted})"))
+        return _contexts(part.filter(F.size("places") > 0), length, name)
+
+    spans = _sorted_in_groups(contexts("not p.crowd"), length)
     if len(hot) or big.limit(1).count():
-        spans = spans.unionByName(_sorted_by_key(contexts.filter("crowd"), length))
+        crowded = reliable_checkpoint(contexts("p.crowd"))  # read three times, found once
+        spans = spans.unionByName(_sorted_by_key(crowded, length))
     return spans.groupBy("node").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
 
 
