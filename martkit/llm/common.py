@@ -34,6 +34,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files that nothing refers to any more.
+
+    Spark's cleaner deletes the files of a step once the driver has collected
+    the step's objects, which it otherwise does only when its heap fills; on a
+    small driver's heap the files of all steps would stay until the end. Called
+    after checkpoints that cut the lineage of large steps.
+    """
+    spark.sparkContext._jvm.System.gc()
+
+
 def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 

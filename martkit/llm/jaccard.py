@@ -36,8 +36,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.cache import reliable_checkpoint
-from .common import (add_columns, lower_bytes, others, prefix_hash, quoted, raw_bytes, span_hash,
-                     table, text_key, text_of, text_slices, window_hash, word_spans)
+from .common import (add_columns, lower_bytes, others, prefix_hash, quoted, raw_bytes, release,
+                     span_hash, table, text_key, text_of, text_slices, window_hash, word_spans)
 from .repeats import (SAMPLE_TEXTS, binary16, components, fetch, grouped, hot_keys, is_in,
                       repeated)
 
@@ -438,11 +438,13 @@ def linked_sets(docs: DataFrame, texts: DataFrame, order: Order, *, percent: int
 
     ``docs`` has key and node of every text; ``texts`` has node (the key) and t.
     """
+    spark = texts.sparkSession
     rows = _memberships(texts, order, percent, size)
     cells = repeated(rows.filter(~F.col("hot")), "h", ["node"], collapse=True)
     if len(order.hot):
         cells = cells.unionByName(rows.filter("hot").select("h", "node"))
     cells = reliable_checkpoint(cells.select(F.col("h").alias("cell"), "node").distinct())
+    release(spark)
 
     def named(nodes: DataFrame) -> DataFrame:  # one text of each set
         keys = (docs.join(nodes, "node").groupBy("node").agg(F.min("key").alias("key")))
@@ -453,6 +455,7 @@ def linked_sets(docs: DataFrame, texts: DataFrame, order: Order, *, percent: int
 
     points = reliable_checkpoint(_points(named(cells.select("node").distinct()), "point binary",
                                          size, order))
+    release(spark)
     wide = (cells.groupBy("cell").agg(F.count("*").alias("k")).filter(F.col("k") > WIDE)
             .select("cell"))
     start = cells.withColumn("comp", F.col("node"))
@@ -461,9 +464,11 @@ def linked_sets(docs: DataFrame, texts: DataFrame, order: Order, *, percent: int
     cells = reliable_checkpoint(mates.select("cell", "node").distinct()
                                 .unionByName(crowd.select("cell", "node")))
     inside = reliable_checkpoint(cells.select("node").distinct())
+    release(spark)
     points = points.join(inside, "node", "left_semi")
     sets = reliable_checkpoint(_points(named(inside), "set array<long>", size, order))
-    edges = texts.sparkSession.createDataFrame([], "a binary, b binary")
+    release(spark)
+    edges = spark.createDataFrame([], "a binary, b binary")
     before = None
     for turn in range(MAX_ROUNDS):
         pivot = crowd.groupBy("cell").agg(F.min(F.struct(
@@ -479,6 +484,7 @@ def linked_sets(docs: DataFrame, texts: DataFrame, order: Order, *, percent: int
             pairs = pairs.unionByName(mates.filter("mate is not null").select(
                 "g", F.least("node", "mate").alias("a"), F.greatest("node", "mate").alias("b")))
         edges = reliable_checkpoint(edges.union(_verified(pairs, sets, percent)))
+        release(spark)
         comps = reliable_checkpoint(components(edges))
         live = (cells.join(comps, "node", "left")
                 .select("cell", "node", F.coalesce("comp", "node").alias("comp")))
@@ -499,6 +505,7 @@ def linked_sets(docs: DataFrame, texts: DataFrame, order: Order, *, percent: int
                                                turn + 1)) if turn + 1 < PROPOSALS else None)
     live = live.drop("wide")
     found = reliable_checkpoint(_verified(_searched(live, points, percent), sets, percent))
+    release(spark)
     if found.isEmpty():
         return comps
     return reliable_checkpoint(components(edges.union(found)))

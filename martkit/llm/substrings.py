@@ -34,8 +34,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.cache import reliable_checkpoint
-from .common import (POWERS, mix64, others, prefix_hash, quoted, raw_bytes, table, text_key, text_of,
-                     text_slices)
+from .common import (POWERS, mix64, others, prefix_hash, quoted, raw_bytes, release, table, text_key,
+                     text_of, text_slices)
 from .repeats import binary16, bytes16, fetch, grouped, hot_keys, is_in, repeated
 
 LENGTH = 200      # bytes of a repeated string
@@ -293,6 +293,7 @@ def repeated_runs(texts: DataFrame, *, length: int = LENGTH, name: int = NAME,
     else:
         named = repeated(found, "h", ["node", "place"]).withColumn("crowd", F.lit(False))
     named = reliable_checkpoint(named)
+    release(texts.sparkSession)
     big = named.filter("not crowd").groupBy("h").agg(F.count("*").alias("n")).filter(
         F.col("n") > crowd).select("h", F.lit(True).alias("big"))
     places = (named.join(big, "h", "left")
@@ -341,6 +342,7 @@ def remove_repeats(df: DataFrame, text: str = "text", *, length: int = LENGTH, n
                      F.octet_length(text_of(text)).cast("long").alias("n_bytes"),
                      F.sha2(text_of(text), 256).alias("whole"))
     spans = reliable_checkpoint(repeated_runs(texts, length=length, name=name, crowd=crowd))
+    release(df.sparkSession)
     held = fetch(texts, spans.select("node")).join(spans, "node")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
