@@ -42,6 +42,7 @@ LENGTH = 200      # bytes of a repeated string
 NAME = 64         # bytes of a sample's name
 SEGMENT = 1 << 16  # string starts handled at a time (bounds a task's memory)
 CROWD = 5000      # places of a name from which its strings are sorted by their own keys
+BLOCK = 16        # strings of a crowded name that are compared together first
 
 
 def samples(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, name: int = NAME):
@@ -241,34 +242,64 @@ def _sorted_in_groups(contexts: DataFrame, length: int) -> DataFrame:
     return grouped(contexts, "h", "node binary, lo int, hi int", work, rows_at_once=2000)
 
 
+def _told_apart(rows: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
+    """Equal rows (h, off, node, lo, bytes, open) counted: (node, lo, hi) of the open ones that
+    repeat, and each distinct row once, open if it was and does not repeat.
+
+    A row holds all strings that fit into its bytes; if the bytes stand twice at
+    one distance from the name, all of its strings repeat.
+    """
+    same = ["h", "off", "ck"]
+    named = rows.withColumn("ck", F.md5("bytes"))
+    distinct = reliable_checkpoint(named.groupBy(*same).agg(
+        F.count("*").alias("n"), F.min(F.struct("node", "lo", "bytes", "open")).alias("one")))
+    end = F.col("lo") + F.octet_length("bytes") - (length - 1)
+    marked = named.filter("open").join(distinct.filter("n > 1").select(*same), same).select(
+        "node", "lo", end.cast("int").alias("hi"))
+    return marked, distinct.select("h", "off", "one.node", "one.lo", "one.bytes",
+                                   (F.col("one.open") & (F.col("n") == 1)).alias("open"))
+
+
+def _in_blocks(contexts: DataFrame, length: int) -> DataFrame:
+    """The contexts cut into rows of up to BLOCK starts, at the same distances from the name."""
+    first = F.col("off") % BLOCK + 1 - BLOCK  # the block of the first start may be a part of one
+    count = F.octet_length("bytes") - (length - 1)
+    cut = contexts.withColumn("count", count).withColumn(
+        "cut", F.explode(F.sequence(first, F.col("count") - 1, F.lit(BLOCK))))
+    cut = cut.withColumn("a", F.greatest("cut", F.lit(0))).withColumn(
+        "b", F.least(F.col("cut") + BLOCK, "count"))
+    return cut.select("h", "node", "open", (F.col("off") - F.col("a")).alias("off"),
+                      (F.col("lo") + F.col("a")).alias("lo"),
+                      F.substring("bytes", F.col("a") + 1, F.col("b") - F.col("a") + length - 1)
+                      .alias("bytes"))
+
+
 def _sorted_by_key(contexts: DataFrame, length: int) -> DataFrame:
     """(node, lo, hi): repeated starts of crowded names, counted by the strings' keys.
 
-    Equal contexts are counted first, before the exchange: all of their strings
-    repeat. The strings of each distinct context are then counted by their own
-    keys, so no task gathers a name.
+    Equal contexts are counted first, before the exchange, then equal blocks of
+    the distinct contexts: all of their strings repeat. The strings of each
+    distinct block are then counted by their own keys, and those of the blocks
+    that are still open are marked one by one, so no task gathers a name.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 2000):
                 part = pa.Table.from_batches([batch.slice(lo, 2000)]).combine_chunks().to_batches()[0]
                 row, start, key = _string_keys(part, length)
+                took = pa.array(row)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key.astype(np.int64)), part.column("node").take(pa.array(row)),
-                     pa.array(start.astype(np.int32))], names=["k", "node", "lo"])
+                    [pa.array(key.astype(np.int64)), part.column("node").take(took),
+                     pa.array(start.astype(np.int32)), part.column("open").take(took)],
+                    names=["k", "node", "lo", "open"])
 
-    same = ["h", "off", "ck"]
-    named = contexts.withColumn("ck", F.md5("bytes"))
-    distinct = named.groupBy(*same).agg(F.count("*").alias("n"),
-                                        F.min(F.struct("node", "lo", "bytes")).alias("one"))
-    end = F.col("lo") + F.octet_length("bytes") - (length - 1)
-    whole = named.join(distinct.filter("n > 1").select(*same), same).select(
-        "node", "lo", end.cast("int").alias("hi"))
-    keys = distinct.select("h", "off", "one.node", "one.lo", "one.bytes").mapInArrow(
-        run, "k long, node binary, lo int")
+    whole, distinct = _told_apart(contexts.withColumn("open", F.lit(True)), length)
+    parts, blocks = _told_apart(_in_blocks(distinct, length), length)
+    keys = blocks.mapInArrow(run, "k long, node binary, lo int, open boolean")
     often = keys.groupBy("k").agg(F.count("*").alias("n")).filter("n > 1").select("k")
-    return whole.unionByName(
-        keys.join(often, "k").select("node", "lo", (F.col("lo") + 1).alias("hi")))
+    single = keys.filter("open").join(often, "k").select("node", "lo",
+                                                         (F.col("lo") + 1).alias("hi"))
+    return whole.unionByName(parts).unionByName(single)
 
 
 def repeated_runs(texts: DataFrame, *, length: int = LENGTH, name: int = NAME,
