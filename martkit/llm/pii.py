@@ -5,7 +5,9 @@ Each distinct value is a protected entity. Terms near an entity are judged by
 the corpus: with document frequencies over distinct texts, the pointwise mutual
 information of term and entity, log2(N·df(t,e) / (df(t)·df(e))), is the share
 of the entity's information content log2(N / df(e)) that the term discloses. A
-term that discloses enough of an entity standing next to it is generalised to
+pair that stands together in less than MIN_SUPPORT texts is judged too, but each
+text it is short of counts as one more that holds the term without the entity.
+A term that discloses enough of an entity standing next to it is generalised to
 its class, and removed if it discloses nearly all of it.
 """
 
@@ -32,7 +34,7 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 TERM = re.compile(r"[^\W\d_]{2,}")
 
 REACH = 8          # terms on either side of an entity that are judged
-MIN_SUPPORT = 3    # distinct texts in which term and entity must stand together
+MIN_SUPPORT = 3    # distinct texts with term and entity from which the frequencies are taken as they are
 GENERALISE = 0.8   # disclosed share from which a term is generalised
 REMOVE = 0.98      # and from which it is removed
 FILTER_BITS = 25   # log2 of the bits of the term filter (4 MB at most)
@@ -210,22 +212,23 @@ def disclosing_terms(df: DataFrame, text: str = "text", *, reach: int = REACH,
     """(key, start, end, action) of the terms to sanitise, by the text's content key.
 
     ``action`` is ``generalise`` or ``remove``. Frequencies are taken over all
-    distinct texts, so copies are no evidence. Nothing is disclosed where no
-    entity stands in ``min_support`` distinct texts. Texts without an entity
+    distinct texts, so copies are no evidence. Each text that a pair is short of
+    ``min_support`` adds one to the term's frequency: one text of a small corpus
+    is little evidence, one of a large corpus is more. Texts without an entity
     have no rows.
     """
     keyed = df.select(text_of(text).alias("t")).withColumn("key", text_key(F.col("t")))
     near = reliable_checkpoint(_contexts(keyed, reach))
     texts = keyed.select("key").distinct().count()
     pairs = (near.groupBy("entity", "term", "key").agg(F.lit(1).alias("one"))
-             .groupBy("entity", "term").agg(F.count("*").alias("df_et"))
-             .filter(F.col("df_et") >= min_support))
+             .groupBy("entity", "term").agg(F.count("*").alias("df_et")))
     pairs = reliable_checkpoint(pairs)
     entities = (near.groupBy("entity", "key").agg(F.lit(1).alias("one"))
                 .groupBy("entity").agg(F.count("*").alias("df_e")))
     counts = _term_counts(keyed, pairs.select("term").distinct())
     information = F.log2(F.lit(float(max(texts, 1))) / F.col("df_e"))
-    mutual = F.log2(F.lit(float(max(texts, 1))) * F.col("df_et") / (F.col("df_e") * F.col("df_t")))
+    held = F.col("df_t") + F.greatest(F.lit(0), F.lit(min_support) - F.col("df_et"))
+    mutual = F.log2(F.lit(float(max(texts, 1))) * F.col("df_et") / (F.col("df_e") * held))
     flagged = (pairs.join(entities, "entity").join(counts, "term")
                .withColumn("share", F.when(information > 0, mutual / information).otherwise(0.0))
                .filter(F.col("share") >= generalise)

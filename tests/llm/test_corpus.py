@@ -244,3 +244,16 @@ def test_disclosing_terms(spark):
     assert "Zorblax" not in clean[60] and "<EMAIL>" in clean[60] and "common" in clean[60]
     assert clean[69] == "mail <EMAIL> once, rarely"
     assert pii.sanitise(frame(spark, [])).count() == 0
+
+
+def test_disclosing_terms_of_rare_entities(spark):
+    """A person named in one or two texts: the words that only those texts hold give them away."""
+    filler = [f"plain words number {chr(97 + i % 26)}{chr(97 + i // 26)} of the common sort" for i in range(400)]
+    one = "the agent Zorblax met amy@corp.com of the common sort"
+    two = [f"the common {w} Quixby wrote to bob@corp.com" for w in ("words", "number")]
+    terms = pii.disclosing_terms(frame(spark, [*filler, one, one, *two])).collect()
+    key = lambda t: hashlib.md5(t.encode()).digest()
+    told = lambda t: {t[r.start:r.end] for r in terms if bytes(r.key) == key(t)}
+    assert told(one) == {"agent", "Zorblax", "met"}
+    assert [told(t) for t in two] == [{"Quixby", "wrote", "to"}] * 2
+    assert len({bytes(r.key) for r in terms}) == 3
