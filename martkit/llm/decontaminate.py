@@ -1,9 +1,11 @@
 """Benchmark decontamination by template canonicalisation.
 
 Texts become sequences of canonical words: numbers, units that follow a number
-and names (capitalised words inside a sentence; a run of them is one name) are
-replaced with typed placeholders, all others lower-cased. Windows of canonical
-words are joined by hash between documents and benchmark items. Windows of one
+and names (capitalised words inside a sentence that is not all capitals; a run
+of them is one name) are replaced with typed placeholders, all others
+lower-cased. Windows of canonical words are joined by hash between documents and
+benchmark items, and so are literal windows, of the lower-cased words as they
+stand: they find what has too few words besides its values. Windows of one
 document and item on one diagonal (same offset) are one alignment; its slots
 bind the item's values to the document's. A binding must be one to one over
 the alignment; windows that use another binding are dropped. What is left must
@@ -27,7 +29,7 @@ from .common import (add_columns, lower_bytes, others, prefix_hash, quoted, raw_
                      table, text_key, text_of, text_slices, window_hash)
 
 WIDTH = 8             # canonical words in a window
-MIN_LITERAL = 5       # words of a window that must not be placeholders
+MIN_LITERAL = 5       # words of a template window that must not be placeholders
 MIN_COVER = 0.5       # share of an item's words that its windows must cover
 INDEX_BYTES = 1 << 25  # benchmark text indexed at a time; a larger benchmark takes several passes
 
@@ -53,20 +55,32 @@ _STOP[[10, 33, 46, 58, 63, 124]] = True  # behind these a sentence begins
 
 @dataclass
 class Canonical:
-    """Canonical words of a batch of texts: hash, slot type, slot value, text number."""
+    """Canonical words of a batch of texts: hash, slot type, slot value, text number.
+
+    ``words`` are the hashes of the lower-cased words as they stand, with their
+    text numbers; canonical word i is made of the words from ``first[i]`` up to
+    ``first[i + 1]``.
+    """
 
     tokens: np.ndarray
     kinds: np.ndarray
     values: np.ndarray
     rows: np.ndarray
+    words: np.ndarray
+    word_rows: np.ndarray
+    first: np.ndarray
+
+
+def _nothing() -> Canonical:
+    zero, none = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    return Canonical(zero, np.zeros(0, np.int8), zero, none, zero, none, np.zeros(1, np.int64))
 
 
 def canonical(data: np.ndarray, offsets: np.ndarray, units: np.ndarray) -> Canonical:
     """Vectorised canonicalisation of back-to-back texts (``units``: sorted unit hashes)."""
     n = len(data)
     if not n:
-        zero = np.zeros(0, np.uint64)
-        return Canonical(zero, np.zeros(0, np.int8), zero, np.zeros(0, np.int64))
+        return _nothing()
     cut = np.zeros(n + 1, dtype=bool)
     cut[offsets] = True
     digit = _DIGIT[data]
@@ -81,8 +95,7 @@ def canonical(data: np.ndarray, offsets: np.ndarray, units: np.ndarray) -> Canon
     after[:-1] = solid[1:]
     ends = np.flatnonzero(solid & (~after | cut[1:])) + 1
     if not len(starts):
-        zero = np.zeros(0, np.uint64)
-        return Canonical(zero, np.zeros(0, np.int8), zero, np.zeros(0, np.int64))
+        return _nothing()
     rows = np.searchsorted(offsets, starts, side="right") - 1
     hashes = span_hash(prefix_hash(lower_bytes(data)), starts, ends)
     numeric = np.concatenate([[0], np.cumsum(digit | inner)])
@@ -95,7 +108,14 @@ def canonical(data: np.ndarray, offsets: np.ndarray, units: np.ndarray) -> Canon
     gap = np.concatenate([[0], ends[:-1]])
     opening = np.concatenate([[True], rows[1:] != rows[:-1]])
     opening |= stops[starts] - stops[gap] > 0  # a sentence end lies between the words
-    kinds[capital & ~opening] = NAME
+    # a sentence without any other letter than capitals has no names
+    other = (data >= 97) & (data <= 122) | (data >= 128)
+    big = np.flatnonzero((data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E))
+    other[big] = other[big + 1] = False
+    small = np.concatenate([[0], np.cumsum(other)])
+    sentence = np.cumsum(opening) - 1
+    mixed = np.bincount(sentence, weights=small[ends] - small[starts]) > 0
+    kinds[capital & ~opening & mixed[sentence]] = NAME
     follows = np.concatenate([[False], (kinds[:-1] == NUM) & (rows[1:] == rows[:-1])])
     if len(units):
         at = np.minimum(np.searchsorted(units, hashes), len(units) - 1)
@@ -109,7 +129,8 @@ def canonical(data: np.ndarray, offsets: np.ndarray, units: np.ndarray) -> Canon
     last = np.ones(len(starts), dtype=bool)
     last[:-1] = ~again[1:]
     tokens = np.where(kinds > 0, _TAGS[kinds], hashes)[last]
-    return Canonical(tokens, kinds[last], values[last], rows[last])
+    return Canonical(tokens, kinds[last], values[last], rows[last], hashes, rows,
+                     np.append(np.flatnonzero(~again), len(starts)))
 
 
 def unit_hashes() -> np.ndarray:
@@ -129,8 +150,38 @@ def windows(c: Canonical, width: int, min_literal: int) -> tuple[np.ndarray, np.
     return at, h[at]
 
 
+def literal_windows(c: Canonical, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions and hashes of all windows of words as they stand inside one text."""
+    h = window_hash(c.words, width)
+    at = np.flatnonzero(c.word_rows[width - 1:] == c.word_rows[:len(h)]) if len(h) else (
+        np.zeros(0, np.int64))
+    return at, h[at]
+
+
+class Table:
+    """Windows of one width by hash: item and place of each, behind a filter of the hashes."""
+
+    def __init__(self, rows: list[tuple[int, int, int]]) -> None:
+        rows.sort()
+        self.keys = np.array([r[0] for r in rows], dtype=np.uint64)
+        self.items = np.array([r[1] for r in rows])
+        self.places = np.array([r[2] for r in rows])
+        self.seen = np.zeros(1 << 22, dtype=bool)
+        self.seen[(self.keys >> np.uint64(42)).astype(np.int64)] = True
+
+    def find(self, at: np.ndarray, h: np.ndarray):
+        """(position, item, place) of every window that is held here."""
+        near = self.seen[(h >> np.uint64(42)).astype(np.int64)]
+        at, h = at[near], h[near]
+        lo = np.searchsorted(self.keys, h, side="left")
+        hi = np.searchsorted(self.keys, h, side="right")
+        for p, a, b in zip(at.tolist(), lo.tolist(), hi.tolist()):
+            for k in range(a, b):
+                yield p, int(self.items[k]), int(self.places[k])
+
+
 class Index:
-    """Hash index of the items' template windows, with each item's canonical words.
+    """Hash index of the items' template and literal windows, with each item's canonical words.
 
     An item shorter than the window is indexed by one window of its own length.
     """
@@ -145,46 +196,48 @@ class Index:
         hi = np.searchsorted(c.rows, np.arange(len(items)), side="right")
         self.kinds = [c.kinds[a:b] for a, b in zip(lo, hi)]
         self.values = [c.values[a:b] for a, b in zip(lo, hi)]
+        self.first = [c.first[a:b + 1] - c.first[a] for a, b in zip(lo, hi)]
         found = defaultdict(list)  # width -> [(hash, item, place)]
         at, h = windows(c, width, min_literal)
         for p, x in zip(at.tolist(), h.tolist()):
             item = int(c.rows[p])
             found[width].append((x, item, p - int(lo[item])))
+        literal = defaultdict(list)
+        at, h = literal_windows(c, width)
+        for p, x in zip(at.tolist(), h.tolist()):
+            item = int(c.word_rows[p])
+            literal[width].append((x, item, p - int(c.first[lo[item]])))
         for item, (a, b) in enumerate(zip(lo.tolist(), hi.tolist())):
             own = b - a
             if min_literal <= own < width and (c.kinds[a:b] == 0).sum() >= min_literal:
                 found[own].append((int(window_hash(c.tokens[a:b], own)[0]), item, 0))
-        self.tables = {}
-        for w, rows in found.items():
-            rows.sort()
-            self.tables[w] = (np.array([r[0] for r in rows], dtype=np.uint64),
-                              np.array([r[1] for r in rows]), np.array([r[2] for r in rows]))
-        self.filters = {}
-        for w, (h, _, _) in self.tables.items():
-            seen = np.zeros(1 << 22, dtype=bool)
-            seen[(h >> np.uint64(42)).astype(np.int64)] = True
-            self.filters[w] = seen
+            words = c.words[c.first[a]:c.first[b]]
+            if min_literal <= len(words) < width:
+                literal[len(words)].append((int(window_hash(words, len(words))[0]), item, 0))
+        self.tables = {w: Table(rows) for w, rows in found.items()}
+        self.literal = {w: Table(rows) for w, rows in literal.items()}
 
     def hits(self, c: Canonical):
-        """(text, word, item, item word, width) of every window that text and item share."""
-        for w, (keys, items, places) in self.tables.items():
-            at, h = windows(c, w, self.min_literal)
-            if not len(at):
-                continue
-            near = self.filters[w][(h >> np.uint64(42)).astype(np.int64)]
-            at, h = at[near], h[near]
-            lo = np.searchsorted(keys, h, side="left")
-            hi = np.searchsorted(keys, h, side="right")
-            for p, a, b in zip(at.tolist(), lo.tolist(), hi.tolist()):
-                for k in range(a, b):
-                    yield int(c.rows[p]), p, int(items[k]), int(places[k]), w
-
-    def judge(self, c: Canonical, item: int, shift: int, found: list[tuple[int, int, int]]):
+        """(text, word, item, item word, width) of every template window that text and item share."""
+        for w, table in self.tables.items():
+            for p, item, q in table.find(*windows(c, w, self.min_literal)):
+                yield int(c.rows[p]), p, item, q, w
+
+    def literal_hits(self, c: Canonical):
+        """The same of every literal window, counted in words as they stand."""
+        for w, table in self.literal.items():
+            for p, item, q in table.find(*literal_windows(c, w)):
+                yield int(c.word_rows[p]), p, item, q, w
+
+    def judge(self, c: Canonical, item: int, shift: int, found: list[tuple[int, int, int]],
+              literal: Sequence[tuple[int, int, int]] = ()):
         """(coverage, windows, changed slots) of one alignment after the slot check.
 
-        ``found`` holds (word, item word, width); ``shift`` is their difference.
+        ``found`` and ``literal`` hold (word, item word, width) of its template
+        and literal windows; ``shift`` is the difference of the first two in
+        ``found``. Literal windows change nothing and need no check.
         """
-        kinds, values = self.kinds[item], self.values[item]
+        kinds, values, first = self.kinds[item], self.values[item], self.first[item]
         slots = sorted({q + k for _, q, w in found for k in range(w) if kinds[q + k]})
         there = {s: (int(kinds[s]), int(values[s]), int(c.values[s + shift])) for s in slots}
         votes = Counter(there.values())
@@ -193,14 +246,18 @@ class Index:
             if (kind, a) not in bound and (kind, b) not in taken:
                 bound[kind, a] = b
                 taken.add((kind, b))
-        covered, kept = set(), 0
-        for _, q, w in found:
+        words, kept = np.zeros(first[-1], dtype=np.int64), set()
+        for p, q, w in found:
             if all(bound.get(there[q + k][:2]) == there[q + k][2]
                    for k in range(w) if q + k in there):
-                covered.update(range(q, q + w))
-                kept += 1
+                words[first[q]:first[q + w]] = 1
+                kept.add((int(c.first[p]), int(first[q])))
+        for p, q, w in literal:
+            words[q:q + w] = 1
+            kept.add((p, q))
+        whole = np.minimum.reduceat(words, first[:-1]) if len(kinds) else words[:0]
         changed = sum(a != b for (k, a, b) in there.values() if bound.get((k, a)) == b)
-        return len(covered) / max(1, len(kinds)), kept, changed
+        return float(whole.sum() / max(1, len(kinds))), len(kept), changed
 
 
 LEAK = "struct<item:string,coverage:double,windows:long,changed_slots:long>"
@@ -221,11 +278,14 @@ def _leaks(items: Sequence[tuple[str, str]], width: int, min_literal: int, min_c
                               index.units)
                 aligned = defaultdict(list)
                 for row, p, item, q, w in index.hits(c):
-                    aligned[row, item, p - q].append((p, q, w))
+                    aligned[row, item, p - q, False].append((p, q, w))
+                for row, p, item, q, w in index.literal_hits(c):
+                    aligned[row, item, p - q, True].append((p, q, w))
                 best: dict[tuple[int, int], tuple] = {}
-                for (row, item, shift), found in aligned.items():
-                    best[row, item] = max(best.get((row, item), (0.0, 0, 0)),
-                                          index.judge(c, item, shift, found))
+                for (row, item, shift, exact), found in aligned.items():
+                    best[row, item] = max(
+                        best.get((row, item), (0.0, 0, 0)),
+                        index.judge(c, item, shift, *(([], found) if exact else (found, []))))
                 for (row, item), (cover, kept, changed) in sorted(best.items()):
                     if cover >= min_cover:
                         out[lo + row].append({"item": index.names[item], "coverage": cover,
@@ -243,8 +303,9 @@ def find_leaks(df: DataFrame, benchmark: DataFrame, text: str = "text", *,
                index_bytes: int = INDEX_BYTES, keep: Sequence[str] | None = None) -> DataFrame:
     """Append ``leaks``: the benchmark items that each whole text contains.
 
-    Null and empty texts and items match nothing, nor do items without
-    ``min_literal`` literal words; a null item id is reported as null. Repeated
+    Null and empty texts and items match nothing, nor do items of less than
+    ``min_literal`` words; items without that many literal words are found with
+    their own values only. A null item id is reported as null. Repeated
     items are reported as often as they stand in the benchmark. The benchmark's
     size is checked first: up to ``index_bytes`` of it are indexed and sent to
     the tasks at a time; a larger one takes several passes over the documents,

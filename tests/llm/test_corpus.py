@@ -186,6 +186,20 @@ def test_benchmark_leaks(spark):
     assert leaks(spark, [], items) == {} and leaks(spark, ["a"], []) == {0: []}
 
 
+def test_verbatim_leaks_without_template_windows(spark):
+    """Items dense in numbers or names, or all in capitals, are found as they stand."""
+    items = [(1, "Add 12 + 7 - 3 * 4 + 19 - 8 + 2 * 6 and 31 - 5 + 77 = 90"),
+             (2, "WHICH OF THE FOLLOWING PLANETS IS THE CLOSEST ONE TO THE SUN AND HAS NO MOON AT ALL IN ORBIT"),
+             (3, "Did Anna Smith, Bob Brown, Carl Jones, Dora Klein, Emil Frank, Greta Lund and Hans Berg meet?"),
+             (4, "Is 7 + 8 = 15 ok")]
+    texts = [f"Some words before it. {t} Other words follow." for _, t in items]
+    texts.append(texts[1].lower())
+    texts.append("Add 1 + 2 - 3 * 5 + 18 - 9 + 3 * 7 and 32 - 6 + 78 = 91, which are other numbers")
+    got = leaks(spark, texts, items)
+    assert [got[i] for i in range(4)] == [[(str(i), False)] for i in (1, 2, 3, 4)]
+    assert got[4] == [("2", False)] and got[5] == []
+
+
 def test_slots_must_bind_one_to_one():
     index = decontaminate.Index([("x", "w1a has 5 red boxes and w2a has 5 blue boxes over there now")], 6, 3)
     import numpy as np
