@@ -6,7 +6,9 @@ of them is one name) are replaced with typed placeholders, all others
 lower-cased. Windows of canonical words are joined by hash between documents and
 benchmark items, and so are literal windows, of the lower-cased words as they
 stand: they find what has too few words besides its values. Windows of one
-document and item on one diagonal (same offset) are one alignment; its slots
+document and item on one diagonal (same offset) make runs; runs that follow each
+other in order, no further apart than the item is long, are one alignment, so
+words may be put in or left out. Its slots
 bind the item's values to the document's. A binding must be one to one over
 the alignment; windows that use another binding are dropped. What is left must
 cover enough of the item. So a question with other numbers or names is caught,
@@ -180,6 +182,18 @@ class Table:
                 yield p, int(self.items[k]), int(self.places[k])
 
 
+@dataclass
+class Run:
+    """Windows that follow each other on one diagonal; bounds in words as they stand."""
+
+    p: int
+    q: int
+    p1: int
+    q1: int
+    found: list[tuple[int, int, int]]
+    literal: list[tuple[int, int, int]]
+
+
 class Index:
     """Hash index of the items' template and literal windows, with each item's canonical words.
 
@@ -231,15 +245,20 @@ class Index:
 
     def judge(self, c: Canonical, item: int, shift: int, found: list[tuple[int, int, int]],
               literal: Sequence[tuple[int, int, int]] = ()):
+        """:meth:`judge_chain` of the windows on the diagonal ``shift``."""
+        return self.judge_chain(c, item, [x for x in found if x[0] - x[1] == shift], literal)
+
+    def judge_chain(self, c: Canonical, item: int, found: Sequence[tuple[int, int, int]],
+                    literal: Sequence[tuple[int, int, int]] = (), twice: int = 0):
         """(coverage, windows, changed slots) of one alignment after the slot check.
 
         ``found`` and ``literal`` hold (word, item word, width) of its template
-        and literal windows; ``shift`` is the difference of the first two in
-        ``found``. Literal windows change nothing and need no check.
+        and literal windows. Literal windows change nothing and need no check.
+        ``twice`` item words are taken off: their document words are used twice.
         """
         kinds, values, first = self.kinds[item], self.values[item], self.first[item]
-        slots = sorted({q + k for _, q, w in found for k in range(w) if kinds[q + k]})
-        there = {s: (int(kinds[s]), int(values[s]), int(c.values[s + shift])) for s in slots}
+        slots = sorted({(q + k, p + k) for p, q, w in found for k in range(w) if kinds[q + k]})
+        there = {(s, d): (int(kinds[s]), int(values[s]), int(c.values[d])) for s, d in slots}
         votes = Counter(there.values())
         bound, taken = {}, set()
         for (kind, a, b), _ in sorted(votes.items(), key=lambda x: (-x[1], x[0])):
@@ -248,8 +267,8 @@ class Index:
                 taken.add((kind, b))
         words, kept = np.zeros(first[-1], dtype=np.int64), set()
         for p, q, w in found:
-            if all(bound.get(there[q + k][:2]) == there[q + k][2]
-                   for k in range(w) if q + k in there):
+            if all(bound.get(there[q + k, p + k][:2]) == there[q + k, p + k][2]
+                   for k in range(w) if kinds[q + k]):
                 words[first[q]:first[q + w]] = 1
                 kept.add((int(c.first[p]), int(first[q])))
         for p, q, w in literal:
@@ -257,7 +276,66 @@ class Index:
             kept.add((p, q))
         whole = np.minimum.reduceat(words, first[:-1]) if len(kinds) else words[:0]
         changed = sum(a != b for (k, a, b) in there.values() if bound.get((k, a)) == b)
-        return float(whole.sum() / max(1, len(kinds))), len(kept), changed
+        return max(0.0, float((whole.sum() - twice) / max(1, len(kinds)))), len(kept), changed
+
+    def runs(self, c: Canonical, item: int, found: list[tuple[int, int, int]], exact: bool):
+        """The windows of one diagonal cut where they neither overlap nor touch."""
+        found.sort(key=lambda x: (x[1], x[2]))
+        first, out, end = self.first[item], [], -1
+        for x in found:
+            if x[1] > end:
+                out.append([])
+            out[-1].append(x)
+            end = max(end, x[1] + x[2])
+        for part in out:
+            p, q = part[0][:2]
+            p1, q1 = max(x[0] + x[2] for x in part), max(x[1] + x[2] for x in part)
+            if exact:
+                yield Run(p, q, p1, q1, [], part)
+            else:
+                yield Run(int(c.first[p]), int(first[q]), int(c.first[p1]), int(first[q1]), part, [])
+
+    def alignments(self, item: int, runs: list[Run]):
+        """(template windows, literal windows, words used twice) of each chain of runs.
+
+        In a chain both the starts and the ends grow in the document and in the
+        item. Of the chains that end with a run, the one that covers most of the
+        item is taken, then the densest; chains that are part of another are left
+        out. Runs that lie inside one of a chain, on its diagonal, belong to it.
+        """
+        runs.sort(key=lambda r: (r.p, r.q, r.p1, r.q1))
+        near = int(self.first[item][-1])
+        reach = near + max(r.p1 - r.p for r in runs)
+        best, inner = [], set()
+        for j, b in enumerate(runs):
+            top = (b.q1 - b.q, 0, -1, 0)
+            for i in range(j - 1, -1, -1):
+                a = runs[i]
+                if b.p - a.p > reach:
+                    break
+                if not (a.p < b.p and a.q < b.q and a.p1 < b.p1 and a.q1 < b.q1
+                        and b.p - a.p1 <= near):
+                    continue
+                again = max(0, a.p1 - b.p - max(0, a.q1 - b.q))
+                new = b.q1 - max(b.q, a.q1) - again
+                if new > 0:
+                    gap = max(0, b.p - a.p1)
+                    top = max(top, (best[i][0] + new, best[i][1] - gap, i, best[i][3] + again))
+            best.append(top)
+            inner.add(top[2])
+        for j in range(len(runs)):
+            if j in inner:
+                continue
+            chain, k = [], j
+            while k >= 0:
+                chain.append(runs[k])
+                k = best[k][2]
+            lo, hi = chain[-1].p, chain[0].p1
+            whole = chain + [r for r in runs if lo <= r.p and r.p1 <= hi and any(
+                r is not m and m.p <= r.p and r.p1 <= m.p1 and r.p - r.q == m.p - m.q
+                and m.q1 >= r.q1 for m in chain)]
+            yield (sorted({x for r in whole for x in r.found}),
+                   sorted({x for r in whole for x in r.literal}), best[j][3])
 
 
 LEAK = "struct<item:string,coverage:double,windows:long,changed_slots:long>"
@@ -282,10 +360,16 @@ def _leaks(items: Sequence[tuple[str, str]], width: int, min_literal: int, min_c
                 for row, p, item, q, w in index.literal_hits(c):
                     aligned[row, item, p - q, True].append((p, q, w))
                 best: dict[tuple[int, int], tuple] = {}
+                runs = defaultdict(list)
                 for (row, item, shift, exact), found in aligned.items():
                     best[row, item] = max(
                         best.get((row, item), (0.0, 0, 0)),
                         index.judge(c, item, shift, *(([], found) if exact else (found, []))))
+                    runs[row, item] += index.runs(c, item, found, exact)
+                for (row, item), parts in runs.items():
+                    for found, literal, twice in index.alignments(item, parts):
+                        best[row, item] = max(
+                            best[row, item], index.judge_chain(c, item, found, literal, twice))
                 for (row, item), (cover, kept, changed) in sorted(best.items()):
                     if cover >= min_cover:
                         out[lo + row].append({"item": index.names[item], "coverage": cover,

@@ -200,6 +200,22 @@ def test_verbatim_leaks_without_template_windows(spark):
     assert got[4] == [("2", False)] and got[5] == []
 
 
+def test_leaks_with_words_put_in_or_left_out(spark):
+    """Pieces of an item near each other and in order are one copy, others are not."""
+    w = ITEM.split()
+    third = len(w) // 3
+    a, b, c = w[:third], w[third:2 * third], w[2 * third:]
+    text = lambda *parts: " ".join(x for p in parts for x in p)
+    far = [f"filler{i}" for i in range(3 * len(w))]
+    other = [x.replace("12", "40").replace("5", "9") for x in w]
+    texts = [text(a, ["really"], b, ["just"], c), text(a, b[1:], c[1:]),
+             text(other[:third], ["really"], other[third:2 * third], ["just"], other[2 * third:]),
+             text(c, ["and"], b, ["or"], a), text(a, far, b, far, c)]
+    got = leaks(spark, texts, [(1, ITEM)])
+    assert got[0] == got[1] == [("1", False)] and got[2] == [("1", True)]
+    assert got[3] == got[4] == []
+
+
 def test_slots_must_bind_one_to_one():
     index = decontaminate.Index([("x", "w1a has 5 red boxes and w2a has 5 blue boxes over there now")], 6, 3)
     import numpy as np
