@@ -1,21 +1,21 @@
 """Personal data: detection, and sanitisation of the terms that give it away.
 
 Base spans (e-mail, IP, card and phone numbers) are found by pattern and check.
-Each distinct value is a protected entity. Terms near an entity are judged by
-the corpus: with document frequencies over distinct texts, the pointwise mutual
+Each distinct value is a protected entity. All terms of the texts that hold an
+entity are judged by the corpus: with document frequencies over distinct texts, the pointwise mutual
 information of term and entity, log2(N·df(t,e) / (df(t)·df(e))), is the share
 of the entity's information content log2(N / df(e)) that the term discloses. A
 pair that stands together in less than MIN_SUPPORT texts is judged too, but each
 text it is short of counts as one more that holds the term without the entity.
-A term that discloses enough of an entity standing next to it is generalised to
-its class, and removed if it discloses nearly all of it.
+A term that discloses enough of an entity of its text is generalised to its
+class wherever it stands there, and removed if it discloses nearly all of it.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-from bisect import bisect_left, bisect_right
+from bisect import bisect_right
 from collections.abc import Sequence
 
 import numpy as np
@@ -33,7 +33,6 @@ CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 TERM = re.compile(r"[^\W\d_]{2,}")
 
-REACH = 8          # terms on either side of an entity that are judged
 MIN_SUPPORT = 3    # distinct texts with term and entity from which the frequencies are taken as they are
 GENERALISE = 0.8   # disclosed share from which a term is generalised
 REMOVE = 0.98      # and from which it is removed
@@ -93,18 +92,19 @@ def entity(kind: str, value: str) -> str:
     return f"{kind}:{value.lower()}"
 
 
-def near_terms(text: str, spans: Sequence[tuple[str, int, int]], reach: int):
-    """(entity, term, start, end) of the terms within ``reach`` words of each span."""
-    words = [(m.start(), m.end()) for m in TERM.finditer(text)]
-    starts, ends = [w[0] for w in words], [w[1] for w in words]
-    out = []
-    for kind, s, e in spans:
-        who = entity(kind, text[s:e])
-        left, right = bisect_right(ends, s), bisect_left(starts, e)
-        for ws, we in words[max(0, left - reach):left] + words[right:right + reach]:
-            if not any(a < we and ws < b for _, a, b in spans):
-                out.append((who, text[ws:we].lower(), ws, we))
-    return out
+def free_terms(text: str):
+    """(term, start, end) of the terms that touch no base span."""
+    starts, ends = [], []
+    for s, e in sorted((s, e) for _, s, e in base_spans(text)):
+        if ends and s < ends[-1]:
+            ends[-1] = max(ends[-1], e)
+        else:
+            starts.append(s)
+            ends.append(e)
+    for m in TERM.finditer(text):
+        i = bisect_right(ends, m.start())
+        if i == len(ends) or m.end() <= starts[i]:
+            yield m.group().lower(), m.start(), m.end()
 
 
 def term_hash(term: str) -> int:
@@ -128,55 +128,49 @@ def detect(df: DataFrame, text: str = "text", *, keep: Sequence[str] | None = No
     return add_columns(df, text, BASE, make, keep)
 
 
-def _contexts(keyed: DataFrame, reach: int) -> DataFrame:
-    """(key, entity, term, start, end) of all distinct texts, once each."""
+def _holders(keyed: DataFrame) -> DataFrame:
+    """(key, t, entities) of all distinct texts that hold an entity, once each."""
     def make():
-        kind = pa.list_(pa.struct([("entity", pa.string()), ("term", pa.string()),
-                                   ("start", pa.int64()), ("end", pa.int64())]))
-
         def work(texts: pa.Array):
-            out = []
+            held, who = [], []
             for t in texts:
                 t = t.as_py()
-                spans = base_spans(t)
-                out.append([dict(zip(("entity", "term", "start", "end"), x))
-                            for x in near_terms(t, spans, reach)] if spans else [])
-            return [pa.array(out, kind)]
+                found = sorted({entity(k, t[s:e]) for k, s, e in base_spans(t)})
+                held.append(t if found else None)
+                who.append(found)
+            return [pa.array(held, pa.string()), pa.array(who, pa.list_(pa.string()))]
 
         return work
 
-    near = add_columns(
-        keyed, "t", "near array<struct<entity:string,term:string,start:long,end:long>>", make,
-        ["key"]).filter(F.size("near") > 0)
-    return (near.groupBy("key").agg(F.first("near").alias("near"))
-            .select("key", F.explode("near").alias("n")).select("key", "n.*"))
+    held = add_columns(keyed, "t", "held string, entities array<string>", make, ["key"])
+    return (held.filter(F.size("entities") > 0).groupBy("key")
+            .agg(F.first("held").alias("t"), F.first("entities").alias("entities")))
 
 
-def _term_counts(keyed: DataFrame, terms: DataFrame) -> DataFrame:
-    """(term, df_t): the distinct texts that hold each of ``terms`` anywhere.
-
-    A bitmap of at most 2^FILTER_BITS bits of the terms' hashes goes to the
-    tasks, so that texts send only words that may be asked for; what else
-    passes the bitmap drops out of the join with ``terms``.
-    """
+def _bitmap(terms: DataFrame):
+    """A broadcast bitmap of 2^FILTER_BITS bits of the terms' hashes (column ``h``)."""
     bits = 1 << FILTER_BITS
-
-    @F.arrow_udf("long")
-    def hashed(values: pa.Array) -> pa.Array:
-        return pa.array([term_hash(v.as_py()) for v in values], pa.int64())
-
-    asked = terms.withColumn("h", hashed("term"))
     place = F.pmod("h", F.lit(bits)) + 1  # Spark's bitmap buckets count from 1
-    maps = (asked.groupBy(F.bitmap_bucket_number(place).alias("b"))
+    maps = (terms.groupBy(F.bitmap_bucket_number(place).alias("b"))
             .agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("m")).collect())
     whole = np.zeros(bits // 8, dtype=np.uint8)
     for r in maps:  # at most bits / 32768 rows of 4 kB; bucket 1 holds positions 0 to 32767
         lo = (r["b"] - 1) * 4096
         whole[lo:lo + len(r["m"])] |= np.frombuffer(bytes(r["m"]), np.uint8)
-    shared = keyed.sparkSession.sparkContext.broadcast(whole.tobytes())
+    return terms.sparkSession.sparkContext.broadcast(whole.tobytes())
+
+
+def _hashes(texts: DataFrame, keep: Sequence[str], asked=None) -> DataFrame:
+    """``keep`` and ``hs``, the hashes of the distinct terms that each text holds anywhere.
+
+    With ``asked`` (a bitmap) texts send only terms that may be asked for; what
+    else passes it drops out of the join with the asked terms. Texts without
+    such a term have no row.
+    """
+    bits = 1 << FILTER_BITS
 
     def make():
-        bitmap = shared.value
+        bitmap = asked.value if asked else None
         known: dict[str, int | None] = {}
 
         def wanted(word: str) -> int | None:
@@ -184,14 +178,14 @@ def _term_counts(keyed: DataFrame, terms: DataFrame) -> DataFrame:
             p = h % bits
             if len(known) >= 1 << 19:
                 known.clear()
-            known[word] = h = h if bitmap[p >> 3] >> (p & 7) & 1 else None
+            known[word] = h = h if bitmap is None or bitmap[p >> 3] >> (p & 7) & 1 else None
             return h
 
         def work(texts: pa.Array):
             out = []
             for t in texts:
                 found = set()
-                for w in set(TERM.findall(t.as_py().lower())):
+                for w in {w.lower() for w in set(TERM.findall(t.as_py()))}:
                     h = known[w] if w in known else wanted(w)
                     if h is not None:
                         found.add(h)
@@ -200,15 +194,19 @@ def _term_counts(keyed: DataFrame, terms: DataFrame) -> DataFrame:
 
         return work
 
-    held = add_columns(keyed, "t", "hs array<long>", make, ["key"]).filter(F.size("hs") > 0)
+    return add_columns(texts, "t", "hs array<long>", make, keep).filter(F.size("hs") > 0)
+
+
+def _term_counts(keyed: DataFrame, terms: DataFrame) -> DataFrame:
+    """``terms`` (by hash ``h``) with df_t: the distinct texts that hold each anywhere."""
+    held = _hashes(keyed, ["key"], _bitmap(terms))
     counts = (held.groupBy("key").agg(F.first("hs").alias("hs"))
               .select(F.explode("hs").alias("h")).groupBy("h").agg(F.count("*").alias("df_t")))
-    return asked.join(counts, "h").select("term", "df_t")
+    return terms.join(counts, "h")
 
 
-def disclosing_terms(df: DataFrame, text: str = "text", *, reach: int = REACH,
-                     min_support: int = MIN_SUPPORT, generalise: float = GENERALISE,
-                     remove: float = REMOVE) -> DataFrame:
+def disclosing_terms(df: DataFrame, text: str = "text", *, min_support: int = MIN_SUPPORT,
+                     generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
     """(key, start, end, action) of the terms to sanitise, by the text's content key.
 
     ``action`` is ``generalise`` or ``remove``. Frequencies are taken over all
@@ -216,28 +214,57 @@ def disclosing_terms(df: DataFrame, text: str = "text", *, reach: int = REACH,
     ``min_support`` adds one to the term's frequency: one text of a small corpus
     is little evidence, one of a large corpus is more. Texts without an entity
     have no rows.
+
+    A term in more than ``room`` texts cannot disclose ``generalise`` of an
+    entity even if it stands in all of the entity's texts; such pairs are left
+    out before they are formed. Entities of the same texts are judged as one.
     """
     keyed = df.select(text_of(text).alias("t")).withColumn("key", text_key(F.col("t")))
-    near = reliable_checkpoint(_contexts(keyed, reach))
-    texts = keyed.select("key").distinct().count()
-    pairs = (near.groupBy("entity", "term", "key").agg(F.lit(1).alias("one"))
-             .groupBy("entity", "term").agg(F.count("*").alias("df_et")))
-    pairs = reliable_checkpoint(pairs)
-    entities = (near.groupBy("entity", "key").agg(F.lit(1).alias("one"))
-                .groupBy("entity").agg(F.count("*").alias("df_e")))
-    counts = _term_counts(keyed, pairs.select("term").distinct())
-    information = F.log2(F.lit(float(max(texts, 1))) / F.col("df_e"))
-    held = F.col("df_t") + F.greatest(F.lit(0), F.lit(min_support) - F.col("df_et"))
-    mutual = F.log2(F.lit(float(max(texts, 1))) * F.col("df_et") / (F.col("df_e") * held))
-    flagged = (pairs.join(entities, "entity").join(counts, "term")
+    held = reliable_checkpoint(_holders(keyed))
+    texts = F.lit(float(max(keyed.select("key").distinct().count(), 1)))
+    room = (F.pow("df_e", F.lit(generalise)) * F.pow(texts, F.lit(1 - generalise)) * (1 + 1e-9)
+            - F.greatest(F.lit(0), F.lit(min_support) - F.col("df_e")))
+    named = held.select("key", F.explode("entities").alias("entity"))
+    sets = (named.groupBy("entity")
+            .agg(F.count("*").alias("df_e"), F.bit_xor(F.xxhash64("key")).alias("x"),
+                 F.bit_xor(F.xxhash64("key", F.lit(1))).alias("y"))
+            .withColumn("room", room))
+    who = reliable_checkpoint(
+        named.join(sets, "entity").select("key", "df_e", "x", "y", "room").distinct())
+    most = who.groupBy("key").agg(F.max("room").alias("room"))
+    asked = (_hashes(held, ["key"]).join(most, "key").select("room", F.explode("hs").alias("h"))
+             .groupBy("h").agg(F.count("*").alias("df_held"), F.max("room").alias("room"))
+             .filter(F.col("df_held") <= F.col("room")))
+    rare = reliable_checkpoint(_term_counts(keyed, reliable_checkpoint(asked.select("h", "room")))
+                               .filter(F.col("df_t") <= F.col("room")).select("h", "df_t"))
+    near = reliable_checkpoint(
+        _hashes(held, ["key"], _bitmap(rare)).select("key", F.explode("hs").alias("h"))
+        .join(rare, "h").join(who, "key").filter(F.col("df_t") <= F.col("room"))
+        .select("key", "h", "df_t", "df_e", "x", "y"))
+    pair = ["h", "df_t", "df_e", "x", "y"]
+    holding = F.col("df_t") + F.greatest(F.lit(0), F.lit(min_support) - F.col("df_et"))
+    information = F.log2(texts / F.col("df_e"))
+    mutual = F.log2(texts * F.col("df_et") / (F.col("df_e") * holding))
+    flagged = (near.groupBy(*pair).agg(F.count("*").alias("df_et"))
                .withColumn("share", F.when(information > 0, mutual / information).otherwise(0.0))
-               .filter(F.col("share") >= generalise)
-               .select("entity", "term", "share"))
-    return (near.join(flagged, ["entity", "term"])
-            .groupBy("key", "start", "end").agg(F.max("share").alias("share"))
-            .select("key", "start", "end",
-                    F.when(F.col("share") >= remove, "remove").otherwise("generalise")
-                    .alias("action")))
+               .filter(F.col("share") >= generalise).drop("df_et"))
+    terms = (near.join(flagged, pair).groupBy("key", "h").agg(F.max("share").alias("share"))
+             .groupBy("key").agg(F.collect_list(F.struct("h", (F.col("share") >= remove).alias(
+                 "gone"))).alias("terms")))
+
+    @F.arrow_udf("array<struct<start:long,end:long,action:string>>")
+    def places(texts: pa.Array, found: pa.Array) -> pa.Array:
+        out = []
+        for t, terms in zip(texts.to_pylist(), found.to_pylist()):
+            gone = {x["h"]: x["gone"] for x in terms}
+            spans = [(gone.get(term_hash(w)), s, e) for w, s, e in free_terms(t)]
+            out.append([{"start": s, "end": e, "action": "remove" if g else "generalise"}
+                        for g, s, e in spans if g is not None])
+        return pa.array(out, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()),
+                                                 ("action", pa.string())])))
+
+    return (held.select("key", "t").join(terms, "key")
+            .select("key", F.explode(places("t", "terms")).alias("s")).select("key", "s.*"))
 
 
 def _with_terms(rows: DataFrame, terms: DataFrame) -> DataFrame:

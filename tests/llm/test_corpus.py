@@ -287,3 +287,18 @@ def test_disclosing_terms_of_rare_entities(spark):
     assert told(one) == {"agent", "Zorblax", "met"}
     assert [told(t) for t in two] == [{"Quixby", "wrote", "to"}] * 2
     assert len({bytes(r.key) for r in terms}) == 3
+
+
+def test_disclosing_terms_far_from_the_entity(spark):
+    """Terms are judged and counted over whole texts, wherever they stand."""
+    filler = [f"plain words number {chr(97 + i % 26)}{chr(97 + i // 26)} of the common sort" for i in range(60)]
+    rest = " of the plain common words number sort" * 3
+    told = [f"Zorblax{rest}{rest} {w} bob@corp.com{rest} Quixby +49 30 1234567 Quixby{rest}"
+            for w in ("plain", "common", "words")]
+    told.append(f"Quixby{rest} bob@corp.com{rest} Zorblax the Zorblax")
+    terms = pii.disclosing_terms(frame(spark, [*filler, *told])).collect()
+    key = lambda t: hashlib.md5(t.encode()).digest()
+    for t in told:
+        found = sorted(t[r.start:r.end] for r in terms if bytes(r.key) == key(t))
+        assert found == sorted(w for w in t.split() if w in ("Zorblax", "Quixby"))
+    assert {bytes(r.key) for r in terms} == {key(t) for t in told}
