@@ -3,7 +3,8 @@
 One automaton holds the token sequences of every template. A file's words are
 streamed through it; at each word the automaton knows the longest suffix of
 the words read so far that occurs in some template (the matching statistic).
-Maximal matches become anchors (file place, template place), which are chained
+The longest matches of each template, found by suffix links and whether or not
+another template goes on, become anchors (file place, template place), chained
 in order with bounded gaps; a chain that covers enough of its template is a
 template span. The base phrases are templates too: a phrase stands wherever
 the current match ends with all of its words.
@@ -85,6 +86,8 @@ class Automaton:
     places: list[set[tuple[int, int]]] = field(default_factory=lambda: [set()])
     phrases: list[tuple[tuple[int, str], ...]] = field(default_factory=list)
     templates: list[tuple[str, int]] = field(default_factory=list)  # (label, words)
+    bodies: list[list[int]] = field(default_factory=list)  # each template's words
+    ended: dict = field(default_factory=dict)  # results of ``ends``
 
     @classmethod
     def build(cls, templates: Mapping[str, str], phrases: Mapping[str, str]) -> "Automaton":
@@ -126,8 +129,10 @@ class Automaton:
         """Insert one word sequence; returns the state of the whole sequence."""
         which, last = len(self.templates), 0
         self.templates.append((label, len(seq)))
+        self.bodies.append([])
         for end, word in enumerate(seq, 1):
             c = self.vocab.setdefault(word, len(self.vocab))
+            self.bodies[-1].append(c)
             if c in self.go[last]:
                 q = self.go[last][c]
                 cur = q if self.length[q] == self.length[last] + 1 else self._clone(last, q, c)
@@ -156,23 +161,22 @@ class Automaton:
     def scan(self, seq: Sequence[bytes], min_match: int):
         """(phrase hits, maximal matches) of a word sequence.
 
-        Phrase hits are (start, label); matches are (end, length, state) for
-        every statistic of ``min_match`` or more that the next word does not extend.
+        Phrase hits are (start, label); matches are (end, length, state, next
+        word) for every statistic of ``min_match`` or more that the next word does
+        not extend in some template that holds it or a suffix of it.
         """
         vocab, go, link, length, phrases = (self.vocab.get, self.go, self.link, self.length,
                                             self.phrases)
         hits, matches = [], []
         state = size = 0
         for i, c in enumerate(map(vocab, seq)):
+            if size >= min_match and self.ends(state, c, min_match):
+                matches.append((i, size, state, c))
             if c is None:
-                if size >= min_match:
-                    matches.append((i, size, state))
                 state = size = 0
                 continue
             nxt = go[state].get(c)
             if nxt is None:
-                if size >= min_match:
-                    matches.append((i, size, state))
                 while nxt is None and state:
                     state = link[state]
                     size = length[state]
@@ -185,10 +189,30 @@ class Automaton:
                 if n <= size:
                     hits.append((i + 1 - n, label))
         if size >= min_match:
-            matches.append((len(seq), size, state))
+            matches.append((len(seq), size, state, None))
         return hits, matches
 
-    def spans(self, matches, max_gap: int, min_cover: float):
+    def ends(self, state: int, c: int | None, min_match: int):
+        """(length, template, end) of the matches that end in ``state`` before the word ``c``.
+
+        Each place of a template is matched by the longest suffix that stands
+        there, by suffix links; places that ``c`` extends are left out. The
+        length is 0 for the whole of the statistic.
+        """
+        known = self.ended.get((state, c, min_match))
+        if known is None:
+            known, seen, v = [], set(), state
+            while v > 0 and (v == state or self.length[v] >= min_match):
+                for which, at in sorted(self.places[v] - seen):
+                    body = self.bodies[which]
+                    if at == len(body) or body[at] != c:
+                        known.append((0 if v == state else self.length[v], which, at))
+                seen |= self.places[v]
+                v = self.link[v]
+            self.ended[state, c, min_match] = known
+        return known
+
+    def spans(self, matches, max_gap: int, min_cover: float, min_match: int = 1):
         """Chain matches into (label, first word, last word, coverage) template spans.
 
         Anchors of a template are chained left to right in file and template
@@ -196,9 +220,10 @@ class Automaton:
         chains are taken best first, without overlap in the file.
         """
         anchors = defaultdict(list)
-        for end, size, state in matches:
-            for which, at in self.places[state]:
-                anchors[which].append((end - size, end, at - size, at))
+        for end, size, state, c in matches:
+            for n, which, at in self.ends(state, c, min_match):
+                n = n or size
+                anchors[which].append((end - n, end, at - n, at))
         out = []
         for which, found in anchors.items():
             label, total = self.templates[which]
@@ -263,7 +288,8 @@ def scan_licences(df: DataFrame, text: str = "text", *,
                 starts.append([h[0] for h in hits])
                 labels.append([h[1] for h in hits])
                 spans.append([dict(zip(names, s))
-                              for s in auto.spans(matches, max_gap, min_cover)] if matches else [])
+                              for s in auto.spans(matches, max_gap, min_cover, min_match)]
+                             if matches else [])
             return [pa.array(n, pa.int64()), pa.array(starts, pa.list_(pa.int64())),
                     pa.array(labels, pa.list_(pa.string())), pa.array(spans, array)]
 

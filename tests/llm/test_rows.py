@@ -157,3 +157,11 @@ def test_next_document_odd_ids(spark, tmp_path, ids):
     spark.createDataFrame([(i, f"text {k} of it") for k, i in enumerate(ids)],
                           "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
     assert fingerprints.op5_fingerprints(spark, str(tmp_path)).count() == len(ids)
+
+
+def test_short_licence_inside_a_longer_partial_match(spark):
+    part = ('Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file '
+            "and then other text stands here")
+    row = licences.scan_licences(frame(spark, [part])).collect()[0]
+    assert [(s.label, s.first_word, s.last_word, s.coverage) for s in row.spans] == [
+        ("apache-line", 0, 7, 1.0)]
