@@ -43,10 +43,13 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document (little-endian unsigned 32-bit integers) and their count."""
-    return bpe.encode(docs.select("doc_id", "text"), keep=["doc_id"]).select(
+    """Token ids of every document (little-endian unsigned 32-bit integers), their count, digests.
+
+    The ids are decoded again; ``decoded_sha256`` is the digest of the bytes they give back.
+    """
+    return bpe.decode(bpe.encode(docs.select("doc_id", "text"), keep=["doc_id"])).select(
         "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), "ids",
-        F.sha2("ids", 256).alias("ids_sha256"))
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 STAGES = [

@@ -1,6 +1,7 @@
 """The corpus pipeline on sf0.001, each stage against what it must keep and change."""
 
 import array
+import hashlib
 
 import pytest
 
@@ -47,3 +48,9 @@ def test_stages(stages):
             assert r["text"] == free[i]["text"]
         assert bytes(coded[i]["ids"]) == array.array(
             "I", library.encode_ordinary(r["text"])).tobytes()
+
+
+def test_ids_give_back_the_text(stages):
+    clean = {r.doc_id: r.text for r in stages[-2][1].collect()}
+    coded = {r.doc_id: r.decoded_sha256 for r in stages[-1][1].collect()}
+    assert coded == {i: hashlib.sha256(t.encode()).hexdigest() for i, t in clean.items()}
