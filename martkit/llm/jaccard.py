@@ -323,17 +323,17 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return grouped(rows, "g", "a binary, b binary", work)
 
 
-def _blocks(live: DataFrame, points: DataFrame) -> DataFrame:
+def _blocks(live: DataFrame, points: DataFrame, percent: int) -> DataFrame:
     """Rows (g, node, comp, point, own, lo, hi): the points of each pair of blocks of a cell.
 
     A cell is split by size first: a part holds the sets of n in [2^k, 2^(k+1))
-    and those of up to a quarter more, which may be linked with them. Its
+    and the larger ones that ``percent`` lets be linked with them. Its
     points are dealt into blocks of about BLOCK; every pair of blocks is a
     group ``g`` of its own, so no task needs a whole cell.
     """
     level = F.floor(F.log2("n")).cast("int")
-    parts = F.when(F.col("n") * 4 <= 5 * F.pow(F.lit(2), level), F.array(level, level - 1)
-                   ).otherwise(F.array(level))
+    least = F.greatest(F.lit(1), F.ceil(F.col("n") * percent / 100))
+    parts = F.sequence(F.floor(F.log2(least)).cast("int"), level)
     rows = (live.join(points.select("node", "n", "point"), "node")
             .withColumn("level", level).withColumn("part", F.explode(parts)))
     sizes = rows.groupBy("cell", "part").agg(
@@ -397,7 +397,7 @@ def _proposed(live: DataFrame, points: DataFrame, percent: int, turn: int) -> Da
             names=["g", "cell", "node", "mate"])]
 
     ranked = live.withColumn("rank", F.xxhash64("node", F.lit(turn)))
-    return grouped(_blocks(ranked, points), "g", "g long, cell long, node binary, mate binary",
+    return grouped(_blocks(ranked, points, percent), "g", "g long, cell long, node binary, mate binary",
                    work)
 
 
@@ -428,7 +428,7 @@ def _searched(live: DataFrame, points: DataFrame, percent: int) -> DataFrame:
              for k, kind in enumerate((pa.int64(), pa.binary(), pa.binary()))],
             names=["g", "a", "b"])]
 
-    return grouped(_blocks(live.join(lists, "node"), points), "g",
+    return grouped(_blocks(live.join(lists, "node"), points, percent), "g",
                    "g long, a binary, b binary", work)
 
 

@@ -56,6 +56,21 @@ def test_keep_one(spark, corpus):
     assert jaccard.near_duplicates(frame(spark, [None, ""])).count() == 2
 
 
+@pytest.mark.parametrize("percent", [30, 50])
+def test_near_duplicates_of_unlike_sizes(spark, percent):
+    words = [f"w{i}" for i in range(64)]
+    lengths = (64, 35, 24, 20)  # 60, 31, 20 and 16 shingles
+    texts = [" ".join(words[:n]) for n in lengths] + [" ".join(f"x{i}" for i in range(64))]
+    got = [r.component for r in sorted(jaccard.near_duplicates(
+        frame(spark, texts), percent=percent).collect())]
+    want = list(range(len(texts)))
+    sets = [shingles(t) for t in texts]
+    for i, a in enumerate(sets):  # each text is a part of the one before it
+        if i and 100 * len(a & sets[i - 1]) >= percent * len(a | sets[i - 1]):
+            want[i] = want[i - 1]
+    assert got == want == [0, 0, 0, 0, 4]
+
+
 def test_tree_bound_never_loses_a_link():
     import numpy as np
     rng = np.random.default_rng(3)
