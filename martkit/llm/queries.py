@@ -14,6 +14,7 @@ from .language import op9_language_id
 from .licences import op3_licence_scan
 from .pii import op2_pii
 from .quality import op4_quality
+from .runs import op13_periodic_runs
 from .substrings import op10_repeated_substrings
 from .wordpiece import op8_token_counts
 
@@ -28,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_language_id": op9_language_id,
     "op10_repeated_substrings": op10_repeated_substrings,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE_SQL: dict[str, str] = {}
