@@ -12,7 +12,9 @@ from .fingerprints import op5_fingerprints
 from .jaccard import op6_jaccard_join
 from .language import op9_language_id
 from .licences import op3_licence_scan
+from .passages import op12_repeated_passages
 from .pii import op2_pii
+from .prefix_trie import op11_prefix_trie
 from .quality import op4_quality
 from .runs import op13_periodic_runs
 from .substrings import op10_repeated_substrings
@@ -29,6 +31,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_language_id": op9_language_id,
     "op10_repeated_substrings": op10_repeated_substrings,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_repeated_passages": op12_repeated_passages,
     "op13_periodic_runs": op13_periodic_runs,
 }
 

@@ -33,8 +33,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import POWERS, add_columns, mix64, others, quoted, table, text_of
-from .words import word_slices
+from .common import add_columns, mix64, others, quoted, table, text_of
+from .words import WordSums, word_slices
 
 PERIODS = 4       # least exponent of a run
 LEAST = 6         # least words of a run
@@ -177,32 +177,7 @@ def _codes(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             coded.dictionary.to_numpy(zero_copy_only=False))
 
 
-class _Hashes:
-    """Equality of stretches of words by prefix sums of id·base^place."""
-
-    def __init__(self, ids: np.ndarray):
-        self.up, _ = POWERS.get(len(ids) + 1)
-        x = mix64(ids.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
-        self.sums = np.zeros(len(ids) + 1, dtype=np.uint64)
-        np.cumsum(x * self.up[:len(ids)], out=self.sums[1:])
-
-    def equal(self, at: np.ndarray, period: np.ndarray, n: np.ndarray) -> np.ndarray:
-        """Whether n words from ``at`` equal those one period later."""
-        s = self.sums
-        return (s[at + n] - s[at]) * self.up[period] == s[at + period + n] - s[at + period]
-
-    def reach(self, at: np.ndarray, period: np.ndarray, most: np.ndarray, back: bool) -> np.ndarray:
-        """How many words on from ``at`` (or back, before it) equal those one period later."""
-        low, high = np.zeros(len(at), dtype=np.int64), most.copy()
-        while (open_ := low < high).any():
-            mid = np.where(open_, (low + high + 1) // 2, low)
-            ok = self.equal(at - mid if back else at, period, mid)
-            low = np.where(ok, mid, low)
-            high = np.where(ok, high, mid - 1)
-        return low
-
-
-def _squares(ids: np.ndarray, h: _Hashes, g: Grammar, after: bool, nodes: np.ndarray):
+def _squares(ids: np.ndarray, h: WordSums, g: Grammar, after: bool, nodes: np.ndarray):
     """(symbol, period, place) of squares that start (or else end) at the symbols' boundaries."""
     lo = g.place[nodes]
     b = lo + g.length[g.left[nodes]]
@@ -225,7 +200,7 @@ def _squares(ids: np.ndarray, h: _Hashes, g: Grammar, after: bool, nodes: np.nda
 
 def _crossing(ids: np.ndarray, g: Grammar):
     """(symbol, start, end, period): maximal inside the symbol, places relative to it."""
-    h = _Hashes(ids)
+    h = WordSums(ids)
     nodes = np.flatnonzero(g.length >= LEAST)
     found = [x for after in (True, False) for x in _squares(ids, h, g, after, nodes)]
     if not found:

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-from .common import raw_bytes, text_slices, word_spans
+from .common import POWERS, mix64, raw_bytes, text_slices, word_spans
 
 
 @dataclass(frozen=True)
@@ -67,6 +67,35 @@ class Words:
         return [hashlib.sha256(x).hexdigest() for x in self.joined(keep)]
 
 
+class WordSums:
+    """Equality of stretches of words by prefix sums of id·base^place."""
+
+    def __init__(self, ids: np.ndarray):
+        self.up, self.down = POWERS.get(len(ids) + 1)
+        x = mix64(ids.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
+        self.sums = np.zeros(len(ids) + 1, dtype=np.uint64)
+        np.cumsum(x * self.up[:len(ids)], out=self.sums[1:])
+
+    def equal(self, at: np.ndarray, period: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Whether n words from ``at`` equal those one period later."""
+        s = self.sums
+        return (s[at + n] - s[at]) * self.up[period] == s[at + period + n] - s[at + period]
+
+    def spans(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        """Hashes of the stretches [lo, hi), wherever they stand."""
+        return mix64((self.sums[hi] - self.sums[lo]) * self.down[lo])
+
+    def reach(self, at: np.ndarray, period: np.ndarray, most: np.ndarray, back: bool) -> np.ndarray:
+        """How many words on from ``at`` (or back, before it) equal those one period later."""
+        low, high = np.zeros(len(at), dtype=np.int64), most.copy()
+        while (open_ := low < high).any():
+            mid = np.where(open_, (low + high + 1) // 2, low)
+            ok = self.equal(at - mid if back else at, period, mid)
+            low = np.where(ok, mid, low)
+            high = np.where(ok, high, mid - 1)
+        return low
+
+
 def word_slices(texts: pa.Array, limit: int = 1 << 19):
     """(first row, ``Words``) of parts of a string array of about ``limit`` bytes each."""
     data, offsets = raw_bytes(texts)

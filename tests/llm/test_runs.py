@@ -102,7 +102,8 @@ def test_grammar_derives_the_text():
 
 
 def test_hash_collisions_fall_back_to_the_words(monkeypatch):
-    monkeypatch.setattr(R, "mix64", lambda x: x * np.uint64(0))  # every two stretches are alike
+    # every two stretches are alike
+    monkeypatch.setattr(R.WordSums, "equal", lambda self, at, period, n: np.ones(len(at), bool))
     docs = [[1, 2, 1, 2, 1, 2, 1, 2, 1, 9], [3, 3, 3, 3, 3, 3, 1], [1, 2, 3, 4, 5, 6, 7, 8]]
     assert rows_of(docs) == [(d, *r) for d, x in enumerate(docs) for r in brute(x)]
 
