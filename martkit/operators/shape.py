@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import Outputs
+
 
 def dim_distinct(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Unique combinations of ``columns``; nulls group together.
@@ -24,25 +25,25 @@ def star_split(
     fact_columns: Sequence[str],
     dims: Mapping[str, Sequence[str]],
     fact_name: str = "fact",
-    persist: bool = False,
-) -> dict[str, DataFrame]:
+) -> Outputs:
     """Split one flat table into a fact and its dimensions.
 
-    The outputs stay lazy. From a columnar source each output reads only its own
-    columns (a dimension reads two), so writing all three costs about one fact
-    scan and no cache. Set ``persist`` for row-oriented sources (JDBC, JSON)
-    where every re-read is a full read; the caller then unpersists ``flat``.
+    The outputs are lazy plans by name. Straight from a columnar source each
+    reads only its own columns (a dimension reads two), so writing all of them
+    costs about one fact scan. Where the flat table is costly to compute (joins,
+    parsed JSON) or row-oriented (JDBC), write them inside ``with``: it is then
+    computed once, persisted (or checkpointed) as columns, and each output
+    reads its own of those; a dimension's ``distinct`` is still collapsed per
+    task before it moves.
     """
-    if persist:
-        flat = flat.persist(StorageLevel.MEMORY_AND_DISK)
-    for name, cols in [(fact_name, fact_columns), *dims.items()]:
+    outputs = {fact_name: list(fact_columns), **{n: list(c) for n, c in dims.items()}}
+    for name, cols in outputs.items():
         missing = [c for c in cols if c not in flat.columns]
         if missing:
             raise ValueError(f"{name}: columns {missing} not in the flat table")
-    out = {fact_name: flat.select(*fact_columns)}
-    for name, cols in dims.items():
-        out[name] = dim_distinct(flat, cols)
-    return out
+    return Outputs({"flat": lambda _: flat}, lambda held: {
+        fact_name: lambda: held["flat"].select(*fact_columns),
+        **{n: (lambda cols=c: dim_distinct(held["flat"], cols)) for n, c in dims.items()}})
 
 
 def unique_key_violations(dim: DataFrame, key: str) -> DataFrame:

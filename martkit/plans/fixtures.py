@@ -19,10 +19,11 @@ from ..operators.aggregate import aggregate
 from ..operators.filter import filter_optional, not_in, project, rename
 from ..operators.joins import Table, join_program, join_using
 from ..operators.shape import dim_distinct, star_split
+from ..operators.shared import Outputs
 from ..session import scratch_path
 from ..sinks.files import write_csv, write_parquet
 from ..sources.documents import flatten_products, listing_ids
-from ..sources.files import read_ids, read_parquet
+from ..sources.files import deal_out, read_ids, read_parquet
 from .pipelines import Roles, pipeline_v1, pipeline_v2, pipeline_v3
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,6 +90,11 @@ def _supplier_by_nation(spark, sf_dir) -> DataFrame:
     return _renamed(spark, sf_dir, "supplier", {"s_nationkey": "nationkey"})
 
 
+def _dealt(df: DataFrame) -> DataFrame:
+    """Rows for costly text work: the test tables are one file of one row group."""
+    return deal_out(df, df.sparkSession.sparkContext.defaultParallelism)
+
+
 def _side_join(how: str) -> Query:
     # The side that may be broadcast (after the size probe) depends on the join
     # type: the build side must be the one whose unmatched rows are not kept.
@@ -109,7 +115,7 @@ def _flat(spark, sf_dir) -> DataFrame:
                       supp, "suppkey", broadcast="right")
 
 
-def _star(spark, sf_dir) -> dict[str, DataFrame]:
+def _star(spark, sf_dir) -> Outputs:
     flat = _flat(spark, sf_dir)
     fact_cols = [c for c in flat.columns if c not in ("p_name", "s_name")]
     return star_split(flat, fact_cols, {"dim_a": ["partkey", "p_name"], "dim_b": ["suppkey", "s_name"]})
@@ -131,7 +137,7 @@ def _product_documents(spark, sf_dir) -> DataFrame:
     ``brand`` member is absent (rejected); p_size = 1: the body is not JSON
     (rejected).
     """
-    p = table(spark, sf_dir, "part")
+    p = _dealt(table(spark, sf_dir, "part"))
     common = [
         p.p_partkey.alias("id"),
         F.when(p.p_size.between(20, 22), F.lit(None).cast("string"))
@@ -223,12 +229,21 @@ QUERIES: dict[str, Query] = {
     "join_shuffle": lambda s, d: join_using(product(s, d), brand(s, d), "partkey",
                                             left_filter="l_discount > 0.05"),
     "join_salted": lambda s, d: join_using(product(s, d), brand(s, d), "partkey",
-                                           left_filter="l_discount > 0.05", salt_buckets=4),
-    # Full outer join on the fact: salted left join + unmatched dimension rows.
+                                           left_filter="l_discount > 0.05", salt_buckets=4,
+                                           hot="all", row_id=["l_orderkey", "l_linenumber"]),
+    # Full outer join on the fact: hot and null keys spread, the fact read once.
     "join_full_salted": lambda s, d: join_using(product(s, d), brand(s, d), "partkey", "full",
                                                 left_filter="l_discount > 0.08",
                                                 right_filter="p_size > 25", salt_buckets=4),
-    # Only the keys found hot (>= 1% of the fact rows) are salted and replicated.
+    "join_right_salted": lambda s, d: join_using(product(s, d), category(s, d), "suppkey", "right",
+                                                 left_filter="l_discount > 0.08 AND l_quantity > 49",
+                                                 salt_buckets=4,
+                                                 row_id=["l_orderkey", "l_linenumber"]),
+    # Fact rows whose part the filtered dimension lacks go before the shuffle.
+    "join_key_filter": lambda s, d: join_using(product(s, d), brand(s, d), "partkey", "inner",
+                                               left_filter="l_discount > 0.05",
+                                               right_filter="p_size > 45", key_filter=True),
+    # The keys found hot (>= 1% of the fact rows) are split off and broadcast-joined.
     "join_salted_hot": lambda s, d: join_using(product(s, d), category(s, d), "suppkey", "inner",
                                                left_filter="l_discount > 0.05", salt_buckets=8,
                                                hot="auto"),
@@ -255,14 +270,18 @@ QUERIES: dict[str, Query] = {
     "agg_shared_count": lambda s, d: pipeline_v1(product(s, d), brand(s, d), ROLES)["product_count_brand"],
     "agg_shared_sum": lambda s, d: pipeline_v1(product(s, d), brand(s, d), ROLES)["product_sum_brand"],
     "agg_shared_count_onepass": lambda s, d: pipeline_v1(
-        product(s, d), brand(s, d), JOIN_FIRST).shared["product_count_brand"],
+        product(s, d), brand(s, d), JOIN_FIRST).onepass["product_count_brand"],
     "agg_shared_sum_onepass": lambda s, d: pipeline_v1(
-        product(s, d), brand(s, d), JOIN_FIRST).shared["product_sum_brand"],
+        product(s, d), brand(s, d), JOIN_FIRST).onepass["product_sum_brand"],
     # pipelines
     "v2_brand_average": lambda s, d: pipeline_v2(product(s, d), brand(s, d), category(s, d),
                                                 ROLES)["agg_brand_average_rate"],
     "v2_category_count": lambda s, d: pipeline_v2(product(s, d), brand(s, d), category(s, d),
                                                   ROLES)["agg_products_each_category"],
+    "v2_product_brand": lambda s, d: pipeline_v2(product(s, d), brand(s, d), category(s, d),
+                                                 ROLES)["product_brand_tmp"],
+    "v2_product_category": lambda s, d: pipeline_v2(product(s, d), brand(s, d), category(s, d),
+                                                    ROLES)["product_category_tmp"],
     "v2_high_average_by_category": lambda s, d: pipeline_v2(product(s, d), brand(s, d), category(s, d),
                                                     ROLES)["category_brand_average"],
     "v3_brand_average": lambda s, d: pipeline_v3(product(s, d), brand(s, d), category(s, d),
@@ -270,13 +289,13 @@ QUERIES: dict[str, Query] = {
     "v3_category_count": lambda s, d: pipeline_v3(product(s, d), brand(s, d), category(s, d),
                                                   ROLES)["agg_products_each_category"],
     "v3_brand_average_onepass": lambda s, d: pipeline_v3(
-        product(s, d), brand(s, d), category(s, d), JOIN_FIRST).shared["agg_brand_average_rate"],
+        product(s, d), brand(s, d), category(s, d), JOIN_FIRST).onepass["agg_brand_average_rate"],
     "v3_category_count_onepass": lambda s, d: pipeline_v3(
-        product(s, d), brand(s, d), category(s, d), JOIN_FIRST).shared["agg_products_each_category"],
+        product(s, d), brand(s, d), category(s, d), JOIN_FIRST).onepass["agg_products_each_category"],
     # text
-    "word_count": lambda s, d: word_count(table(s, d, "documents"), "text"),
-    "word_count_trailing": lambda s, d: word_count(table(s, d, "documents"), "text",
-                                                   drop_trailing_empty=True),
+    "word_count": lambda s, d: word_count(_dealt(table(s, d, "documents").select("text")), "text"),
+    "word_count_trailing": lambda s, d: word_count(
+        _dealt(table(s, d, "documents").select("text")), "text", drop_trailing_empty=True),
     "fn_split_words": lambda s, d: table(s, d, "documents").select("doc_id", "text").select(
         "doc_id", F.size(split_words("text")).cast("bigint").alias("n_tokens")),
     # ingest
@@ -375,6 +394,14 @@ ORACLE_SQL: dict[str, str] = {
         SELECT COALESCE(l.l_partkey, p.p_partkey) AS partkey, l.l_suppkey AS suppkey, {_LI}, {_P}
         FROM (SELECT * FROM lineitem WHERE l_discount > 0.08) l
         FULL OUTER JOIN (SELECT * FROM part WHERE p_size > 25) p ON l.l_partkey = p.p_partkey""",
+    "join_right_salted": f"""
+        SELECT s_suppkey AS suppkey, l_partkey AS partkey, {_LI}, {_S}
+        FROM (SELECT * FROM lineitem WHERE l_discount > 0.08 AND l_quantity > 49) l
+        RIGHT JOIN supplier ON l_suppkey = s_suppkey""",
+    "join_key_filter": f"""
+        SELECT l_partkey AS partkey, l_suppkey AS suppkey, {_LI}, {_P}
+        FROM lineitem JOIN part ON l_partkey = p_partkey
+        WHERE l_discount > 0.05 AND p_size > 45""",
     "join_salted_hot": f"""
         SELECT l_suppkey AS suppkey, l_partkey AS partkey, {_LI}, {_S}
         FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE l_discount > 0.05""",
@@ -414,6 +441,12 @@ ORACLE_SQL: dict[str, str] = {
         SELECT l_suppkey AS suppkey, s_name, count(l_orderkey) AS number_of_products
         FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE l_discount > 0.05
         GROUP BY l_suppkey, s_name""",
+    "v2_product_brand": f"""
+        SELECT l_partkey AS partkey, l_suppkey AS suppkey, {_LI}, {_P}
+        FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_discount > 0.05""",
+    "v2_product_category": f"""
+        SELECT l_suppkey AS suppkey, l_partkey AS partkey, {_LI}, {_S}
+        FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE l_discount > 0.05""",
     "v2_high_average_by_category": f"""
         SELECT a.suppkey, a.partkey, a.p_name, a.average_rating, s_name, s_nationkey, s_acctbal
         FROM ({_V2_AVG}) a JOIN supplier ON a.suppkey = s_suppkey WHERE a.average_rating > 45""",
@@ -475,9 +508,17 @@ def run_v3(spark, sf_dir, sink) -> None:
 
 
 def run_star(spark, sf_dir, sink) -> None:
-    for name, df in _star(spark, sf_dir).items():
-        sink(df, name)
+    with _star(spark, sf_dir) as out:
+        for name in out:
+            sink(out[name], name)
+
+
+def run_ingest(spark, sf_dir, sink) -> None:
+    with flatten_products(_product_documents(spark, sf_dir)) as out:
+        for name in out:
+            sink(out[name], name)
 
 
 WORKLOADS = {"v1_all_outputs": run_v1, "v2_all_outputs": run_v2,
-             "v3_all_outputs": run_v3, "star_split_all_outputs": run_star}
+             "v3_all_outputs": run_v3, "star_split_all_outputs": run_star,
+             "ingest_all_outputs": run_ingest}

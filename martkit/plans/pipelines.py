@@ -17,20 +17,19 @@ shuffle of one row per (key, key) pair.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, replace
 from functools import cache
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.aggregate import aggregate, aggregate_many, computes_on, resolves_on
-from ..operators.cache import reliable_checkpoint
 from ..operators.filter import filter_optional, to_column
-from ..operators.joins import Table, join_program, join_using
+from ..operators.joins import Table, join_program, join_using, reduce_by_keys
 from ..operators.shape import drop_duplicate_facts, require_unique_key, star_split
+from ..operators.shared import Frames, Outputs
 from ..spec import AggSpec, JoinStep
 
 
@@ -62,6 +61,13 @@ class Roles:
     average_alias: str = "average_rating"
     broadcast_dims: bool = True
     eager: bool = True
+    # Joins of the fact with a dimension that is not broadcast (see ``join_using``):
+    # hot fact keys, the columns that tell fact rows apart, and whether fact rows
+    # without a partner in a filtered dimension go before the shuffle.
+    salt_buckets: int = 0
+    hot: Sequence | str | None = None
+    row_id: tuple[str, ...] | None = None
+    key_filter: bool = False
 
     def with_(self, **changes) -> "Roles":
         return replace(self, **changes)
@@ -70,69 +76,6 @@ class Roles:
 REFERENCE = Roles()
 
 
-class Outputs(Mapping):
-    """Named pipeline outputs derived from one small shared intermediate.
-
-    ``shared`` is what every output reads (the merged partial aggregates), and
-    ``derive`` maps each output name to its frame, or to a function building
-    it, called on first access only (a caller reading one output does not
-    plan the others). Without ``with`` each output is an independent lazy
-    plan. Inside ``with`` the shared part is persisted once
-    (default), or, after ``checkpointed()``, written to the reliable
-    ``spark.checkpoint.dir`` with its lineage cut, so losing an executor
-    while the outputs are written never re-runs the fact scan.
-    """
-
-    def __init__(self, shared: DataFrame | None,
-                 derive: Callable[[DataFrame | None], dict[str, DataFrame | Callable]]):
-        self.shared = shared
-        self._derive = derive
-        self._lazy = derive(shared)
-        self._lazy_built: dict[str, DataFrame] = {}
-        self._active: dict[str, DataFrame | Callable] | None = None
-        self._active_built: dict[str, DataFrame] = {}
-        self._reliable = False
-        self._held: DataFrame | None = None
-
-    def checkpointed(self) -> "Outputs":
-        """Use a reliable checkpoint instead of ``persist`` inside ``with``."""
-        self._reliable = True
-        return self
-
-    def __getitem__(self, name: str) -> DataFrame:
-        if self._active is not None:
-            table, built = self._active, self._active_built
-        else:
-            table, built = self._lazy, self._lazy_built
-        if name not in built:
-            value = table[name]
-            built[name] = value if isinstance(value, DataFrame) else value()
-        return built[name]
-
-    def __iter__(self) -> Iterator[str]:
-        return iter(self._lazy)
-
-    def __len__(self) -> int:
-        return len(self._lazy)
-
-    def __enter__(self) -> "Outputs":
-        if self.shared is None:  # nothing shared: the outputs stay independent
-            self._active, self._active_built = self._lazy, self._lazy_built
-            return self
-        if self._reliable:
-            self._held = reliable_checkpoint(self.shared)
-        else:
-            self._held = self.shared.persist(StorageLevel.MEMORY_AND_DISK)
-        self._active, self._active_built = self._derive(self._held), {}
-        return self
-
-    def __exit__(self, *exc) -> None:
-        self._active, self._active_built = None, {}
-        if not self._reliable and self._held is not None:
-            self._held.unpersist()
-        self._held = None
-
-
 def _numeric(df: DataFrame, column: str) -> bool:
     """Eager merging reproduces avg/sum exactly for integral and floating types."""
     dtype = df.schema[column].dataType
@@ -163,9 +106,10 @@ def _merged_average(roles: Roles):
 
 
 def warehouse(flat: DataFrame, roles: Roles = REFERENCE,
-              dedupe: bool = False, unique_dims: bool = False) -> dict[str, DataFrame]:
+              dedupe: bool = False, unique_dims: bool = False) -> Outputs:
     """Flat product table → ``product`` (fact), ``brand``, ``category``.
 
+    Inside ``with`` the flat table is computed once for all three (``star_split``).
     ``dedupe`` keeps one fact row per id; ``unique_dims`` fails if a dimension
     key maps to more than one name. Both are off by default, as in the original.
     """
@@ -206,6 +150,13 @@ def _category_count_spec(roles: Roles) -> AggSpec:
     )
 
 
+def _fact_join(fact: DataFrame, dim: DataFrame, on: str, roles: Roles) -> DataFrame:
+    """The fact joined to a dimension, broadcast if it is small, else as ``roles`` say."""
+    return join_using(fact, dim, on, "inner", broadcast=_dim(roles, "right"),
+                      salt_buckets=roles.salt_buckets, hot=roles.hot, row_id=roles.row_id,
+                      key_filter=roles.key_filter)
+
+
 def pipeline_v1(product: DataFrame, brand: DataFrame, roles: Roles = REFERENCE) -> Mapping:
     """brand ⨝ filtered product → count per brand and review sum per brand.
 
@@ -214,8 +165,8 @@ def pipeline_v1(product: DataFrame, brand: DataFrame, roles: Roles = REFERENCE)
     Outputs: ``product_count_brand``, ``product_sum_brand``.
     """
     keys = [roles.brand_key, roles.brand_name]
+    fact = filter_optional(product, roles.product_filter)
     if roles.eager and _numeric(product, roles.reviews):
-        fact = filter_optional(product, roles.product_filter)
         partial = fact.groupBy(roles.brand_key).agg(
             F.count(F.col(roles.id)).alias("__cnt_id"), F.sum(roles.reviews).alias("__sum_reviews"))
         joined = join_using(brand, partial, roles.brand_key, "inner", broadcast=_dim(roles, "left"))
@@ -224,14 +175,14 @@ def pipeline_v1(product: DataFrame, brand: DataFrame, roles: Roles = REFERENCE)
         counts = merged.select(*keys, roles.count_alias)
         sums = merged.select(*keys, roles.sum_alias)
         if resolves_on(counts, roles.count_having) and resolves_on(sums, roles.sum_having):
-            return Outputs(merged, lambda m: {
-                "product_count_brand": filter_optional(m.select(*keys, roles.count_alias),
-                                                       roles.count_having),
-                "product_sum_brand": filter_optional(m.select(*keys, roles.sum_alias),
-                                                     roles.sum_having),
+            return Outputs({"merged": lambda _: merged}, lambda held: {
+                "product_count_brand": lambda: filter_optional(
+                    held["merged"].select(*keys, roles.count_alias), roles.count_having),
+                "product_sum_brand": lambda: filter_optional(
+                    held["merged"].select(*keys, roles.sum_alias), roles.sum_having),
             })
-    joined = join_using(brand, product, roles.brand_key, "inner",
-                        right_filter=roles.product_filter, broadcast=_dim(roles, "left"))
+    # the fact is the left side, so that its hot brands can be split off or salted
+    joined = _fact_join(fact, brand, roles.brand_key, roles)
     return aggregate_many(joined, [
         AggSpec.of(keys, [f"count({roles.id}) AS {roles.count_alias}"],
                    having=roles.count_having, name="product_count_brand"),
@@ -245,66 +196,84 @@ def pipeline_v2(product: DataFrame, brand: DataFrame, category: DataFrame,
     """Two 2-way joins, an average per brand/category, a count per category,
     and the high averages joined back to the category dimension.
 
+    The average is one shared intermediate of the two outputs that read it. Eager
+    (default), one partial aggregate of the filtered fact per (brand, category)
+    feeds the average and the count, and is an intermediate, too.
     Outputs: ``product_brand_tmp``, ``product_category_tmp``,
     ``agg_brand_average_rate``, ``agg_products_each_category``,
     ``category_brand_average``.
     """
-    eager = _eager_average(product, roles)
+    fact = filter_optional(product, roles.product_filter)
+    spec, count_spec = _average_spec(roles), _category_count_spec(roles)
 
     @cache
     def product_brand() -> DataFrame:
-        return join_using(product, brand, roles.brand_key, "inner",
-                          left_filter=roles.product_filter, broadcast=_dim(roles, "right"))
+        return _fact_join(fact, brand, roles.brand_key, roles)
 
     @cache
     def product_category() -> DataFrame:
-        return join_using(product, category, roles.category_key, "inner",
-                          left_filter=roles.product_filter, broadcast=_dim(roles, "right"))
+        return _fact_join(fact, category, roles.category_key, roles)
 
-    @cache
-    def average() -> DataFrame:
-        if not eager:
-            spec = _average_spec(roles)
-            return aggregate(product_brand(), spec.keys, spec.aggs, where=spec.where)
-        fact = filter_optional(product, roles.product_filter)
-        by_brand = fact.groupBy(roles.brand_key, roles.category_key).agg(*_average_parts(roles))
-        rated = join_using(by_brand, brand, roles.brand_key, "inner", broadcast=_dim(roles, "right"))
+    def partial(_: Frames) -> DataFrame:
+        return fact.groupBy(roles.brand_key, roles.category_key).agg(
+            *_average_parts(roles), F.count(F.col(roles.id)).alias("__cnt_id"))
+
+    def merged_average(held: Frames) -> DataFrame:
+        rated = join_using(held["partial"].drop("__cnt_id"), brand, roles.brand_key, "inner",
+                           broadcast=_dim(roles, "right"))
         return (rated.filter(F.col("__any_rated").isNotNull())
                 .groupBy(roles.brand_key, roles.category_key, roles.brand_name)
                 .agg(_merged_average(roles)))
 
-    def counts() -> DataFrame:
-        if not eager:
-            spec = _category_count_spec(roles)
-            return aggregate(product_category(), spec.keys, spec.aggs)
-        fact = filter_optional(product, roles.product_filter)
-        by_category = fact.groupBy(roles.category_key).agg(F.count(F.col(roles.id)).alias("__cnt_id"))
+    def merged_count(held: Frames) -> DataFrame:
+        if held.held:
+            by_category = held["partial"].groupBy(roles.category_key).agg(
+                F.sum("__cnt_id").alias("__cnt_id"))
+        else:  # for this output alone the brand is no group key
+            by_category = fact.groupBy(roles.category_key).agg(
+                F.count(F.col(roles.id)).alias("__cnt_id"))
         counted = join_using(by_category, category, roles.category_key, "inner",
                              broadcast=_dim(roles, "right"))
         return counted.groupBy(roles.category_key, roles.category_name).agg(
             F.sum("__cnt_id").alias(roles.count_alias))
 
-    def high() -> DataFrame:
-        return join_using(average(), category, roles.category_key, "inner",
-                          left_filter=roles.average_filter, broadcast=_dim(roles, "right"))
+    eager = _eager_average(product, roles)
+    stages: dict[str, Callable] = {"partial": partial, "average": merged_average} if eager else {
+        "average": lambda _: aggregate(product_brand(), spec.keys, spec.aggs, where=spec.where)}
+
+    def derive(held: Frames) -> dict[str, Callable[[], DataFrame]]:
+        return {
+            "product_brand_tmp": product_brand,
+            "product_category_tmp": product_category,
+            "agg_brand_average_rate": lambda: held["average"],
+            "agg_products_each_category": lambda: (
+                merged_count(held) if eager
+                else aggregate(product_category(), count_spec.keys, count_spec.aggs)),
+            "category_brand_average": lambda: join_using(
+                held["average"], category, roles.category_key, "inner",
+                left_filter=roles.average_filter, broadcast=_dim(roles, "right")),
+        }
 
-    return Outputs(None, lambda _: {
-        "product_brand_tmp": product_brand,
-        "product_category_tmp": product_category,
-        "agg_brand_average_rate": average,
-        "agg_products_each_category": counts,
-        "category_brand_average": high,
-    })
+    return Outputs(stages, derive)
 
 
 def v3_join(product: DataFrame, brand: DataFrame, category: DataFrame,
             roles: Roles = REFERENCE) -> DataFrame:
-    """``product_brand_category``: the 3-table join program of the V3 pipeline."""
+    """``product_brand_category``: the 3-table join program of the V3 pipeline.
+
+    With ``roles.key_filter``, fact rows of categories that the filtered category
+    dimension lacks go before the first join, unless that dimension is broadcast.
+    """
     hint = _dim(roles, "right")
+    fact = filter_optional(product, roles.product_filter)
+    if roles.key_filter and not roles.broadcast_dims:
+        fact = reduce_by_keys(fact, filter_optional(category, roles.category_filter),
+                              roles.category_key)
     return join_program(
-        [Table(product, roles.product_filter), Table(brand), Table(category, roles.category_filter)],
+        [Table(fact), Table(brand), Table(category, roles.category_filter)],
         [JoinStep(0, 1, roles.brand_key, "inner"), JoinStep(3, 2, roles.category_key, "inner")],
-        broadcast=[hint, hint],
+        broadcast=[hint, hint], salt_buckets=roles.salt_buckets,
+        hot=roles.hot, row_id=roles.row_id,
     )
 
 
@@ -315,7 +284,8 @@ def pipeline_v3(product: DataFrame, brand: DataFrame, category: DataFrame,
     Eager (default): one partial aggregate of the filtered fact per
     (brand, category) carries both outputs' partials through the same two
     joins; each output merges them. Otherwise both outputs come from one
-    grouped pass over the full join (``operators.aggregate.SharedAggregates``).
+    tagged pass over the full join (``operators.aggregate.SharedAggregates``),
+    of which group rows only are held.
     Outputs: ``agg_brand_average_rate``, ``agg_products_each_category``.
     """
     if _eager_average(product, roles):
@@ -328,12 +298,12 @@ def pipeline_v3(product: DataFrame, brand: DataFrame, category: DataFrame,
             [JoinStep(0, 1, roles.brand_key, "inner"), JoinStep(3, 2, roles.category_key, "inner")],
             broadcast=[hint, hint],
         )
-        return Outputs(joined, lambda j: {
+        return Outputs({"joined": lambda _: joined}, lambda held: {
             "agg_brand_average_rate": lambda: (
-                j.filter(F.col("__any_rated").isNotNull())
+                held["joined"].filter(F.col("__any_rated").isNotNull())
                 .groupBy(roles.brand_key, roles.category_key, roles.brand_name)
                 .agg(_merged_average(roles))),
-            "agg_products_each_category": lambda: j.groupBy(
+            "agg_products_each_category": lambda: held["joined"].groupBy(
                 roles.category_key, roles.category_name).agg(
                 F.sum("__cnt_id").alias(roles.count_alias)),
         })
