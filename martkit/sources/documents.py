@@ -7,12 +7,11 @@ wherever the fetcher put them. Parsing is VARIANT-based, so "key missing" and
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.json import parse
+from ..operators.shared import Outputs
 
 # The product document contract of the original crawler.
 # (output column, JSON path, Spark type) — required keys, in output order.
@@ -38,12 +37,26 @@ PRODUCT_OBJECTS = ["$.brand", "$.categories"]
 OK_STATUS = 200
 
 
-@dataclass(frozen=True)
-class Flattened:
-    """Accepted rows (typed, flat) and rejected rows (original body + reason)."""
+class Flattened(Outputs):
+    """Accepted rows (typed, flat) and rejected rows (original body + reason).
+
+    Each is a plan that parses the documents; inside ``with`` they are parsed once
+    for both, and the judged documents persisted (or checkpointed).
+    """
+
+    def __init__(self, judged: DataFrame, columns: list[str], body: str):
+        super().__init__({"judged": lambda _: judged}, lambda held: {
+            "rows": lambda: held["judged"].filter(F.col("reason").isNull()).select(*columns),
+            "rejected": lambda: held["judged"].filter(F.col("reason").isNotNull()).select(
+                body, "reason")})
+
+    @property
+    def rows(self) -> DataFrame:
+        return self["rows"]
 
-    rows: DataFrame
-    rejected: DataFrame
+    @property
+    def rejected(self) -> DataFrame:
+        return self["rejected"]
 
 
 def _split_path(path: str) -> tuple[str, ...]:
@@ -152,9 +165,7 @@ def flatten_documents(
     if stage2:
         stage = stage.select("*", *stage2)
     judged = stage.select(verdict)
-    rows = judged.filter(F.col("reason").isNull()).select(*[name for name, _, _ in fields])
-    rejected = judged.filter(F.col("reason").isNotNull()).select(body_col, "reason")
-    return Flattened(rows, rejected)
+    return Flattened(judged, [name for name, _, _ in fields], body_col)
 
 
 def flatten_products(responses: DataFrame, body_col: str = "body",

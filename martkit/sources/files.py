@@ -11,14 +11,27 @@ from pyspark.sql import types as T
 ID_SCHEMA = T.StructType([T.StructField("id", T.LongType(), True)])
 
 
-def read_parquet(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def read_parquet(spark: SparkSession, path: str | list[str], tasks: int = 0) -> DataFrame:
     """Parquet (any codec; the codec is read from the file, not an option).
 
     Filters and projections applied later reach the scan (pushed filters,
-    pruned read schema); partitioned layouts get partition pruning.
+    pruned read schema); partitioned layouts get partition pruning. ``tasks``
+    deals the rows of a table of fewer files than that over so many tasks
+    (``deal_out``); off by default.
     """
     paths = [path] if isinstance(path, str) else list(path)
-    return spark.read.parquet(*paths)
+    return deal_out(spark.read.parquet(*paths), tasks)
+
+
+def deal_out(df: DataFrame, tasks: int) -> DataFrame:
+    """The rows of a file source of fewer than ``tasks`` files, dealt over that many tasks.
+
+    For costly work per row (parsing, splitting text) on a table landed as one
+    file of one row group, which Spark reads in one task however large it is. The
+    rows move once, so select the columns first. A table of many files is left as
+    it is.
+    """
+    return df.repartition(tasks) if 0 < len(df.inputFiles()) < tasks else df
 
 
 def read_landing(spark: SparkSession, path: str) -> DataFrame:
