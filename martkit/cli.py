@@ -8,11 +8,13 @@ aggregate, having), ``join-agg`` (join once, several aggregates), ``dwh``
 ``run`` (a whole V1/V2/V3 run from the flat table in one application).
 
 Tables live in a *store*: ``--store parquet:/dir`` (table ``t`` is
-``/dir/t`` or ``/dir/t.parquet``) or ``--store jdbc`` with ``--rdbms``,
+``/dir/t`` or ``/dir/t.parquet``), ``--store catalog:db`` (tables of the session
+catalog, replaced by stage and swap) or ``--store jdbc`` with ``--rdbms``,
 ``--host``, ``--port``, ``--database``, ``--user`` and ``--password-env``
-(the *name* of an environment variable holding the password). Outputs go to
-``--out-store`` (default: the input store). Each job is one lazy plan executed
-by its writes.
+(the *name* of an environment variable holding the password). JDBC tables are
+read in parallel by equi-depth ranges of the column that ``--partition
+TABLE=COLUMN[:PARTS]`` names for each. Outputs go to ``--out-store`` (default: the
+input store). Each job is one lazy plan executed by its writes.
 """
 
 from __future__ import annotations
@@ -21,49 +23,24 @@ import argparse
 import json
 import os
 import sys
-from dataclasses import dataclass
+from contextlib import nullcontext
+from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from .functions.text import word_count
 from .operators.aggregate import aggregate, aggregate_many
-from .operators.cache import reliable_checkpoint
 from .operators.joins import Table, join_program, join_using
 from .plans.pipelines import REFERENCE, pipeline_v1, pipeline_v2, pipeline_v3, warehouse
 from .session import build_session
 from .sinks.console import preview, timed
 from .sinks.files import write_parquet
 from .sinks.jdbc import write_jdbc, write_sqlite
+from .sinks.tables import replace_jdbc_table, replace_table
 from .sources.documents import flatten_products
-from .sources.files import read_parquet, read_responses, text_frame
-from .sources.jdbc import read_jdbc
-from .spec import AggSpec, JdbcConf, JoinStep
-
-
-def split_list(text: str) -> list[str]:
-    """Split ``"a, upper(b), c"`` at top-level commas (not inside () or quotes)."""
-    out, depth, quote, cur = [], 0, None, []
-    for ch in text:
-        if quote:
-            cur.append(ch)
-            if ch == quote:
-                quote = None
-            continue
-        if ch in "'\"`":
-            quote = ch
-        elif ch == "(":
-            depth += 1
-        elif ch == ")":
-            depth -= 1
-        elif ch == "," and depth == 0:
-            out.append("".join(cur).strip())
-            cur = []
-            continue
-        cur.append(ch)
-    if "".join(cur).strip():
-        out.append("".join(cur).strip())
-    return out
+from .sources.files import deal_out, read_parquet, read_responses, text_frame
+from .sources.jdbc import Partitioning, read_jdbc
+from .spec import AggSpec, JdbcConf, JoinStep, split_list
 
 
 @dataclass
@@ -73,6 +50,14 @@ class Store:
     conf: JdbcConf | None = None
     partition_column: str | None = None
     num_partitions: int | None = None
+    partitions: dict[str, str] = field(default_factory=dict)  # table -> COLUMN[:PARTS]
+    write_partitions: int = 8
+    staged: bool = False
+
+    def partitioning(self, table: str, default: int) -> Partitioning | None:
+        """How a table is read: its own column, else the one given for all tables."""
+        spec = self.partitions.get(table) or self.partition_column
+        return Partitioning.parse(spec, self.num_partitions or default) if spec else None
 
     def path(self, spark: SparkSession, table: str) -> str:
         """The fully qualified path of a table: ``t`` or, if only that exists, ``t.parquet``."""
@@ -86,13 +71,18 @@ class Store:
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         if self.kind == "parquet":
             return read_parquet(spark, self.path(spark, table))
-        if self.partition_column:
-            return read_jdbc(spark, self.conf, table, self.partition_column,
-                             self.num_partitions or spark.sparkContext.defaultParallelism)
-        print(f"martkit: reading {table!r} in one task; give --partition-column "
-              "(an evenly spread numeric id) to read in parallel", file=sys.stderr)
+        if self.kind == "catalog":
+            return spark.table(self.table(table))
+        partitioning = self.partitioning(table, spark.sparkContext.defaultParallelism)
+        if partitioning:
+            return read_jdbc(spark, self.conf, table, partitioning=partitioning)
+        print(f"martkit: reading {table!r} in one task; give --partition {table}=COLUMN "
+              "to read in parallel", file=sys.stderr)
         return read_jdbc(spark, self.conf, table, single_partition=True)
 
+    def table(self, table: str) -> str:
+        return f"{self.root}.{table}" if self.root else table
+
     def write(self, df: DataFrame, table: str, sources: list[tuple["Store", str]]) -> None:
         spark = df.sparkSession
         jdbc_sources = [(s.conf, n) for s, n in sources if s.kind == "jdbc"]
@@ -102,10 +92,15 @@ class Store:
                 if store.kind == "parquet" and store.path(spark, name) == target:
                     raise ValueError(f"refusing to overwrite {table!r}: it is also an input")
             write_parquet(df, target)
+        elif self.kind == "catalog":
+            replace_table(df, self.table(table))
         elif self.conf.rdbms == "sqlite":
             write_sqlite(df, self.conf.database, table, sources=jdbc_sources)
+        elif self.staged:
+            replace_jdbc_table(df, self.conf, table, self.write_partitions)
         else:
-            write_jdbc(df, self.conf, table, sources=jdbc_sources)
+            write_jdbc(df, self.conf, table, sources=jdbc_sources,
+                       num_partitions=self.write_partitions)
 
 
 def _store(spec: str | None, args, prefix: str = "") -> Store:
@@ -113,27 +108,37 @@ def _store(spec: str | None, args, prefix: str = "") -> Store:
         return None
     if spec.startswith("parquet:"):
         return Store("parquet", root=spec[len("parquet:"):])
+    if spec.startswith("catalog:"):
+        return Store("catalog", root=spec[len("catalog:"):])
     if spec == "jdbc":
         get = lambda k: getattr(args, prefix + k)
         conf = JdbcConf(rdbms=get("rdbms"), database=get("database"), host=get("host"),
                         port=get("port"), user=get("user"), password_env=get("password_env"))
+        partitions = dict(p.split("=", 1) for p in getattr(args, "partition", None) or [])
         return Store("jdbc", conf=conf, partition_column=getattr(args, "partition_column", None),
-                     num_partitions=getattr(args, "num_partitions", None))
-    raise ValueError(f"unknown store {spec!r}; use parquet:/dir or jdbc")
+                     num_partitions=getattr(args, "num_partitions", None), partitions=partitions,
+                     write_partitions=getattr(args, "write_partitions", 8),
+                     staged=getattr(args, "staged", False))
+    raise ValueError(f"unknown store {spec!r}; use parquet:/dir, catalog:db or jdbc")
 
 
 def _add_join_strategy_args(p: argparse.ArgumentParser) -> None:
     p.add_argument("--broadcast", choices=["left", "right"],
                    help="side that may be broadcast if a size probe proves it small")
     p.add_argument("--salt-buckets", type=int, default=0,
-                   help="spread hot left keys over this many tasks (shuffle joins)")
-    p.add_argument("--hot", help="'auto' (keys with >= 1%% of the left rows) or "
-                                 "comma-separated key values to salt; default: every key")
+                   help="split off hot left keys, or spread them over this many tasks "
+                        "(shuffle joins)")
+    p.add_argument("--hot", help="'auto' (default: keys with >= 1%% of the left rows), "
+                                 "comma-separated key values, or 'all' to salt every key")
+    p.add_argument("--row-id", help="comma-separated left columns that tell its rows apart, "
+                                    "hashed for the salt")
+    p.add_argument("--key-filter", action="store_true",
+                   help="drop left rows whose key the right side lacks before the shuffle")
 
 
 def _hot_arg(text: str | None):
-    """``--hot``: None, "auto", or key values (integers where they parse)."""
-    if text is None or text == "auto":
+    """``--hot``: None, "auto", "all", or key values (integers where they parse)."""
+    if text is None or text in ("auto", "all"):
         return text
     values = []
     for v in split_list(text):
@@ -145,8 +150,8 @@ def _hot_arg(text: str | None):
 
 
 def _add_store_args(p: argparse.ArgumentParser) -> None:
-    p.add_argument("--store", required=True, help="parquet:/dir or jdbc")
-    p.add_argument("--out-store", help="parquet:/dir or jdbc (default: --store)")
+    p.add_argument("--store", required=True, help="parquet:/dir, catalog:db or jdbc")
+    p.add_argument("--out-store", help="parquet:/dir, catalog:db or jdbc (default: --store)")
     for prefix in ("", "out_"):
         dash = prefix.replace("_", "-")
         p.add_argument(f"--{dash}rdbms", dest=f"{prefix}rdbms", default="postgresql")
@@ -155,8 +160,14 @@ def _add_store_args(p: argparse.ArgumentParser) -> None:
         p.add_argument(f"--{dash}database", dest=f"{prefix}database")
         p.add_argument(f"--{dash}user", dest=f"{prefix}user")
         p.add_argument(f"--{dash}password-env", dest=f"{prefix}password_env")
-    p.add_argument("--partition-column", help="numeric/date column for parallel JDBC reads")
-    p.add_argument("--num-partitions", type=int)
+    p.add_argument("--partition", action="append", metavar="TABLE=COLUMN[:PARTS]",
+                   help="column for parallel JDBC reads of one table, by equi-depth ranges")
+    p.add_argument("--partition-column", help="the same for every table without --partition")
+    p.add_argument("--num-partitions", type=int, help="ranges where PARTS is not given")
+    p.add_argument("--write-partitions", type=int, default=8,
+                   help="connections of a JDBC write")
+    p.add_argument("--staged", action="store_true",
+                   help="JDBC writes: stage the rows and swap the tables' names")
     p.add_argument("--shuffle-partitions", type=int)
     p.add_argument("--master")
     p.add_argument("--preview", action="store_true", help="print 10 rows after writing")
@@ -186,7 +197,9 @@ def build_parser() -> argparse.ArgumentParser:
                    help="side of every step that may be broadcast after a size probe")
     p.add_argument("--salt-buckets", type=int, default=0,
                    help="spread hot left keys of every shuffle step over this many tasks")
-    p.add_argument("--hot", choices=["auto"], help="salt only keys with >= 1%% of the rows")
+    p.add_argument("--hot", choices=["auto", "all"], help="which keys (default: auto)")
+    p.add_argument("--key-filter", action="store_true",
+                   help="drop left rows of a step whose key its right side lacks")
     p.add_argument("--output", required=True)
 
     p = sub.add_parser("agg", help="filter, group, aggregate, having")
@@ -223,6 +236,10 @@ def build_parser() -> argparse.ArgumentParser:
     p.add_argument("--rejected", default="product_data_rejected")
     p.add_argument("--format", choices=["table", "parquet", "json", "text"], default="table",
                    help="'table': a (status, body) table in the store; otherwise a file path")
+    p.add_argument("--tasks", type=int, default=0,
+                   help="deal the rows of fewer files than this over so many tasks")
+    p.add_argument("--checkpoint", action="store_true",
+                   help="write the judged documents to spark.checkpoint.dir instead of persisting")
 
     p = sub.add_parser("run", help="flat table → star tables → every V1/V2/V3 output")
     _add_store_args(p)
@@ -257,30 +274,25 @@ def run(argv: list[str] | None = None) -> dict:
         _, sec = timed(lambda: dst.write(df, table, [(store or src, n) for n in inputs]))
         written[table] = round(sec, 3)
         if args.preview:
-            preview(dst.read(spark, table) if dst.kind == "parquet"
-                    else df)
+            preview(df if dst.kind == "jdbc" else dst.read(spark, table))
 
     def write_star(flat: DataFrame, roles) -> None:
         # A row-oriented source (JDBC) would be re-read in full by each of the
-        # three outputs: persist it once, or with --checkpoint write it once to
+        # three outputs: it is read once, persisted or with --checkpoint written to
         # spark.checkpoint.dir (a lost executor then never re-queries the
         # database, and all three outputs see one snapshot of it). Parquet
         # outputs read only their own columns, so nothing is cached there.
-        cache_flat = src.kind == "jdbc"
-        if cache_flat and args.checkpoint:
-            flat, cache_flat = reliable_checkpoint(flat), False
-        elif cache_flat:
-            flat = flat.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            for name, df in warehouse(flat, roles).items():
-                write(df, name, [args.input])
-        finally:
-            if cache_flat:
-                flat.unpersist()
+        star = warehouse(flat, roles)
+        if args.checkpoint:
+            star = star.checkpointed()
+        with star if src.kind == "jdbc" else nullcontext(star):
+            for name in star:
+                write(star[name], name, [args.input])
 
     def strategy() -> dict:
         return {"broadcast": args.broadcast, "salt_buckets": args.salt_buckets,
-                "hot": _hot_arg(args.hot)}
+                "hot": _hot_arg(args.hot), "key_filter": args.key_filter,
+                "row_id": split_list(args.row_id) if args.row_id else None}
 
     if args.job == "join":
         df = join_using(read(args.left), read(args.right), args.on, args.how,
@@ -291,7 +303,8 @@ def run(argv: list[str] | None = None) -> dict:
         tables = [Table(read(name), flt) for name, flt in args.table]
         steps = [JoinStep.parse(s) for s in args.step]
         df = join_program(tables, steps, broadcast=[args.broadcast] * len(steps),
-                          salt_buckets=args.salt_buckets, hot=args.hot)
+                          salt_buckets=args.salt_buckets, hot=args.hot,
+                          key_filter=args.key_filter)
         write(df, args.output, [name for name, _ in args.table])
     elif args.job == "agg":
         df = aggregate(read(args.input), split_list(args.group), split_list(args.aggregations),
@@ -311,9 +324,12 @@ def run(argv: list[str] | None = None) -> dict:
     elif args.job == "ingest":
         responses = (read(args.input) if args.format == "table"
                      else read_responses(spark, args.input, args.format))
+        if args.tasks:
+            responses = deal_out(responses, args.tasks)
         flat = flatten_products(responses)
-        write(flat.rows, args.output, [args.input])
-        write(flat.rejected, args.rejected, [args.input])
+        with flat.checkpointed() if args.checkpoint else flat:  # parsed once for both
+            write(flat.rows, args.output, [args.input])
+            write(flat.rejected, args.rejected, [args.input])
     elif args.job == "run":
         roles = REFERENCE.with_(eager=not args.join_first)
         write_star(read(args.input), roles)
@@ -327,7 +343,7 @@ def run(argv: list[str] | None = None) -> dict:
             outs = pipeline_v2(product, brand, category, roles)
         else:
             outs = pipeline_v3(product, brand, category, roles)
-        if args.checkpoint and hasattr(outs, "checkpointed"):
+        if args.checkpoint:
             outs = outs.checkpointed()
         with outs:
             for name in outs:

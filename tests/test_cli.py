@@ -98,13 +98,14 @@ def test_jdbc_star_input_is_checkpointed_once(spark, flat, tmp_path, monkeypatch
     # No database here: the JDBC store's reader is replaced by the edge rows,
     # so only the wiring is checked (checkpoint instead of persist, outputs whole).
     import martkit.cli as cli
+    import martkit.operators.shared as shared
     monkeypatch.setattr(cli.Store, "read", lambda self, spark, table: flat)
-    real, calls = cli.reliable_checkpoint, []
+    real, calls = shared.reliable_checkpoint, []
 
     def counting(df):
         calls.append(df)
         return real(df)
-    monkeypatch.setattr(cli, "reliable_checkpoint", counting)
+    monkeypatch.setattr(shared, "reliable_checkpoint", counting)
     run(["dwh", "--store", "jdbc", "--database", "test", "--out-store", f"parquet:{tmp_path}",
          "--input", "product_data", "--checkpoint"])
     assert len(calls) == 1
