@@ -12,9 +12,13 @@ def estimated_bytes(df: DataFrame) -> int | None:
     exactly where a leaf of the plan has Spark's default size (in-memory or
     RDD-backed frames); a product of known sizes, however large, is an
     estimate. Used only to decline work, such as a broadcast probe that could
-    not succeed. It never grants a broadcast.
+    not succeed. It never grants a broadcast. A session that does not run in this
+    process (Spark Connect) gives no estimate.
     """
-    plan = df._jdf.queryExecution().optimizedPlan()
+    try:
+        plan = df._jdf.queryExecution().optimizedPlan()
+    except AttributeError:
+        return None
     unknown = df.sparkSession._jsparkSession.sessionState().conf().defaultSizeInBytes()
     leaves = plan.collectLeaves()
     for i in range(leaves.size()):
