@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import hashlib
 from collections.abc import Callable, Sequence
 
 import numpy as np
@@ -27,11 +28,13 @@ import regex
 import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import add_columns, others, quoted, text_of
+from .common import TEXT, add_columns, others, quoted, table, text_of
 
 CHUNK = 1 << 16
 OVERLAP = 1 << 12
+SLICE = 1 << 20  # bytes of ids and digests that leave a task together
 LOOKAHEAD = 2  # characters behind a pre-token that the pattern may inspect
 
 
@@ -202,12 +205,86 @@ def decode(df: DataFrame, ids: str = "ids", *, ranks: bytes | None = None) -> Da
     return rows.mapInArrow(run, schema)
 
 
+CODED = "n_tokens long, ids_sha256 string, decoded_sha256 string"
+
+
+def _coded(rows: DataFrame, column: str, kept: Sequence[str], with_ids: bool,
+           ids_of: Callable[[], Callable[[pa.Scalar], np.ndarray]],
+           rank_file: bytes, pattern: str) -> DataFrame:
+    """``kept`` and, from the values of ``column``, the ids (if asked), their count and digests.
+
+    One pass and one Python worker a task: a row's ids are decoded and digested
+    at once, and rows leave in slices of about SLICE bytes, so neither the ids nor
+    the decoded bytes of a batch are held together.
+    """
+    names = ["ids"] * with_ids + ["n_tokens", "ids_sha256", "decoded_sha256"]
+    kinds = [pa.binary()] * with_ids + [pa.int64(), pa.string(), pa.string()]
+    schema = rows.select(*[F.col(quoted(c)) for c in kept]).schema
+    if with_ids:
+        schema = schema.add("ids", "binary")
+    for field in T.StructType.fromDDL(CODED).fields:
+        schema = schema.add(field)
+
+    def run(batches):
+        own, enc = ids_of(), encoding(rank_file, pattern)
+        for batch in batches:
+            values, out, held, lo = batch.column(len(kept)), [], 0, 0
+            for i, value in enumerate(values):
+                ids = own(value)
+                raw = ids.astype("<u4").tobytes()
+                row = (len(ids), hashlib.sha256(raw).hexdigest(),
+                       hashlib.sha256(enc.decode_bytes(ids.tolist())).hexdigest())
+                out.append((raw, *row) if with_ids else row)
+                held += len(raw) if with_ids else 128
+                if held >= SLICE or i + 1 == len(values):
+                    part = batch.slice(lo, len(out))
+                    yield pa.RecordBatch.from_arrays(
+                        [*(part.column(k) for k in range(len(kept))),
+                         *(pa.array([o[k] for o in out], kind) for k, kind in enumerate(kinds))],
+                        names=[*kept, *names])
+                    out, held, lo = [], 0, i + 1
+
+    return rows.select(*[F.col(quoted(c)) for c in kept], column).mapInArrow(run, schema)
+
+
+def round_trip(df: DataFrame, text: str = "text", *, ranks: bytes | None = None,
+               pattern: str = public_tokenizers.PATTERN, chunk: int = CHUNK,
+               overlap: int = OVERLAP, keep: Sequence[str] | None = None,
+               with_ids: bool = False) -> DataFrame:
+    """Encode every whole text and decode its ids again.
+
+    Appends ``n_tokens``, ``ids_sha256`` (digest of the ids as little-endian
+    unsigned 32-bit integers) and ``decoded_sha256`` (of the bytes they give back),
+    with ``with_ids`` the ``ids`` too. Texts are chunked and stitched as in
+    ``encode``; null and empty texts have no ids.
+    """
+    if not 0 < overlap <= chunk:
+        raise ValueError("need 0 < overlap <= chunk")
+    rank_file = read_ranks() if ranks is None else ranks
+    taken = (["ids"] if with_ids else []) + T.StructType.fromDDL(CODED).names
+    kept = [c for c in (df.columns if keep is None else keep) if c in others(df, *taken)]
+    size = F.length(text_of(text))
+    cols = [F.col(quoted(c)) for c in kept]
+
+    def whole():
+        enc = encoding(rank_file, pattern)
+        return lambda t: enc.encode_to_numpy(t.as_py())
+
+    def stored():
+        return lambda ids: np.frombuffer(ids.as_py(), "<u4")
+
+    short = _coded(df.filter(size <= chunk).select(*cols, text_of(text).alias(TEXT)), TEXT, kept,
+                   with_ids, whole, rank_file, pattern)
+    rows = df.filter(size > chunk).select(
+        F.struct(*cols, F.lit(0).alias("__llm_pad")).alias("row"), text_of(text).alias("t"))
+    rows = rows.withColumn("key", F.unhex(F.sha2("t", 256)))
+    coded = _encode_long(rows.select("key", "t"), rank_file, pattern, chunk, overlap)
+    digests = _coded(coded, "ids", ["key"], with_ids, stored, rank_file, pattern)
+    long = rows.select("row", "key").join(digests, "key").select(
+        *[F.col(f"row.{quoted(c)}").alias(c) for c in kept], *taken)
+    return short.unionByName(long)
+
+
 def op1_byte_bpe(spark, sf_dir: str) -> DataFrame:
     """Every whole text encoded, then decoded from its ids; digests of both."""
-    from .common import table
-
-    docs = table(spark, sf_dir, "documents")
-    coded = decode(encode(docs, keep=["doc_id"]))
-    return coded.select(
-        "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    return round_trip(table(spark, sf_dir, "documents"), keep=["doc_id"])
