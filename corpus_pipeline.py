@@ -3,18 +3,27 @@
     python -c "import corpus_pipeline as c; c.run(spark, sf_dir)"
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes
-it as Parquet under the checkpoint folder and rereads it as the next stage's
-documents. All stages but the last return the columns of ``documents``.
+it as Parquet into the warehouse and rereads it as the next stage's documents.
+All stages but the last return the columns of ``documents``.
+
+Odd rows: null and empty texts, and texts without letters, have no language and
+go in the first stage; a stage called on its own keeps them (they link with
+nothing, match no benchmark item, hold no personal data and have no tokens). A
+null doc_id is a value like any other. Of repeated rows of one text the second
+stage keeps one; the other stages treat each row on its own. Very long texts are
+handled whole. Empty tables give empty tables. Extra columns are carried along
+and may have the names of the operators' outputs.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martkit.llm import bpe, decontaminate, jaccard, language, pii
 from martkit.llm.common import table
-from martkit.session import scratch_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -47,9 +56,8 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     The ids are decoded again; ``decoded_sha256`` is the digest of the bytes they give back.
     """
-    return bpe.decode(bpe.encode(docs.select("doc_id", "text"), keep=["doc_id"])).select(
-        "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), "ids",
-        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    return bpe.round_trip(docs, keep=["doc_id"], with_ids=True).select(
+        "doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256")
 
 
 STAGES = [
@@ -65,10 +73,19 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written and read again."""
+    """All stages over ``documents``, each written as a Parquet table and read again.
+
+    The tables are managed ones in the shared warehouse; each is dropped, files
+    included, once the next is written. The last one stays, since the returned
+    frame reads it: its name is ``martkit_pipeline_<id>_<stage>``.
+    """
     docs = table(spark, sf_dir, "documents").select(*COLUMNS)
+    run_id, before = uuid.uuid4().hex[:12], None
     for name, stage in STAGES[:-1]:
-        path = scratch_path(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        written = f"martkit_pipeline_{run_id}_{name}"
+        stage(spark, docs, sf_dir).write.format("parquet").saveAsTable(written)
+        docs = spark.table(written)
+        if before:
+            spark.sql(f"DROP TABLE {before}")
+        before = written
     return STAGES[-1][1](spark, docs, sf_dir)
