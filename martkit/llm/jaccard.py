@@ -7,7 +7,8 @@ a box bounds the overlap with every point below it by the sum of the smaller of
 the query's coordinate and the box's upper coordinate.
 
 The trees are distributed by cells. In one global order of the shingles two
-linked sets share one of their first n - ceil(0.8 n) + 1 shingles, so the sets
+linked sets share one of their first n - ceil(0.8 n) + 1 shingles (of the smaller
+set, of its first n - ceil(0.89 n) + 1), so the sets
 that hold a shingle there form a cell, and linked sets meet in a cell. Any
 order is right; rare shingles come first here, by the frequencies of their
 words in a bounded sample, so that unrelated sets seldom share a cell. Cells
@@ -16,7 +17,8 @@ with the same members are one cell. Equal sets are one point.
 Links are wanted as components, so a cell needs no more work once all its
 points are connected. First, in rounds, every point proposes one neighbour
 that the tree lets through (in very wide cells: one pivot of the cell); that is
-linear, and copies and near copies are connected then. In cells that still hold
+linear, and copies and near copies are connected then, most of them in the first
+round, which takes a few cells of each point only. In cells that still hold
 several components the tree is searched for all pairs of different components,
 each pair in the first cell it shares. Surviving pairs are verified on the full
 sets.
@@ -31,15 +33,15 @@ from dataclasses import dataclass, replace
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.cache import reliable_checkpoint
-from .common import (add_columns, lower_bytes, others, prefix_hash, quoted, raw_bytes, release,
+from .common import (add_columns, lower_bytes, mix64, others, prefix_hash, quoted, raw_bytes, release,
                      span_hash, table, text_key, text_of, text_slices, window_hash, word_spans)
 from .repeats import (SAMPLE_TEXTS, binary16, components, fetch, grouped, hot_keys, is_in,
-                      repeated)
+                      shuffle_width)
 
 SHINGLE = 5
 PERCENT = 80          # linked: 100 * intersection >= PERCENT * union
@@ -47,6 +49,7 @@ FEWEST_GROUPS = 16    # coordinates of a point of a small set
 LEAF = 32             # points of a leaf box
 BLOCK = 512           # points of a cell that one task searches against another block
 WIDE = 4096           # points of a cell above which proposals go to one pivot of the cell
+FEW_CELLS = 4         # cells of a point in the first round of proposals, and in each of pivots
 PROPOSALS = 2         # rounds in which every point proposes a neighbour
 MAX_ROUNDS = 8        # rounds of pivots, while wide cells shrink, before all pairs are searched
 COMMON_WORDS = 1 << 16  # words whose sampled frequency orders the shingles
@@ -71,13 +74,18 @@ class Order:
         at = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
         return np.where(self.words[at] == words, self.levels[at], np.float32(0))
 
-    def prefix(self, shingles: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-        """The first n - ceil(percent n / 100) + 1 of a sorted set: (ordinary, hot)."""
+    def prefix(self, shingles: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, int]:
+        """The first n - ceil(percent n / 100) + 1 of a sorted set: (ordinary, hot, short).
+
+        ``short`` of them, n - ceil(2 percent n / (100 + percent)) + 1, are enough for
+        the smaller one of two linked sets.
+        """
         n = len(shingles)
         length = n - -(-percent * n // 100) + 1 if n else 0
+        short = n - -(-2 * percent * n // (100 + percent)) + 1 if n else 0
         last = is_in(self.hot, shingles)
         ordinary = shingles[~last][:length]
-        return ordinary, shingles[last][:length - len(ordinary)]
+        return ordinary, shingles[last][:length - len(ordinary)], short
 
 
 NO_ORDER = Order(np.zeros(0, np.uint64), np.zeros(0, np.float32), np.zeros(0, np.int64))
@@ -139,10 +147,10 @@ def point_of(shingles: np.ndarray) -> bytes:
     h = shingles.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)
     counts = np.bincount((h & np.uint64(groups - 1)).astype(np.int64), minlength=groups)
     return (np.array([len(shingles)], "<u4").tobytes()
-            + np.minimum(counts, _FULL).astype("<u2").tobytes())
+            + np.minimum(counts, _FULL).astype(np.uint8).tobytes())
 
 
-_FULL = 65535  # a coordinate that is full may be any larger count
+_FULL = 255  # a coordinate that is full may be any larger count; the mean is 4 to 8
 
 
 def unpacked(points: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -154,13 +162,13 @@ def unpacked(points: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
     if not len(points):
         return np.zeros(0, np.int64), np.zeros((0, FEWEST_GROUPS), np.int32)
     widths = np.array([len(p) for p in points])
-    groups = (widths.min() - 4) // 2
+    groups = widths.min() - 4
     sizes, counts = np.zeros(len(points), np.int64), np.zeros((len(points), groups), np.int32)
     for w in np.unique(widths).tolist():
         at = np.flatnonzero(widths == w)
         rows = np.frombuffer(b"".join(points[i] for i in at.tolist()), np.uint8).reshape(len(at), w)
         sizes[at] = np.ascontiguousarray(rows[:, :4]).view("<u4")[:, 0]
-        wide = np.ascontiguousarray(rows[:, 4:]).view("<u2").astype(np.int64)
+        wide = rows[:, 4:].astype(np.int64)
         wide[wide == _FULL] = 1 << 30
         counts[at] = np.minimum(wide.reshape(len(at), -1, groups).sum(1), 1 << 30)
     return sizes, counts
@@ -221,19 +229,29 @@ class CountTree:
 
 
 def _memberships(texts: DataFrame, order: Order, percent: int, size: int) -> DataFrame:
-    """(h, node, hot): each distinct set of a task with the shingles of its prefix."""
+    """(h, rank, a, b, node): each distinct set of a task with the shingles of its prefix.
+
+    ``rank`` is twice the set's size, and one more for shingles behind the short prefix.
+    ``a`` and ``b`` are the halves of the set's key; ``node``, the key itself, is given
+    for hot shingles only.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
         for batch in batches:
-            hs, nodes, counts, flags = [], [], [], []
+            hs, ranks, nodes, counts, flags = [], [], [], [], []
 
             def flush():
-                lengths = np.array(counts)
-                keys = np.frombuffer(b"".join(nodes), np.uint8).reshape(-1, 16)
+                keys = np.repeat(np.frombuffer(b"".join(nodes), np.int64).reshape(-1, 2),
+                                 np.array(counts), axis=0)
+                hot = np.concatenate(flags)
+                shown = binary16(keys[hot].view(np.uint8).reshape(-1, 16))
                 return pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(hs), pa.int64()),
-                     binary16(np.repeat(keys, lengths, axis=0)),
-                     pa.array(np.concatenate(flags))], names=["h", "node", "hot"])
+                     pa.array(np.concatenate(ranks), pa.int64()),
+                     pa.array(np.ascontiguousarray(keys[:, 0])),
+                     pa.array(np.ascontiguousarray(keys[:, 1])),
+                     shown.take(pa.array(np.cumsum(hot) - 1, mask=~hot))],
+                    names=["h", "rank", "a", "b", "node"])
 
             held = 0
             for s in shingle_sets(batch.column(0), size, order):
@@ -241,19 +259,99 @@ def _memberships(texts: DataFrame, order: Order, percent: int, size: int) -> Dat
                 if not node or node in seen:
                     continue
                 seen.add(node)
-                a, b = order.prefix(s, percent)
+                a, b, short = order.prefix(s, percent)
                 hs += [a, b]
+                n = len(a) + len(b)
+                ranks.append(2 * len(s) + (np.arange(n) >= short))
                 flags += [np.zeros(len(a), bool), np.ones(len(b), bool)]
                 nodes.append(node)
-                counts.append(len(a) + len(b))
-                held += counts[-1]
+                counts.append(n)
+                held += n
                 if held >= 200_000:
                     yield flush()
-                    hs, nodes, counts, flags, held = [], [], [], [], 0
+                    hs, ranks, nodes, counts, flags, held = [], [], [], [], [], 0
             if held:
                 yield flush()
 
-    return texts.select("t").mapInArrow(run, "h long, node binary, hot boolean")
+    return texts.select("t").mapInArrow(run, "h long, rank long, a long, b long, node binary")
+
+
+def _cells(rows: DataFrame, percent: int) -> DataFrame:
+    """(h, node): the memberships (h, rank, a, b) that may hold a link, cells of equal members once.
+
+    Linked sets share a shingle that is in the short prefix of the smaller one, so a
+    member stays if a member of its size or less, down to ``percent`` of it, holds
+    the shingle in its short prefix, or if it does itself and a member of its size
+    or more is near. Sorted by size, short prefixes first, the nearest ones are
+    the row before and the row after, so one streaming pass with one row between
+    batches tells; no cell is gathered. A cell that lies in one batch gets a
+    signature of its members as its key and is kept once.
+    """
+    columns = ["h", "rank", "a", "b"]
+    dealt = (rows.select(*columns).repartition(shuffle_width(rows), "h")
+             .sortWithinPartitions(*columns))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest: pa.RecordBatch | None = None  # the last row, whose next one is not known yet
+        behind = (0, -1)                    # key and size of the last short prefix before it
+        for batch, last in _with_last(batches):
+            if rest is not None:
+                batch = pa.Table.from_batches([rest, batch]).combine_chunks().to_batches()[0]
+            h, rank, a, b = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            fresh = np.ones(len(h), dtype=bool)  # a set may come from several tasks
+            fresh[1:] = (h[1:] != h[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+            if not fresh.all():
+                batch = batch.filter(pa.array(fresh))
+                h, rank, a, b = h[fresh], rank[fresh], a[fresh], b[fresh]
+            n, short = rank >> 1, rank & 1 == 0
+            at = np.arange(len(h))
+            near = np.maximum.accumulate(np.where(short, at, -1))
+            before = np.concatenate([[-1], near[:-1]])  # the short prefix before each row
+            known = before >= 0
+            least = np.where(known & (h[before] == h), n[before],
+                             np.where(~known & (h == behind[0]), behind[1], -1))
+            ok = 100 * least >= percent * n
+            follows = np.zeros(len(h), dtype=bool)
+            follows[:-1] = (h[1:] == h[:-1]) & (percent * n[1:] <= 100 * n[:-1])
+            ok |= short & follows
+            end = len(h) if last else len(h) - 1  # without the row that comes again
+            if not last:
+                rest = batch.slice(end, 1)
+            if end and near[end - 1] >= 0:
+                behind = (int(h[near[end - 1]]), int(n[near[end - 1]]))
+            starts = np.flatnonzero(np.concatenate([[True], h[1:end] != h[:end - 1]])[:end])
+            if not len(starts):
+                continue
+            run_of = np.cumsum(np.concatenate([[True], h[1:end] != h[:end - 1]])[:end]) - 1
+            sign = mix64(mix64(a[:end].view(np.uint64))
+                         + mix64(b[:end].view(np.uint64) ^ np.uint64(0x9E37)))
+            sums = mix64(np.add.reduceat(np.where(ok[:end], sign, np.uint64(0)), starts))
+            open_run = np.zeros(len(starts), dtype=bool)  # it may lie in two batches
+            open_run[[0, -1]] = True
+            own = mix64(h[starts].astype(np.uint64) ^ np.uint64(0xA5A5A5A5))
+            key = np.where(open_run, own, sums)
+            first = np.zeros(len(starts), dtype=bool)
+            first[np.unique(key, return_index=True)[1]] = True
+            stay = np.flatnonzero(ok[:end] & (first | open_run)[run_of])
+            if len(stay):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key[run_of[stay]].astype(np.int64)),
+                     binary16(np.column_stack([a[stay], b[stay]]).view(np.uint8))],
+                    names=["h", "node"])
+
+    return dealt.mapInArrow(run, "h long, node binary")
+
+
+def _with_last(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, bool]]:
+    """The batches that have rows, and whether each is the last one."""
+    held = None
+    for batch in batches:
+        if batch.num_rows:
+            if held is not None:
+                yield held, False
+            held = batch
+    if held is not None:
+        yield held, True
 
 
 def _points(named: DataFrame, outputs: str, size: int, order: Order) -> DataFrame:
@@ -413,16 +511,18 @@ def _searched(live: DataFrame, points: DataFrame, percent: int) -> DataFrame:
         cells, lists = batch.column("cell").to_pylist(), batch.column("cells")
         sets: dict[int, set[int]] = {}
 
-        def held(i: int) -> set[int]:
+        def before(i: int) -> set[int]:
+            """The cells of the point that come before the row's own."""
             if i not in sets:
-                sets[i] = set(lists[i].as_py())
+                own = lists[i].values.to_numpy()
+                sets[i] = set(own[own < cells[i]].tolist())
             return sets[i]
 
         groups = batch.column("g").to_pylist()
         out = {(groups[i], min(nodes[i], nodes[j]), max(nodes[i], nodes[j]))
                for left, right in _tree_pairs(batch, starts, percent)
                for i, j in zip(left.tolist(), right.tolist())
-               if comps[i] != comps[j] and min(held(i) & held(j)) == cells[i]}
+               if comps[i] != comps[j] and before(i).isdisjoint(before(j))}
         return [pa.RecordBatch.from_arrays(
             [pa.array([p[k] for p in out], kind)
              for k, kind in enumerate((pa.int64(), pa.binary(), pa.binary()))],
@@ -432,6 +532,14 @@ def _searched(live: DataFrame, points: DataFrame, percent: int) -> DataFrame:
                    "g long, a binary, b binary", work)
 
 
+def _some_cells(rows: DataFrame, turn: int) -> DataFrame:
+    """``rows`` (cell, node, ...) with a few cells of each node, the same ones for nodes that
+    share theirs. Copies and near copies share most cells, so a few connect them.
+    """
+    place = F.row_number().over(Window.partitionBy("node").orderBy(F.xxhash64("cell", F.lit(turn))))
+    return rows.withColumn("i", place).filter(F.col("i") <= FEW_CELLS).drop("i")
+
+
 def linked_sets(docs: DataFrame, texts: DataFrame, order: Order, *, percent: int = PERCENT,
                 size: int = SHINGLE) -> DataFrame:
     """(node, comp) of the sets that are linked with a different set.
@@ -440,9 +548,9 @@ def linked_sets(docs: DataFrame, texts: DataFrame, order: Order, *, percent: int
     """
     spark = texts.sparkSession
     rows = _memberships(texts, order, percent, size)
-    cells = repeated(rows.filter(~F.col("hot")), "h", ["node"], collapse=True)
+    cells = _cells(rows.filter("node is null"), percent)
     if len(order.hot):
-        cells = cells.unionByName(rows.filter("hot").select("h", "node"))
+        cells = cells.unionByName(rows.filter("node is not null").select("h", "node"))
     cells = reliable_checkpoint(cells.select(F.col("h").alias("cell"), "node").distinct())
     release(spark)
 
@@ -456,33 +564,46 @@ def linked_sets(docs: DataFrame, texts: DataFrame, order: Order, *, percent: int
     points = reliable_checkpoint(_points(named(cells.select("node").distinct()), "point binary",
                                          size, order))
     release(spark)
-    wide = (cells.groupBy("cell").agg(F.count("*").alias("k")).filter(F.col("k") > WIDE)
-            .select("cell"))
+    sets = spark.createDataFrame([], "node binary, n long, set array<long>")
+
+    def with_sets(pairs: DataFrame) -> DataFrame:  # and those of the pairs that are not known yet
+        ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        more = reliable_checkpoint(ends.join(sets, "node", "left_anti"))
+        if more.isEmpty():
+            return sets
+        found = reliable_checkpoint(_points(named(more), "set array<long>", size, order))
+        release(spark)
+        return sets.unionByName(found.select(*sets.columns))
+
     start = cells.withColumn("comp", F.col("node"))
-    mates = reliable_checkpoint(_proposed(start.join(wide, "cell", "left_anti"), points, percent, 0))
-    crowd = reliable_checkpoint(start.join(wide, "cell", "left_semi"))
-    cells = reliable_checkpoint(mates.select("cell", "node").distinct()
-                                .unionByName(crowd.select("cell", "node")))
-    inside = reliable_checkpoint(cells.select("node").distinct())
-    release(spark)
-    points = points.join(inside, "node", "left_semi")
-    sets = reliable_checkpoint(_points(named(inside), "set array<long>", size, order))
+    k = cells.groupBy("cell").agg(F.count("*").alias("k"))
+    start = reliable_checkpoint(start.join(k, "cell").select(
+        "cell", "node", "comp", (F.col("k") > WIDE).alias("wide")))
+    few = _some_cells(start.filter("not wide").drop("wide"), 0)
+    mates = reliable_checkpoint(_proposed(few, points, percent, 0))
+    crowd = start.filter("wide").drop("wide")
+    cells = start.select("cell", "node")
     release(spark)
     edges = spark.createDataFrame([], "a binary, b binary")
     before = None
+    many = 0 if crowd.isEmpty() else 1  # of the wide cells
     for turn in range(MAX_ROUNDS):
-        pivot = crowd.groupBy("cell").agg(F.min(F.struct(
-            F.xxhash64("node", F.lit(turn)).alias("o"), "node", "comp")).alias("p"))
-        pivot = pivot.join(crowd.groupBy("cell").agg(
-            F.ceil(F.count("*") / BLOCK).alias("parts")), "cell")
-        part = F.pmod(F.xxhash64("node"), F.col("parts"))  # a pivot meets a cell in parts
-        pairs = (crowd.join(pivot, "cell").filter("comp <> p.comp")
-                 .select(F.xxhash64("cell", part).alias("g"), F.least("node", "p.node").alias("a"),
-                         F.greatest("node", "p.node").alias("b")))
-        pairs = _bounded(pairs, points, percent)
+        pairs = spark.createDataFrame([], "g long, a binary, b binary")
+        if many:
+            some = reliable_checkpoint(_some_cells(crowd, turn))
+            pivot = some.groupBy("cell").agg(F.min(F.struct(
+                F.xxhash64("node", F.lit(turn)).alias("o"), "node", "comp")).alias("p"),
+                F.ceil(F.count("*") / BLOCK).alias("parts"))
+            part = F.pmod(F.xxhash64("node"), F.col("parts"))  # a pivot meets a cell in parts
+            pairs = _bounded(
+                some.join(pivot, "cell").filter("comp <> p.comp").select(
+                    F.xxhash64("cell", part).alias("g"), F.least("node", "p.node").alias("a"),
+                    F.greatest("node", "p.node").alias("b")), points, percent)
         if mates is not None:
             pairs = pairs.unionByName(mates.filter("mate is not null").select(
                 "g", F.least("node", "mate").alias("a"), F.greatest("node", "mate").alias("b")))
+        pairs = reliable_checkpoint(pairs)
+        sets = with_sets(pairs)
         edges = reliable_checkpoint(edges.union(_verified(pairs, sets, percent)))
         release(spark)
         comps = reliable_checkpoint(components(edges))
@@ -490,7 +611,8 @@ def linked_sets(docs: DataFrame, texts: DataFrame, order: Order, *, percent: int
                 .select("cell", "node", F.coalesce("comp", "node").alias("comp")))
         mixed = (live.groupBy("cell").agg(F.min("comp").alias("x"), F.max("comp").alias("y"),
                                           F.count("*").alias("k"))
-                 .filter("x <> y and k > 2"))  # a cell of two is settled by the first proposals
+                 .filter(F.expr("x <> y") & ((F.col("k") > 2) | F.lit(turn == 0))))
+        # from the second turn on, a cell of two is settled by its proposals
         live = reliable_checkpoint(
             live.join(mixed.select("cell", (F.col("k") > WIDE).alias("wide")), "cell"))
         left, many = live.agg(F.count("*"), F.count_if("wide")).first()
@@ -501,10 +623,20 @@ def linked_sets(docs: DataFrame, texts: DataFrame, order: Order, *, percent: int
         before = many
         cells = live.select("cell", "node")
         crowd = live.filter("wide").drop("wide")
-        mates = (reliable_checkpoint(_proposed(live.filter("not wide").drop("wide"), points, percent,
-                                               turn + 1)) if turn + 1 < PROPOSALS else None)
+        mates = None
+        if turn + 1 < PROPOSALS:
+            mates = reliable_checkpoint(_proposed(live.filter("not wide").drop("wide"), points,
+                                                  percent, turn + 1))
+            # members that no tree lets through with another one are done
+            cells = reliable_checkpoint(mates.select("cell", "node").distinct()
+                                        .unionByName(crowd.select("cell", "node")))
+        release(spark)
     live = live.drop("wide")
-    found = reliable_checkpoint(_verified(_searched(live, points, percent), sets, percent))
+    pairs = reliable_checkpoint(_searched(live, points, percent))
+    if pairs.isEmpty():
+        return comps
+    sets = with_sets(pairs)
+    found = reliable_checkpoint(_verified(pairs, sets, percent))
     release(spark)
     if found.isEmpty():
         return comps

@@ -22,7 +22,9 @@ from .common import mix64
 
 SAMPLE_TEXTS = 4000   # expected texts in the sample that names hot keys
 HOT_SHARE = 0.02      # share of the sampled texts that makes a key hot
-FILTER_BITS = 25      # log2 of the bits of a bitmap filter (4 MB)
+TASK_EDGES = 200_000  # edges of a graph that one task contracts
+FILTER_BITS = (16, 28)  # least and greatest log2 of the bits of a bitmap filter (32 MB at most)
+BITS_PER_KEY = 8        # up to 33 million keys; beyond, more false positives pass
 
 
 def shuffle_width(df: DataFrame) -> int:
@@ -136,11 +138,19 @@ def is_in(sorted_keys: np.ndarray, values: np.ndarray) -> np.ndarray:
     return sorted_keys[at] == values
 
 
-def bitmap_of(values: DataFrame, column: Column, bits: int = FILTER_BITS) -> bytes:
-    """A bitmap of 2^bits bits of the 64-bit values (at most 4 MB reach the driver).
+def bits_for(n: int) -> int:
+    """log2 of the bits of a filter of ``n`` keys."""
+    low, high = FILTER_BITS
+    return min(high, max(low, (BITS_PER_KEY * max(n, 1) - 1).bit_length()))
 
-    A filter with false positives: who uses it joins exactly afterwards.
+
+def bitmap_of(values: DataFrame, column: Column) -> bytes:
+    """A bitmap of the 64-bit values, sized by their number (``FILTER_BITS``).
+
+    A filter with false positives: who uses it joins exactly afterwards, so the
+    size never changes a result.
     """
+    bits = bits_for(values.count())
     place = F.pmod(column, F.lit(1 << bits)) + 1  # Spark's buckets count from 1
     maps = (values.select(place.alias("p")).groupBy(F.bitmap_bucket_number("p").alias("b"))
             .agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("m")).collect())
@@ -169,15 +179,19 @@ def node_longs(nodes: np.ndarray) -> np.ndarray:
     return wide.reshape(-1).view(">u8").astype(np.int64)
 
 
-def filtered(rows: DataFrame, bitmap: bytes, node: str = "node") -> DataFrame:
-    """The rows whose 16-byte key may be in the bitmap; only the keys go through Python."""
+def filtered(rows: DataFrame, bitmap: bytes, node: str = "node", flag: str | None = None
+             ) -> DataFrame:
+    """The rows whose 16-byte key may be in the bitmap; only the keys go through Python.
+
+    With ``flag`` all rows, and the answer as a column of that name.
+    """
     shared = rows.sparkSession.sparkContext.broadcast(bitmap)
 
     @F.arrow_udf(T.BooleanType())
     def may_hold(keys: pa.Array) -> pa.Array:
         return pa.array(in_bitmap(shared.value, node_longs(bytes16(keys))), pa.bool_())
 
-    return rows.filter(may_hold(node))
+    return rows.withColumn(flag, may_hold(node)) if flag else rows.filter(may_hold(node))
 
 
 def fetch(texts: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -224,18 +238,52 @@ def grouped(rows: DataFrame, key: str, schema: str,
     return dealt.mapInArrow(run, schema)
 
 
-def components(edges: DataFrame) -> DataFrame:
+def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(u, v) from each node of a task's edges to the smallest node it reaches by them."""
+    above: dict = {}
+
+    def root(x):
+        top = x
+        while above[top] != top:
+            top = above[top]
+        while above[x] != top:
+            above[x], x = top, above[x]
+        return top
+
+    schema = None
+    for batch in batches:
+        schema = batch.schema
+        for u, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            above.setdefault(u, u)
+            above.setdefault(v, v)
+            a, b = root(u), root(v)
+            if a != b:
+                above[max(a, b)] = min(a, b)
+    if schema is not None:
+        ends = [(x, root(x)) for x in above]
+        ends = [(x, top) for x, top in ends if x != top]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([e[k] for e in ends], schema.field(k).type) for k in (0, 1)],
+            names=["u", "v"])
+
+
+def components(edges: DataFrame, *, per_task: int = TASK_EDGES) -> DataFrame:
     """(node, comp): the smallest node reachable over ``edges`` (a, b).
 
-    Alternating large-star and small-star contraction. Every round is two
-    pre-aggregated minima and joins over the edges, written to the checkpoint
-    folder; the rounds grow with the logarithm of the longest path.
+    The edges are dealt to tasks of about ``per_task``; each contracts its own to
+    stars. Where that took several tasks, the stars are contracted by alternating
+    large-star and small-star rounds: each is two pre-aggregated minima and joins
+    over the edges, written to the checkpoint folder, and the rounds grow with the
+    logarithm of the longest path.
     """
     e = (edges.filter("a <> b").select(F.greatest("a", "b").alias("u"),
                                        F.least("a", "b").alias("v")).distinct())
     e = reliable_checkpoint(e)
+    tasks = -(-e.count() // per_task) or 1
+    dealt = e.coalesce(1) if tasks == 1 else e.repartition(tasks, "u", "v")
+    e = reliable_checkpoint(dealt.mapInArrow(_stars, e.schema))
     mark = None
-    while True:
+    while tasks > 1:
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = (both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))

@@ -107,11 +107,12 @@ def test_tree_search_equals_scan():
     assert set(zip(q.tolist(), at.tolist())) == want
 
 
-def test_components(spark):
+@pytest.mark.parametrize("per_task", [200_000, 3, 1])
+def test_components(spark, per_task):
     edges = [(b"%02d" % a, b"%02d" % b) for a, b in
              [(1, 2), (2, 3), (3, 4), (9, 8), (8, 7), (20, 30), (30, 40), (40, 4), (5, 5)]]
     got = {r.node: r.comp for r in repeats.components(
-        spark.createDataFrame(edges, "a binary, b binary")).collect()}
+        spark.createDataFrame(edges, "a binary, b binary"), per_task=per_task).collect()}
     want = {b"%02d" % k: b"01" for k in (1, 2, 3, 4, 20, 30, 40)} | {
         b"%02d" % k: b"07" for k in (7, 8, 9)}
     assert {bytes(k): bytes(v) for k, v in got.items()} == want
@@ -197,7 +198,7 @@ def test_benchmark_leaks(spark):
     got = leaks(spark, texts, items)
     assert got[2] == [("1", False)] and got[4] == [("1", True)]
     assert got[0] == got[1] == got[5] == got[6] == []
-    assert leaks(spark, texts, items, index_bytes=10) == got  # several passes
+    assert leaks(spark, texts, items, index_words=5) == got  # several passes
     assert leaks(spark, [], items) == {} and leaks(spark, ["a"], []) == {0: []}
 
 
@@ -317,3 +318,19 @@ def test_disclosing_terms_far_from_the_entity(spark):
         found = sorted(t[r.start:r.end] for r in terms if bytes(r.key) == key(t))
         assert found == sorted(w for w in t.split() if w in ("Zorblax", "Quixby"))
     assert {bytes(r.key) for r in terms} == {key(t) for t in told}
+
+
+def test_strings_of_one_key_are_told_apart_by_their_bytes():
+    import numpy as np
+    rng = np.random.default_rng(3)
+    for alike in (True, False):
+        data = rng.integers(97, 99, 60).astype(np.uint8)
+        data[40:] = data[10:30]
+        length, n = 8, 53
+        place = np.arange(n)
+        real = np.array([hash(data[i:i + length].tobytes()) & (1 << 60) - 1 for i in place],
+                        dtype=np.uint64)
+        key = np.zeros(n, np.uint64) if alike else real  # alike: every string has the one key
+        want = Counter(data[i:i + length].tobytes() for i in place)
+        got = substrings.same_strings(key, np.zeros(n, np.int64), place, data, length)
+        assert got.tolist() == [want[data[i:i + length].tobytes()] > 1 for i in place]
