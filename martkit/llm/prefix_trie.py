@@ -1,7 +1,7 @@
 """The prefix trie of conversations, with subtree totals by time-forward processing.
 
 Nodes are the distinct sequences of first turns. A sequence is known by its
-depth and the exclusive or of 120-bit hashes of its (place, role, text), which
+depth and the exclusive or of 128-bit hashes of its (place, role, text), which
 running windows over chunks of a conversation give without gathering it.
 
 Subtree totals go from children to parents. Nodes are dealt to shards by range
@@ -25,6 +25,7 @@ import tempfile
 from bisect import bisect_right
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -44,36 +45,63 @@ PIECE = 1 << 20       # bytes of conversation ids handed on at once
 # --- rebuilt conversations -----------------------------------------------------
 
 def numbered(conversations: DataFrame) -> DataFrame:
-    """(conv_id, idx, role, text): turns in order (null first; ties by role, then text), from 0.
-
-    Rows without conv_id are left out. The rows are dealt by range of the whole
-    order, so a conversation with very many turns is spread over tasks; a turn's
-    place is its place in its part plus the turns in the parts before.
+    """(conv_id, idx, t1, t2, bytes): turns in order (null first; ties by role, then text), from 0.
+
+    ``t1`` and ``t2`` are 120 bits of the hash of (role, text), ``bytes`` the text's
+    size: the texts move once. Rows without conv_id are left out. The rows are
+    dealt by range of the whole order, so a conversation with very many turns is
+    spread over tasks; a turn's place is its place in its part plus the turns in the
+    parts before. At most one conversation of a part began in an earlier one, so
+    what is added is a row a part.
     """
-    rows = conversations.select(
-        F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").alias("turn"),
-        F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
-        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
-    ).filter("conv_id is not null")
+    role = F.coalesce(F.col("role").cast("string"), F.lit(""))
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = conversations.select(F.col("conv_id").cast("long").alias("conv_id"),
+                                F.col("turn").alias("turn"), role.alias("role"), text.alias("text"))
+    whole = F.md5(F.concat_ws("\x00", F.octet_length("role").cast("string"), "role", "text")
+                  .cast("binary"))
+    part = lambda k: F.conv(F.substring(whole, 1 + 15 * k, 15), 16, 10).cast("long")
     order = [F.col("turn").asc_nulls_first(), F.col("role"), F.col("text")]
-    dealt = rows.repartitionByRange(shuffle_width(rows), F.col("conv_id"), *order)
-    dealt = reliable_checkpoint(dealt.withColumn("part", F.spark_partition_id()))
+    dealt = (rows.filter("conv_id is not null")
+             .withColumns({"t1": part(0), "t2": part(1),
+                           "bytes": F.octet_length("text").cast("long")})
+             .repartitionByRange(shuffle_width(rows), F.col("conv_id"), *order)
+             .sortWithinPartitions("conv_id", *order)
+             .select("conv_id", F.spark_partition_id().alias("part"), "t1", "t2", "bytes"))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        conv, seen = None, 0  # the last conversation, and its turns so far
+        for batch in batches:
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            if not len(ids):
+                continue
+            at = np.arange(len(ids))
+            new = np.ones(len(ids), dtype=bool)
+            new[1:] = ids[1:] != ids[:-1]
+            idx = at - np.maximum.accumulate(np.where(new, at, 0))
+            if ids[0] == conv:
+                idx[ids == conv] += seen
+            conv, seen = int(ids[-1]), int(idx[-1]) + 1
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(idx, pa.int64())],
+                                             names=[*batch.schema.names, "idx"])
+
+    dealt = reliable_checkpoint(dealt.mapInArrow(
+        count, "conv_id long, part int, t1 long, t2 long, bytes long, idx long"))
     before = Window.partitionBy("conv_id").orderBy("part").rowsBetween(
         Window.unboundedPreceding, -1)
     parts = (dealt.groupBy("conv_id", "part").agg(F.count("*").alias("n"))
-             .withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
+             .withColumn("before", F.sum("n").over(before))
              .filter("before > 0").select("conv_id", "part", "before"))
-    place = F.row_number().over(Window.partitionBy("conv_id", "part").orderBy(*order)) - 1
-    return (dealt.withColumn("idx", place).join(parts, ["conv_id", "part"], "left")
-            .select("conv_id", (F.col("idx") + F.coalesce("before", F.lit(0))).cast("long")
-                    .alias("idx"), "role", "text"))
+    return (dealt.join(F.broadcast(parts), ["conv_id", "part"], "left")
+            .select("conv_id", (F.col("idx") + F.coalesce("before", F.lit(0))).alias("idx"),
+                    "t1", "t2", "bytes"))
 
 
 def rebuilt(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Conversations as the contract of the query rebuilds them, from numbered turns.
 
-    Returns (conv_id, n): every conversation and its turns, and (conv_id, pos,
-    role, text): those turns, from 0. Conversation c starts with the first
+    Returns (conv_id, n): every conversation and its turns, and (conv_id, pos, t1,
+    t2, bytes): those turns, from 0. Conversation c starts with the first
     h = crc32(c) mod 9 turns of c - c mod 5 (SQL's mod: the sign of c) and goes on
     with its own turns after its first h.
     """
@@ -88,29 +116,22 @@ def rebuilt(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
         "conv_id", "lead", "h", taken.alias("taken"),
         (taken + F.greatest(F.col("own") - F.col("h"), F.lit(0))).alias("n")))
     leading = turns.filter((F.col("conv_id") % GROUP == 0) & (F.col("idx") < HEAD_TURNS)).select(
-        F.col("conv_id").alias("lead"), F.col("idx").alias("pos"), "role", "text")
+        F.col("conv_id").alias("lead"), F.col("idx").alias("pos"), "t1", "t2", "bytes")
     heads = (convs.join(leading, "lead").filter("pos < taken")
-             .select("conv_id", "pos", "role", "text"))
+             .select("conv_id", "pos", "t1", "t2", "bytes"))
     shift = convs.select("conv_id", "h", (F.col("taken") - F.col("h")).alias("by"))
     tails = (turns.join(shift, "conv_id").filter("idx >= h")
-             .select("conv_id", (F.col("idx") + F.col("by")).alias("pos"), "role", "text"))
+             .select("conv_id", (F.col("idx") + F.col("by")).alias("pos"), "t1", "t2", "bytes"))
     return convs.select("conv_id", "n"), heads.unionByName(tails)
 
 
 # --- nodes -----------------------------------------------------------------------
 
-def _hash_of(part: int) -> Column:
-    """60 bits of the hash of a turn at its place."""
-    whole = F.md5(F.concat_ws("\x00", F.col("pos").cast("string"),
-                              F.octet_length("role").cast("string"), "role", "text").cast("binary"))
-    return F.conv(F.substring(whole, 1 + 15 * part, 15), 16, 10).cast("long")
-
-
 def prefixes(turns: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """(conv_id, depth, x1, x2, p1, p2, bytes): the node of each turn, and its parent's key."""
     rows = turns.select("conv_id", "pos", (F.col("pos") / chunk).cast("long").alias("chunk"),
-                        F.octet_length("text").cast("long").alias("bytes"),
-                        _hash_of(0).alias("t1"), _hash_of(1).alias("t2"))
+                        "bytes", F.xxhash64("pos", "t1", "t2").alias("t1"),
+                        F.xxhash64("t2", "pos", "t1").alias("t2"))
     so_far = Window.partitionBy("conv_id", "chunk").orderBy("pos").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     rows = rows.withColumns({f"x{k}": F.bit_xor(f"t{k}").over(so_far) for k in (1, 2)})
@@ -136,7 +157,7 @@ def trie_nodes(convs: DataFrame, turns: DataFrame) -> tuple[DataFrame, DataFrame
     counted before the exchange; a node with very many children is a hot key of
     an equi-join, whose larger side Spark splits.
     """
-    rows = prefixes(turns).join(convs, "conv_id")
+    rows = reliable_checkpoint(prefixes(turns).join(convs, "conv_id"))
     nodes = reliable_checkpoint(rows.groupBy("depth", "x1", "x2").agg(
         F.min("conv_id").alias("conv_id"), F.count("*").alias("n_convs"),
         F.sum((F.col("n") == F.col("depth")).cast("long")).alias("ends"),
@@ -415,7 +436,7 @@ def subtree_totals(nodes: DataFrame, *, shard_rows: int = SHARD_ROWS,
 
 def prefix_trie(convs: DataFrame, turns: DataFrame, *, shard_rows: int = SHARD_ROWS,
                 queue_rows: int = QUEUE_ROWS) -> DataFrame:
-    """One row per node of the trie of ``turns`` (conv_id, pos from 0, role, text).
+    """One row per node of the trie of ``turns`` (conv_id, pos from 0, t1, t2, bytes).
 
     ``convs`` has every conversation (conv_id, unique) and its number of turns n.
     Returns conv_id (the smallest member), depth, parent_conv_id, n_convs,
