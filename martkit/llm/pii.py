@@ -20,15 +20,16 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.cache import reliable_checkpoint
 from .common import add_columns, quoted, table, text_key, text_of
+from .repeats import bitmap_of, filtered, node_long
 
 KINDS = ("email", "ip", "card", "phone")
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+NUMBERS = re.compile(r"[0-9]++(?:\.[0-9]++)*+")  # possessive: linear on unbroken digits
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 TERM = re.compile(r"[^\W\d_]{2,}")
@@ -36,7 +37,6 @@ TERM = re.compile(r"[^\W\d_]{2,}")
 MIN_SUPPORT = 3    # distinct texts with term and entity from which the frequencies are taken as they are
 GENERALISE = 0.8   # disclosed share from which a term is generalised
 REMOVE = 0.98      # and from which it is removed
-FILTER_BITS = 25   # log2 of the bits of the term filter (4 MB at most)
 
 
 def luhn(digits: str) -> bool:
@@ -64,14 +64,27 @@ def _emails(text: str):
         at = text.find("@", max(at + 1, done))
 
 
+def _ips(text: str):
+    """Leftmost non-overlapping groups of four numbers between dots, each at most 255."""
+    for m in NUMBERS.finditer(text):
+        if m.group().count(".") < 3:
+            continue
+        parts, at = m.group().split("."), m.start()
+        for i in range(0, len(parts) - 3, 4):
+            four = parts[i:i + 4]
+            end = at + sum(map(len, four)) + 3
+            small = [p.lstrip("0") or "0" for p in four]
+            if all(len(p) <= 3 and int(p) <= 255 for p in small):
+                yield at, end
+            at = end + 1
+
+
 def base_spans(text: str) -> list[tuple[str, int, int]]:
     """(kind, start, end) by kind, then start; code points, end exclusive."""
     out = [("email", s, e) for s, e in _emails(text)]
     if not _HAS_DIGITS.search(text):
         return out
-    for m in IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split(".")):
-            out.append(("ip", m.start(), m.end()))
+    out += [("ip", s, e) for s, e in _ips(text)]
     for m in CARD.finditer(text):
         digits = re.sub(r"[\x20-]", "", m.group())
         if 16 <= len(digits) <= 19 and luhn(digits):
@@ -128,36 +141,42 @@ def detect(df: DataFrame, text: str = "text", *, keep: Sequence[str] | None = No
     return add_columns(df, text, BASE, make, keep)
 
 
-def _holders(keyed: DataFrame) -> DataFrame:
-    """(key, t, entities) of all distinct texts that hold an entity, once each."""
+def found_in(df: DataFrame, text: str = "text", *, keep: Sequence[str] = ()) -> DataFrame:
+    """``keep``, ``key`` (content), ``base``, ``entities`` and ``held``: one look at every text.
+
+    ``held`` is the text itself where it holds an entity, else null. The result is
+    written to the checkpoint folder, since several steps read it.
+    """
+    keyed = df.select(*[F.col(quoted(c)) for c in keep], text_of(text).alias("t")).withColumn(
+        "key", text_key(F.col("t")))
+
     def make():
         def work(texts: pa.Array):
-            held, who = [], []
+            base, who, held = [], [], []
             for t in texts:
                 t = t.as_py()
-                found = sorted({entity(k, t[s:e]) for k, s, e in base_spans(t)})
-                held.append(t if found else None)
-                who.append(found)
-            return [pa.array(held, pa.string()), pa.array(who, pa.list_(pa.string()))]
+                spans = base_spans(t)
+                base.append([dict(zip(("kind", "start", "end"), s)) for s in spans])
+                who.append(sorted({entity(k, t[s:e]) for k, s, e in spans}))
+                held.append(t if spans else None)
+            return [pa.array(base, _SPANS), pa.array(who, pa.list_(pa.string())),
+                    pa.array(held, pa.string())]
 
         return work
 
-    held = add_columns(keyed, "t", "held string, entities array<string>", make, ["key"])
-    return (held.filter(F.size("entities") > 0).groupBy("key")
+    return reliable_checkpoint(add_columns(
+        keyed, "t", f"{BASE}, entities array<string>, held string", make, [*keep, "key"]))
+
+
+def _holders(found: DataFrame) -> DataFrame:
+    """(key, t, entities) of all distinct texts that hold an entity, once each."""
+    return (found.filter(F.size("entities") > 0).groupBy("key")
             .agg(F.first("held").alias("t"), F.first("entities").alias("entities")))
 
 
 def _bitmap(terms: DataFrame):
-    """A broadcast bitmap of 2^FILTER_BITS bits of the terms' hashes (column ``h``)."""
-    bits = 1 << FILTER_BITS
-    place = F.pmod("h", F.lit(bits)) + 1  # Spark's bitmap buckets count from 1
-    maps = (terms.groupBy(F.bitmap_bucket_number(place).alias("b"))
-            .agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("m")).collect())
-    whole = np.zeros(bits // 8, dtype=np.uint8)
-    for r in maps:  # at most bits / 32768 rows of 4 kB; bucket 1 holds positions 0 to 32767
-        lo = (r["b"] - 1) * 4096
-        whole[lo:lo + len(r["m"])] |= np.frombuffer(bytes(r["m"]), np.uint8)
-    return terms.sparkSession.sparkContext.broadcast(whole.tobytes())
+    """A broadcast bitmap of the terms' hashes (column ``h``), sized by their number."""
+    return terms.sparkSession.sparkContext.broadcast(bitmap_of(terms, F.col("h")))
 
 
 def _hashes(texts: DataFrame, keep: Sequence[str], asked=None) -> DataFrame:
@@ -167,10 +186,9 @@ def _hashes(texts: DataFrame, keep: Sequence[str], asked=None) -> DataFrame:
     else passes it drops out of the join with the asked terms. Texts without
     such a term have no row.
     """
-    bits = 1 << FILTER_BITS
-
     def make():
         bitmap = asked.value if asked else None
+        bits = 8 * len(bitmap) if asked else 1
         known: dict[str, int | None] = {}
 
         def wanted(word: str) -> int | None:
@@ -206,7 +224,8 @@ def _term_counts(keyed: DataFrame, terms: DataFrame) -> DataFrame:
 
 
 def disclosing_terms(df: DataFrame, text: str = "text", *, min_support: int = MIN_SUPPORT,
-                     generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
+                     generalise: float = GENERALISE, remove: float = REMOVE,
+                     found: DataFrame | None = None) -> DataFrame:
     """(key, start, end, action) of the terms to sanitise, by the text's content key.
 
     ``action`` is ``generalise`` or ``remove``. Frequencies are taken over all
@@ -218,9 +237,10 @@ def disclosing_terms(df: DataFrame, text: str = "text", *, min_support: int = MI
     A term in more than ``room`` texts cannot disclose ``generalise`` of an
     entity even if it stands in all of the entity's texts; such pairs are left
     out before they are formed. Entities of the same texts are judged as one.
+    ``found`` is what ``found_in`` gave for ``df``, if that is known already.
     """
     keyed = df.select(text_of(text).alias("t")).withColumn("key", text_key(F.col("t")))
-    held = reliable_checkpoint(_holders(keyed))
+    held = reliable_checkpoint(_holders(found_in(df, text) if found is None else found))
     texts = F.lit(float(max(keyed.select("key").distinct().count(), 1)))
     room = (F.pow("df_e", F.lit(generalise)) * F.pow(texts, F.lit(1 - generalise)) * (1 + 1e-9)
             - F.greatest(F.lit(0), F.lit(min_support) - F.col("df_e")))
@@ -267,11 +287,18 @@ def disclosing_terms(df: DataFrame, text: str = "text", *, min_support: int = MI
             .select("key", F.explode(places("t", "terms")).alias("s")).select("key", "s.*"))
 
 
-def _with_terms(rows: DataFrame, terms: DataFrame) -> DataFrame:
-    """``rows`` (with ``key``) and the term spans of their text as ``terms``, sorted."""
+def _with_terms(rows: DataFrame, held: Column, terms: DataFrame) -> DataFrame:
+    """``rows`` (with ``key``) and the term spans of their text as ``terms``, sorted.
+
+    Only rows for which ``held`` is true can have terms; the others, a text with
+    very many copies among them, are not moved.
+    """
     spans = terms.groupBy("key").agg(
         F.array_sort(F.collect_list(F.struct("start", "end", "action"))).alias("terms"))
-    return rows.join(spans, "key", "left")
+    none = F.lit(None).cast("array<struct<start:bigint,end:bigint,action:string>>").alias("terms")
+    # on two fresh exchanges, so that Spark can split a key with very many rows
+    joined = rows.filter(held).join(reliable_checkpoint(spans), "key", "left")
+    return joined.unionByName(rows.filter(~held).select("*", none))
 
 
 def sanitise(df: DataFrame, text: str = "text", **thresholds) -> DataFrame:
@@ -283,11 +310,14 @@ def sanitise(df: DataFrame, text: str = "text", **thresholds) -> DataFrame:
     spans stay as they are.
     """
     cols = df.columns
-    terms = disclosing_terms(df, text, **thresholds)
-    rows = df.select(F.struct(*[F.col(quoted(c)) for c in cols]).alias("row"),
-                     text_key(text_of(text)).alias("key"))
-    joined = _with_terms(rows, terms).select(
-        "row", F.col(f"row.{quoted(text)}").alias("t"), "terms")
+    found = found_in(df, text)
+    terms = disclosing_terms(df, text, found=found, **thresholds)
+    row = F.struct(*[F.col(quoted(c)) for c in cols]).alias("row")
+    rows = df.select(row, text_key(text_of(text)).alias("key"))
+    who = found.filter(F.size("entities") > 0).select("key").distinct()
+    marked = filtered(rows, bitmap_of(who, node_long("key")), "key", flag="__llm_may")
+    joined = _with_terms(marked, F.col("__llm_may"), terms).select(
+        "row", F.col(f"row.{quoted(text)}").alias("t"), "terms", "__llm_may")
 
     @F.arrow_udf("string")
     def clean(texts: pa.Array, found: pa.Array) -> pa.Array:
@@ -309,7 +339,9 @@ def sanitise(df: DataFrame, text: str = "text", **thresholds) -> DataFrame:
             out.append("".join([*parts, t[done:]]))
         return pa.array(out, pa.string())
 
-    done = joined.withColumn("__llm_clean", clean("t", "terms"))
+    # texts that hold no entity stay as they are and do not go to Python
+    done = joined.filter("__llm_may").withColumn("__llm_clean", clean("t", "terms")).unionByName(
+        joined.filter(~F.col("__llm_may")).withColumn("__llm_clean", F.col("t")))
     return done.select(*[F.col("__llm_clean").alias(c) if c == text
                          else F.col(f"row.{quoted(c)}").alias(c) for c in cols])
 
@@ -317,9 +349,9 @@ def sanitise(df: DataFrame, text: str = "text", **thresholds) -> DataFrame:
 def op2_pii(spark, sf_dir: str) -> DataFrame:
     """Base spans of every document, and all spans with the disclosing terms."""
     docs = table(spark, sf_dir, "documents")
-    terms = disclosing_terms(docs)
-    base = detect(docs.withColumn("key", text_key(text_of("text"))), keep=["doc_id", "key"])
-    rows = _with_terms(base, terms)
+    found = found_in(docs, keep=["doc_id"])
+    terms = disclosing_terms(docs, found=found)
+    rows = _with_terms(found.select("doc_id", "key", "base"), F.size("base") > 0, terms)
     listed = lambda a: F.array_join(F.transform(a, lambda s: F.concat_ws(
         ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
     extra = F.coalesce(F.array_join(F.transform("terms", lambda s: F.concat_ws(
