@@ -15,7 +15,7 @@ other suffixes, and compare neighbours.
   string. One exchange of (name, text, place) finds the names that repeat.
 * Merge. Every string of 200 bytes is placed under its sample's name at its
   offset. For each repeated name the strings' keys are sorted; equal
-  neighbours are repeats. Names that very many places hold are sorted by the
+  neighbours are repeats if their bytes are equal, too. Names that very many places hold are sorted by the
   strings' own keys instead, counted before the exchange, so that no task
   gathers them.
 
@@ -26,6 +26,7 @@ times: all of its strings start elsewhere too.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -44,6 +45,8 @@ SEGMENT = 1 << 16  # string starts handled at a time (bounds a task's memory)
 CROWD = 5000      # places of a name from which its strings are sorted by their own keys
 BLOCK = 16        # strings of a crowded name that are compared together first
 
+_OTHER = np.random.default_rng(11).permutation(256).astype(np.uint8)  # for a second hash
+
 
 def samples(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, name: int = NAME):
     """Runs of string starts with one sample: arrays (place, lo, hi, name hash).
@@ -86,7 +89,11 @@ def samples(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, name: i
 
 def alike(data: np.ndarray, rows: np.ndarray, lo: np.ndarray, hi: np.ndarray, h: np.ndarray,
           length: int) -> np.ndarray:
-    """The rank of each run among the runs of its text with the same name and bytes."""
+    """The rank of each run among the runs of its text with the same name and bytes.
+
+    Runs are ordered by hashes; from the third one on, one that has not the bytes of
+    its first gets rank 0 again.
+    """
     prefix = prefix_hash(data)
     _, down = POWERS.get(len(prefix))
     whole = mix64((prefix[hi + length - 1] - prefix[lo]) * down[lo] ^ mix64(
@@ -97,22 +104,21 @@ def alike(data: np.ndarray, rows: np.ndarray, lo: np.ndarray, hi: np.ndarray, h:
     first = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
     rank = np.empty(len(order), dtype=np.int64)
     rank[order] = np.arange(len(order)) - first
+    for at in np.flatnonzero(rank[order] > 1).tolist():
+        i, j = order[at], order[first[at]]
+        if not np.array_equal(data[lo[i]:hi[i] + length - 1], data[lo[j]:hi[j] + length - 1]):
+            rank[i] = 0
     return rank
 
 
 def twins(raw: bytes, length: int, name: int) -> list[tuple[int, int]]:
     """Starts [lo, hi) of the runs that stand at least twice in one text."""
-    data = np.frombuffer(raw, np.uint8)
-    _, lo, hi, h = samples(data, np.array([0, len(data)]), length, name)
-    if not len(lo):
-        return []
-    prefix = prefix_hash(data)
-    _, down = POWERS.get(len(prefix))
-    whole = mix64((prefix[hi + length - 1] - prefix[lo]) * down[lo] ^ mix64(
-        h + (hi - lo).astype(np.uint64)))
-    _, back, count = np.unique(whole, return_inverse=True, return_counts=True)
-    twice = count[back] > 1
-    return list(zip(lo[twice].tolist(), hi[twice].tolist()))
+    _, lo, hi, _ = samples(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), length, name)
+    found = Counter()
+    runs = list(zip(lo.tolist(), hi.tolist()))
+    for a, b in runs:
+        found[raw[a:b + length - 1]] += 1
+    return [(a, b) for a, b in runs if found[raw[a:b + length - 1]] > 1]
 
 
 def _spans(prefix: np.ndarray, starts: np.ndarray, width: int) -> np.ndarray:
@@ -196,7 +202,10 @@ def _contexts(held: DataFrame, length: int, name: int) -> DataFrame:
 
 
 def _string_keys(batch: pa.RecordBatch, length: int):
-    """(row, start, key) of all strings of context rows; the key joins name, offset and bytes."""
+    """(row, start, key, place, data) of all strings of context rows.
+
+    The key joins name, offset and bytes; ``place`` is the string's place in ``data``.
+    """
     cut = batch.column("bytes")
     sizes = np.array([len(x) for x in cut.to_pylist()], dtype=np.int64)
     data = np.frombuffer(b"".join(cut.to_pylist()), np.uint8)
@@ -205,12 +214,50 @@ def _string_keys(batch: pa.RecordBatch, length: int):
     row = np.repeat(np.arange(len(sizes)), count)
     step = np.arange(len(row)) - np.repeat(np.concatenate([[0], np.cumsum(count)])[:-1], count)
     # shared prefix sums would cross rows: positions inside data are enough, spans stay in a row
-    key = _spans(prefix_hash(data), base[row] + step, length)
+    place = base[row] + step
+    key = _spans(prefix_hash(data), place, length)
     h = batch.column("h").to_numpy(zero_copy_only=False).astype(np.uint64)
     off = batch.column("off").to_numpy(zero_copy_only=False).astype(np.int64)
     rel = (off[row] - step).astype(np.uint64)
     lo = batch.column("lo").to_numpy(zero_copy_only=False).astype(np.int64)
-    return row, lo[row] + step, mix64(key ^ mix64(h[row] + rel * np.uint64(0x9FB21C651E98DF25)))
+    key = mix64(key ^ mix64(h[row] + rel * np.uint64(0x9FB21C651E98DF25)))
+    return row, lo[row] + step, key, place, data
+
+
+def same_strings(key: np.ndarray, row: np.ndarray, place: np.ndarray, data: np.ndarray,
+                 length: int) -> np.ndarray:
+    """Which strings stand twice: equal keys, and equal bytes.
+
+    Neighbours in the order of the keys are compared, whole stretches at once where
+    the neighbours of one string are next to those of the string before it. Where
+    bytes differ under one key, its strings are told apart by their bytes.
+    """
+    order = np.argsort(key, kind="stable")
+    same = key[order[1:]] == key[order[:-1]]
+    i, j = order[:-1][same], order[1:][same]
+    marked = np.zeros(len(key), dtype=bool)
+    marked[i] = marked[j] = True
+    if not len(i):
+        return marked
+    by_place = np.argsort(place[i], kind="stable")
+    i, j = i[by_place], j[by_place]
+    p, q = place[i], place[j]
+    new = np.ones(len(i), dtype=bool)
+    new[1:] = ((p[1:] != p[:-1] + 1) | (q[1:] != q[:-1] + 1) | (row[i[1:]] != row[i[:-1]])
+               | (row[j[1:]] != row[j[:-1]]))
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(i)) - 1
+    wrong = []
+    for a, b, c, d, f, g in zip(p[first].tolist(), p[last].tolist(), q[first].tolist(),
+                                q[last].tolist(), first.tolist(), last.tolist()):
+        if not np.array_equal(data[a:b + length], data[c:d + length]):
+            wrong += key[i[f:g + 1]].tolist()
+    if wrong:
+        crowd = np.flatnonzero(np.isin(key, np.unique(np.array(wrong, dtype=np.uint64))))
+        strings = [(int(key[x]), data[place[x]:place[x] + length].tobytes()) for x in crowd]
+        count = Counter(strings)
+        marked[crowd] = [count[x] > 1 for x in strings]
+    return marked
 
 
 def _runs(batch: pa.RecordBatch, row: np.ndarray, start: np.ndarray) -> pa.RecordBatch | None:
@@ -230,12 +277,8 @@ def _runs(batch: pa.RecordBatch, row: np.ndarray, start: np.ndarray) -> pa.Recor
 def _sorted_in_groups(contexts: DataFrame, length: int) -> DataFrame:
     """(node, lo, hi): repeated starts, by sorting the strings of each name in place."""
     def work(batch: pa.RecordBatch, _) -> list[pa.RecordBatch]:
-        row, start, key = _string_keys(batch, length)  # the key tells names and offsets apart
-        order = np.argsort(key, kind="stable")
-        same = key[order[1:]] == key[order[:-1]]
-        marked = np.zeros(len(key), dtype=bool)
-        marked[order[1:][same]] = True
-        marked[order[:-1][same]] = True
+        row, start, key, place, data = _string_keys(batch, length)
+        marked = same_strings(key, row, place, data, length)
         out = _runs(batch, row[marked], start[marked])
         return [] if out is None else [out]
 
@@ -286,18 +329,21 @@ def _sorted_by_key(contexts: DataFrame, length: int) -> DataFrame:
         for batch in batches:
             for lo in range(0, batch.num_rows, 2000):
                 part = pa.Table.from_batches([batch.slice(lo, 2000)]).combine_chunks().to_batches()[0]
-                row, start, key = _string_keys(part, length)
+                row, start, key, place, data = _string_keys(part, length)
+                # a second hash, of other values of the bytes: 128 bits tell strings apart
+                more = _spans(prefix_hash(_OTHER[data]), place, length)
                 took = pa.array(row)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key.astype(np.int64)), part.column("node").take(took),
-                     pa.array(start.astype(np.int32)), part.column("open").take(took)],
-                    names=["k", "node", "lo", "open"])
+                    [pa.array(key.astype(np.int64)), pa.array(more.astype(np.int64)),
+                     part.column("node").take(took), pa.array(start.astype(np.int32)),
+                     part.column("open").take(took)],
+                    names=["k", "k2", "node", "lo", "open"])
 
     whole, distinct = _told_apart(contexts.withColumn("open", F.lit(True)), length)
     parts, blocks = _told_apart(_in_blocks(distinct, length), length)
-    keys = blocks.mapInArrow(run, "k long, node binary, lo int, open boolean")
-    often = keys.groupBy("k").agg(F.count("*").alias("n")).filter("n > 1").select("k")
-    single = keys.filter("open").join(often, "k").select("node", "lo",
+    keys = blocks.mapInArrow(run, "k long, k2 long, node binary, lo int, open boolean")
+    often = keys.groupBy("k", "k2").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
+    single = keys.filter("open").join(often, ["k", "k2"]).select("node", "lo",
                                                          (F.col("lo") + 1).alias("hi"))
     return whole.unionByName(parts).unionByName(single)
 
