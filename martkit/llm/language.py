@@ -18,8 +18,7 @@ from pyspark.sql import functions as F
 
 from .common import add_columns, quoted, table, text_of
 
-TRAIN_DOCS = 400          # expected training texts per language (the fitted sample's bound)
-TRAIN_CHARS = 400         # characters that each of them adds to the dictionary
+DICT_BYTES = 1 << 18      # bytes of a language's dictionary, in whole texts (the fitted sample's bound)
 PIECE_BYTES = 4096        # texts are compressed in pieces, so the dictionary counts throughout
 LEVEL = 5
 MIN_MARGIN = 0.002        # narrower relative margins are rejected
@@ -29,33 +28,37 @@ _LETTER = regex.compile(r"\p{L}")
 
 
 def learn(train: DataFrame, text: str = "text", lang: str = "lang", *,
-          docs: int = TRAIN_DOCS, chars: int = TRAIN_CHARS) -> dict[str, bytes]:
+          size: int = DICT_BYTES) -> dict[str, bytes]:
     """One dictionary per language from a bounded sample of ``train``.
 
-    Rows with a null language or without a letter are not used. The sample
-    takes about ``docs`` texts a language (chosen by a hash of the content, so
-    equal tables give equal dictionaries) and at most ``chars`` characters of
-    each from its middle; repeated texts count once. At most
-    2 * docs * chars characters a language reach the driver.
+    A dictionary holds whole texts, up to ``size`` bytes in all: those whose content
+    hash comes first, so equal tables give equal dictionaries, and repeated texts
+    count once. A text that is too long for what is left of it is passed over, one
+    longer than a dictionary by every dictionary. Rows with a null language
+    or without a letter are not used. About twice ``size`` bytes a language reach
+    the driver.
     """
     rows = (train.select(F.col(quoted(lang)).cast("string").alias("lang"),
                          text_of(text).alias("t"))
-            .filter(F.col("lang").isNotNull() & F.col("t").rlike(r"\p{L}")))
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+            .filter(F.col("lang").isNotNull() & F.col("t").rlike(r"\p{L}"))
+            .filter(F.octet_length("t") <= size))
+    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(
+        F.sum(F.octet_length("t") + 1).alias("n")).collect()}
     if not sizes:
         return {}
     share = F.create_map(*[F.lit(x) for k, n in sizes.items()
-                           for x in (k, min(1.0, docs / max(n, 1)))])
+                           for x in (k, min(1.0, 2 * size / max(n, 1)))])
     rank = F.pmod(F.xxhash64("t"), F.lit(1 << 40)) / float(1 << 40)
-    middle = F.expr(f"substring(t, greatest(1, cast((length(t) - {chars}) / 2 as int) + 1), {chars})")
     picked = (rows.filter(rank < share[F.col("lang")])
-              .groupBy("lang", rank.alias("rank"), middle.alias("piece")).count()
-              .collect())
-    out: dict[str, list] = {}
-    for r in picked:
-        out.setdefault(r["lang"], []).append((r["rank"], r["piece"]))
-    return {k: "\n".join(p for _, p in sorted(v)[:2 * docs]).lower().encode()
-            for k, v in sorted(out.items())}
+              .groupBy("lang", rank.alias("rank"), "t").count().collect())
+    out: dict[str, list[str]] = {}
+    left: dict[str, int] = {}
+    for r in sorted(picked, key=lambda r: (r["lang"], r["rank"], r["t"])):
+        need = len(r["t"].encode()) + 1
+        if need <= left.get(r["lang"], size + 1):
+            left[r["lang"]] = left.get(r["lang"], size + 1) - need
+            out.setdefault(r["lang"], []).append(r["t"])
+    return {k: "\n".join(v).lower().encode() for k, v in sorted(out.items())}
 
 
 def identify(df: DataFrame, dictionaries: Mapping[str, bytes], text: str = "text", *,
