@@ -33,7 +33,7 @@ from .common import (add_columns, lower_bytes, others, prefix_hash, quoted, raw_
 WIDTH = 8             # canonical words in a window
 MIN_LITERAL = 5       # words of a template window that must not be placeholders
 MIN_COVER = 0.5       # share of an item's words that its windows must cover
-INDEX_BYTES = 1 << 25  # benchmark text indexed at a time; a larger benchmark takes several passes
+INDEX_WORDS = 1 << 19  # benchmark words indexed at a time (some 100 MB a worker); more take several passes
 
 # Unit words that are slots when they follow a number.
 UNITS = ("kg g mg t lb oz km m cm mm mi ft yd inch inches l ml cl s ms sec second seconds min "
@@ -384,21 +384,22 @@ def _leaks(items: Sequence[tuple[str, str]], width: int, min_literal: int, min_c
 def find_leaks(df: DataFrame, benchmark: DataFrame, text: str = "text", *,
                item_id: str = "item_id", item_text: str = "text", width: int = WIDTH,
                min_literal: int = MIN_LITERAL, min_cover: float = MIN_COVER,
-               index_bytes: int = INDEX_BYTES, keep: Sequence[str] | None = None) -> DataFrame:
+               index_words: int = INDEX_WORDS, keep: Sequence[str] | None = None) -> DataFrame:
     """Append ``leaks``: the benchmark items that each whole text contains.
 
     Null and empty texts and items match nothing, nor do items of less than
     ``min_literal`` words; items without that many literal words are found with
     their own values only. A null item id is reported as null. Repeated
     items are reported as often as they stand in the benchmark. The benchmark's
-    size is checked first: up to ``index_bytes`` of it are indexed and sent to
-    the tasks at a time; a larger one takes several passes over the documents,
-    each written to the checkpoint folder, with the same result.
+    size is checked first: up to about ``index_words`` words of it, and so windows,
+    are indexed and sent to the tasks at a time; a larger one takes several passes
+    over the documents, each written to the checkpoint folder, with the same result.
     """
     items = benchmark.select(F.col(quoted(item_id)).cast("string").alias("i"),
                              text_of(item_text).alias("t"))
-    size = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
-    passes = -(-size // index_bytes) or 1
+    words = F.size(F.split("t", r"[\x20\x09-\x0D]+")) + F.size(F.split("t", r"[^\w\s]"))
+    size = items.agg(F.sum(words)).first()[0] or 0
+    passes = -(-size // index_words) or 1
     part = F.pmod(F.xxhash64("i", "t"), F.lit(passes))
 
     def read(k: int) -> list[tuple[str, str]]:

@@ -30,7 +30,7 @@ PHRASES: dict[str, str] = {
     "general public license": "gpl",
 }
 
-# The opening terms of well-known public licences.
+# Terms and notices of well-known public licences.
 TEMPLATES: dict[str, str] = {
     "mit-text": """Permission is hereby granted, free of charge, to any person obtaining a copy
         of this software and associated documentation files (the "Software"), to deal in the
@@ -59,6 +59,55 @@ TEMPLATES: dict[str, str] = {
     "isc-text": """Permission to use, copy, modify, and/or distribute this software for any purpose
         with or without fee is hereby granted, provided that the above copyright notice and
         this permission notice appear in all copies.""",
+    "mit-warranty": """The software is provided "as is", without warranty of any kind, express or
+        implied, including but not limited to the warranties of merchantability, fitness for a
+        particular purpose and noninfringement. In no event shall the authors or copyright
+        holders be liable for any claim, damages or other liability, whether in an action of
+        contract, tort or otherwise, arising from, out of or in connection with the software or
+        the use or other dealings in the software.""",
+    "bsd-2-clause": """Redistributions in binary form must reproduce the above copyright notice, this
+        list of conditions and the following disclaimer in the documentation and/or other
+        materials provided with the distribution.""",
+    "bsd-3-clause": """Neither the name of the copyright holder nor the names of its contributors may
+        be used to endorse or promote products derived from this software without specific prior
+        written permission.""",
+    "bsd-warranty": """This software is provided by the copyright holders and contributors "as is" and
+        any express or implied warranties, including, but not limited to, the implied warranties
+        of merchantability and fitness for a particular purpose are disclaimed. In no event shall
+        the copyright holder or contributors be liable for any direct, indirect, incidental,
+        special, exemplary, or consequential damages (including, but not limited to, procurement
+        of substitute goods or services; loss of use, data, or profits; or business interruption)
+        however caused and on any theory of liability, whether in contract, strict liability, or
+        tort (including negligence or otherwise) arising in any way out of the use of this
+        software, even if advised of the possibility of such damage.""",
+    "lgpl-notice": """This library is free software; you can redistribute it and/or modify it under the
+        terms of the GNU Lesser General Public License as published by the Free Software
+        Foundation; either version 2.1 of the License, or (at your option) any later version.""",
+    "agpl-notice": """you can redistribute it and/or modify it under the terms of the GNU Affero
+        General Public License as published by the Free Software Foundation, either version 3 of
+        the License, or (at your option) any later version.""",
+    "mpl-notice": """This Source Code Form is subject to the terms of the Mozilla Public License, v.
+        2.0. If a copy of the MPL was not distributed with this file, You can obtain one at
+        http://mozilla.org/MPL/2.0/.""",
+    "epl-notice": """This program and the accompanying materials are made available under the terms of
+        the Eclipse Public License 2.0 which is available at
+        https://www.eclipse.org/legal/epl-2.0/""",
+    "unlicense-text": """This is free and unencumbered software released into the public domain. Anyone
+        is free to copy, modify, publish, use, compile, sell, or distribute this software, either
+        in source code form or as a compiled binary, for any purpose, commercial or
+        non-commercial, and by any means.""",
+    "zlib-text": """This software is provided 'as-is', without any express or implied warranty. In no
+        event will the authors be held liable for any damages arising from the use of this
+        software. Permission is granted to anyone to use this software for any purpose, including
+        commercial applications, and to alter it and redistribute it freely, subject to the
+        following restrictions""",
+    "cc0-text": """To the extent possible under law, the author has waived all copyright and related or
+        neighboring rights to this work""",
+    "cc-by-work": "This work is licensed under the Creative Commons Attribution 4.0 International License",
+    "cc-by-sa-work": """This work is licensed under the Creative Commons Attribution-ShareAlike 4.0
+        International License""",
+    "cc-by-sa": "Licensed under CC BY-SA 4.0",
+    "cc-by-nd": "Licensed under CC BY-ND 4.0",
     "mit-line": "Released under the MIT License",
     "apache-line": "Licensed under the Apache License, Version 2.0",
     "gpl-line": "This work is licensed under the GNU General Public License, version 3",

@@ -165,3 +165,20 @@ def test_short_licence_inside_a_longer_partial_match(spark):
     row = licences.scan_licences(frame(spark, [part])).collect()[0]
     assert [(s.label, s.first_word, s.last_word, s.coverage) for s in row.spans] == [
         ("apache-line", 0, 7, 1.0)]
+
+
+def test_every_template_is_found_whole_and_changed(spark):
+    """Each template as it stands, and with one word in fifteen put in, is reported."""
+    from martkit.llm import licences
+    names, texts = list(licences.TEMPLATES), []
+    for name in names:
+        words = licences.TEMPLATES[name].split()
+        texts.append("intro words. " + " ".join(words) + " closing words.")
+        texts.append(" ".join(w for i, w in enumerate(words, 1) for w in (
+            [w, "inserted"] if i % 15 == 0 else [w])))
+    found = {r.doc_id: {s.label for s in r.spans}
+             for r in licences.scan_licences(frame(spark, texts)).collect()}
+    for i, name in enumerate(names):
+        assert name in found[2 * i] and name in found[2 * i + 1], name
+    plain = frame(spark, ["the terms of the contract are free to copy, in any way, for any purpose"] * 3)
+    assert all(not r.spans for r in licences.scan_licences(plain).collect())
