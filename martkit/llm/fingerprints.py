@@ -24,6 +24,7 @@ from .common import add_columns, table, text_of
 WINDOW = 7
 MIN_BLOCK = 3
 SIGNATURE = 64   # characters a signature is sized for
+LONGEST = 512    # and has at most: on periodic bytes every piece may trigger; the last takes the rest
 GRAM = 7         # two signatures without a common run of so many characters are unlike
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
 _STEP = 1 << 20
@@ -58,8 +59,9 @@ def triggers(data: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def signature(raw: bytes, ends: np.ndarray) -> str:
+    """A character for each piece; the last of at most LONGEST pieces takes the rest."""
     out, start = [], 0
-    for e in ends.tolist():
+    for e in ends[:LONGEST - 1].tolist():
         out.append(ALPHABET[zlib.crc32(raw[start:e]) & 63])
         start = e
     if start < len(raw):

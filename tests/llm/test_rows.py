@@ -182,3 +182,11 @@ def test_every_template_is_found_whole_and_changed(spark):
         assert name in found[2 * i] and name in found[2 * i + 1], name
     plain = frame(spark, ["the terms of the contract are free to copy, in any way, for any purpose"] * 3)
     assert all(not r.spans for r in licences.scan_licences(plain).collect())
+
+
+def test_signatures_of_unbroken_texts_are_bounded():
+    for text in ("x" * 300_000, "1 " * 30_000, "ab" * 100_000):
+        block, one, two = fingerprints.fingerprint_of(text.encode()).split(":")
+        assert len(one) <= fingerprints.LONGEST and len(two) <= fingerprints.LONGEST
+    a, b = (fingerprints.fingerprint_of(("x" * n).encode()) for n in (300_000, 300_001))
+    assert a != b  # the last piece takes the rest of the text
