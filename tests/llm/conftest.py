@@ -34,3 +34,12 @@ def corpus():
     texts += ["The " * 300, "la la " * 120 + prose(20), "x" * 1000, "ab" * 500]
     texts += [prose(rng.randint(1, 60)) for _ in range(30)]
     return texts
+
+
+@pytest.fixture(scope="session", autouse=True)
+def few_partitions(spark):
+    """Small tables: fewer tasks a shuffle."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
