@@ -54,3 +54,48 @@ def test_ids_give_back_the_text(stages):
     clean = {r.doc_id: r.text for r in stages[-2][1].collect()}
     coded = {r.doc_id: r.decoded_sha256 for r in stages[-1][1].collect()}
     assert coded == {i: hashlib.sha256(t.encode()).hexdigest() for i, t in clean.items()}
+
+
+ODD = [(1, None), (2, ""), (3, " \n"), (4, "123 !"), (None, "the cat sat on the mat with the dog"),
+       (5, "the cat sat on the mat with the dog"), (5, "the cat sat on the mat with the dog"),
+       (6, "der hund und die katze sitzen im haus"), (7, "x" * 200_000), (8, "the " * 20_000),
+       (9, "write to bob@corp.com about the house"), (10, "write to bob@corp.com about the house")]
+
+
+@pytest.mark.parametrize("empty", [False, True])
+@pytest.mark.parametrize("name,stage", corpus_pipeline.STAGES)
+def test_stages_on_odd_rows(spark, name, stage, empty):
+    rows = [(i, t, ["en", "de", None][n % 3], "s", len(t or ""), "clash", 3)
+            for n, (i, t) in enumerate(ODD)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, "
+                                       "n_chars long, key string, Leaks int")
+    out = stage(spark, docs.limit(0) if empty else docs, SF)
+    got = out.collect()
+    if name != "byte_bpe":
+        assert out.columns == docs.columns
+    if empty:
+        assert got == []
+        return
+    ids = sorted((r.doc_id or 0 for r in got))
+    if name == "language_id":
+        assert not {1, 2, 3, 4} & set(ids) and {6, 8} <= set(ids)
+    elif name == "near_duplicates":  # one of the equal texts, every text without words
+        assert {1, 2, 3, 4, 6, 7, 8} <= set(ids) and len([i for i in ids if i in (0, 5)]) == 1
+        assert len([i for i in ids if i in (9, 10)]) == 1
+    else:
+        assert ids == sorted(i or 0 for i, _ in ODD)
+    if name == "personal_data":
+        texts = {r.doc_id: r.text for r in got}
+        assert "bob@corp.com" not in texts[9] and texts[1] is None and texts[2] == ""
+    if name == "byte_bpe":
+        by_id = {r.doc_id: r for r in got}
+        assert by_id[1].n_tokens == by_id[2].n_tokens == 0
+        assert by_id[7].decoded_sha256 == hashlib.sha256(b"x" * 200_000).hexdigest()
+
+
+def test_run_gives_the_last_stage_and_drops_its_tables(spark, stages):
+    got = {r.doc_id: r.decoded_sha256 for r in corpus_pipeline.run(spark, SF).collect()}
+    assert got == {r.doc_id: r.decoded_sha256 for r in stages[-1][1].collect()}
+    left = [t.name for t in spark.catalog.listTables() if t.name.startswith("martkit_pipeline_")]
+    assert len(left) == 1 and left[0].endswith("personal_data")
+    spark.sql(f"DROP TABLE {left[0]}")
