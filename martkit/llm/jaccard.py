@@ -20,8 +20,8 @@ that the tree lets through (in very wide cells: one pivot of the cell); that is
 linear, and copies and near copies are connected then, most of them in the first
 round, which takes a few cells of each point only. In cells that still hold
 several components the tree is searched for all pairs of different components,
-each pair in the first cell it shares. Surviving pairs are verified on the full
-sets.
+each pair in the first cell it shares, and verified on the full sets where it is
+found; only edges that connect components leave a task.
 """
 
 from __future__ import annotations
@@ -229,11 +229,10 @@ class CountTree:
 
 
 def _memberships(texts: DataFrame, order: Order, percent: int, size: int) -> DataFrame:
-    """(h, rank, a, b, node): each distinct set of a task with the shingles of its prefix.
+    """(h, rank, a, b, hot): each distinct set of a task with the shingles of its prefix.
 
     ``rank`` is twice the set's size, and one more for shingles behind the short prefix.
-    ``a`` and ``b`` are the halves of the set's key; ``node``, the key itself, is given
-    for hot shingles only.
+    ``a`` and ``b`` are the halves of the set's key.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
@@ -243,15 +242,13 @@ def _memberships(texts: DataFrame, order: Order, percent: int, size: int) -> Dat
             def flush():
                 keys = np.repeat(np.frombuffer(b"".join(nodes), np.int64).reshape(-1, 2),
                                  np.array(counts), axis=0)
-                hot = np.concatenate(flags)
-                shown = binary16(keys[hot].view(np.uint8).reshape(-1, 16))
                 return pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(hs), pa.int64()),
                      pa.array(np.concatenate(ranks), pa.int64()),
                      pa.array(np.ascontiguousarray(keys[:, 0])),
                      pa.array(np.ascontiguousarray(keys[:, 1])),
-                     shown.take(pa.array(np.cumsum(hot) - 1, mask=~hot))],
-                    names=["h", "rank", "a", "b", "node"])
+                     pa.array(np.concatenate(flags))],
+                    names=["h", "rank", "a", "b", "hot"])
 
             held = 0
             for s in shingle_sets(batch.column(0), size, order):
@@ -273,11 +270,11 @@ def _memberships(texts: DataFrame, order: Order, percent: int, size: int) -> Dat
             if held:
                 yield flush()
 
-    return texts.select("t").mapInArrow(run, "h long, rank long, a long, b long, node binary")
+    return texts.select("t").mapInArrow(run, "h long, rank long, a long, b long, hot boolean")
 
 
 def _cells(rows: DataFrame, percent: int) -> DataFrame:
-    """(h, node): the memberships (h, rank, a, b) that may hold a link, cells of equal members once.
+    """(h, node): the memberships that may hold a link, cells of equal members once.
 
     Linked sets share a shingle that is in the short prefix of the smaller one, so a
     member stays if a member of its size or less, down to ``percent`` of it, holds
@@ -285,16 +282,34 @@ def _cells(rows: DataFrame, percent: int) -> DataFrame:
     or more is near. Sorted by size, short prefixes first, the nearest ones are
     the row before and the row after, so one streaming pass with one row between
     batches tells; no cell is gathered. A cell that lies in one batch gets a
-    signature of its members as its key and is kept once.
+    signature of its members as its key and is kept once. Hot shingles are spread by
+    their members and pass as they are, in the same exchange.
     """
     columns = ["h", "rank", "a", "b"]
-    dealt = (rows.select(*columns).repartition(shuffle_width(rows), "h")
+    deal = F.when(F.col("hot"), F.xxhash64("h", "a")).otherwise(F.col("h"))
+    dealt = (rows.select(*columns, "hot").repartition(shuffle_width(rows), deal)
              .sortWithinPartitions(*columns))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        passed: list[pa.RecordBatch] = []   # rows of hot shingles
+
+        def ordinary() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                hot = batch.column("hot")
+                if pc.any(hot).as_py():
+                    part = batch.filter(hot)
+                    a, b = (part.column(c).to_numpy(zero_copy_only=False) for c in ("a", "b"))
+                    passed.append(pa.RecordBatch.from_arrays(
+                        [part.column("h"), binary16(np.column_stack([a, b]).view(np.uint8))],
+                        names=["h", "node"]))
+                    batch = batch.filter(pc.invert(hot))
+                yield batch.select(columns)
+
         rest: pa.RecordBatch | None = None  # the last row, whose next one is not known yet
         behind = (0, -1)                    # key and size of the last short prefix before it
-        for batch, last in _with_last(batches):
+        for batch, last in _with_last(ordinary()):
+            yield from passed
+            passed.clear()
             if rest is not None:
                 batch = pa.Table.from_batches([rest, batch]).combine_chunks().to_batches()[0]
             h, rank, a, b = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
@@ -338,6 +353,7 @@ def _cells(rows: DataFrame, percent: int) -> DataFrame:
                     [pa.array(key[run_of[stay]].astype(np.int64)),
                      binary16(np.column_stack([a[stay], b[stay]]).view(np.uint8))],
                     names=["h", "node"])
+        yield from passed
 
     return dealt.mapInArrow(run, "h long, node binary")
 
@@ -391,6 +407,12 @@ def _bounded(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
             .filter(may_link("pa", "pb", F.lit(percent).cast("long"))).select("g", "a", "b"))
 
 
+def linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets are linked."""
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The linked ones (a, b) of the pairs (g, a, b), on the full sets.
 
@@ -408,15 +430,13 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         first, second = batch.column("a").to_pylist(), batch.column("b").to_pylist()
         held = {(g[i], first[i]): batch.column("set")[i].values.to_numpy()
                 for i in range(batch.num_rows) if second[i] is None}
-        linked = []
+        found = []
         for i in range(batch.num_rows):
             if second[i] is not None:
-                x, y = held[g[i], first[i]], held[g[i], second[i]]
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                if 100 * both >= percent * (len(x) + len(y) - both):
-                    linked.append(i)
-        rows = batch.take(pa.array(linked, pa.int64())).select(["a", "b"])
-        return [rows] if linked else []
+                if linked(held[g[i], first[i]], held[g[i], second[i]], percent):
+                    found.append(i)
+        rows = batch.take(pa.array(found, pa.int64())).select(["a", "b"])
+        return [rows] if found else []
 
     return grouped(rows, "g", "a binary, b binary", work)
 
@@ -446,12 +466,47 @@ def _blocks(live: DataFrame, points: DataFrame, percent: int) -> DataFrame:
             .select("g", "lo", "hi", "own", "point", *live.columns))
 
 
+def _leaf_pairs(packed: Sequence[bytes], i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
+    """Whether the bound allows a link of the points i and j, at the pairs' coarser resolution."""
+    ok = np.zeros(len(i), dtype=bool)
+    width = np.array([len(x) for x in packed], dtype=np.int64)
+    least = np.minimum(width[i], width[j])
+    for w in np.unique(least).tolist():
+        at = np.flatnonzero(least == w)
+        used, place = np.unique(np.concatenate([i[at], j[at]]), return_inverse=True)
+        # the narrowest point gives the others its resolution
+        sizes, counts = unpacked([packed[k] for k in used.tolist()])
+        x, y = place[:len(at)], place[len(at):]
+        n_x, n_y = sizes[x], sizes[y]
+        fits = np.flatnonzero(100 * np.minimum(n_x, n_y) >= percent * np.maximum(n_x, n_y))
+        step = max(1, (1 << 20) // counts.shape[1])
+        for lo in range(0, len(fits), step):  # bounded memory
+            k = fits[lo:lo + step]
+            ok[at[k]] = overlap_bound(counts[x[k]], counts[y[k]]) >= needed(n_x[k], n_y[k], percent)
+    return ok
+
+
 def _tree_pairs(batch: pa.RecordBatch, starts: np.ndarray, percent: int):
-    """(first, second) row numbers of the pairs that the trees of each group let through."""
+    """(first, second) row numbers of the pairs that the trees of each group let through.
+
+    The trees of groups of one block and one leaf are that leaf alone; they are
+    looked through together. Several groups' pairs may come at once.
+    """
     packed = batch.column("point").to_pylist()
     own, lo, hi = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("own", "lo", "hi"))
     ends = np.append(starts[1:], batch.num_rows)
-    for a, b in zip(starts.tolist(), ends.tolist()):
+    small = (ends - starts <= LEAF) & (lo[starts] == hi[starts])
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for n in np.unique((ends - starts)[small]).tolist():
+        first = starts[small & (ends - starts == n)][:, None]
+        x, y = np.triu_indices(n, 1)
+        left.append((first + x).ravel())
+        right.append((first + y).ravel())
+    i, j = np.concatenate(left), np.concatenate(right)
+    ok = _leaf_pairs(packed, i, j, percent)
+    if ok.any():
+        yield i[ok], j[ok]
+    for a, b in zip(starts[~small].tolist(), ends[~small].tolist()):
         if b - a < 2:
             continue
         left, right = np.flatnonzero(own[a:b] == lo[a]), np.flatnonzero(own[a:b] == hi[a])
@@ -499,37 +554,82 @@ def _proposed(live: DataFrame, points: DataFrame, percent: int, turn: int) -> Da
                    work)
 
 
-def _searched(live: DataFrame, points: DataFrame, percent: int) -> DataFrame:
-    """Pairs (g, a, b) of different components of a cell that the cell's trees let through.
+def _between(batch: pa.RecordBatch, starts: np.ndarray, percent: int):
+    """The pairs of ``_tree_pairs`` of different components, each in the first cell that it shares."""
+    comps = pc.dictionary_encode(batch.column("comp")).indices.to_numpy(zero_copy_only=False)
+    cells = batch.column("cell").to_numpy(zero_copy_only=False)
+    lists = batch.column("cells")
+    sets: dict[int, set[int]] = {}
 
-    A pair is told in the first of the cells that it shares.
-    """
+    def before(i: int) -> set[int]:
+        """The cells of the point that come before the row's own."""
+        if i not in sets:
+            own = lists[i].values.to_numpy()
+            sets[i] = set(own[own < cells[i]].tolist())
+        return sets[i]
+
+    for left, right in _tree_pairs(batch, starts, percent):
+        other = comps[left] != comps[right]
+        left, right = left[other], right[other]
+        new = np.array([before(i).isdisjoint(before(j))
+                        for i, j in zip(left.tolist(), right.tolist())], dtype=bool)
+        if new.any():
+            yield left[new], right[new]
+
+
+def _candidates(live: DataFrame, points: DataFrame, percent: int) -> DataFrame:
+    """The rows of ``_blocks`` whose point the trees let through with one of another component."""
     lists = live.groupBy("node").agg(F.collect_set("cell").alias("cells"))
+    rows = _blocks(live.join(lists, "node"), points, percent)
 
     def work(batch: pa.RecordBatch, starts: np.ndarray) -> list[pa.RecordBatch]:
-        nodes, comps = batch.column("node").to_pylist(), batch.column("comp").to_pylist()
-        cells, lists = batch.column("cell").to_pylist(), batch.column("cells")
-        sets: dict[int, set[int]] = {}
-
-        def before(i: int) -> set[int]:
-            """The cells of the point that come before the row's own."""
-            if i not in sets:
-                own = lists[i].values.to_numpy()
-                sets[i] = set(own[own < cells[i]].tolist())
-            return sets[i]
-
-        groups = batch.column("g").to_pylist()
-        out = {(groups[i], min(nodes[i], nodes[j]), max(nodes[i], nodes[j]))
-               for left, right in _tree_pairs(batch, starts, percent)
-               for i, j in zip(left.tolist(), right.tolist())
-               if comps[i] != comps[j] and before(i).isdisjoint(before(j))}
-        return [pa.RecordBatch.from_arrays(
-            [pa.array([p[k] for p in out], kind)
-             for k, kind in enumerate((pa.int64(), pa.binary(), pa.binary()))],
-            names=["g", "a", "b"])]
+        seen = np.zeros(batch.num_rows, dtype=bool)
+        for i, j in _between(batch, starts, percent):
+            seen[i] = seen[j] = True
+        return [batch.filter(pa.array(seen))] if seen.any() else []
+
+    return grouped(rows, "g", rows.schema, work)
+
+
+def _joined(candidates: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that connect the components of ``candidates``, verified on the full sets.
+
+    The pairs of a group are compared where its sets lie and leave as edges of a
+    forest: a pair that the edges found before connect needs no look. So pairs
+    never become rows, and a task makes fewer rows than it reads.
+    """
+    rows = candidates.join(sets.select("node", "set"), "node")
+
+    def work(batch: pa.RecordBatch, starts: np.ndarray) -> list[pa.RecordBatch]:
+        comps = pc.dictionary_encode(batch.column("comp")).indices.to_numpy(zero_copy_only=False)
+        top = comps.tolist()  # a parent of each component's number
+        up = list(range(max(top, default=-1) + 1))
+
+        def root(x: int) -> int:
+            while up[x] != x:
+                up[x] = up[up[x]]
+                x = up[x]
+            return x
+
+        lists = batch.column("set")
+        values = lists.values.to_numpy()
+        edges = lists.offsets.to_numpy()
+        first, second = [], []
+        for left, right in _between(batch, starts, percent):
+            for i, j in zip(left.tolist(), right.tolist()):
+                p, q = root(top[i]), root(top[j])
+                if p == q:
+                    continue
+                x, y = values[edges[i]:edges[i + 1]], values[edges[j]:edges[j + 1]]
+                if linked(x, y, percent):
+                    up[p] = q
+                    first.append(i)
+                    second.append(j)
+        nodes = batch.column("node")
+        return [pa.RecordBatch.from_arrays([nodes.take(pa.array(k, pa.int64()))
+                                            for k in (first, second)], names=["a", "b"])]
 
-    return grouped(_blocks(live.join(lists, "node"), points, percent), "g",
-                   "g long, a binary, b binary", work)
+    return grouped(rows, "g", "a binary, b binary", work)
 
 
 def _some_cells(rows: DataFrame, turn: int) -> DataFrame:
@@ -548,10 +648,8 @@ def linked_sets(docs: DataFrame, texts: DataFrame, order: Order, *, percent: int
     """
     spark = texts.sparkSession
     rows = _memberships(texts, order, percent, size)
-    cells = _cells(rows.filter("node is null"), percent)
-    if len(order.hot):
-        cells = cells.unionByName(rows.filter("node is not null").select("h", "node"))
-    cells = reliable_checkpoint(cells.select(F.col("h").alias("cell"), "node").distinct())
+    cells = _cells(rows, percent).select(F.col("h").alias("cell"), "node").distinct()
+    cells = reliable_checkpoint(cells)
     release(spark)
 
     def named(nodes: DataFrame) -> DataFrame:  # one text of each set
@@ -566,9 +664,8 @@ def linked_sets(docs: DataFrame, texts: DataFrame, order: Order, *, percent: int
     release(spark)
     sets = spark.createDataFrame([], "node binary, n long, set array<long>")
 
-    def with_sets(pairs: DataFrame) -> DataFrame:  # and those of the pairs that are not known yet
-        ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        more = reliable_checkpoint(ends.join(sets, "node", "left_anti"))
+    def with_sets(nodes: DataFrame) -> DataFrame:  # and those of the nodes that are not known yet
+        more = reliable_checkpoint(nodes.distinct().join(sets, "node", "left_anti"))
         if more.isEmpty():
             return sets
         found = reliable_checkpoint(_points(named(more), "set array<long>", size, order))
@@ -603,7 +700,7 @@ def linked_sets(docs: DataFrame, texts: DataFrame, order: Order, *, percent: int
             pairs = pairs.unionByName(mates.filter("mate is not null").select(
                 "g", F.least("node", "mate").alias("a"), F.greatest("node", "mate").alias("b")))
         pairs = reliable_checkpoint(pairs)
-        sets = with_sets(pairs)
+        sets = with_sets(pairs.select(F.col("a").alias("node")).union(pairs.select("b")))
         edges = reliable_checkpoint(edges.union(_verified(pairs, sets, percent)))
         release(spark)
         comps = reliable_checkpoint(components(edges))
@@ -632,11 +729,11 @@ def linked_sets(docs: DataFrame, texts: DataFrame, order: Order, *, percent: int
                                         .unionByName(crowd.select("cell", "node")))
         release(spark)
     live = live.drop("wide")
-    pairs = reliable_checkpoint(_searched(live, points, percent))
-    if pairs.isEmpty():
+    near = reliable_checkpoint(_candidates(live, points, percent))
+    if near.isEmpty():
         return comps
-    sets = with_sets(pairs)
-    found = reliable_checkpoint(_verified(pairs, sets, percent))
+    sets = with_sets(near.select("node"))
+    found = reliable_checkpoint(_joined(near, sets, percent))
     release(spark)
     if found.isEmpty():
         return comps

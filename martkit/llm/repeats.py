@@ -200,15 +200,17 @@ def fetch(texts: DataFrame, nodes: DataFrame) -> DataFrame:
     return found.join(nodes, "node", "left_semi").groupBy("node").agg(F.first("t").alias("t"))
 
 
-def grouped(rows: DataFrame, key: str, schema: str,
+def grouped(rows: DataFrame, key: str, schema: str | T.StructType,
             work: Callable[[pa.RecordBatch, np.ndarray], Sequence[pa.RecordBatch]], *,
-            rows_at_once: int = 4096) -> DataFrame:
+            rows_at_once: int = 4096, dealt: bool = False) -> DataFrame:
     """``work`` over batches that hold the rows of their keys (longs) whole.
 
     ``work`` gets a batch sorted by the key and the starts of its groups. A
-    group must fit into memory: callers split the large ones by their key.
+    group must fit into memory: callers split the large ones by their key. ``dealt``
+    rows are partitioned and sorted by the key already.
     """
-    dealt = rows.repartition(shuffle_width(rows), key).sortWithinPartitions(key)
+    if not dealt:
+        rows = rows.repartition(shuffle_width(rows), key).sortWithinPartitions(key)
     at = rows.columns.index(key)
 
     def whole(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,7 +237,7 @@ def grouped(rows: DataFrame, key: str, schema: str,
         if held:
             yield from whole(held)
 
-    return dealt.mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
 def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -71,6 +71,25 @@ def test_near_duplicates_of_unlike_sizes(spark, percent):
     assert got == want == [0, 0, 0, 0, 4]
 
 
+def test_pairs_of_a_group_do_not_become_rows(spark, monkeypatch):
+    """Ten groups of near copies whose points are near one another, but not linked."""
+    base = [f"w{i}" for i in range(60)]
+    texts = [" ".join(f"x{k}" if i == 10 + 4 * (k % 10) else w for i, w in enumerate(base))
+             for k in range(120)]
+    made, plain = [], jaccard.grouped
+
+    def counted(rows, key, schema, work, **more):
+        out = plain(rows, key, schema, work, **more)
+        if {"a", "b"} <= set(out.columns):
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "grouped", counted)
+    rows = jaccard.near_duplicates(frame(spark, texts)).collect()
+    assert {(r.doc_id, r.component) for r in rows} == {(k, k % 10) for k in range(120)}
+    assert max(made) <= 2 * len(texts)
+
+
 def test_tree_bound_never_loses_a_link():
     import numpy as np
     rng = np.random.default_rng(3)
