@@ -216,6 +216,9 @@ def _salted(left: DataFrame, right: DataFrame, on: str, how: str, buckets: int,
     left row has a key that the left side does not hold. With every key spread
     (``hot`` None), right and full joins add the right rows whose key has no left
     row by an anti join against the left side's distinct keys, a second scan.
+    The join is a sort-merge join by hint: Spark's estimate of the right side knows
+    nothing of its copies, and where it lies below the broadcast threshold every task
+    would hold all of them.
     """
     order = _layout(left, right, on, how)
     lkey, rkey = _named(left, on), _named(right, on)
@@ -228,6 +231,7 @@ def _salted(left: DataFrame, right: DataFrame, on: str, how: str, buckets: int,
         lonely_right = right.join(left.select(F.col(f"`{lkey}`")).distinct(), on=on, how="left_anti")
         return preserved.union(_padded(lonely_right, types, order))
     salted_left, salted_right = salt_sides(left, right, on, buckets, hot, row_id)
+    salted_right = salted_right.hint("merge")
     if how in ("right", "full"):
         joined = salted_left.withColumn(_MET, F.lit(True)).join(salted_right, on=[on, _SALT], how=how)
         copy = F.col(_MET).isNull() & F.col(f"`{on}`").isin(list(hot)) if hot else F.lit(False)

@@ -184,3 +184,11 @@ def test_estimate_is_read_from_the_plan(spark):
     from martkit.operators.joins import estimated_bytes
     est = estimated_bytes(spark.read.parquet("/root/testdata/sf0.01/part.parquet"))
     assert est is not None and est > 1000
+
+
+def test_salted_join_never_broadcasts_the_copied_side(spark):
+    left = spark.range(1000).selectExpr("id % 50 AS k", "id AS v")
+    right = spark.range(50).selectExpr("id AS k", "concat('n', id) AS name")
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        plan = plan_text(join_using(left, right, "k", how, salt_buckets=4, hot="all"))
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan, how
