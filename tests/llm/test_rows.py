@@ -106,6 +106,43 @@ def test_quality(spark):
     assert all(r.score == pytest.approx(quality.CUT_SCORE) for r in flat)
 
 
+def test_quality_learns_from_every_label(spark, monkeypatch):
+    """Strengths, threshold and pairs are those of all labelled rows, in one block or in many."""
+    import numpy as np
+    assert "sample" not in quality.learn.__kwdefaults__
+    texts = [f"A plain sentence number {i}. It has ordinary words." if i % 3
+             else f"BUY!! {i}!! $$$ ### CLICK{'!' * (i % 7)}" for i in range(200)]
+    docs = frame(spark, texts)
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(200)],
+                                   "doc_id long, quality int")
+    x = np.array([quality.features(t) for t in texts])
+    for rows, rarer in ((2048, 64), (20, 4), (20, 64)):
+        monkeypatch.setattr(quality, "BLOCK_ROWS", rows)
+        monkeypatch.setattr(quality, "BLOCK_RARER", rarer)
+        ranker = quality.learn(docs, labels)
+        assert np.allclose(ranker.centre, x.mean(0), atol=1e-9)
+        assert np.allclose(ranker.scale, np.maximum(x.std(0), 1e-3), atol=1e-6)
+        assert ranker.cut == pytest.approx(np.quantile(ranker.strengths(x), 67 / 200), abs=1e-9)
+        assert ranker == quality.learn(docs.repartition(7), labels.repartition(5))
+        got = quality.rate(quality.describe(docs), ranker, described=True)
+        assert all(r.predicted == int(r.doc_id % 3 > 0) for r in got.collect())
+        assert "x" not in got.columns
+
+
+def test_every_labelled_row_is_paired(spark, monkeypatch):
+    """One bad row among many: it is copied to all blocks, so each good row has an opponent."""
+    import numpy as np
+    monkeypatch.setattr(quality, "BLOCK_ROWS", 10)
+    rows = spark.createDataFrame([(int(h), h != 7, [float(h)]) for h in range(100)],
+                                 "h long, good boolean, x array<double>")
+    blocks = quality._blocks(rows, 100, 1, False).collect()
+    assert sum(r.own for r in blocks) == 100
+    assert {r.block for r in blocks if not r.good} == {r.block for r in blocks} == set(range(10))
+    dealt = quality._blocks(rows, 100, 1, False)
+    sums = quality._block_sums(dealt, np.zeros(1), np.ones(1), np.zeros(1))
+    assert sums[0] == 100 * quality.PAIRS_PER_ROW
+
+
 def chunks(raw, block):
     """Plain context-triggered pieces: the hash of the last seven bytes decides."""
     import numpy as np
