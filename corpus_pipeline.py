@@ -26,27 +26,37 @@ from martkit.llm import bpe, decontaminate, jaccard, language, pii
 from martkit.llm.common import table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+BATCH_BYTES = 2 << 20  # of the texts that go to a Python worker at once
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches of the session by bytes: texts may be long, and every stage moves them."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is identified; narrow margins and letterless texts go."""
+    small_batches(spark)
     known = language.learn(docs.filter(~language.held_out()))
     return language.identify(docs, known).filter(~F.col("rejected")).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of similar texts."""
+    small_batches(spark)
     return jaccard.keep_one(docs)
 
 
 def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain no benchmark item, re-parameterised ones included."""
+    small_batches(spark)
     found = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark"))
     return found.filter(F.size("leaks") == 0).select(*docs.columns)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with personal data and the terms that disclose it replaced."""
+    small_batches(spark)
     return pii.sanitise(docs).withColumn("n_chars", F.length("text").cast("long")).select(
         *docs.columns)
 
@@ -56,6 +66,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     The ids are decoded again; ``decoded_sha256`` is the digest of the bytes they give back.
     """
+    small_batches(spark)
     return bpe.round_trip(docs, keep=["doc_id"], with_ids=True).select(
         "doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256")
 

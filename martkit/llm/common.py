@@ -16,11 +16,13 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 TEXT = "__llm_text"
+SLICE = 1 << 20  # bytes of text whose rows leave a task at once
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,20 +74,27 @@ def add_columns(df: DataFrame, text: str, outputs: str,
 
     ``make`` runs once per task and returns a function from an Arrow array of
     texts (never null) to one Arrow array per output. ``keep`` names the input
-    columns to carry along (default: all that do not clash).
+    columns to carry along (default: all that do not clash). A text that is kept
+    goes to the worker once, and rows leave in slices of about SLICE bytes of text.
     """
     out = T.StructType.fromDDL(outputs)
     names = [f.name for f in out.fields]
     kept = [c for c in (df.columns if keep is None else keep) if c in others(df, *names)]
-    rows = df.select(*[F.col(quoted(c)) for c in kept], text_of(text).alias(TEXT))
+    once = text in kept and isinstance(df.schema[text].dataType, T.StringType)
+    at = kept.index(text) if once else len(kept)
+    rows = df.select(*[F.col(quoted(c)) for c in kept],
+                     *([] if once else [text_of(text).alias(TEXT)]))
     schema = T.StructType([*(rows.schema[c] for c in kept), *out.fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for batch in batches:
-            new = work(batch.column(len(kept)))
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i) for i in range(len(kept))), *new], names=[*kept, *names])
+            texts = pc.fill_null(batch.column(at), "")
+            for lo, hi in text_slices(raw_bytes(texts)[1], SLICE):
+                part = batch.slice(lo, hi - lo)
+                new = work(texts.slice(lo, hi - lo))
+                yield pa.RecordBatch.from_arrays(
+                    [*(part.column(i) for i in range(len(kept))), *new], names=[*kept, *names])
 
     return rows.mapInArrow(run, schema)
 

@@ -8,6 +8,7 @@ import pytest
 import corpus_pipeline
 from martkit.llm import bpe, pii
 
+from .conftest import frame
 from .test_corpus import brute_components
 
 SF = "/root/testdata/sf0.001"
@@ -99,3 +100,17 @@ def test_run_gives_the_last_stage_and_drops_its_tables(spark, stages):
     left = [t.name for t in spark.catalog.listTables() if t.name.startswith("martkit_pipeline_")]
     assert len(left) == 1 and left[0].endswith("personal_data")
     spark.sql(f"DROP TABLE {left[0]}")
+
+
+def test_stages_bound_the_bytes_that_go_to_a_worker(spark):
+    import pyarrow as pa
+    docs = frame(spark, ["word " * 40_000] * 30).repartition(1)
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    try:
+        corpus_pipeline.language_id(spark, docs, "")
+        sizes = docs.select("text").mapInArrow(
+            lambda batches: (pa.RecordBatch.from_pydict({"n": [b.nbytes]}) for b in batches),
+            "n long").collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", before)
+    assert max(r.n for r in sizes) <= 2 * corpus_pipeline.BATCH_BYTES

@@ -106,6 +106,25 @@ def test_quality(spark):
     assert all(r.score == pytest.approx(quality.CUT_SCORE) for r in flat)
 
 
+def test_columns_are_added_in_slices_and_the_text_travels_once(spark):
+    import pyarrow as pa
+    from martkit.llm.common import SLICE, add_columns
+    from conftest import plan_text
+
+    def make():
+        def work(texts):
+            return [pa.array([sum(len(t.as_py()) for t in texts)] * len(texts), pa.int64())]
+
+        return work
+
+    docs = frame(spark, ["x" * 4000, None] * 900).repartition(1)
+    out = add_columns(docs, "text", "n long", make)
+    assert "__llm_text" not in plan_text(out)
+    rows = out.collect()
+    assert len(rows) == 1800 and max(r.n for r in rows) <= SLICE
+    assert sum(r.text is None for r in rows) == 900  # a null text stays null beside the columns
+
+
 def test_quality_learns_from_every_label(spark, monkeypatch):
     """Strengths, threshold and pairs are those of all labelled rows, in one block or in many."""
     import numpy as np
