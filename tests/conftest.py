@@ -19,6 +19,13 @@ def spark():
     s.stop()
 
 
+@pytest.fixture(scope="module", autouse=True)
+def no_sink_view(spark):
+    """The memory sink's temporary view is listed in every database: none is left to other modules."""
+    yield
+    spark.catalog.dropTempView("landed_rows")
+
+
 FLAT_SCHEMA = (
     "id BIGINT, sku STRING, name STRING, short_description STRING, price BIGINT, "
     "original_price BIGINT, discount BIGINT, discount_rate BIGINT, rating_average DOUBLE, "
