@@ -23,14 +23,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martkit.llm import bpe, decontaminate, jaccard, language, pii
-from martkit.llm.common import table
+from martkit.llm.common import table, workers_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 BATCH_BYTES = 2 << 20  # of the texts that go to a Python worker at once
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Bound the Arrow batches of the session by bytes: texts may be long, and every stage moves them."""
+    """Bound the Arrow batches of the session by bytes: texts may be long, and every stage moves them.
+
+    All stages use one set of Python workers, so their environment is set first too.
+    """
+    workers_path(spark)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 

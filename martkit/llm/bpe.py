@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import TEXT, add_columns, others, quoted, table, text_of
+from .common import TEXT, add_columns, in_arrow, others, quoted, table, text_of
 
 CHUNK = 1 << 16
 OVERLAP = 1 << 12
@@ -142,17 +142,17 @@ def _encode_long(long: DataFrame, rank_file: bytes, pattern: str, chunk: int,
                                              names=["key", "ids"])
 
     width = int(long.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = (texts.mapInArrow(split, "key binary, start long, last boolean, t string")
+    spread = (in_arrow(texts, split, "key binary, start long, last boolean, t string")
               .repartition(width, "key", "start"))
-    marks = (spread.mapInArrow(pretokenise,
-                               "key binary, start long, head array<long>, tail array<long>")
+    marks = (in_arrow(spread, pretokenise,
+                      "key binary, start long, head array<long>, tail array<long>")
              .groupBy("key").agg(F.collect_list(F.struct("start", "head", "tail")).alias("chunks")))
-    cut = (texts.join(marks, "key").select("key", "t", "chunks")
-           .mapInArrow(pieces, "key binary, start long, t string")
+    cut = (in_arrow(texts.join(marks, "key").select("key", "t", "chunks"), pieces,
+                    "key binary, start long, t string")
            .repartition(width, "key", "start"))
     done = add_columns(cut, "t", "ids binary", _encode_array(rank_file, pattern), ["key", "start"])
-    return (done.groupBy("key").agg(F.collect_list(F.struct("start", "ids")).alias("parts"))
-            .mapInArrow(join, "key binary, ids binary"))
+    return in_arrow(done.groupBy("key").agg(F.collect_list(F.struct("start", "ids")).alias("parts")),
+                    join, "key binary, ids binary")
 
 
 def encode(df: DataFrame, text: str = "text", *, ranks: bytes | None = None,
@@ -202,7 +202,7 @@ def decode(df: DataFrame, ids: str = "ids", *, ranks: bytes | None = None) -> Da
                 names=[*kept, "decoded"])
 
     schema = rows.select(*[F.col(quoted(c)) for c in kept]).schema.add("decoded", "binary")
-    return rows.mapInArrow(run, schema)
+    return in_arrow(rows, run, schema)
 
 
 CODED = "n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -244,7 +244,7 @@ def _coded(rows: DataFrame, column: str, kept: Sequence[str], with_ids: bool,
                         names=[*kept, *names])
                     out, held, lo = [], 0, i + 1
 
-    return rows.select(*[F.col(quoted(c)) for c in kept], column).mapInArrow(run, schema)
+    return in_arrow(rows.select(*[F.col(quoted(c)) for c in kept], column), run, schema)
 
 
 def round_trip(df: DataFrame, text: str = "text", *, ranks: bytes | None = None,

@@ -11,6 +11,7 @@ Conventions every operator keeps:
 
 from __future__ import annotations
 
+import ctypes
 import os
 from collections.abc import Callable, Iterator, Sequence
 
@@ -25,14 +26,23 @@ TEXT = "__llm_text"
 SLICE = 1 << 20  # bytes of text whose rows leave a task at once
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the given Parquet tables."""
-    # Workers of a local session find this package wherever the driver found it; on a
-    # cluster it is installed or passed with --py-files, and the extra path is harmless.
+def workers_path(spark: SparkSession) -> None:
+    """Let Python workers find this package.
+
+    Workers of a local session find it wherever the driver found it; on a cluster it is
+    installed or passed with --py-files, and the extra path is harmless. An executor
+    starts a daemon and workers of its own for each environment that functions come
+    with, and keeps them: a session sets it before its first function.
+    """
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     env = spark.sparkContext.environment
     if root not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(filter(None, [env.get("PYTHONPATH"), root]))
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the given Parquet tables."""
+    workers_path(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -47,6 +57,38 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def give_back() -> None:
+    """Return the process's freed memory to the system, as far as the allocators can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
+
+
+def in_arrow(rows: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+             schema: str | T.StructType) -> DataFrame:
+    """``rows.mapInArrow``, after which a worker gives back what it has freed.
+
+    An executor keeps idle workers, and each would stay as large as its largest task.
+    """
+    def freed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return rows.mapInArrow(freed, schema)
+
+
+def no_rows(spark: SparkSession, schema: str) -> DataFrame:
+    """An empty frame of a DDL schema that Spark plans away.
+
+    ``createDataFrame`` makes one by an RDD, whose tasks start Python workers of
+    another kind on every executor, which keeps them beside the others.
+    """
+    fields = T.StructType.fromDDL(schema).fields
+    return spark.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields]
+                                 ).filter(F.lit(False))
+
+
 def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
@@ -96,7 +138,7 @@ def add_columns(df: DataFrame, text: str, outputs: str,
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(i) for i in range(len(kept))), *new], names=[*kept, *names])
 
-    return rows.mapInArrow(run, schema)
+    return in_arrow(rows, run, schema)
 
 
 # --- vectorised words and shingles ------------------------------------------

@@ -38,8 +38,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.cache import reliable_checkpoint
-from .common import (add_columns, lower_bytes, mix64, others, prefix_hash, quoted, raw_bytes, release,
-                     span_hash, table, text_key, text_of, text_slices, window_hash, word_spans)
+from .common import (add_columns, in_arrow, lower_bytes, mix64, no_rows, others, prefix_hash, quoted,
+                     raw_bytes, release, span_hash, table, text_key, text_of, text_slices, window_hash, word_spans)
 from .repeats import (SAMPLE_TEXTS, binary16, components, fetch, grouped, hot_keys, is_in,
                       shuffle_width)
 
@@ -270,7 +270,7 @@ def _memberships(texts: DataFrame, order: Order, percent: int, size: int) -> Dat
             if held:
                 yield flush()
 
-    return texts.select("t").mapInArrow(run, "h long, rank long, a long, b long, hot boolean")
+    return in_arrow(texts.select("t"), run, "h long, rank long, a long, b long, hot boolean")
 
 
 def _cells(rows: DataFrame, percent: int) -> DataFrame:
@@ -355,7 +355,7 @@ def _cells(rows: DataFrame, percent: int) -> DataFrame:
                     names=["h", "node"])
         yield from passed
 
-    return dealt.mapInArrow(run, "h long, node binary")
+    return in_arrow(dealt, run, "h long, node binary")
 
 
 def _with_last(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, bool]]:
@@ -662,7 +662,7 @@ def linked_sets(docs: DataFrame, texts: DataFrame, order: Order, *, percent: int
     points = reliable_checkpoint(_points(named(cells.select("node").distinct()), "point binary",
                                          size, order))
     release(spark)
-    sets = spark.createDataFrame([], "node binary, n long, set array<long>")
+    sets = no_rows(spark, "node binary, n long, set array<long>")
 
     def with_sets(nodes: DataFrame) -> DataFrame:  # and those of the nodes that are not known yet
         more = reliable_checkpoint(nodes.distinct().join(sets, "node", "left_anti"))
@@ -681,11 +681,11 @@ def linked_sets(docs: DataFrame, texts: DataFrame, order: Order, *, percent: int
     crowd = start.filter("wide").drop("wide")
     cells = start.select("cell", "node")
     release(spark)
-    edges = spark.createDataFrame([], "a binary, b binary")
+    edges = no_rows(spark, "a binary, b binary")
     before = None
     many = 0 if crowd.isEmpty() else 1  # of the wide cells
     for turn in range(MAX_ROUNDS):
-        pairs = spark.createDataFrame([], "g long, a binary, b binary")
+        pairs = no_rows(spark, "g long, a binary, b binary")
         if many:
             some = reliable_checkpoint(_some_cells(crowd, turn))
             pivot = some.groupBy("cell").agg(F.min(F.struct(
@@ -760,7 +760,7 @@ def shingle_order(texts: DataFrame, total: int, *, sample: int = SAMPLE_TEXTS,
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(w.astype(np.int64)), pa.array(n.astype(np.int64))], names=["w", "n"])
 
-    counts = some.mapInArrow(run, "w long, n long").groupBy("w").agg(F.sum("n").alias("n"))
+    counts = in_arrow(some, run, "w long, n long").groupBy("w").agg(F.sum("n").alias("n"))
     top = counts.filter("n > 1").orderBy(F.desc("n"), "w").limit(words).collect()
     top.sort(key=lambda r: np.uint64(r["w"] & (1 << 64) - 1))
     return Order(np.array([r["w"] for r in top], dtype=np.int64).astype(np.uint64),

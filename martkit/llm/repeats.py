@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.cache import reliable_checkpoint
-from .common import mix64
+from .common import in_arrow, mix64
 
 SAMPLE_TEXTS = 4000   # expected texts in the sample that names hot keys
 HOT_SHARE = 0.02      # share of the sampled texts that makes a key hot
@@ -110,7 +110,7 @@ def repeated(rows: DataFrame, key: str, ident: Sequence[str], *, collapse: bool
                      *(batch.column(i).take(took) for i in range(1, len(columns)))],
                     names=columns)
 
-    return dealt.mapInArrow(run, dealt.schema)
+    return in_arrow(dealt, run, dealt.schema)
 
 
 def hot_keys(texts: DataFrame, keys: Callable[[DataFrame], DataFrame], total: int, *,
@@ -237,7 +237,7 @@ def grouped(rows: DataFrame, key: str, schema: str | T.StructType,
         if held:
             yield from whole(held)
 
-    return rows.mapInArrow(run, schema)
+    return in_arrow(rows, run, schema)
 
 
 def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -283,7 +283,7 @@ def components(edges: DataFrame, *, per_task: int = TASK_EDGES) -> DataFrame:
     e = reliable_checkpoint(e)
     tasks = -(-e.count() // per_task) or 1
     dealt = e.coalesce(1) if tasks == 1 else e.repartition(tasks, "u", "v")
-    e = reliable_checkpoint(dealt.mapInArrow(_stars, e.schema))
+    e = reliable_checkpoint(in_arrow(dealt, _stars, e.schema))
     mark = None
     while tasks > 1:
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))

@@ -114,3 +114,49 @@ def test_stages_bound_the_bytes_that_go_to_a_worker(spark):
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", before)
     assert max(r.n for r in sizes) <= 2 * corpus_pipeline.BATCH_BYTES
+
+
+def test_one_kind_of_python_workers(spark, monkeypatch):
+    """No stage makes a frame by an RDD, and all functions come with one environment."""
+    from pyspark.sql import SparkSession
+    from martkit.llm import common
+
+    docs = frame(spark, ["the cat sat on the mat with a dog and a bird"] * 3 + [
+        f"the cat sat on the mat with {w} and a bird" for w in ("one", "two", None)])
+    docs = docs.localCheckpoint()
+    env = spark.sparkContext.environment
+    monkeypatch.delitem(env, "PYTHONPATH", raising=False)
+    monkeypatch.setattr(SparkSession, "createDataFrame", None)
+    seen = set()
+    for name, stage in corpus_pipeline.STAGES:
+        seen.add(stage(spark, docs, SF).count() >= 0 and env.get("PYTHONPATH"))
+    assert len(seen) == 1 and None not in seen
+    none = common.no_rows(spark, "node binary, n long, s array<long>")
+    assert none.dtypes == [("node", "binary"), ("n", "bigint"), ("s", "array<bigint>")]
+    assert none.count() == 0 and "Range" not in none._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_worker_gives_back_what_a_task_freed():
+    from martkit.llm.common import in_arrow
+
+    def held() -> int:
+        with open("/proc/self/smaps_rollup") as f:
+            return next(int(x.split()[1]) for x in f if x.startswith("Pss_Anon")) / 1024
+
+    class Rows:
+        def mapInArrow(self, run, schema):
+            return run
+
+    last = []
+
+    def run(batches):
+        for _ in batches:
+            small = [bytes(1000) for _ in range(100_000)]
+            last[:] = small[-1:]  # the piece at the heap's end stays, so malloc keeps the others
+            del small
+            yield held()
+
+    before = held()
+    most, = in_arrow(Rows(), run, "")([None])
+    assert most > before + 60
+    assert held() < before + 30
