@@ -24,7 +24,7 @@ from .common import add_columns, table, text_of
 WINDOW = 7
 MIN_BLOCK = 3
 SIGNATURE = 64   # characters a signature is sized for
-LONGEST = 512    # and has at most: on periodic bytes every piece may trigger; the last takes the rest
+LONGEST = 1024   # and has at most: on periodic bytes every piece may trigger; the last takes the rest
 GRAM = 7         # two signatures without a common run of so many characters are unlike
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
 _STEP = 1 << 20
