@@ -36,9 +36,9 @@ def corpus():
     return texts
 
 
-@pytest.fixture(scope="session", autouse=True)
+@pytest.fixture(scope="package", autouse=True)
 def few_partitions(spark):
-    """Small tables: fewer tasks a shuffle."""
+    """Small tables: fewer tasks a shuffle, in this package only."""
     before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", "3")
     yield
